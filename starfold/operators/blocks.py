@@ -9,49 +9,56 @@ every (point, searcher) pair still meets exactly once.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
-# A cell is hot when it holds more rows than both of these allow. The second
-# bounds the table of hot cells: at most 2 * HOT_SHARE cells can exceed it.
-HOT_ROWS = 20_000
-HOT_SHARE = 50_000
+HOT_ROWS = 100_000            # rows of one side in one cell that make it hot
+MOST_HOT = 1000               # cells split at most; any further cell holds under 1/1000 of the rows
+SAMPLE = 0.01                 # share of the rows counted to find hot cells (plans only, never results)
+SMALL_BYTES = 64 << 20        # inputs below this fit one task whole, so they are not profiled
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of a plan."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def hot_cells(points: DataFrame, covers: DataFrame, hot_rows: int = HOT_ROWS,
-              hot_share: int = HOT_SHARE) -> DataFrame:
-    """(cell, kp, kc) of the cells to split; at most ``2 * hot_share`` rows."""
-    sizes = (points.select("cell", F.lit(1).alias("np"), F.lit(0).alias("nc"))
-             .unionByName(covers.select("cell", F.lit(0).alias("np"), F.lit(1).alias("nc")))
+def hot_cells(points: DataFrame, covers: DataFrame, hot_rows: int = HOT_ROWS, sample: float = SAMPLE) -> list:
+    """[(cell, kp, kc)] for the cells to split, from a sampled count; at most MOST_HOT entries."""
+    def part(df: DataFrame, np: int, nc: int) -> DataFrame:
+        df = df.select("cell")
+        df = df.sample(sample, seed=7) if sample < 1.0 else df
+        return df.select("cell", F.lit(np).alias("np"), F.lit(nc).alias("nc"))
+
+    sizes = (part(points, 1, 0).unionByName(part(covers, 0, 1))
              .groupBy("cell").agg(F.sum("np").alias("np"), F.sum("nc").alias("nc")))
-    total = sizes.agg(F.sum(F.col("np") + F.col("nc")).alias("n")).scalar()
-    limit = F.greatest(F.lit(float(hot_rows)), F.coalesce(total, F.lit(0)) / float(hot_share))
-    return (sizes.withColumn("limit", limit)
-            .where((F.col("np") > F.col("limit")) | (F.col("nc") > F.col("limit")))
-            .select("cell",
-                    F.greatest(F.lit(1), F.ceil(F.col("np") / F.col("limit"))).cast("int").alias("kp"),
-                    F.greatest(F.lit(1), F.ceil(F.col("nc") / F.col("limit"))).cast("int").alias("kc")))
+    top = sizes.orderBy(F.greatest("np", "nc").desc()).limit(MOST_HOT).collect()
+    return [(t.cell, max(1, math.ceil(t.np / sample / hot_rows)), max(1, math.ceil(t.nc / sample / hot_rows)))
+            for t in top if max(t.np, t.nc) / sample > hot_rows]
 
 
-def cell_join(points: DataFrame, covers: DataFrame, hot_rows: int = HOT_ROWS,
-              hot_share: int = HOT_SHARE) -> DataFrame:
+def cell_join(points: DataFrame, covers: DataFrame, hot_rows: int = HOT_ROWS, sample: float = SAMPLE,
+              small_bytes: int = SMALL_BYTES) -> DataFrame:
     """All (point, cover) pairs that share a cell. Both inputs carry ``cell``.
 
     Column names other than ``cell`` must differ between the inputs.
     """
-    hot = F.broadcast(hot_cells(points, covers, hot_rows, hot_share))
-    p_names = [c for c in points.columns if c != "cell"]
-    c_names = [c for c in covers.columns if c != "cell"]
-
-    def deal(df: DataFrame, names: list[str], own: str, other: str) -> DataFrame:
-        # own block by hash of the row, one copy per block of the other side
-        tagged = df.join(hot, "cell", "left").select(
-            "cell", *names,
-            F.when(F.col("kp").isNull(), F.lit(0)).otherwise(
-                F.pmod(F.xxhash64(*names), F.col(own).cast("bigint")).cast("int")).alias(f"b_{own}"),
-            F.coalesce(F.col(other) - 1, F.lit(0)).alias("_copies"))
-        return tagged.select("cell", *names, f"b_{own}",
-                             F.explode(F.sequence(F.lit(0), F.col("_copies"))).alias(f"b_{other}"))
-
-    left = deal(points, p_names, "kp", "kc")
-    right = deal(covers, c_names, "kc", "kp")
-    return left.join(right, ["cell", "b_kp", "b_kc"]).drop("cell", "b_kp", "b_kc")
+    if plan_bytes(points) + plan_bytes(covers) < small_bytes:
+        return points.join(covers, "cell").drop("cell")
+    split = hot_cells(points, covers, hot_rows, sample)
+    if not split:
+        return points.join(covers, "cell").drop("cell")
+    # at most MOST_HOT rows
+    hot = F.broadcast(points.sparkSession.createDataFrame(split, "cell long, kp int, kc int"))
+
+    def deal(df: DataFrame, own: str, other: str) -> DataFrame:
+        names = [c for c in df.columns if c != "cell"]
+        block = F.when(F.col(own).isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64(*names), F.col(own).cast("bigint")).cast("int"))
+        copies = F.sequence(F.lit(0), F.coalesce(F.col(other) - 1, F.lit(0)))
+        return (df.join(hot, "cell", "left")
+                .select("cell", *names, block.alias(f"b_{own}"), F.explode(copies).alias(f"b_{other}")))
+
+    return (deal(points, "kp", "kc").join(deal(covers, "kc", "kp"), ["cell", "b_kp", "b_kc"])
+            .drop("cell", "b_kp", "b_kc"))
