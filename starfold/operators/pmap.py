@@ -58,7 +58,7 @@ def histogram_1d(df: DataFrame, c: Column, lo: float, hi: float, n: int, by: lis
 
 def histogram_2d(df: DataFrame, x: str, y: str, spec: MapSpec, weight: str | None = None,
                  mask: Column | None = None) -> DataFrame:
-    """(pop, bx, by, w): weighted counts per population of array columns x and y.
+    """(pop, ix, iy, w): weighted counts per population of array columns x and y.
 
     The mask (and the weight) may be a plain column or an array with one entry
     per population; both drop the same stars.
@@ -70,10 +70,10 @@ def histogram_2d(df: DataFrame, x: str, y: str, spec: MapSpec, weight: str | Non
                      *([F.col(weight).alias("wt")] if weight else []))
     (xl, xh), (yl, yh) = spec.extents
     w = F.lit(1.0) if weight is None else F.col("wt")
-    return (long.select("pop", bin_of(F.col("v.x"), xl, xh, spec.bins[0]).alias("bx"),
-                        bin_of(F.col("v.y"), yl, yh, spec.bins[1]).alias("by"), w.alias("w"))
-            .where("bx IS NOT NULL AND by IS NOT NULL")
-            .groupBy("pop", "bx", "by").agg(F.sum("w").alias("w")))
+    return (long.select("pop", bin_of(F.col("v.x"), xl, xh, spec.bins[0]).alias("ix"),
+                        bin_of(F.col("v.y"), yl, yh, spec.bins[1]).alias("iy"), w.alias("w"))
+            .where("ix IS NOT NULL AND iy IS NOT NULL")
+            .groupBy("pop", "ix", "iy").agg(F.sum("w").alias("w")))
 
 
 def map_from_simulation(sim: DataFrame, x: str, y: str, spec: MapSpec, lp_stars: str | None = None,
@@ -105,9 +105,9 @@ def merge_populations(cells: DataFrame, groups: list[list[int]], weights: list[f
     size = max(group_of) + 1
     group = F.array(*[F.lit(group_of.get(p)).cast("int") for p in range(size)])
     weight = F.array(*[F.lit(float(weights[p])) for p in range(size)])
-    merged = (cells.select(F.get(group, F.col("pop")).alias("pop"), "bx", "by",
+    merged = (cells.select(F.get(group, F.col("pop")).alias("pop"), "ix", "iy",
                            (F.col("w") * F.get(weight, F.col("pop"))).alias("w"))
-              .where("pop IS NOT NULL").groupBy("pop", "bx", "by").agg(F.sum("w").alias("w")))
+              .where("pop IS NOT NULL").groupBy("pop", "ix", "iy").agg(F.sum("w").alias("w")))
     return merged, [sum(weights[p] for p in members) for members in groups]
 
 
@@ -116,22 +116,22 @@ def maximum_filter(cells: DataFrame, spec: MapSpec, size: int = 3) -> DataFrame:
     k = size // 2
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
                       for i in range(-k, k + 1) for j in range(-k, k + 1)])
-    spread = cells.select("pop", "bx", "by", "w", F.explode(steps).alias("s")).select(
-        "pop", (F.col("bx") + F.col("s.i")).alias("bx"), (F.col("by") + F.col("s.j")).alias("by"), "w")
-    return (spread.where(F.col("bx").between(0, spec.bins[0] - 1) & F.col("by").between(0, spec.bins[1] - 1))
-            .groupBy("pop", "bx", "by").agg(F.max("w").alias("w")))
+    spread = cells.select("pop", "ix", "iy", "w", F.explode(steps).alias("s")).select(
+        "pop", (F.col("ix") + F.col("s.i")).alias("ix"), (F.col("iy") + F.col("s.j")).alias("iy"), "w")
+    return (spread.where(F.col("ix").between(0, spec.bins[0] - 1) & F.col("iy").between(0, spec.bins[1] - 1))
+            .groupBy("pop", "ix", "iy").agg(F.max("w").alias("w")))
 
 
 def map_rows(cells: DataFrame, n_pop: int) -> DataFrame:
     """One row per cell with the values of all populations as an array ``h`` (0 where empty)."""
     per_pop = [F.coalesce(F.sum(F.when(F.col("pop") == p, F.col("w"))), F.lit(0.0)) for p in range(n_pop)]
-    return cells.groupBy("bx", "by").agg(F.array(*per_pop).alias("h"))
+    return cells.groupBy("ix", "iy").agg(F.array(*per_pop).alias("h"))
 
 
 def nonzero_cells(cells: DataFrame, populations: list[int]) -> DataFrame:
     """Cells that hold something in every listed population."""
-    return (cells.where(F.col("pop").isin(populations) & (F.col("w") > 0)).groupBy("bx", "by")
-            .agg(F.count_distinct("pop").alias("n")).where(F.col("n") == len(set(populations))).select("bx", "by"))
+    return (cells.where(F.col("pop").isin(populations) & (F.col("w") > 0)).groupBy("ix", "iy")
+            .agg(F.count_distinct("pop").alias("n")).where(F.col("n") == len(set(populations))).select("ix", "iy"))
 
 
 def _norms(rows: DataFrame, n_pop: int) -> Column:
@@ -153,10 +153,10 @@ def _weights_array(weights: list[float]) -> Column:
 
 
 def membership_map(cells: DataFrame, weights: list[float]) -> DataFrame:
-    """(bx, by, p): membership of every population per cell; ``log_p`` is its logarithm."""
+    """(ix, iy, p): membership of every population per cell; ``log_p`` is its logarithm."""
     rows = map_rows(cells, len(weights))
     p = _share(F.col("h"), F.col("norm"), _weights_array(weights))
-    out = rows.withColumn("norm", _norms(rows, len(weights))).select("bx", "by", "h", p.alias("p"))
+    out = rows.withColumn("norm", _norms(rows, len(weights))).select("ix", "iy", "h", p.alias("p"))
     return out.withColumn("log_p", log_probability(F.col("p")))
 
 
@@ -173,20 +173,20 @@ def lookup_membership(stars: DataFrame, x: str, y: str, cells: DataFrame, spec:
     last one out, as results made with an off-by-one lookup did.
     """
     (xl, xh), (yl, yh) = spec.extents
-    bx = bin_of(F.col(x), xl, xh, spec.bins[0], close_last=False)
-    by = bin_of(F.col(y), yl, yh, spec.bins[1], close_last=False)
+    ix = bin_of(F.col(x), xl, xh, spec.bins[0], close_last=False)
+    iy = bin_of(F.col(y), yl, yh, spec.bins[1], close_last=False)
     if legacy_shift:
-        bx = F.when(bx + 1 < spec.bins[0], bx + 1)
-        by = F.when(by + 1 < spec.bins[1], by + 1)
+        ix = F.when(ix + 1 < spec.bins[0], ix + 1)
+        iy = F.when(iy + 1 < spec.bins[1], iy + 1)
     rows = map_rows(cells, len(weights))
     rows = rows.withColumn("_norm", _norms(rows, len(weights))).withColumnsRenamed(
-        {"bx": "_bx", "by": "_by", "h": "_h"})
+        {"ix": "_ix", "iy": "_iy", "h": "_h"})
     if spec.bins[0] * spec.bins[1] <= BROADCAST_CELLS:
         rows = F.broadcast(rows)
     w = F.col(star_weights) if star_weights else _weights_array(weights)
-    joined = stars.withColumns({"_sx": bx, "_sy": by}).join(
-        rows, (F.col("_sx") == F.col("_bx")) & (F.col("_sy") == F.col("_by")), "left")
-    return joined.withColumn("p", _share(F.col("_h"), F.col("_norm"), w)).drop("_sx", "_sy", "_bx", "_by", "_h", "_norm")
+    joined = stars.withColumns({"_sx": ix, "_sy": iy}).join(
+        rows, (F.col("_sx") == F.col("_ix")) & (F.col("_sy") == F.col("_iy")), "left")
+    return joined.withColumn("p", _share(F.col("_h"), F.col("_norm"), w)).drop("_sx", "_sy", "_ix", "_iy", "_h", "_norm")
 
 
 def assign_membership(stars: DataFrame, x: str, y: str, cells: DataFrame, spec: MapSpec, weights: list[float],
