@@ -66,9 +66,9 @@ _SHARED = dict(_REACH, sh="""SELECT a.pointing_idx, a.fiber_id AS fa, b.fiber_id
 
 
 @check("j21_colliding_endpoints", with_("hsc", "fibers", **_SHARED) + """SELECT DISTINCT a.pointing_idx, a.target_idx AS t1, b.target_idx AS t2
-    FROM sh a JOIN sh b USING (pointing_idx, fa, fb) WHERE a.target_idx < b.target_idx AND sqrt(power(a.x-b.x,2)+power(a.y-b.y,2)) < 2e-1""")
+    FROM sh a JOIN sh b USING (pointing_idx, fa, fb) WHERE a.target_idx < b.target_idx AND sqrt(power(a.x-b.x,2)+power(a.y-b.y,2)) < 1.5e0""")
 def _(c):
-    return rc.colliding_endpoints(edges(c), near(c), 0.2)
+    return rc.colliding_endpoints(edges(c), near(c), 1.5)
 
 
 def _wrap(a: str) -> str:
@@ -102,11 +102,11 @@ def visible(c):
 
 
 @check("j18_visible_edges", _VHEAD + f"""SELECT pointing_idx, fiber_id, target_idx, {R('dist')} AS dist, {R('dot_dist')} AS dot_dist,
-    {R('theta')} AS theta, {R('phi')} AS phi, {R('ex')} AS ex, {R('ey')} AS ey FROM vis""")
+    {R('theta', 4)} AS theta, {R('phi', 4)} AS phi, {R('ex', 4)} AS ex, {R('ey', 4)} AS ey FROM vis""")
 def _(c):
     e = visible(c).withColumn("s", F.explode("solutions"))
     return e.select("pointing_idx", "fiber_id", "target_idx", r("dist").alias("dist"), r("dot_dist").alias("dot_dist"),
-                    *[r(C(f"s.{k}")).alias(k) for k in ("theta", "phi", "ex", "ey")])
+                    *[r(C(f"s.{k}"), 4).alias(k) for k in ("theta", "phi", "ex", "ey")])
 
 
 def _pseg(px, py, ax, ay, bx, by):

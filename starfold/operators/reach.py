@@ -108,9 +108,8 @@ def visible_edges(targets_xy: DataFrame, fibers: DataFrame, largest_reach: float
         pairs = pairs.where(d < maximum_distance)
     dot_dist, clear = dot_clearance(x, y, F.col("dots"))
     pairs = pairs.where(clear).withColumn("dot_dist", dot_dist)
-    both = F.array(*geo.arm_solutions(x, y))
-    valid = F.filter(both, lambda s: geo.solution_usable(s["flags"]))
-    return (pairs.withColumn("solutions", valid).where(F.size("solutions") > 0)
+    valid = F.filter("solutions", lambda s: geo.solution_usable(s["flags"]))
+    return (geo.solve_arm(pairs).withColumn("solutions", valid).where(F.size("solutions") > 0)
             .select("pointing_idx", "fiber_id", "target_idx", "x", "y", "dist", "dot_dist", "solutions"))
 
 

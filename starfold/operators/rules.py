@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.nulls import is_true
+from ..session import pin
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,7 @@ def apply_rules(df: DataFrame, rules: tuple[Rule, ...] | list[Rule], start: floa
         if rule.code is not None:
             new["code"] = F.when(hit, F.lit(rule.code)).otherwise(F.col("code"))
         df = df.withColumns(new)
-    return df
+    return pin(df, "priority", "code")
 
 
 def assign_priorities(df: DataFrame, rule_set: RuleSet) -> DataFrame:
