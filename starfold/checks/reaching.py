@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import reach as rc, select as sel, visits as vi
+from ..session import cut
 from ..sources.fixtures import PLATE_SCALE, POINTINGS, table, with_
 from .registry import HAV, R, check, r
 from .scalars import TAN
@@ -58,7 +59,7 @@ def _(c):
 @check("j20_shared_targets", _HEAD + """SELECT a.pointing_idx, a.fiber_id AS fiber_a, b.fiber_id AS fiber_b, a.target_idx FROM edges a
     JOIN edges b USING (pointing_idx, target_idx) JOIN near n ON n.fiber_id = a.fiber_id AND n.neighbour_id = b.fiber_id WHERE a.fiber_id < b.fiber_id""")
 def _(c):
-    return rc.shared_targets(edges(c), near(c)).drop("x", "y")
+    return rc.shared_targets(cut(edges(c)), near(c)).drop("x", "y")
 
 
 _SHARED = dict(_REACH, sh="""SELECT a.pointing_idx, a.fiber_id AS fa, b.fiber_id AS fb, a.target_idx, a.x, a.y FROM edges a
@@ -68,7 +69,7 @@ _SHARED = dict(_REACH, sh="""SELECT a.pointing_idx, a.fiber_id AS fa, b.fiber_id
 @check("j21_colliding_endpoints", with_("hsc", "fibers", **_SHARED) + """SELECT DISTINCT a.pointing_idx, a.target_idx AS t1, b.target_idx AS t2
     FROM sh a JOIN sh b USING (pointing_idx, fa, fb) WHERE a.target_idx < b.target_idx AND sqrt(power(a.x-b.x,2)+power(a.y-b.y,2)) < 1.5e0""")
 def _(c):
-    return rc.colliding_endpoints(edges(c), near(c), 1.5)
+    return rc.colliding_endpoints(cut(edges(c)), cut(near(c)), 1.5)
 
 
 def _wrap(a: str) -> str:
@@ -118,7 +119,7 @@ def _pseg(px, py, ax, ay, bx, by):
     FROM vis a JOIN near n USING (fiber_id) JOIN vis b ON b.pointing_idx = a.pointing_idx AND b.fiber_id = n.neighbour_id
     WHERE {_pseg('b.x', 'b.y', 'a.x', 'a.y', 'a.ex', 'a.ey')} < 3e-1""")
 def _(c):
-    return rc.colliding_elbows(visible(c), near(c), 0.3, 2.375)
+    return rc.colliding_elbows(cut(visible(c)), cut(near(c)), 0.3, 2.375)
 
 
 _PARKED = """SELECT fiber_id AS bf, cx+2.375e0*cos(theta0) AS qx, cy+2.375e0*sin(theta0) AS qy,
@@ -138,7 +139,7 @@ def _side(p, q, s):
     (((bx-ax)*(cy-ay)-(b_y-ay)*(cx-ax))*((bx-ax)*(dy-ay)-(b_y-ay)*(dx-ax)) < 0 AND
      ((dx-cx)*(ay-cy)-(dy-cy)*(ax-cx))*((dx-cx)*(b_y-cy)-(dy-cy)*(bx-cx)) < 0)""")
 def _(c):
-    return rc.colliding_broken(visible(c), fibers(c), near(c), 2.0)
+    return rc.colliding_broken(cut(visible(c)), fibers(c), cut(near(c)), 2.0)
 
 
 @check("j24_bright_star_histogram", _HEAD + """SELECT pointing_idx, CAST(least(floor(d/1e1*20), 19) AS INTEGER) AS bin, count(*) AS n FROM (
