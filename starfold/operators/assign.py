@@ -7,30 +7,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut
+from .ids import rank_in_groups
 from .select import hashed_uniform
 
 
-def rank_in_groups(df: DataFrame, keys: list[str], value: str, tie: str, name: str, descending: bool = False,
-                   buckets: int = 32) -> DataFrame:
-    """1-based rank within groups by a numeric value, ties by a unique column.
-
-    A group may hold a large part of all rows, so ranges of the value are
-    numbered on their own and shifted by the sizes of the ranges before them.
-    """
-    v = -F.col(value) if descending else F.col(value)
-    df = df.withColumn("_v", v.cast("double"))
-    steps = [i / buckets for i in range(1, buckets)]
-    bounds = df.agg(F.percentile_approx("_v", steps, 10 * buckets).alias("q")).scalar()
-    cutoff = F.aggregate("_q", F.lit(0), lambda n, b: n + F.when(F.col("_v") > b, 1).otherwise(0))
-    df = df.withColumn("_q", bounds).withColumn("_bucket", F.when(F.col("_v").isNull(), F.lit(buckets)).otherwise(cutoff)).drop("_q")
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shift = (df.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-             .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))
-    row = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy("_v", tie))
-    return (df.withColumn("_row", row).join(shift, [*keys, "_bucket"])
-            .withColumn(name, (F.col("_row") + F.col("_shift")).cast("int")).drop("_bucket", "_row", "_shift", "_v"))
-
-
 def rank_candidates(edges: DataFrame, by: str, column: str | None = None, seed: int = 0, descending: bool | None = None) -> DataFrame:
     """Rank each fiber's candidates: ``brightness`` and ``priority`` rise, ``probability`` falls, ``random`` is hashed."""
     if by == "random":

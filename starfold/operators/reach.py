@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geometry as geo
-from ..functions.astro import tan_project
+from ..session import pin
 from .blocks import cell_join
 
 _HALF = 1 << 20  # cells on each side of the origin, per axis
@@ -38,9 +38,24 @@ def with_box_cover(df: DataFrame, x_lo: Column, x_hi: Column, y_lo: Column, y_hi
 
 
 def project_targets(targets: DataFrame, scale: float, pos: tuple[str, str] = ("ra", "dec")) -> DataFrame:
-    """Focal-plane position of (target, pointing) rows that carry p_ra, p_dec, p_posang."""
-    x, y = tan_project(F.col(pos[0]), F.col(pos[1]), F.col("p_ra"), F.col("p_dec"), F.col("p_posang"), scale)
-    return targets.withColumns({"x": x, "y": y})
+    """Focal-plane position (x, y) of (target, pointing) rows that carry p_ra, p_dec, p_posang.
+
+    The tangent-plane projection in steps: each sine is taken once, and the
+    generated code stays in small methods.
+    """
+    c, kept = F.col, targets.columns
+    df = targets.withColumns({
+        "_sd": F.sin(F.radians(pos[1])), "_cd": F.cos(F.radians(pos[1])), "_s0": F.sin(F.radians("p_dec")),
+        "_c0": F.cos(F.radians("p_dec")), "_da": F.radians(c(pos[0]) - c("p_ra"))})
+    df = df.withColumns({"_sa": F.sin("_da"), "_ca": F.cos("_da")})
+    df = df.withColumn("_cosc", c("_s0") * c("_sd") + c("_c0") * c("_cd") * c("_ca"))
+    df = df.withColumn("_k", F.when(c("_cosc") > 0, F.degrees(F.lit(1.0)) * scale / c("_cosc")))
+    df = df.withColumns({"_xi": c("_k") * c("_cd") * c("_sa"),
+                         "_eta": c("_k") * (c("_c0") * c("_sd") - c("_s0") * c("_cd") * c("_ca")),
+                         "_sp": F.sin(F.radians("p_posang")), "_cp": F.cos(F.radians("p_posang"))})
+    df = df.select(*kept, (c("_xi") * c("_cp") - c("_eta") * c("_sp")).alias("x"),
+                   (c("_xi") * c("_sp") + c("_eta") * c("_cp")).alias("y"))
+    return pin(df, "x", "y")
 
 
 def plane_pairs(points: DataFrame, centers: DataFrame, radius: float, plane: str | None = None) -> DataFrame:

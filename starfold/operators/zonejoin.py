@@ -217,6 +217,7 @@ def drop_lower_precedence(df: DataFrame, radius_arcsec: float, source: str, pass
     """
     ra, dec = pos
     for sources in passes:
+        df = cut(df)
         # ``key`` tells rows apart; several rows with one key are one object
         places = df.groupBy(ra, dec).agg(F.min(F.struct(*key)).alias("_lo"), F.max(F.struct(*key)).alias("_hi"))
         mine = df.where(F.col(source).isin(sources)).select(ra, dec).distinct()
