@@ -554,17 +554,17 @@ def designs(c):
 
 
 @check("io12_export_rows", _AHEAD.rstrip() + f""", d AS (SELECT v, CAST(unnest(range(v+1)) AS INTEGER) AS r FROM (VALUES (0),(1)) t(v))
-    SELECT prefix AS target_type, 'SSP_GA_umi_S3P0' || v || 'V0' || v || 'R0' || r AS ppc_code, CASE WHEN prefix = 'sci' THEN 25769803776 | target_idx ELSE target_idx END AS obj_id,
+    SELECT prefix AS target_type, 'RUN_A_umi_S3P0' || v || 'V0' || v || 'R0' || r AS point_code, CASE WHEN prefix = 'sci' THEN 25769803776 | target_idx ELSE target_idx END AS obj_id,
     0e0 AS pmra, 1e-5 AS parallax, 'J2016.00' AS epoch, CASE WHEN prefix = 'sci' THEN 77 ELSE 9 END AS input_catalog_id,
     CASE WHEN prefix = 'sci' THEN CAST(target_idx%10 AS INTEGER) ELSE -1 END AS priority, CASE WHEN prefix = 'cal' THEN 1e0 ELSE -1e0 END AS prob_f_star,
     CASE WHEN target_idx%5 = 0 THEN '' ELSE 'g_hsc' END AS filter_g, CASE WHEN target_idx%5 <> 0 THEN {R('g')} END AS psf_flux_g
     FROM ({_AROWS}) q JOIN d ON d.v = q.visit_idx""")
 def _(c):
-    out = ex.export_rows(ex.with_codes(designs(c), "SSP_GA", "umi", True), _assigned_rows(c), 0x600000000, catalog_id=77)
-    return out.select("target_type", "ppc_code", "obj_id", "pmra", "parallax", "epoch", "input_catalog_id", "priority", "prob_f_star", "filter_g",
+    out = ex.export_rows(ex.with_codes(designs(c), "RUN_A", "umi", True), _assigned_rows(c), 0x600000000, catalog_id=77)
+    return out.select("target_type", "point_code", "obj_id", "pmra", "parallax", "epoch", "input_catalog_id", "priority", "prob_f_star", "filter_g",
                       r("psf_flux_g").alias("psf_flux_g"))
 
 
-@check("io13_pointing_list", with_("fibers") + "SELECT 'SSP_GA_umi_S3P0' || fiber_id || 'V0' || fiber_id AS ppc_code, cx AS ppc_ra, '2026-03-01T08:00:00' AS obstime, '2026-02-28T22:00:00' AS obstime_local FROM fibers WHERE fiber_id < 2")
+@check("io13_pointing_list", with_("fibers") + "SELECT 'RUN_A_umi_S3P0' || fiber_id || 'V0' || fiber_id AS point_code, cx AS point_ra, '2026-03-01T08:00:00' AS obstime, '2026-02-28T22:00:00' AS obstime_local FROM fibers WHERE fiber_id < 2")
 def _(c):
-    return ex.pointing_list(ex.with_codes(designs(c), "SSP_GA", "umi", False)).select("ppc_code", "ppc_ra", "obstime", "obstime_local")
+    return ex.pointing_list(ex.with_codes(designs(c), "RUN_A", "umi", False)).select("point_code", "point_ra", "obstime", "obstime_local")

@@ -157,10 +157,10 @@ def _(c):
 # --- derived columns -------------------------------------------------------
 
 @check("p01_p05_extra_columns", with_("list_a") + """SELECT targetid, 'run_7' AS run, 2 * priority AS double_priority,
-    'SSP_umi_' || lpad(CAST(targetid AS VARCHAR), 9, '0') || printf('_%.1f', exp_time) AS obcode2,
+    'RUN_umi_' || lpad(CAST(targetid AS VARCHAR), 9, '0') || printf('_%.1f', exp_time) AS obcode2,
     2.016e3 AS epoch, -1 AS catid, '' AS proposalid, 0 AS tract, '0,0' AS patch, CAST(targetid AS VARCHAR) AS obcode FROM list_a""")
 def _(c):
-    extras = [col.ExtraColumn("obcode2", pattern="SSP_{field}_{{targetid:09d}}_{{exp_time:.1f}}"),
+    extras = [col.ExtraColumn("obcode2", pattern="RUN_{field}_{{targetid:09d}}_{{exp_time:.1f}}"),
               col.ExtraColumn("double_priority", "double", expression=lambda p: 2 * p, args=("priority",)),
               col.ExtraColumn("run", constant="run_7")]
     df = col.with_mandatory_columns(col.add_extra_columns(c("list_a"), extras, {"field": "umi"}))
@@ -223,7 +223,7 @@ def _(c):
                                        col.remap_filters(C("filter"), {"g_hsc": "g2_hsc", "bp_gaia": "b_gaia"}).alias("filter"))
 
 
-@check("p14_codes", """SELECT o_orderkey, 'SSP_GA_umi_' || CASE WHEN o_orderkey%3=0 THEN '' ELSE 'S' || CAST(o_orderkey%3 AS VARCHAR) END
+@check("p14_codes", """SELECT o_orderkey, 'RUN_A_umi_' || CASE WHEN o_orderkey%3=0 THEN '' ELSE 'S' || CAST(o_orderkey%3 AS VARCHAR) END
     || 'P' || lpad(CAST(o_orderkey%20 AS VARCHAR), 2, '0') || 'V' || lpad(CAST(o_orderkey%30 AS VARCHAR), 2, '0')
     || CASE WHEN o_orderkey%2=0 THEN '' ELSE 'R' || lpad(CAST(o_orderkey%5 AS VARCHAR), 2, '0') END AS code,
     'Ursa Minor' || CASE WHEN o_orderkey%3=0 THEN '' ELSE ' S' || CAST(o_orderkey%3 AS VARCHAR) END
@@ -234,7 +234,7 @@ def _(c):
     stage = F.when(k % 3 != 0, k % 3)
     repeat = F.when(k % 2 == 0, -1).otherwise(k % 5)
     return table(c.spark, c.sf_dir, "orders").select(
-        "o_orderkey", col.pointing_code("SSP_GA", "umi", stage, k % 20, k % 30, repeat).alias("code"),
+        "o_orderkey", col.pointing_code("RUN_A", "umi", stage, k % 20, k % 30, repeat).alias("code"),
         col.design_name("Ursa Minor", stage, k % 20, 20, k % 30, 30).alias("name"))
 
 

@@ -58,7 +58,7 @@ def fluxes_by_band(fluxes: Column, filter_map: dict[str, str] | None = None, ran
 def with_codes(designs: DataFrame, prefix: str, field: str, repeats: bool) -> DataFrame:
     """Pointing code of each design; with repeats one row and code per repeat, else repeat -1."""
     df = with_repeats(designs) if repeats else designs.withColumn("repeat_idx", F.lit(-1))
-    return df.withColumn("ppc_code", pointing_code(prefix, field, F.col("stage"), F.col("pointing_idx"),
+    return df.withColumn("point_code", pointing_code(prefix, field, F.col("stage"), F.col("pointing_idx"),
                                                    F.col("visit_idx"), F.col("repeat_idx")))
 
 
@@ -112,24 +112,24 @@ def export_rows(designs: DataFrame, assigned: DataFrame, id_prefix: int, filter_
                 catalog_id: int | None = None, proposal_id: str | None = None) -> DataFrame:
     """All rows of the exported lists, one per (design repeat, assigned target), with type and code."""
     science = F.col("prefix") == "sci"
-    d = designs.select("stage", "pointing_idx", "visit_idx", "repeat_idx", "ppc_code")
+    d = designs.select("stage", "pointing_idx", "visit_idx", "repeat_idx", "point_code")
     rows = export_fill(assigned.drop("stage")).join(d, ["pointing_idx", "visit_idx"])
     cat = F.when(science, F.lit(catalog_id)).otherwise(F.col("catid")) if catalog_id is not None else F.col("catid")
     prop = F.lit(proposal_id) if proposal_id is not None else F.col("proposalid")
     from ..functions.astro import format_epoch
     return rows.select(
-        F.col("prefix").alias("target_type"), "ppc_code",
+        F.col("prefix").alias("target_type"), "point_code",
         F.when(science, object_id(id_prefix, F.col("target_idx"))).otherwise(F.col("targetid")).alias("obj_id"),
         "ra", "dec", "pmra", "pmdec", "parallax", format_epoch(F.col("epoch")).alias("epoch"), "tract", "patch",
         cat.cast("bigint").alias("input_catalog_id"), F.col("obcode").alias("ob_code"), prop.alias("proposal_id"),
         "priority", "prob_f_star", F.col("exp_time").alias("effective_exptime"),
         *[c.alias(n) for n, c in fluxes_by_band(F.col("fluxes"), filter_map).items()],
-        "fiber_id", F.col("x").alias("pfi_x"), F.col("y").alias("pfi_y"))
+        "fiber_id", F.col("x").alias("fp_x"), F.col("y").alias("fp_y"))
 
 
 def pointing_list(designs: DataFrame) -> DataFrame:
     """The list of pointings with local times."""
     from ..functions.astro import iso_seconds, to_local_time
-    return designs.select("ppc_code", F.col("ra").alias("ppc_ra"), F.col("dec").alias("ppc_dec"),
-                          F.col("posang").alias("ppc_pa"), "priority", F.col("exp_time").alias("exptime"), "nrepeats",
+    return designs.select("point_code", F.col("ra").alias("point_ra"), F.col("dec").alias("point_dec"),
+                          F.col("posang").alias("point_pa"), "priority", F.col("exp_time").alias("exptime"), "nrepeats",
                           iso_seconds(F.col("obs_time")).alias("obstime"), iso_seconds(to_local_time(F.col("obs_time"))).alias("obstime_local"))
