@@ -97,10 +97,6 @@ def _(c):
     return out.select("targetid", r("pmra").alias("pmra"), r("pmdec").alias("pmdec"), r("err_pm").alias("err_pm"))
 
 
-_NEIGHBOURS = """SELECT l_orderkey AS oid, l_partkey AS source_id, l_quantity AS angular_distance
-    FROM lineitem"""
-
-
 @check("j08_neighbour_table", """
     SELECT o.o_orderkey, l.l_suppkey, p.p_partkey, (round(p.p_retailprice, 6) + 0e0) AS p_retailprice
     FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey
@@ -108,8 +104,7 @@ _NEIGHBOURS = """SELECT l_orderkey AS oid, l_partkey AS source_id, l_quantity AS
 def _(c):
     from ..sources.fixtures import table
     o, l, p = (table(c.spark, c.sf_dir, t) for t in ("orders", "lineitem", "part"))
-    joined = (o.join(l, o.o_orderkey == l.l_orderkey)
-              .join(p.where("p_size < 10"), F.col("l_partkey") == F.col("p_partkey")))
+    joined = zj.join_by_neighbours(o, l, p.where("p_size < 10"), ("o_orderkey", "l_orderkey"), ("p_partkey", "l_partkey"))
     return joined.select("o_orderkey", "l_suppkey", "p_partkey", r("p_retailprice").alias("p_retailprice"))
 
 
@@ -127,3 +122,23 @@ def _(c):
     df = c("gaia").withColumn("src", F.expr(_SRC))
     out = zj.drop_lower_precedence(df, 2.0, "src", [["old"], ["wide"]], ["source_id", "src"])
     return out.select("source_id", "src")
+
+
+@check("w01b_closest_per_object", """SELECT l_orderkey, l_quantity, l_partkey FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity, l_partkey) = 1""")
+def _(c):
+    from ..sources.fixtures import table
+    l = table(c.spark, c.sf_dir, "lineitem").select("l_orderkey", "l_quantity", "l_partkey")
+    return zj.closest_per_object(l, "l_orderkey", "l_quantity", "l_partkey")
+
+
+@check("x05_unmatched_rows", with_("hsc", "gaia", pairs=_pairs("gaia", "hsc", "source_id", "targetid", "0.1"))
+       + "SELECT source_id FROM gaia WHERE source_id NOT IN (SELECT lid FROM pairs)")
+def _(c):
+    m = zj.pairs_within(c("gaia"), c("hsc"), 0.1, "source_id", "targetid")
+    return c("gaia").join(m.select(F.col("left_id").alias("source_id")), "source_id", "left_anti").select("source_id")
+
+
+@check("x06_distinct_values", with_("list_a") + "SELECT DISTINCT priority, exp_time FROM list_a")
+def _(c):
+    return c("list_a").select("priority", "exp_time").distinct()

@@ -568,3 +568,18 @@ def _(c):
 @check("io13_pointing_list", with_("fibers") + "SELECT 'RUN_A_umi_S3P0' || fiber_id || 'V0' || fiber_id AS point_code, cx AS point_ra, '2026-03-01T08:00:00' AS obstime, '2026-02-28T22:00:00' AS obstime_local FROM fibers WHERE fiber_id < 2")
 def _(c):
     return ex.pointing_list(ex.with_codes(designs(c), "RUN_A", "umi", False)).select("point_code", "point_ra", "obstime", "obstime_local")
+
+
+@check("j10_join_targets", _AHEAD.rstrip() + f""", slots AS (SELECT visit_idx, fiber_id, target_idx FROM a UNION ALL SELECT 9, fiber_id, -1 FROM fibers)
+    SELECT visit_idx, fiber_id, target_idx, {R('h.g')} AS g FROM slots LEFT JOIN hsc h ON h.targetid = target_idx""")
+def _(c):
+    slots = assignments(c).select("visit_idx", "fiber_id", "target_idx").unionByName(
+        c("fibers").select(F.lit(9).alias("visit_idx"), "fiber_id", F.lit(-1).cast("long").alias("target_idx")))
+    t = c("hsc").select(C("targetid").alias("target_idx"), "g")
+    return ex.join_assignments(slots, t).withColumn("g", r("g"))
+
+
+@check("j25_group_labels", _AHEAD + "SELECT visit_idx, spectrograph_id, prefix, count(*) AS n FROM a JOIN fibers USING (fiber_id) GROUP BY 1, 2, 3")
+def _(c):
+    a = ex.join_assignments(assignments(c), c("fibers").select("fiber_id", "spectrograph_id"), "fiber_id")
+    return rp.count_per_key(a, ["visit_idx", "spectrograph_id", "prefix"])

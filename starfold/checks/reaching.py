@@ -215,3 +215,19 @@ def _(c):
 def _(c):
     g = vi.visibility_grid(many_pointings(c), "2026-03-01 06:00:00", "2026-03-01 12:00:00", 30)
     return g.select("pointing_idx", F.date_format("time", "HH:mm").alias("hhmm"), r("alt", 5).alias("alt"), "visible")
+
+
+@check("x03_annulus_as_difference", _HEAD + "SELECT pointing_idx, fiber_id, target_idx FROM cand WHERE dist <= 4.75e0 AND dist > 2e0")
+def _(c):
+    f = fibers(c).where("NOT broken").select("fiber_id", "cx", "cy")
+    outer = rc.plane_pairs(views(c), f, REACH).where(C("dist") <= REACH)
+    inner = rc.plane_pairs(views(c), f, 2.0).where(C("dist") <= 2.0)
+    cols = ["pointing_idx", "fiber_id", "target_idx"]
+    return outer.select(*cols).exceptAll(inner.select(*cols))
+
+
+@check("b06_design_list", f"""SELECT v.pointing_idx, v.visit_idx, v.stage, CASE WHEN v.visit_idx%2 = 0 THEN v.visit_idx*10 END AS design_id FROM ({_VISITS}) v""")
+def _(c):
+    v = vi.visits_of(many_pointings(c))
+    d = v.where("visit_idx % 2 = 0").select("pointing_idx", "visit_idx", (C("visit_idx") * 10).alias("design_id"))
+    return vi.design_list(v, d).select("pointing_idx", "visit_idx", "stage", "design_id")

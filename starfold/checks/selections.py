@@ -272,6 +272,38 @@ def _(c):
                          o.where("o_orderstatus <> 'F'").select(C("o_orderkey").alias("k"), C("o_totalprice").alias("b"))])
 
 
+@check("io05_column_maps", "SELECT c_custkey AS objid, c_acctbal AS obs_hsc_i2, CAST(c_nationkey AS DOUBLE) AS ext_hsc_i2 FROM customer")
+def _(c):
+    raw = tb.ListConfig(f"{c.sf_dir}/customer.parquet", columns=["c_custkey", "c_acctbal", "c_nationkey"],
+                        column_map={"c_custkey": "hsc_targetid", "c_acctbal": "ipsf", "c_nationkey": "a_i"}, data_types={"a_i": "double"})
+    df = tb.read_list(c.spark, raw)
+    return df.withColumnsRenamed({"hsc_targetid": tb.MULTI_SURVEY_MAP["hsc_targetid"]} | tb.hsc_column_map({"i": "i2"}))
+
+
+@check("io06_standard_list", with_("gaia") + "SELECT source_id AS targetid, ra AS \"RA\", err_pm AS err_pmra, err_parallax FROM gaia")
+def _(c):
+    df = c("gaia").select(C("source_id").alias("fluxstd_id"), C("ra"), C("err_pm").alias("pmra_error"), C("err_parallax").alias("parallax_error"))
+    return tb.apply_config(df, tb.ListConfig("", column_map={k: v for k, v in tb.FLUX_STANDARD_MAP.items() if k in df.columns}))
+
+
+@check("io07_simulation_columns", with_("sim") + f"SELECT star_id, {R('gi[1]')} AS first_color, {R('gmag[4]')} AS last_mag FROM sim")
+def _(c):
+    names = tb.simulation_columns({"gi": "color", "gmag": "mag"})
+    df = c("sim").withColumnsRenamed({a: b for a, b in names.items() if a in ("gi", "gmag")})
+    return df.select("star_id", r(F.get("color", F.lit(0))).alias("first_color"), r(F.get("mag", F.lit(3))).alias("last_mag"))
+
+
+@check("io09_cone_scan", f"""SELECT p_partkey FROM part WHERE {HAV('p_retailprice/1e2', 'CAST(p_size AS DOUBLE)', '1.2e1', '2.5e1')} <= 4e0""")
+def _(c):
+    df = table(c.spark, c.sf_dir, "part").select("p_partkey", (C("p_retailprice") / 100.0).alias("ra"), C("p_size").cast("double").alias("dec"))
+    return zj.cone(df, 12.0, 25.0, 4.0).select("p_partkey")
+
+
+@check("io15_masked_rows", with_("hsc", stars=STARS_SQL) + "SELECT targetid FROM stars WHERE p_member > 0.5")
+def _(c):
+    return stars(c).where(F.expr("p_member > 0.5")).select("targetid")
+
+
 # --- priority rules --------------------------------------------------------
 
 def _duck(text: str) -> str:

@@ -231,3 +231,20 @@ def drop_lower_precedence(df: DataFrame, radius_arcsec: float, source: str, pass
         df = (df.join(gone, [ra, dec], "left")
               .where(~(F.col(source).isin(sources) & F.coalesce("_gone", F.lit(False)))).drop("_gone"))
     return df
+
+
+def join_by_neighbours(left: DataFrame, links: DataFrame, right: DataFrame, left_key: tuple[str, str],
+                       right_key: tuple[str, str]) -> DataFrame:
+    """Equi-join of two catalogs through a ready-made neighbour table.
+
+    Keys are (catalog column, link column) pairs.
+    """
+    (a, la), (b, lb) = left_key, right_key
+    return left.join(links, F.col(a) == F.col(la)).join(right, F.col(lb) == F.col(b))
+
+
+def closest_per_object(neighbours: DataFrame, obj: str, distance: str, source: str) -> DataFrame:
+    """The closest source of each object, ties to the smallest id; other columns come along."""
+    rest = [c for c in neighbours.columns if c not in (obj, distance, source)]
+    best = neighbours.groupBy(obj).agg(F.min(F.struct(distance, source, *rest)).alias("_m"))
+    return best.select(obj, "_m.*")
