@@ -123,11 +123,11 @@ def _(c):
     return pm.membership_from_column(c("hsc").withColumn("ml", ml), "ml").select("targetid", "p_member")
 
 
-@check("f07_probability_cut", with_("sim", "hsc", stars=STARS_SQL, **_CTES, seen=_lookup()) + "SELECT targetid FROM seen WHERE p1 > exp(-2e-1)")
+@check("f07_probability_cut", with_("sim", "hsc", stars=STARS_SQL, **_CTES, seen=_lookup()) + "SELECT targetid FROM seen WHERE p1 > exp(-5e-1)")
 def _(c):
     cells, weights = maxed(c)
     out = pm.lookup_membership(stars(c), "gi0", "g0", cells, SPEC, weights)
-    return out.where(sel.probability_cut(pm.log_probability(C("p")), 1, -0.2)).select("targetid")
+    return out.where(sel.probability_cut(pm.log_probability(C("p")), 1, -0.5)).select("targetid")
 
 
 @check("m08b_rescale_weights", with_("sim", w="SELECT pop, count(*)/sum(count(*)) OVER () AS weight FROM sim GROUP BY pop")

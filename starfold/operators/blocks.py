@@ -13,10 +13,10 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
-HOT_ROWS = 100_000            # rows of one side in one cell that make it hot
+HOT_ROWS = 20_000             # rows of one side in one cell that make it hot
 MOST_HOT = 1000               # cells split at most; any further cell holds under 1/1000 of the rows
 SAMPLE = 0.01                 # share of the rows counted to find hot cells (plans only, never results)
-SMALL_BYTES = 64 << 20        # inputs below this fit one task whole, so they are not profiled
+SMALL_BYTES = 32 << 20        # inputs below this are not profiled
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -38,15 +38,22 @@ def hot_cells(points: DataFrame, covers: DataFrame, hot_rows: int = HOT_ROWS, sa
             for t in top if max(t.np, t.nc) / sample > hot_rows]
 
 
-def cell_join(points: DataFrame, covers: DataFrame, hot_rows: int = HOT_ROWS, sample: float = SAMPLE,
-              small_bytes: int = SMALL_BYTES) -> DataFrame:
+def find_hot(points: DataFrame, covers: DataFrame, hot_rows: int | None = None, sample: float | None = None,
+             small_bytes: int | None = None) -> list:
+    """Hot cells of a join, none if the inputs are small by the optimizer's estimate."""
+    if plan_bytes(points) + plan_bytes(covers) < (SMALL_BYTES if small_bytes is None else small_bytes):
+        return []
+    return hot_cells(points, covers, hot_rows or HOT_ROWS, sample or SAMPLE)
+
+
+def cell_join(points: DataFrame, covers: DataFrame, split: list | None = None) -> DataFrame:
     """All (point, cover) pairs that share a cell. Both inputs carry ``cell``.
 
+    ``split`` lists the hot cells; they are looked for if it is not given.
     Column names other than ``cell`` must differ between the inputs.
     """
-    if plan_bytes(points) + plan_bytes(covers) < small_bytes:
-        return points.join(covers, "cell").drop("cell")
-    split = hot_cells(points, covers, hot_rows, sample)
+    if split is None:
+        split = find_hot(points, covers)
     if not split:
         return points.join(covers, "cell").drop("cell")
     # at most MOST_HOT rows

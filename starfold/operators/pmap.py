@@ -178,15 +178,16 @@ def lookup_membership(stars: DataFrame, x: str, y: str, cells: DataFrame, spec:
     if legacy_shift:
         ix = F.when(ix + 1 < spec.bins[0], ix + 1)
         iy = F.when(iy + 1 < spec.bins[1], iy + 1)
-    rows = map_rows(cells, len(weights))
-    rows = rows.withColumn("_norm", _norms(rows, len(weights))).withColumnsRenamed(
-        {"ix": "_ix", "iy": "_iy", "h": "_h"})
+    rows = map_rows(cells, len(weights)).withColumn("_norm", _norms(map_rows(cells, len(weights)), len(weights)))
+    # with common weights the whole share is a property of the cell
+    value = F.struct("h", "_norm") if star_weights else _share(F.col("h"), F.col("_norm"), _weights_array(weights))
+    rows = rows.select(F.col("ix").alias("_ix"), F.col("iy").alias("_iy"), value.alias("_v"))
     if spec.bins[0] * spec.bins[1] <= BROADCAST_CELLS:
         rows = F.broadcast(rows)
-    w = F.col(star_weights) if star_weights else _weights_array(weights)
     joined = stars.withColumns({"_sx": ix, "_sy": iy}).join(
         rows, (F.col("_sx") == F.col("_ix")) & (F.col("_sy") == F.col("_iy")), "left")
-    return joined.withColumn("p", _share(F.col("_h"), F.col("_norm"), w)).drop("_sx", "_sy", "_ix", "_iy", "_h", "_norm")
+    p = _share(F.col("_v.h"), F.col("_v._norm"), F.col(star_weights)) if star_weights else F.col("_v")
+    return joined.withColumn("p", p).drop("_sx", "_sy", "_ix", "_iy", "_v")
 
 
 def assign_membership(stars: DataFrame, x: str, y: str, cells: DataFrame, spec: MapSpec, weights: list[float],

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.astro import haversine_deg
 from ..functions.nulls import is_true
+from ..session import pin
 
 
 def in_range(c: Column, lo: float | None = None, hi: float | None = None, closed: bool = False) -> Column:
@@ -98,7 +99,7 @@ def curve_side(df: DataFrame, x: str, y: str, curve: list[tuple[float, float]],
     ``curve`` is the isochrone as (color, absolute magnitude[, color error,
     magnitude error]) points, a few hundred at most, so it travels as a literal.
     Outside its magnitude range the flag is false, or with ``extend`` the end
-    colors go on.
+    colors go on. ``name`` must be a new column.
     """
     shifted = []
     for p in curve:
@@ -107,10 +108,14 @@ def curve_side(df: DataFrame, x: str, y: str, curve: list[tuple[float, float]],
     pts = sorted(shifted, key=lambda p: p[1])
     ys = F.array(*[F.lit(float(p[1])) for p in pts])
     xs = F.array(*[F.lit(float(p[0])) for p in pts])
-    v = F.col(y)
-    below = F.size(F.filter(ys, lambda t: t <= v))
-    last = len(pts)
-    k = F.least(below, F.lit(last - 1))
+    v, last = F.col(y), len(pts)
+    kept = df.columns
+    # number of points not fainter than v, by halving steps
+    df = df.withColumn("_pos", F.lit(0))
+    for step in reversed([1 << b for b in range(last.bit_length())]):
+        ahead = F.col("_pos") + step
+        df = df.withColumn("_pos", F.when((ahead <= last) & (F.get(ys, ahead - 1) <= v), ahead).otherwise(F.col("_pos")))
+    k = F.least(F.col("_pos"), F.lit(last - 1))
     y0, y1 = F.get(ys, k - 1), F.get(ys, k)
     x0, x1 = F.get(xs, k - 1), F.get(xs, k)
     inside = (v >= pts[0][1]) & (v <= pts[-1][1])
@@ -118,7 +123,7 @@ def curve_side(df: DataFrame, x: str, y: str, curve: list[tuple[float, float]],
     if extend:
         at = F.when(v < pts[0][1], F.lit(float(pts[0][0]))).when(v > pts[-1][1], F.lit(float(pts[-1][0]))).otherwise(at)
     side = F.col(x) >= at if direction == "+" else F.col(x) <= at
-    return df.withColumn(name, is_true(side))
+    return pin(df.select(*kept, is_true(side).alias(name)), name)
 
 
 def hashed_uniform(key: Column, seed: int) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.astro import haversine_deg
 from ..session import cut
-from .blocks import cell_join
+from .blocks import cell_join, find_hot
 
 ARCSEC = 1.0 / 3600.0
 MIN_HEIGHT = 5.0 * ARCSEC
@@ -81,20 +81,48 @@ def _slim(df: DataFrame, key: str, pos: tuple[str, str], side: str) -> DataFrame
                      F.col(pos[1]).cast("double").alias(f"{side}_dec"))
 
 
-def _pairs(left: DataFrame, right: DataFrame, radius_deg: float, closed: bool, explode: str) -> DataFrame:
-    """Pairs of slim sides (``l_*`` and ``r_*`` columns) within the radius, with ``sep`` in arcsec."""
-    h = zone_height(radius_deg)
+def _sides(left: DataFrame, right: DataFrame, radius_deg: float, explode: str, h: float) -> tuple[DataFrame, DataFrame]:
+    """(points, covers) of slim sides for cells of height ``h``."""
     if explode == "left":
-        points, covers = with_cell(right, "r_ra", "r_dec", h), with_cover(left, "l_ra", "l_dec", h, radius_deg)
-    else:
-        points, covers = with_cell(left, "l_ra", "l_dec", h), with_cover(right, "r_ra", "r_dec", h, radius_deg)
+        return with_cell(right, "r_ra", "r_dec", h), with_cover(left, "l_ra", "l_dec", h, radius_deg)
+    return with_cell(left, "l_ra", "l_dec", h), with_cover(right, "r_ra", "r_dec", h, radius_deg)
+
+
+def _exact(points: DataFrame, covers: DataFrame, radius_deg: float, closed: bool, split: list | None) -> DataFrame:
     near = F.abs(F.col("l_dec") - F.col("r_dec")) <= radius_deg + _PAD
     sep = haversine_deg(*(F.col(c) for c in ("l_ra", "l_dec", "r_ra", "r_dec"))) * 3600.0
     limit = radius_deg * 3600.0
-    pairs = cell_join(points, covers).where(near).withColumn("sep", sep)
+    pairs = cell_join(points, covers, split).where(near).withColumn("sep", sep)
     return pairs.where(F.col("sep") <= limit if closed else F.col("sep") < limit)
 
 
+def _pairs(left: DataFrame, right: DataFrame, radius_deg: float, closed: bool, explode: str) -> DataFrame:
+    """Pairs of slim sides (``l_*`` and ``r_*`` columns) within the radius, with ``sep`` in arcsec."""
+    return _exact(*_sides(left, right, radius_deg, explode, zone_height(radius_deg)), radius_deg, closed, None)
+
+
+_FINER = 16.0     # a crowded search starts in cells this much smaller
+_FINEST = 3       # refinements at most; then hot cells are only split into blocks
+
+
+def _nearest(left: DataFrame, right: DataFrame, radius_deg: float, closed: bool, explode: str, h: float, depth: int = 0) -> DataFrame:
+    """(l_id, m.sep, m.r_id) of the closest right row.
+
+    Where cells are crowded, a narrower circle in smaller cells is tried first:
+    what it finds is the closest there is, and only the rest searches on.
+    """
+    points, covers = _sides(left, right, radius_deg, explode, h)
+    split = find_hot(points, covers)
+    found = None
+    if split and depth < _FINEST:
+        small = h / _FINER
+        found = cut(_nearest(left, right, min(radius_deg, small / 4.0), closed, explode, small, depth + 1))
+        left = left.join(found.select("l_id"), "l_id", "left_anti")
+        points, covers = _sides(left, right, radius_deg, explode, h)
+    best = _exact(points, covers, radius_deg, closed, split).groupBy("l_id").agg(F.min(F.struct("sep", "r_id")).alias("m"))
+    return best if found is None else found.unionByName(best)
+
+
 def pairs_within(left: DataFrame, right: DataFrame, radius_arcsec: float, left_id: str, right_id: str,
                  left_pos: tuple[str, str] = ("ra", "dec"), right_pos: tuple[str, str] = ("ra", "dec"),
                  closed: bool = True, explode: str = "left") -> DataFrame:
@@ -117,8 +145,8 @@ def nearest_within(left: DataFrame, right: DataFrame, radius_arcsec: float, left
     copies of a source never multiply the candidates.
     """
     r = (_slim(right, right_id, right_pos, "r").groupBy("r_ra", "r_dec").agg(F.min("r_id").alias("r_id")))
-    pairs = _pairs(_slim(left, left_id, left_pos, "l"), r, radius_arcsec * ARCSEC, closed, explode)
-    best = pairs.groupBy("l_id").agg(F.min(F.struct("sep", "r_id")).alias("m"))
+    radius = radius_arcsec * ARCSEC
+    best = _nearest(_slim(left, left_id, left_pos, "l"), r, radius, closed, explode, zone_height(radius))
     return best.select(F.col("l_id").alias("left_id"), F.col("m.r_id").alias("right_id"),
                        F.col("m.sep").alias("sep_arcsec"))
 

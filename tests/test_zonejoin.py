@@ -83,11 +83,36 @@ def test_hot_cells_are_split_without_loss_or_double(spark):
     c = zj.with_cover(df.select(F.col("id").alias("b"), "ra", "dec"), "ra", "dec", h, 1 / 3600)
     split = blocks.hot_cells(p, c, hot_rows=20, sample=1.0)
     assert split and max(s[1] for s in split) >= 5 and max(s[2] for s in split) >= 5
-    plain = blocks.cell_join(p, c, small_bytes=1 << 40).select("a", "b").collect()
-    cut = blocks.cell_join(p, c, hot_rows=20, sample=1.0, small_bytes=0).select("a", "b").collect()
+    plain = blocks.cell_join(p, c, []).select("a", "b").collect()
+    cut = blocks.cell_join(p, c, split).select("a", "b").collect()
     assert sorted(plain) == sorted(cut) and len(set(cut)) == len(cut)
 
 
+def test_crowded_search_is_refined_and_exact(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "SMALL_BYTES", 0)
+    monkeypatch.setattr(blocks, "HOT_ROWS", 20)
+    monkeypatch.setattr(blocks, "SAMPLE", 1.0)
+    rnd = random.Random(9)
+    def crowd(n):
+        return [(k, 40.0 + (rnd.uniform(0, 2e-4) if k % 3 else k * 0.003), 20.0 + (rnd.uniform(0, 2e-4) if k % 3 else 0.0)) for k in range(n)]
+    a, b = crowd(240), crowd(240)
+    da, db = (spark.createDataFrame(x, "id long, ra double, dec double") for x in (a, b))
+    for radius in (0.5, 20.0):
+        want = {}
+        for x in a:
+            s, rid = min((sep(x, y), y[0]) for y in b)
+            if s <= radius:
+                want[x[0]] = rid
+        got = zj.nearest_within(da, db, radius, "id", "id").collect()
+        assert len(got) == len(want) and {g.left_id: g.right_id for g in got} == want
+
+
+def test_cone_box_reaches_the_scan(spark, tmp_path):
+    spark.createDataFrame(sky(50, 1, 1.0), "id long, ra double, dec double").write.parquet(str(tmp_path / "t"))
+    plan = zj.cone(spark.read.parquet(str(tmp_path / "t")), 227.0, 67.0, 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(dec" in plan
+
+
 def test_copies_and_ties_go_to_the_smallest_id(spark):
     right = spark.createDataFrame([(9, 1.0, 1.0), (4, 1.0, 1.0), (7, 1.0, 1.0)], "id long, ra double, dec double")
     left = spark.createDataFrame([(2, 1.0, 1.0), (1, 1.0, 1.0)], "id long, ra double, dec double")
