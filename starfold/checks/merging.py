@@ -319,10 +319,10 @@ def _(c):
     UNION ALL SELECT 'edges', {R('sum(dist)', 4)} FROM a UNION ALL SELECT 'unassigned_fibers', 7e0*((SELECT count(*) FROM fibers)*2 - count(*)) FROM a""")
 def _(c):
     k = C("targetid")
-    t = c("hsc").select(k.alias("target_idx"), (k % 4).alias("class"), (1 + k % 3).alias("req_visits"))
-    classes = t.select("class").distinct().select("class", ((C("class") + 1) * 100).alias("class_cost"), ((C("class") + 1) * 1000).alias("partial_cost"))
+    t = c("hsc").select(k.alias("target_idx"), (k % 4).cast("int").alias("class"), (1 + k % 3).alias("req_visits"))
+    cost, partial = {k: (k + 1) * 100 for k in range(4)}, {k: (k + 1) * 1000 for k in range(4)}
     n = c("fibers").count()
-    out = ve.objective(assignments(c).withColumn("cost", C("dist")), t, classes, n, [0, 1], 7.0, 2)
+    out = ve.objective(assignments(c).withColumn("cost", C("dist")), t, cost, partial, n, [0, 1], 7.0, 2)
     return out.select("term", r("value", 4).alias("value"))
 
 

@@ -137,6 +137,16 @@ def _(c):
             .unionByName(missing.select("targetid", F.lit("not in field").alias("status"))))
 
 
+@check("f18_forbidden_pairs", with_("hsc", p="SELECT targetid AS t1, targetid + 1 AS t2 FROM hsc WHERE targetid%3 = 0")
+       + """SELECT t1, t2, 'kept' AS status FROM p WHERE t2 IN (SELECT targetid FROM hsc)
+            UNION ALL SELECT t1, t2, 'not in field' FROM p WHERE t2 NOT IN (SELECT targetid FROM hsc)""")
+def _(c):
+    pairs = c("hsc").where("targetid % 3 = 0").select(C("targetid").alias("t1"), (C("targetid") + 1).alias("t2"))
+    kept, skipped = sel.forbidden_pairs(c("hsc"), "targetid", pairs)
+    return (kept.select("t1", "t2", F.lit("kept").alias("status"))
+            .unionByName(skipped.select("t1", "t2", F.lit("not in field").alias("status"))))
+
+
 @check("f20_subset", with_("list_a") + "SELECT targetid FROM list_a WHERE priority IN (1, 2, 5) AND exp_time = 3600")
 def _(c):
     return sel.subset(c("list_a"), priority=[1.0, 2.0, 5.0], exp_time=3600.0).select("targetid")
@@ -179,8 +189,7 @@ def _(c):
 def _(c):
     df = c("list_a").withColumns({"class": col.class_label(F.lit("sci"), C("priority")),
                                   "non_observation_cost": F.when(C("targetid") % 10 == 0, 5)})
-    costs = df.where("priority < 8").select("class", (1000 - 100 * C("priority")).cast("int").alias("class_cost")).distinct()
-    known, unknown = col.with_class_costs(df, costs)
+    known, unknown = col.with_class_costs(df, {f"sci_P{k}": 1000 - 100 * k for k in range(8)})
     return (known.select("targetid", C("non_observation_cost").alias("cost"))
             .unionByName(unknown.select("targetid", F.lit(None).cast("int").alias("cost"))))
 

@@ -114,18 +114,24 @@ def target_type_code(prefix: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(v) for kv in TARGET_TYPES.items() for v in kv]), prefix)
 
 
-def with_class_costs(df: DataFrame, costs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def class_lookup(costs: dict[str, float]) -> Column:
+    """Value of the row's class from the survey's class settings; NULL for an unknown class.
+
+    Classes are configuration, so they travel as a literal map: most rows share
+    a few classes and must not be shuffled by them.
+    """
+    return F.element_at(F.create_map(*[F.lit(v) for kv in costs.items() for v in kv]), F.col("class"))
+
+
+def with_class_costs(df: DataFrame, costs: dict[str, int]) -> tuple[DataFrame, DataFrame]:
     """(rows with ``non_observation_cost`` of their class, rows of unknown classes).
 
-    A cost given on the row goes before the class's. ``costs`` is the class
-    table of the survey configuration (class, class_cost).
+    A cost given on the row goes before the class's.
     """
-    unknown = df.join(costs, "class", "left_anti")
+    known = class_lookup(costs).isNotNull()
     own = F.col("non_observation_cost") if "non_observation_cost" in df.columns else F.lit(None)
-    out = (df.withColumn("_own", own.cast("int")).drop("non_observation_cost").join(costs, "class")
-           .withColumn("non_observation_cost", F.coalesce("_own", F.col("class_cost").cast("int")))
-           .drop("_own", "class_cost"))
-    return out, unknown
+    out = df.where(known).withColumn("non_observation_cost", F.coalesce(own.cast("int"), class_lookup(costs).cast("int")))
+    return out, df.where(~known)
 
 
 def pick_population(a: str, g: str) -> Column:

@@ -100,11 +100,18 @@ def with_dots(fibers: DataFrame, dots: DataFrame, near: DataFrame) -> DataFrame:
     return fibers.join(lists, "fiber_id", "left")
 
 
-def dot_clearance(x: Column, y: Column, dots: Column) -> tuple[Column, Column]:
-    """(distance to the nearest obstacle, whether all obstacles are farther than their radius)."""
-    d = F.transform(dots, lambda o: geo.distance(x, y, o["dot_x"], o["dot_y"]))
-    clear = F.forall(dots, lambda o: geo.distance(x, y, o["dot_x"], o["dot_y"]) > o["dot_r"])
-    return F.array_min(d), F.coalesce(clear, F.lit(True))
+def with_dot_clearance(df: DataFrame) -> DataFrame:
+    """``dot_dist`` to the nearest obstacle of the row's ``dots``; rows inside an obstacle are dropped.
+
+    Each distance is taken once; the pin keeps the filter from repeating it.
+    """
+    def gap(o: Column) -> Column:
+        d = geo.distance(F.col("x"), F.col("y"), o["dot_x"], o["dot_y"])
+        return F.struct(d.alias("d"), o["dot_r"].alias("r"))
+
+    gaps = pin(df.withColumn("_gaps", F.transform("dots", gap)).drop("dots"), "_gaps")
+    clear = F.coalesce(F.forall("_gaps", lambda g: g["d"] > g["r"]), F.lit(True))
+    return gaps.where(clear).withColumn("dot_dist", F.array_min("_gaps")["d"]).drop("_gaps")
 
 
 def visible_edges(targets_xy: DataFrame, fibers: DataFrame, largest_reach: float, safety_margin: float = 0.0,
@@ -116,13 +123,12 @@ def visible_edges(targets_xy: DataFrame, fibers: DataFrame, largest_reach: float
     """
     working = fibers.where(~F.col("broken"))
     pairs = plane_pairs(targets_xy, working, largest_reach)
-    x, y, d = F.col("x"), F.col("y"), F.col("dist")
+    d = F.col("dist")
     if safety_margin > 0:
         pairs = pairs.where((d > F.col("r_min") + safety_margin) & (d < F.col("r_max") - safety_margin))
     if maximum_distance is not None:
         pairs = pairs.where(d < maximum_distance)
-    dot_dist, clear = dot_clearance(x, y, F.col("dots"))
-    pairs = pairs.where(clear).withColumn("dot_dist", dot_dist)
+    pairs = with_dot_clearance(pairs)
     valid = F.filter("solutions", lambda s: geo.solution_usable(s["flags"]))
     return (geo.solve_arm(pairs).withColumn("solutions", valid).where(F.size("solutions") > 0)
             .select("pointing_idx", "fiber_id", "target_idx", "x", "y", "dist", "dot_dist", "solutions"))

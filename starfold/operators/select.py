@@ -178,6 +178,14 @@ def forbidden(df: DataFrame, key: str, listed: DataFrame) -> tuple[DataFrame, Da
     return df.join(ids, key, "left_anti"), ids.join(df.select(key).distinct(), key, "left_anti")
 
 
+def forbidden_pairs(df: DataFrame, key: str, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pairs t1, t2 whose targets are both in ``df``, pairs to skip because one is not)."""
+    ids = df.select(key)
+    kept = (pairs.join(ids.withColumnRenamed(key, "t1"), "t1", "left_semi")
+            .join(ids.withColumnRenamed(key, "t2"), "t2", "left_semi"))
+    return kept, pairs.join(kept, ["t1", "t2"], "left_anti")
+
+
 def subset(df: DataFrame, **values) -> DataFrame:
     """Rows whose columns take the given value or one of the given values."""
     for name, v in values.items():

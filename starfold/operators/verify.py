@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .columns import class_lookup
+
 # Columns each kind of list must and should have.
 REQUIRED = {"sci": ("targetid", "RA", "Dec", "priority", "exp_time"), "cal": ("targetid", "RA", "Dec"),
             "sky": ("targetid", "RA", "Dec"), "ag": ("targetid", "RA", "Dec")}
@@ -115,8 +117,8 @@ def pairs_both_assigned(assignments: DataFrame, pairs: DataFrame) -> DataFrame:
     return one.join(a.withColumnRenamed("target_idx", "t2"), ["t2", "visit_idx", *keys]).select("visit_idx", *keys, "t1", "t2")
 
 
-def objective(assignments: DataFrame, targets: DataFrame, classes: DataFrame, n_fibers: int, visits: list[int],
-              fiber_cost: float = 0.0, max_visits: int = 1) -> DataFrame:
+def objective(assignments: DataFrame, targets: DataFrame, class_cost: dict[str, float], partial_cost: dict[str, float],
+              n_fibers: int, visits: list[int], fiber_cost: float = 0.0, max_visits: int = 1) -> DataFrame:
     """(term, value) of a given assignment.
 
     Targets never observed cost their class's non-observation cost, targets
@@ -124,7 +126,8 @@ def objective(assignments: DataFrame, targets: DataFrame, classes: DataFrame, n_
     cost, and idle fibers a fixed cost per visit.
     """
     got = assignments.groupBy("target_idx").agg(F.count(F.lit(1)).alias("got"))
-    t = targets.join(classes, "class").join(got, "target_idx", "left").withColumn("got", F.coalesce("got", F.lit(0)))
+    t = (targets.withColumns({"class_cost": class_lookup(class_cost), "partial_cost": class_lookup(partial_cost)})
+         .where("class_cost IS NOT NULL").join(got, "target_idx", "left").withColumn("got", F.coalesce("got", F.lit(0))))
     missing = F.greatest(F.least(F.col("req_visits"), F.lit(max_visits)) - F.col("got"), F.lit(0))
     costs = t.agg(F.sum(F.when(F.col("got") == 0, F.col("class_cost")).otherwise(0)).cast("double").alias("non_observation"),
                   F.sum(F.when(F.col("got") > 0, F.col("partial_cost") * missing).otherwise(0)).cast("double").alias("partial_observation"))

@@ -202,3 +202,10 @@ def write_rows(df: DataFrame, path: str, mask: Column | str | None = None) -> No
     if mask is not None:
         df = df.where(mask)
     df.write.mode("errorifexists").parquet(path)
+
+
+def write_pointing_list(pointings: DataFrame, path: str, run: dict[str, Any]) -> None:
+    """The list of pointings (tens of rows) as one CSV file, with the run's settings beside it."""
+    pointings.coalesce(1).write.mode("errorifexists").csv(f"{path}/pointings", header=True)
+    text = json.dumps(run, sort_keys=True)
+    pointings.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{path}/run")
