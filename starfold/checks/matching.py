@@ -9,7 +9,10 @@ from ..sources.fixtures import with_
 from .registry import HAV, R, check, r
 
 _MAS = "CAST(round(sep*1e3) AS BIGINT)"
-_SEP = F.rint(F.col("sep_arcsec") * 1e3).cast("bigint").alias("sep_mas")
+
+
+def _sep():
+    return F.rint(F.col("sep_arcsec") * 1e3).cast("bigint").alias("sep_mas")
 
 
 def _pairs(left: str, right: str, lid: str, rid: str, radius: str, op: str = "<=", extra: str = "") -> str:
@@ -36,7 +39,7 @@ def _(c):
        + f"SELECT lid AS source_id, rid AS targetid, {_MAS} AS sep_mas FROM one")
 def _(c):
     m = zj.match_one_to_one(c("gaia"), c("hsc"), 0.1, "source_id", "targetid")
-    return m.select(F.col("left_id").alias("source_id"), F.col("right_id").alias("targetid"), _SEP)
+    return m.select(F.col("left_id").alias("source_id"), F.col("right_id").alias("targetid"), _sep())
 
 
 @check("j03_nearest_many_to_one", with_("hsc", "gaia", pairs=_pairs("gaia", "hsc", "source_id", "targetid", "0.1", "<"),
@@ -44,7 +47,7 @@ def _(c):
        + f"SELECT lid AS source_id, rid AS targetid, {_MAS} AS sep_mas FROM near")
 def _(c):
     m = zj.nearest_within(c("gaia"), c("hsc"), 0.1, "source_id", "targetid", closed=False)
-    return m.select(F.col("left_id").alias("source_id"), F.col("right_id").alias("targetid"), _SEP)
+    return m.select(F.col("left_id").alias("source_id"), F.col("right_id").alias("targetid"), _sep())
 
 
 @check("j03_nearest_other_way", with_("hsc", "gaia", pairs=_pairs("hsc", "gaia", "targetid", "source_id", "0.1", "<"),
@@ -52,7 +55,7 @@ def _(c):
        + f"SELECT lid AS targetid, rid AS source_id, {_MAS} AS sep_mas FROM near")
 def _(c):
     m = zj.nearest_within(c("hsc"), c("gaia"), 0.1, "targetid", "source_id", closed=False, explode="right")
-    return m.select(F.col("left_id").alias("targetid"), F.col("right_id").alias("source_id"), _SEP)
+    return m.select(F.col("left_id").alias("targetid"), F.col("right_id").alias("source_id"), _sep())
 
 
 @check("j04_nearest_any_distance", with_("hsc", "cal", pairs=f"""

@@ -36,3 +36,11 @@ def test_entry_runs(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_registry_needs_no_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+    code = "import __spark_entry__ as e; assert len(e.oracle_sql()) > 100 and len(e.queries()) > 100"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(entry.__file__).parent, timeout=120)
