@@ -21,8 +21,10 @@ index of at least ``percent``/100. The job runs in these steps:
    members linked to it are in one component, and only members whose distance
    to the pivot is between the threshold and twice the threshold can link to
    both sides, so the circle falls into smaller ones that are handled the
-   same way (those members with the linked ones; all but the linked ones). Circles above ``CIRCLE`` members do this as joins, the others in
-   one task each. No link between two classes is lost, and copies or near
+   same way (those members with the linked ones; all but the linked ones).
+   Circles above ``CIRCLE`` shingles are split so by joins; the others are
+   verified in one task each, where members meet by prefix shingle and pairs
+   of one component are passed over. No link between two classes is lost, and copies or near
    copies are never expanded into all pairs.
 6. Connected components of the links, carried back to the documents.
 """
@@ -39,8 +41,8 @@ from ..session import cut
 from .links import components
 from .words import chunks, mix, shingle_sets
 
-CIRCLE = 256            # members of a circle verified in one task; larger circles are split by joins first
-BUCKET = 500_000        # shingles in a bucket, about
+CIRCLE = 4_000_000      # shingles of a circle verified in one task; larger circles are split by joins first
+BUCKET = 1_500_000      # shingles in a bucket, about
 COUNTERS = 200_000      # shingle counters that a task keeps while it looks for very frequent ones
 HOT_SHARE = 4000        # a shingle counted in 1/4000 of the documents is very frequent; so at most
                         # 4000 times the mean set size of them, which bounds the list every task gets
@@ -73,7 +75,7 @@ def _describe(docs: DataFrame, width: int) -> DataFrame:
             nothing = pa.nulls(len(n), pa.int64())
             yield pa.RecordBatch.from_arrays([ids.cast(id_type), pa.array(n), pa.array(prints), nothing, nothing],
                                              ["id", "n", "fp", "tok", "times"])
-            new = [s for s, p in zip(sets, prints.tolist()) if p not in fps and not fps.add(p)]
+            new = [s >> np.uint64(16) for s, p in zip(sets, prints.tolist()) if p not in fps and not fps.add(p)]
             if new:
                 u, inv = np.unique(np.concatenate([toks, *new]), return_inverse=True)
                 counts = np.bincount(inv, weights=np.concatenate([times, np.ones(sum(map(len, new)))]), minlength=len(u))
@@ -91,9 +93,11 @@ def _describe(docs: DataFrame, width: int) -> DataFrame:
 _PACKED = "key int, fps binary, sizes binary, lens binary, toks binary, ranks binary"
 
 
-def _packed(key: int, fps, sizes, lens, toks, ranks=None) -> tuple:
-    return (key, fps.astype(np.int64).tobytes(), sizes.astype(np.int32).tobytes(), lens.astype(np.int32).tobytes(),
-            toks.astype(np.uint64).tobytes(), b"" if ranks is None else ranks.astype(np.uint8).tobytes())
+def _packed(key: int, fps, lens, toks, ranks=None, sizes=None) -> tuple:
+    """A row of ``_PACKED``: classes, how many shingles of each, the shingles in six bytes each, their ranks."""
+    six = np.ascontiguousarray(toks.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :6]
+    return (key, fps.astype(np.int64).tobytes(), b"" if sizes is None else sizes.astype(np.int32).tobytes(),
+            lens.astype(np.int32).tobytes(), six.tobytes(), b"" if ranks is None else ranks.astype(np.uint8).tobytes())
 
 
 def _batch(rows: list[tuple], schema: str = _PACKED) -> pa.RecordBatch:
@@ -104,11 +108,12 @@ def _batch(rows: list[tuple], schema: str = _PACKED) -> pa.RecordBatch:
 
 
 def _unpack(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """fps (one per token), sizes (one per token), toks, ranks."""
+    """Per shingle its class, the shingle and its rank."""
     def col(name, kind):
-        return np.frombuffer(b"".join(x for x in table[name].to_pylist()), dtype=kind)
-    lens = col("lens", np.int32)
-    return np.repeat(col("fps", np.int64), lens), np.repeat(col("sizes", np.int32), lens), col("toks", np.uint64), col("ranks", np.uint8)
+        return np.frombuffer(b"".join(table[name].to_pylist()), dtype=kind)
+    toks = np.zeros((int(col("lens", np.int32).sum()), 8), np.uint8)
+    toks[:, :6] = col("toks", np.uint8).reshape(-1, 6)
+    return np.repeat(col("fps", np.int64), col("lens", np.int32)), toks.view("<u8").reshape(-1), col("ranks", np.uint8)
 
 
 def _rank(times: np.ndarray) -> np.ndarray:
@@ -121,28 +126,29 @@ def _deal(docs: DataFrame, width: int, buckets: int, hot: tuple[bytes, bytes]) -
     def run(batches):
         frequent, ranks, seen = np.frombuffer(hot[0], dtype=np.uint64), np.frombuffer(hot[1], dtype=np.uint8), set()
         for _, sets in _sets(batches, width):
-            rows, new, fps = [], [], []
+            rows, new, fps, size = [], [], [], []
             for s in sets:
                 if len(s):
                     p = _fingerprint(s)
                     if p not in seen:
                         seen.add(p)
-                        new.append(s)
+                        new.append(s >> np.uint64(16))
+                        size.append(len(s))
                         fps.append(p)
             if not new:
                 continue
-            fps, n = np.array(fps, dtype=np.int64), np.array([len(s) for s in new], dtype=np.int64)
+            fps, n = np.array(fps, dtype=np.int64), np.array(size, dtype=np.int64)
             toks, own = np.concatenate(new), np.repeat(np.arange(len(n)), n)
             at = np.minimum(np.searchsorted(frequent, toks), max(len(frequent) - 1, 0))
             often = frequent[at] == toks if len(frequent) else np.zeros(len(toks), bool)
-            key = np.where(often, 0, (toks >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+            key = np.where(often, 0, (toks >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
             home = (fps.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(key[~often], kind="stable")
             t, o, k = toks[~often][order], own[~often][order], key[~often][order]
             edge = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]]) if len(k) else np.zeros(1, int)
             for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
                 docs_here, lens = np.unique(o[a:b], return_counts=True)
-                rows.append(_packed(int(k[a]), fps[docs_here], n[docs_here], lens, t[a:b]))
+                rows.append(_packed(int(k[a]), fps[docs_here], lens, t[a:b]))
             lens = np.bincount(own[often], minlength=len(n))
             spans = np.concatenate([[0], np.cumsum(lens)])
             order = np.argsort(home, kind="stable")
@@ -150,7 +156,7 @@ def _deal(docs: DataFrame, width: int, buckets: int, hot: tuple[bytes, bytes]) -
             for g in np.unique(home).tolist():
                 mine = order[np.searchsorted(home[order], g):np.searchsorted(home[order], g, side="right")]
                 which = np.concatenate([np.arange(spans[i], spans[i + 1]) for i in mine.tolist()])
-                rows.append(_packed(-1 - g, fps[mine], n[mine], lens[mine], h[which], r[which]))
+                rows.append(_packed(-1 - g, fps[mine], lens[mine], h[which], r[which], n[mine]))
             yield _batch(rows)
     return docs.mapInArrow(run, _PACKED)
 
@@ -160,24 +166,24 @@ def _count(buckets: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         if key[0].as_py() < 0:
             return table.set_column(0, "key", pa.array([-1 - key[0].as_py()] * len(table), pa.int32()))
-        fps, sizes, toks, _ = _unpack(table)
+        fps, toks, _ = _unpack(table)
         order = np.lexsort((fps, toks))
-        fps, sizes, toks = fps[order], sizes[order], toks[order]
-        keep = np.ones(len(toks), bool)
+        fps, toks = fps[order], toks[order]
+        keep = np.ones(len(toks), bool)     # tasks that met the same class each gave its shingles
         keep[1:] = (toks[1:] != toks[:-1]) | (fps[1:] != fps[:-1])
-        fps, sizes, toks = fps[keep], sizes[keep], toks[keep]
+        fps, toks = fps[keep], toks[keep]
         edge = np.flatnonzero(np.concatenate([[True], toks[1:] != toks[:-1]])) if len(toks) else np.zeros(0, int)
         times = np.diff(np.concatenate([edge, [len(toks)]]))
         rank = np.repeat(_rank(times), times)
         many = np.repeat(times > 1, times)
-        fps, sizes, toks, rank = fps[many], sizes[many], toks[many], rank[many]
+        fps, toks, rank = fps[many], toks[many], rank[many]
         home = (fps.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((fps, home))
         rows, home = [], home[order]
         for g in np.unique(home).tolist():
             mine = order[np.searchsorted(home, g):np.searchsorted(home, g, side="right")]
             start = np.flatnonzero(np.concatenate([[True], fps[mine][1:] != fps[mine][:-1]]))
-            rows.append(_packed(g, fps[mine][start], sizes[mine][start], np.diff(np.concatenate([start, [len(mine)]])), toks[mine], rank[mine]))
+            rows.append(_packed(g, fps[mine][start], np.diff(np.concatenate([start, [len(mine)]])), toks[mine], rank[mine]))
         return pa.Table.from_batches([_batch(rows)])
     return run
 
@@ -188,16 +194,19 @@ _CLASSES = "fp long, n long, toks binary, grp long, prefix binary"
 def _choose(percent: int):
     """Per home: the classes that share enough, with their shared shingles, prefix and group."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        fps, sizes, toks, ranks = _unpack(table)
+        sized = [i for i, x in enumerate(table["sizes"].to_pylist()) if x]
+        known = np.frombuffer(b"".join(table["fps"].take(sized).to_pylist()), np.int64)
+        size_of = dict(zip(known.tolist(), np.frombuffer(b"".join(table["sizes"].take(sized).to_pylist()), np.int32).tolist()))
+        fps, toks, ranks = _unpack(table)
         order = np.lexsort((toks, ranks, fps))
-        fps, sizes, toks, ranks = fps[order], sizes[order], toks[order], ranks[order]
-        keep = np.ones(len(toks), bool)     # a task that met the class before gives its very frequent shingles once more
+        fps, toks, ranks = fps[order], toks[order], ranks[order]
+        keep = np.ones(len(toks), bool)
         keep[1:] = (toks[1:] != toks[:-1]) | (fps[1:] != fps[:-1])
-        fps, sizes, toks = fps[keep], sizes[keep], toks[keep]
+        fps, toks = fps[keep], toks[keep]
         start = np.flatnonzero(np.concatenate([[True], fps[1:] != fps[:-1]])) if len(fps) else np.zeros(0, int)
         rows = []
         for a, b in zip(start.tolist(), [*start[1:].tolist(), len(fps)]):
-            n = int(sizes[a])
+            n = size_of[int(fps[a])]
             need = -(-percent * n // 100)
             if b - a >= need:
                 prefix = toks[a:b][:max(0, n - need + 1 - (n - (b - a)))]
@@ -222,9 +231,16 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 def _verify(percent: int):
     """Links of a circle; pairs that earlier links already put in one component are passed over."""
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        fps, n, side = table["fp"].to_numpy(), table["n"].to_numpy(), table["side"].to_numpy()
+        table = table.sort_by("fp")
+        fps, n, side = (table[c].to_pylist() for c in ("fp", "n", "side"))
         sets = [np.frombuffer(x, dtype=np.uint64) for x in table["toks"].to_pylist()]
-        links, root, far = [], list(range(len(fps))), 1 - percent / 100
+        links, root, done = [], list(range(len(fps))), set()
+        prefixes: dict[int, list[int]] = {}
+        for i, x in enumerate(table["prefix"].to_pylist()):
+            for tok in np.frombuffer(x, dtype=np.uint64).tolist():
+                prefixes.setdefault(tok, []).append(i)
+        # members with the same prefix make the same lists
+        lists = sorted({tuple(m) for m in prefixes.values() if len(m) > 1}, key=len, reverse=True)
 
         def find(x):
             while root[x] != x:
@@ -232,32 +248,23 @@ def _verify(percent: int):
                 x = root[x]
             return x
 
-        def distance(p, m):
-            both = overlap(sets[p], sets[m])
-            union = int(n[p] + n[m]) - both
-            if 100 * both >= percent * union:
-                links.append((int(fps[p]), int(fps[m])))
-                root[find(m)] = find(p)
-            return 1 - both / union
-
-        def cross(some, others):
-            for x in some:
-                for y in others:
-                    if find(x) != find(y) and 100 * min(n[x], n[y]) >= percent * max(n[x], n[y]):
-                        distance(x, y)
-
-        order = np.argsort(fps)
-        if (side < 2).all():
-            cross([i for i in order if side[i] == 0], [i for i in order if side[i] == 1])
-        else:
-            circle = order.tolist()
-            while len(circle) > 1:
-                p, star, ring, rest = circle[0], [], [], []
-                for m in circle[1:]:
-                    d = distance(p, m)
-                    (star if find(m) == find(p) and d <= far + 1e-9 else ring if d <= 2 * far + 1e-9 else rest).append(m)
-                cross(star, ring)
-                circle = ring + rest
+        for members in lists:
+            waiting = list(members)
+            while len(waiting) > 1:
+                p, rest = waiting[0], []
+                for m in waiting[1:]:
+                    if find(m) == find(p):
+                        rest.append(m)
+                        continue
+                    if (p, m) not in done and (side[p] == 2 or side[p] != side[m]):
+                        done.add((p, m))
+                        if 100 * min(n[p], n[m]) >= percent * max(n[p], n[m]):
+                            both = overlap(sets[p], sets[m])
+                            if 100 * both >= percent * (n[p] + n[m] - both):
+                                links.append((fps[p], fps[m]))
+                                root[find(m)] = find(p)
+                    rest.append(m)
+                waiting = rest if len({find(m) for m in rest}) > 1 else []
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
     return run
 
@@ -288,23 +295,23 @@ _MOVES = [(2, 0, 1, 0), (2, 1, 1, 1), (2, 1, 2, 2), (2, 2, 2, 2),
 
 
 def _split_large(circles: DataFrame, classes: DataFrame, percent: int, most: int) -> tuple[list[DataFrame], DataFrame]:
-    """Links found while circles above ``most`` members are split by pivots, and the circles that remain."""
+    """Links found while circles above ``most`` shingles are split by pivots, and the circles that remain."""
     links, small = [], []
     moves = circles.sparkSession.createDataFrame(_MOVES, "side int, zone int, which int, next int")
     while True:
         size = circles.groupBy("circle").agg(
             F.count(F.lit(1)).alias("members"), F.max("side").alias("kind"), F.min("side").alias("other"),
-            F.min(F.when(F.col("side") > 0, F.col("fp"))).alias("pivot"))
+            F.min(F.when(F.col("side") > 0, F.col("fp"))).alias("pivot"), F.sum("n").alias("shingles"))
         size = size.where("members > 1 AND (kind = 2 OR kind <> other)").drop("kind", "other")
         circles = cut(circles.join(size, "circle"))
-        small.append(circles.where(F.col("members") <= most).select("circle", "fp", "side"))
-        large = circles.where(F.col("members") > most).where("fp <> pivot")
+        small.append(circles.where(F.col("shingles") <= most).select("circle", "fp", "side"))
+        large = circles.where(F.col("shingles") > most).where("fp <> pivot")
         if large.isEmpty():
             break
         found = cut(_measure(large.select("pivot", "fp").distinct(), classes, percent))
         links.append(found.where("zone = 0").select(F.col("pivot").alias("a"), F.col("fp").alias("b")))
         zones = large.join(found, ["pivot", "fp"]).join(F.broadcast(moves), ["side", "zone"])     # twelve rows
-        circles = zones.select(F.xxhash64("circle", "which").alias("circle"), "fp", F.col("next").alias("side"))
+        circles = zones.select(F.xxhash64("circle", "which").alias("circle"), "fp", "n", F.col("next").alias("side"))
     rest = small[0]
     for s in small[1:]:
         rest = rest.union(s)
@@ -322,7 +329,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component. ``component_id`` is the smallest id reachable by links. Repeated
     rows give a row each; a null id never becomes a component's id unless the
     component has no other. Other columns of ``docs`` are ignored. Shingles
-    and sets are compared by 64-bit hashes.
+    are compared by 48 bits of a 64-bit hash, sets by size and a 64-bit hash.
     """
     spark = docs.sparkSession
     pair = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -350,10 +357,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = index.groupBy("tok").agg(F.min("grp").alias("circle"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
     meet = index.join(first, "tok").select("circle", "grp").distinct()
     alone = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select(F.col("grp").alias("circle"), "grp")
-    circles = meet.union(alone).distinct().join(classes.select("grp", "fp"), "grp").select("circle", "fp", F.lit(2).alias("side"))
+    circles = meet.union(alone).distinct().join(classes.select("grp", "fp", "n"), "grp").select("circle", "fp", "n", F.lit(2).alias("side"))
 
     links, circles = _split_large(circles, classes, percent, circle)
-    small = circles.join(classes.select("fp", "n", "toks"), "fp").groupBy("circle").applyInArrow(_verify(percent), "a long, b long")
+    small = circles.join(classes.select("fp", "n", "toks", "prefix"), "fp").groupBy("circle").applyInArrow(_verify(percent), "a long, b long")
     for found in links:
         small = small.union(found)
     roots = components(small)
