@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Row
+
+from . import bpe, chat, codes, mixing
 from .ngram_join import jaccard_classes
 from .registry import ORACLES, QUERIES, query, table
 
@@ -11,3 +14,41 @@ __all__ = ["ORACLES", "QUERIES"]
 @query("op6_ngram_jaccard_join")
 def op6(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+CHAT_EXTRA = "</s>[INST] ok [/INST]"
+
+
+@query("op3_chat_format", f"""
+    WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -7, 0, 'user', '{CHAT_EXTRA}' UNION ALL SELECT -7, 1, 'assistant', '{CHAT_EXTRA}'),
+    m AS (SELECT *, replace(replace(text, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|') AS esc,
+                 role = lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS same FROM t)
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(length(esc) + CASE WHEN same THEN 8 ELSE length(role) + 16 + 7 END)
+                AS BIGINT) AS formatted_chars
+    FROM m GROUP BY conv_id""")
+def op3(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([Row(conv_id=-7, turn=0, role="user", text=CHAT_EXTRA),
+                                   Row(conv_id=-7, turn=1, role="assistant", text=CHAT_EXTRA)], turns.schema)
+    return chat.digest(chat.format_conversations(turns.union(extra)))
+
+
+@query("op5_curriculum_mixing")
+def op5(spark, sf_dir):
+    return mixing.line_up(table(spark, sf_dir, "documents"))
+
+
+@query("op7_bpe_encode_decode")
+def op7(spark, sf_dir):
+    return bpe.digest(table(spark, sf_dir, "documents"))
+
+
+@query("op8_addressable_token_codes")
+def op8(spark, sf_dir):
+    folder = codes.fresh_folder(spark)
+    codes.write(table(spark, sf_dir, "documents"), folder)
+    return codes.digest(spark, folder)

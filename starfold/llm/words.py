@@ -127,3 +127,72 @@ def shingle_sets(column: pa.Array, width: int) -> list[np.ndarray]:
             else:
                 out.append(np.zeros(0, dtype=np.uint64))
     return out
+
+
+_LETTER: list[np.ndarray] = []
+
+
+def letters(points: np.ndarray) -> np.ndarray:
+    """Which code points are letters."""
+    if not _LETTER:
+        _LETTER.append(np.array([chr(c).isalpha() for c in range(1 << 16)]))
+    out = _LETTER[0][np.minimum(points, (1 << 16) - 1)]
+    high = np.flatnonzero(points >= 1 << 16)
+    if len(high):
+        u, inv = np.unique(points[high], return_inverse=True)
+        out[high] = np.array([chr(c).isalpha() for c in u.tolist()])[inv]
+    return out
+
+
+def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts, one separator 0 before each and one at the end; position of each text's separator."""
+    joined = "\0" + "\0".join(texts) + "\0"
+    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
+    return points, at
+
+
+def windows(points: np.ndarray, is_letter: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(position, hash) of every run of n code points inside a word; its first and last may be the word's edge."""
+    if len(points) < n:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    symbol = np.where(is_letter, points, np.uint32(0)).astype(np.uint64)
+    inner = is_letter[1:len(points) - n + 2].copy()
+    for k in range(2, n - 1):
+        inner &= is_letter[k:len(points) - n + 1 + k]
+    at = np.flatnonzero(inner)
+    h = np.full(len(at), n, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            h = (h ^ symbol[at + k]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+    return at, h
+
+
+def add_columns(docs, text_col: str, keep: list[str], added: list[tuple[str, str]], make):
+    """``keep`` columns of ``docs`` and the columns ``added`` as (name, type).
+
+    ``make()`` runs once in each task and gives a function from a list of texts
+    to one list or array for each added column. A null text comes as "". Kept
+    columns with the name of an added one are left out.
+    """
+    from pyspark.sql import functions as F
+
+    keep = [c for c in keep if c not in dict(added)]
+    schema = docs.select(*keep).schema
+    for name, kind in added:
+        schema = schema.add(name, kind)
+    src = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
+
+    def run(batches):
+        fn = make()
+        for batch in batches:
+            texts = batch.column(len(keep))
+            for a, b in chunks(texts):
+                values = fn(texts.slice(a, b - a).to_pylist())
+                arrays = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(v, kinds[k]) for v, (_, k) in zip(values, added))],
+                                                 [*keep, *(name for name, _ in added)])
+
+    return src.mapInArrow(run, schema)
