@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Row
+from pyspark.sql import Row, functions as F
 
-from . import bpe, chat, codes, mixing
+from ..session import cut
+from . import bpe, chat, codes, fingerprint, langid, licenses, mixing, quality, toxicity
 from .ngram_join import jaccard_classes
 from .registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op1_multiset_fingerprint")
+def op1(spark, sf_dir):
+    return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 @query("op6_ngram_jaccard_join")
 def op6(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"))
@@ -19,6 +25,15 @@ def op6(spark, sf_dir):
 CHAT_EXTRA = "</s>[INST] ok [/INST]"
 
 
+@query("op2_weak_supervision")
+def op2(spark, sf_dir):
+    figured = cut(quality.figures(table(spark, sf_dir, "documents"), keep=["doc_id"]))
+    failed = quality.base_failed()
+    return (quality.judge(figured)
+            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                    failed.alias("base_failed"), (~failed & F.col("good")).alias("kept"), "quality"))
+
+
 @query("op3_chat_format", f"""
     WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
                UNION ALL SELECT -7, 0, 'user', '{CHAT_EXTRA}' UNION ALL SELECT -7, 1, 'assistant', '{CHAT_EXTRA}'),
@@ -37,6 +52,11 @@ def op3(spark, sf_dir):
     return chat.digest(chat.format_conversations(turns.union(extra)))
 
 
+@query("op4_license_scan")
+def op4(spark, sf_dir):
+    return licenses.find_licenses(table(spark, sf_dir, "documents"))
+
+
 @query("op5_curriculum_mixing")
 def op5(spark, sf_dir):
     return mixing.line_up(table(spark, sf_dir, "documents"))
@@ -52,3 +72,21 @@ def op8(spark, sf_dir):
     folder = codes.fresh_folder(spark)
     codes.write(table(spark, sf_dir, "documents"), folder)
     return codes.digest(spark, folder)
+
+
+@query("op9_toxicity_deobfuscation")
+def op9(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = toxicity.fit(docs, labels.where(fold != 0))
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (F.coalesce(fold, F.lit(0)) == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op10_language_id")
+def op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = langid.fit(docs.where(fold != 1))
+    found = langid.predict(docs, model, keep=["doc_id"])
+    return found.select("doc_id", (F.coalesce(fold, F.lit(1)) == 1).alias("held_out"), "lang_pred", "score", "rejected")

@@ -177,13 +177,15 @@ def add_columns(docs, text_col: str, keep: list[str], added: list[tuple[str, str
     columns with the name of an added one are left out.
     """
     from pyspark.sql import functions as F
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import DataType
 
     keep = [c for c in keep if c not in dict(added)]
     schema = docs.select(*keep).schema
     for name, kind in added:
-        schema = schema.add(name, kind)
+        schema = schema.add(name, DataType.fromDDL(kind))
     src = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}
+    kinds = {name: to_arrow_type(schema[name].dataType) for name, _ in added}
 
     def run(batches):
         fn = make()
@@ -192,7 +194,7 @@ def add_columns(docs, text_col: str, keep: list[str], added: list[tuple[str, str
             for a, b in chunks(texts):
                 values = fn(texts.slice(a, b - a).to_pylist())
                 arrays = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(v, kinds[k]) for v, (_, k) in zip(values, added))],
+                yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(v, kinds[n]) for v, (n, _) in zip(values, added))],
                                                  [*keep, *(name for name, _ in added)])
 
     return src.mapInArrow(run, schema)
