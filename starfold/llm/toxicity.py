@@ -9,10 +9,12 @@ character trigram model of the corpus and the channel's costs like best, and
 the text is scored as written and with the restored tokens.
 
 The score looks for runs of four to six characters inside words (word edges
-count) that mark toxic documents: of the runs frequent in labelled toxic
-documents, those that labelled clean documents lack. A document's evidence is
-its strongest run, as a lower bound of the log likelihood ratio, turned into a
-probability by logistic regression.
+count) that mark toxic documents: of the runs that several labelled toxic
+documents have, those that are much rarer in labelled clean ones. A word weighs
+as its strongest run, by a lower bound of the log ratio of the two rates; the
+sum of the weights, the strongest and the length of the text go into a logistic
+regression, which gives the probability. It is fitted on weights that leave
+out the document's own counts.
 
 The language model counts the trigrams of all documents. Labelled rows for the
 runs and the regression are a bounded sample.
@@ -32,8 +34,10 @@ from .words import add_columns, chunks, code_points, letters, windows
 
 SIZES = (4, 5, 6)
 FIT_TOXIC, FIT_CLEAN = 2000, 6000      # labelled rows of either kind in the sample, about
-LEAST_SHARE = 0.005                    # of the toxic sample that a run must be in; so at most 200 times
-                                       # the mean number of runs of a document are kept
+LEAST_SHARE = 0.005                    # of the toxic sample that a run must be in, three documents at least; so
+                                       # at most 200 times the mean number of runs of a document are kept
+LEAST_WEIGHT = 1.5                     # of a run that marks
+MOST_COUNTED = 5                       # occurrences of a run counted in one document
 LOOKS_LIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 SYMBOLS = "abcdefghijklmnopqrstuvwxyzàáâäçèéêëíîïñóôöùúûüß"
 RADIX = len(SYMBOLS) + 2               # 0: word edge, last: any other letter
@@ -157,53 +161,80 @@ def restored(text: str, decoder: Decoder) -> str:
 @dataclass
 class Model:
     runs: np.ndarray          # hashes of marking runs, sorted
-    weights: np.ndarray       # lower bound of the log likelihood ratio of each
-    slope: float
-    offset: float
+    weights: np.ndarray       # of each
+    regression: np.ndarray    # coefficients of the features, offset last
     trigrams: np.ndarray      # log probabilities
 
 
-def _runs(texts: list[str], decoder: Decoder | None) -> tuple[np.ndarray, np.ndarray]:
-    """(text, hash) of the runs of each text and of its restored tokens."""
-    lowered = [t.lower() for t in texts]
-    own, hashes = _hashed(lowered)
-    if decoder is not None:
-        points, at = code_points(lowered + ["", "", "", ""])
-        extra = [(i, r) for i in _hints(points, letters(points), at).tolist() if i < len(texts) and (r := restored(lowered[i], decoder))]
+class Hashed:
+    """Runs of texts: ``own`` text, ``word`` it is in, ``hash``; and the number of words of each text."""
+
+    def __init__(self, texts: list[str]):
+        self.points, self.at = code_points(texts)
+        self.letter = letters(self.points)
+        first = self.letter.copy()
+        first[1:] &= ~self.letter[:-1]
+        number = np.cumsum(first)
+        self.n_words = np.diff(number[self.at])
+        own, word, hashes = [], [], []
+        for n in SIZES:
+            place, h = windows(self.points, self.letter, n)
+            own.append(np.searchsorted(self.at, place, side="right") - 1)
+            word.append(number[place + 1] if len(place) else place)
+            hashes.append(h)
+        self.own, self.word, self.hash = np.concatenate(own), np.concatenate(word), np.concatenate(hashes)
+
+
+def _occurrences(own: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, hash, count up to MOST_COUNTED) of each run in each text, by hash."""
+    order = np.lexsort((own, h))
+    own, h = own[order], h[order]
+    edge = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (own[1:] != own[:-1])])) if len(h) else np.zeros(0, np.int64)
+    return own[edge], h[edge], np.minimum(np.diff(np.concatenate([edge, [len(h)]])), MOST_COUNTED)
+
+
+class Evidence:
+    """Features of texts from weighted runs. ``spare`` may give weights from the run's place and the text's own count."""
+
+    def __init__(self, runs: np.ndarray, weights: np.ndarray, decoder: Decoder, spare=None):
+        self.runs, self.weights, self.decoder, self.spare = runs, weights, decoder, spare
+        self.sieve = np.zeros(1 << 20, dtype=bool)
+        self.sieve[(runs >> np.uint64(44)).astype(np.int64)] = True
+
+    def hits(self, x: Hashed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, word, weight) of the marked words."""
+        some = np.flatnonzero(self.sieve[(x.hash >> np.uint64(44)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.runs, x.hash[some]), max(len(self.runs) - 1, 0))
+        some, at = (some[hit], at[hit]) if len(self.runs) and (hit := self.runs[at] == x.hash[some]).any() else (some[:0], at[:0])
+        own, word, weight = x.own[some], x.word[some], self.weights[at]
+        if self.spare is not None and len(some):
+            text, run, counts = _occurrences(own, at)
+            key = text * len(self.runs) + run
+            order = np.argsort(key)
+            weight = self.spare(at, counts[order][np.searchsorted(key[order], own * len(self.runs) + at)])
+        order = np.lexsort((-weight, word))
+        own, word, weight = own[order], word[order], weight[order]
+        best = np.ones(len(word), bool)
+        best[1:] = word[1:] != word[:-1]
+        best &= weight >= LEAST_WEIGHT
+        return own[best], word[best], weight[best]
+
+    def features(self, texts: list[str]) -> np.ndarray:
+        lowered = [t.lower() for t in texts]
+        x = Hashed([*lowered, "", "", "", "", ""])
+        own, _, weight = self.hits(x)
+        extra = [(i, r) for i in _hints(x.points, x.letter, x.at).tolist() if i < len(texts) and (r := restored(lowered[i], self.decoder))]
         if extra:
-            more, found = _hashed([r for _, r in extra])
+            more, _, found = self.hits(Hashed([r for _, r in extra]))
             own = np.concatenate([own, np.array([i for i, _ in extra], dtype=np.int64)[more]])
-            hashes = np.concatenate([hashes, found])
-    return own, hashes
-
-
-def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    points, at = code_points(texts)
-    is_letter = letters(points)
-    own, hashes = [], []
-    for n in SIZES:
-        place, h = windows(points, is_letter, n)
-        own.append(np.searchsorted(at, place, side="right") - 1)
-        hashes.append(h)
-    return np.concatenate(own), np.concatenate(hashes)
-
-
-def _evidence(texts: list[str], runs: np.ndarray, weights: np.ndarray, sieve: np.ndarray, decoder: Decoder | None) -> np.ndarray:
-    own, h = _runs(texts, decoder)
-    out = np.zeros(len(texts))
-    maybe = np.flatnonzero(sieve[(h >> np.uint64(44)).astype(np.int64)])
-    if len(maybe) and len(runs):
-        own, h = own[maybe], h[maybe]
-        at = np.minimum(np.searchsorted(runs, h), len(runs) - 1)
-        hit = runs[at] == h
-        np.maximum.at(out, own[hit], weights[at[hit]])
-    return out
+            weight = np.concatenate([weight, found])
+        total, top = np.bincount(own, weights=weight, minlength=len(texts))[:len(texts)], np.zeros(len(texts))
+        np.maximum.at(top, own, weight)
+        n = np.maximum(x.n_words[:len(texts)], 1)
+        return np.stack([total / 10, np.log1p(total), top, np.log1p(100 * total / n), np.log(n), n / 1000, np.ones(len(texts))], axis=1)
 
 
-def _sieve(runs: np.ndarray) -> np.ndarray:
-    out = np.zeros(1 << 20, dtype=bool)
-    out[(runs >> np.uint64(44)).astype(np.int64)] = True
-    return out
+FEATURES = 7
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -212,79 +243,96 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     A document labelled more than once is toxic if any label says so; null
     labels and ids count for nothing; labels without a document neither. If
-    one kind of label is missing every score is the share of toxic labels, or
-    0. The trigram model counts all documents.
+    one kind of label is missing every score is near 0 or 1 with the other
+    kind, near 0 without labels. The trigram model counts all documents.
     """
     trigrams = log_probabilities(count_trigrams(docs, text_col))
     marks = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("y")).where("_id IS NOT NULL AND y IS NOT NULL")
     marks = marks.groupBy("_id").agg(F.max("y").alias("y"))
     total = {int(r.y > 0): r.n for r in marks.groupBy((F.col("y") > 0).cast("int").alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    nothing = np.zeros(0, np.uint64), np.zeros(0)
+    constant = np.zeros(FEATURES)
+    constant[-1] = 40.0 if set(total) == {1} else -40.0
     if len(total) < 2:
-        share = 0.0 if not total.get(1) else 1.0
-        return Model(*nothing, 0.0, 40.0 if share else -40.0, trigrams)
+        return Model(np.zeros(0, np.uint64), np.zeros(0), constant, trigrams)
     part = F.when(F.col("y") > 0, fit_toxic / total[1]).otherwise(fit_clean / total[0])
     chosen = marks.where(F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) < part * float(1 << 30))
     # the sample is bounded by the two parameters, so it may be broadcast and kept
     sample = cut(docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).where("_text IS NOT NULL")
                  .join(F.broadcast(chosen), "_id").select("_text", (F.col("y") > 0).cast("int").alias("y")))
-    n = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def counted(only: np.ndarray | None):
+        """Per task: runs with their documents and occurrences; a row without a run has the documents and words."""
         def run(batches):
-            found, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            found, docs_of, times, n, words = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0
             for batch in batches:
                 for a, b in chunks(batch.column(0)):
-                    own, h = _runs(batch.column(0).slice(a, b - a).to_pylist(), None)
+                    x = Hashed([t.lower() for t in batch.column(0).slice(a, b - a).to_pylist()])
+                    n, words = n + b - a, words + int(x.n_words.sum())
+                    own, h = x.own, x.hash
                     if only is not None:
                         at = np.minimum(np.searchsorted(only, h), len(only) - 1)
                         own, h = own[only[at] == h], h[only[at] == h]
-                    order = np.lexsort((own, h))
-                    own, h = own[order], h[order]
-                    first = np.ones(len(h), bool)
-                    first[1:] = (h[1:] != h[:-1]) | (own[1:] != own[:-1])
-                    u, inv = np.unique(np.concatenate([found, h[first]]), return_inverse=True)
-                    times = np.bincount(inv, weights=np.concatenate([times, np.ones(int(first.sum()))]), minlength=len(u)).astype(np.int64)
+                    _, h, c = _occurrences(own, h)
+                    u, inv = np.unique(np.concatenate([found, h]), return_inverse=True)
+                    docs_of = np.bincount(inv, weights=np.concatenate([docs_of, np.ones(len(h))]), minlength=len(u)).astype(np.int64)
+                    times = np.bincount(inv, weights=np.concatenate([times, c]), minlength=len(u)).astype(np.int64)
                     found = u
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], ["run", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([*found.view(np.int64).tolist(), None], pa.int64()), pa.array([*docs_of.tolist(), n], pa.int64()),
+                                              pa.array([*times.tolist(), words], pa.int64())], ["run", "docs", "times"])
         return run
 
-    least = max(2, int(LEAST_SHARE * n.get(1, 0)))
-    toxic = (sample.where("y = 1").select("_text").mapInArrow(counted(None), "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
-             .where(F.col("n") >= least).toPandas())
-    runs = toxic["run"].to_numpy(dtype=np.int64).view(np.uint64)
-    n1 = toxic["n"].to_numpy(dtype=float)[np.argsort(runs)]
-    runs, n0 = np.sort(runs), np.zeros(len(runs))
-    if len(runs):
-        clean = (sample.where("y = 0").select("_text").mapInArrow(counted(runs), "run long, n long").groupBy("run").agg(F.sum("n").alias("n")).toPandas())
-        n0[np.searchsorted(runs, clean["run"].to_numpy(dtype=np.int64).view(np.uint64))] = clean["n"].to_numpy(dtype=float)
-    r1, r0 = (n1 + 0.5) / (n.get(1, 0) + 1), (n0 + 0.5) / (n.get(0, 0) + 1)
-    weights = np.log(r1 / r0) - 2 * np.sqrt(1 / (n1 + 0.5) + 1 / (n0 + 0.5))
-    runs, weights = runs[weights > 0], weights[weights > 0]
-
-    sieve = _sieve(runs)
-    seen = add_columns(sample, "_text", ["y"], [("x", "double")],
-                       lambda: lambda texts: (_evidence(texts, runs, weights, sieve, Decoder(trigrams)),)).toPandas()
-    slope, offset = _logistic(seen["x"].to_numpy(dtype=float), seen["y"].to_numpy(dtype=float), n, total)
-    return Model(runs, weights, slope, offset, trigrams)
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, n: dict, total: dict) -> tuple[float, float]:
-    """Slope and offset by Newton's method with a small penalty; the two kinds weigh as in all labels."""
-    if not len(x):
-        return 0.0, -40.0
-    weight = np.where(y > 0, total[1] / max(n.get(1, 1), 1), total[0] / max(n.get(0, 1), 1))
-    weight = weight / weight.sum() * len(x)
-    w, a = np.zeros(2), np.stack([x, np.ones(len(x))], axis=1)
-    for _ in range(50):
+    def sums(y: int, only: np.ndarray | None) -> DataFrame:
+        counts = sample.where(f"y = {y}").select("_text").mapInArrow(counted(only), "run long, docs long, times long")
+        return cut(counts.groupBy("run").agg(F.sum("docs").alias("docs"), F.sum("times").alias("times")))
+
+    toxic = sums(1, None)
+    whole = toxic.where("run IS NULL").first()
+    least = max(3, int(LEAST_SHARE * (whole.docs if whole else 0)))
+    some = toxic.where(F.col("run").isNotNull() & (F.col("docs") >= least)).toPandas()
+    runs = some["run"].to_numpy(dtype=np.int64).view(np.uint64)
+    o1 = some["times"].to_numpy(dtype=float)[np.argsort(runs)]
+    runs, o0 = np.sort(runs), np.zeros(len(runs))
+    if not len(runs):
+        return Model(runs, o0, constant * 0 + np.eye(FEATURES)[-1] * np.log(total[1] / total[0]), trigrams)
+    clean = sums(0, runs)
+    rest, clean = clean.where("run IS NULL").first(), clean.where("run IS NOT NULL").toPandas()
+    o0[np.searchsorted(runs, clean["run"].to_numpy(dtype=np.int64).view(np.uint64))] = clean["times"].to_numpy(dtype=float)
+    w1, w0 = max(float(whole.times), 1.0), max(float(rest.times if rest else 0), 1.0)
+
+    def weigh(a, b):
+        a, b = np.maximum(a, 0), np.maximum(b, 0)
+        return np.log((a + 0.5) / w1) - np.log((b + 0.5) / w0) - np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+
+    weights = weigh(o1, o0)
+    good = weights >= LEAST_WEIGHT
+    runs, weights, o1, o0 = runs[good], weights[good], o1[good], o0[good]
+
+    def features(y: int):
+        spare = (lambda at, own: weigh(o1[at] - own, o0[at])) if y else (lambda at, own: weigh(o1[at], o0[at] - own))
+        rows = add_columns(sample.where(f"y = {y}"), "_text", [], [("x", "array<double>")],
+                           lambda: lambda texts: (list(Evidence(runs, weights, Decoder(trigrams), spare).features(texts)),)).toPandas()
+        return np.array(rows["x"].tolist(), dtype=float).reshape(-1, FEATURES)
+
+    x = [features(0), features(1)]
+    share = np.array([total[0] / max(len(x[0]), 1), total[1] / max(len(x[1]), 1)])
+    return Model(runs, weights, _logistic(x[0], x[1], share), trigrams)
+
+
+def _logistic(clean: np.ndarray, toxic: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Coefficients by Newton's method with a small penalty; the two kinds weigh as in all labels."""
+    a, y = np.concatenate([clean, toxic]), np.repeat([0.0, 1.0], [len(clean), len(toxic)])
+    weight = share[y.astype(int)]
+    weight = weight / weight.sum() * len(y)
+    w, penalty = np.zeros(FEATURES), np.eye(FEATURES) * 0.1
+    penalty[-1, -1] = 0.01
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
-        grad = a.T @ (weight * (p - y)) + 0.01 * w
-        hess = (a * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ a + 0.01 * np.eye(2)
-        step = np.linalg.solve(hess, grad)
-        w -= step * min(1.0, 5.0 / max(np.abs(step).max(), 1e-12))
+        grad = a.T @ (weight * (p - y)) + penalty @ w
+        step = np.linalg.solve((a * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ a + penalty, grad)
+        w -= step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-8:
             break
-    return float(w[0]), float(w[1])
+    return w
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -293,14 +341,11 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str]
     A null or empty text has no evidence and gets the score of none. Columns of
     ``docs`` with the names of the two are replaced.
     """
-    sieve = _sieve(model.runs)
-
     def make():
-        decoder = Decoder(model.trigrams)
+        evidence = Evidence(model.runs, model.weights, Decoder(model.trigrams))
 
         def run(texts):
-            x = _evidence(texts, model.runs, model.weights, sieve, decoder)
-            p = 1 / (1 + np.exp(-np.clip(model.slope * x + model.offset, -40, 40)))
+            p = 1 / (1 + np.exp(-np.clip(evidence.features(texts) @ model.regression, -40, 40)))
             return p, (p >= 0.5).astype(np.int32)
         return run
 
