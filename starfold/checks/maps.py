@@ -93,12 +93,12 @@ def _(c):
 
 
 @check("m06_lookup_star_weights", with_("sim", "hsc", stars=STARS_SQL, **_CTES, seen=_lookup())
-       + f"SELECT targetid, {R('(1+targetid%3)*d1/(d0+(1+targetid%3)*d1)')} AS p FROM seen WHERE p1 IS NOT NULL")
+       + f"SELECT targetid, {R('(1+targetid%3)*d1/(d0+(1+targetid%3)*d1)')} AS p FROM seen")
 def _(c):
     cells, weights = maxed(c)
     df = stars(c).withColumn("w", F.array(F.lit(1.0), (1 + C("targetid") % 3).cast("double")))
     out = pm.lookup_membership(df, "gi0", "g0", cells, SPEC, weights, star_weights="w")
-    return out.where("p IS NOT NULL").select("targetid", r(F.get("p", F.lit(1))).alias("p"))
+    return out.select("targetid", r(F.get("p", F.lit(1))).alias("p"))
 
 
 @check("m06_lookup_legacy_shift", with_("sim", "hsc", stars=STARS_SQL, **_CTES, seen=_lookup("+1"))

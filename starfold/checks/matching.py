@@ -102,12 +102,11 @@ def _(c):
 
 @check("j08_neighbour_table", """
     SELECT o.o_orderkey, l.l_suppkey, p.p_partkey, (round(p.p_retailprice, 6) + 0e0) AS p_retailprice
-    FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey
-    WHERE p.p_size < 10""")
+    FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey JOIN part p ON p.p_partkey = l.l_partkey""")
 def _(c):
     from ..sources.fixtures import table
     o, l, p = (table(c.spark, c.sf_dir, t) for t in ("orders", "lineitem", "part"))
-    joined = zj.join_by_neighbours(o, l, p.where("p_size < 10"), ("o_orderkey", "l_orderkey"), ("p_partkey", "l_partkey"))
+    joined = zj.join_by_neighbours(o, l, p, ("o_orderkey", "l_orderkey"), ("p_partkey", "l_partkey"))
     return joined.select("o_orderkey", "l_suppkey", "p_partkey", r("p_retailprice").alias("p_retailprice"))
 
 

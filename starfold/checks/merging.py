@@ -17,11 +17,18 @@ C = F.col
 
 # --- unified targets ----------------------------------------------------------
 
-@check("p07_unify", with_("list_a") + """SELECT 'a' AS key, targetid, 2e3 AS epoch, 'sci' AS prefix, CAST(0 AS INTEGER) AS penalty,
-    exp_time, 3e0 AS priority, 'sci_P3' AS class, 100 AS cost FROM list_a WHERE priority > 2""")
+@check("p07_unify", with_("list_a", "list_b", "cal") + """SELECT 'a' AS key, targetid, 2e3 AS epoch, 'sci' AS prefix, CAST(0 AS INTEGER) AS penalty,
+    exp_time, 3e0 AS priority, 'sci_P3' AS class, 100 AS cost, CAST(NULL AS DOUBLE) AS pmra FROM list_a WHERE priority > 2
+    UNION ALL SELECT 'b', targetid, NULL, 'sci', 0, exp_time, CASE WHEN targetid%5 > 0 THEN priority END,
+    CASE WHEN targetid%5 > 0 THEN 'sci_P' || CAST(CAST(priority AS INT) AS VARCHAR) END, CASE WHEN targetid%5 > 0 THEN CAST(priority AS INT)*7 + 1 ELSE 0 END, NULL FROM list_b
+    UNION ALL SELECT 'cal', targetid, NULL, 'cal', 0, NULL, NULL, 'cal', 55, 1e0 FROM cal""")
 def _(c):
-    df = mg.unify(c("list_a").withColumn("epoch", F.lit("J2000.0")), "a", "sci", priority=3.0, non_observation_cost=100, mask=C("priority") > 2)
-    return df.select("key", "targetid", "epoch", "prefix", "penalty", "exp_time", "priority", "class", C("non_observation_cost").alias("cost"))
+    costs = {f"sci_P{k}": 7 * k + 1 for k in range(10)} | {"cal": 55}
+    a = mg.unify(c("list_a").withColumn("epoch", F.lit("J2000.0")), "a", "sci", priority=3.0, non_observation_cost=100, mask=C("priority") > 2)
+    b = c("list_b").withColumns({"priority": F.when(C("targetid") % 5 > 0, C("priority")), "class": F.lit("other"), "pmra": F.lit(2.0)})
+    cal = c("cal").withColumns({"pmra": F.lit(1.0), "pmdec": F.lit(1.0)})
+    df = a.unionByName(mg.unify(b, "b", "sci", class_costs=costs)).unionByName(mg.unify(cal, "cal", "cal", exp_time=9.0, priority=1.0, class_costs=costs))
+    return df.select("pmra", "key", "targetid", "epoch", "prefix", "penalty", "exp_time", "priority", "class", C("non_observation_cost").alias("cost"))
 
 
 _T0 = """SELECT 'cal' AS key, targetid, ra, dec, 'cal' AS prefix, NULL::DOUBLE AS pmra, NULL::DOUBLE AS exp_time, NULL::DOUBLE AS priority, 'cal' AS class,
@@ -367,7 +374,7 @@ def targets(c):
 
 
 def visits(c):
-    return c("fibers").where("fiber_id < 2").select(C("fiber_id").alias("visit_idx"), (C("fiber_id") + 1).alias("nrepeats"))
+    return c("fibers").select(C("fiber_id").alias("visit_idx"), (C("fiber_id") + 1).alias("nrepeats"))
 
 
 def summed(c):
@@ -548,7 +555,7 @@ def _(c):
 
 
 def designs(c):
-    return c("fibers").where("fiber_id < 2").select(C("fiber_id").alias("pointing_idx"), C("fiber_id").alias("visit_idx"), (C("fiber_id") + 1).alias("nrepeats"),
+    return c("fibers").select(C("fiber_id").alias("pointing_idx"), C("fiber_id").alias("visit_idx"), (C("fiber_id") + 1).alias("nrepeats"),
                                                     F.lit(3).alias("stage"), F.lit(1).alias("priority"), C("cx").alias("ra"), C("cy").alias("dec"), F.lit(0.0).alias("posang"),
                                                     F.lit(1800.0).alias("exp_time"), F.lit("2026-03-01 08:00:00").cast("timestamp").alias("obs_time"))
 
@@ -565,7 +572,7 @@ def _(c):
                       r("psf_flux_g").alias("psf_flux_g"))
 
 
-@check("io13_pointing_list", with_("fibers") + "SELECT 'RUN_A_umi_S3P0' || fiber_id || 'V0' || fiber_id AS point_code, cx AS point_ra, '2026-03-01T08:00:00' AS obstime, '2026-02-28T22:00:00' AS obstime_local FROM fibers WHERE fiber_id < 2")
+@check("io13_pointing_list", with_("fibers") + "SELECT printf('RUN_A_umi_S3P%02dV%02d', fiber_id, fiber_id) AS point_code, cx AS point_ra, '2026-03-01T08:00:00' AS obstime, '2026-02-28T22:00:00' AS obstime_local FROM fibers")
 def _(c):
     return ex.pointing_list(ex.with_codes(designs(c), "RUN_A", "umi", False)).select("point_code", "point_ra", "obstime", "obstime_local")
 

@@ -13,6 +13,7 @@ from .scalars import TAN
 C = F.col
 REACH = 4.75
 SPACING = 9.0
+VIEWED = [p["pointing_idx"] for p in POINTINGS]
 
 
 def _views() -> str:
@@ -44,7 +45,7 @@ def fibers(c):
 
 
 def edges(c):
-    return rc.reach(views(c), fibers(c).where("NOT broken").select("fiber_id", "cx", "cy", "r_min", "r_max"), REACH)
+    return rc.reach(views(c), fibers(c).where("NOT broken").select("fiber_id", "cx", "cy", "r_min", "r_max"), REACH, VIEWED)
 
 
 def near(c):
@@ -76,15 +77,15 @@ def _wrap(a: str) -> str:
     return f"({a}) - 2*pi()*floor(({a})/(2*pi()))"
 
 
-# arm solutions, written out for equal links that fold completely (phi from -pi to -0.001)
-_SOL = f"""SELECT e.pointing_idx, e.fiber_id, e.target_idx, e.x, e.y, e.dist, f.cx, f.cy, f.theta0, f.theta1,
+# arm solutions, written out for equal links
+_SOL = f"""SELECT e.pointing_idx, e.fiber_id, e.target_idx, e.x, e.y, e.dist, f.cx, f.cy, f.theta0, f.theta1, f.phi_in, f.phi_out,
     acos(greatest(-1e0, least(1e0, (2*2.375e0*2.375e0-e.dist*e.dist)/(2*2.375e0*2.375e0)))) AS bend,
     acos(greatest(-1e0, least(1e0, e.dist/(2*2.375e0)))) AS shoulder, atan2(e.y-f.cy, e.x-f.cx) AS spot FROM cand0 e JOIN fibers f USING (fiber_id)"""
 _SOLVED = f"""SELECT *, theta + theta0 AS a, cx+2.375e0*cos(theta+theta0) AS ex, cy+2.375e0*sin(theta+theta0) AS ey FROM
-    (SELECT *, {_wrap('spot+shoulder-theta0')} AS theta, bend AS phi, 1 AS sol FROM bent
-     UNION ALL SELECT *, {_wrap('spot-shoulder-theta0')}, CASE WHEN bend <= pi()/2 THEN -bend ELSE 2*pi()-bend END, 2 FROM bent)"""
-_VALID = f"""SELECT * FROM solved WHERE dist <= 4.75e0 AND phi >= 0 AND phi <= pi()-1e-3
-    AND theta <= {_wrap('theta1-theta0+pi()')} + pi() AND sol = 1"""
+    (SELECT *, {_wrap('spot+shoulder-theta0')} AS theta, bend - phi_in - pi() AS phi, 1 AS sol FROM bent
+     UNION ALL SELECT *, {_wrap('spot-shoulder-theta0')}, CASE WHEN bend <= pi()/2 THEN -bend ELSE 2*pi()-bend END - phi_in - pi(), 2 FROM bent)"""
+_VALID = f"""SELECT * FROM solved WHERE dist <= 4.75e0 AND phi >= 0 AND phi <= phi_out - phi_in
+    AND theta <= {_wrap('theta1-theta0+pi()')} + pi()"""
 _DOTS = "SELECT fiber_id, cx+1e0 AS dot_x, cy-2.5e0 AS dot_y, 7.5e-1 AS dot_r FROM fibers"
 _VIS = dict(_REACH, cand0="SELECT * FROM cand WHERE dist > 5e-1 AND dist < 4.55e0", bent=_SOL, solved=_SOLVED, valid=_VALID, dots=_DOTS,
             around="SELECT * FROM near UNION ALL SELECT fiber_id, fiber_id FROM fibers",
@@ -99,7 +100,7 @@ def visible(c):
     f = fibers(c)
     dots = f.select("fiber_id", (C("cx") + 1.0).alias("dot_x"), (C("cy") - 2.5).alias("dot_y"), F.lit(0.75).alias("dot_r"))
     f = rc.with_dots(f, dots, near(c)).drop("status", "spectrograph_id")
-    return rc.visible_edges(views(c), f, REACH, safety_margin=0.2)
+    return rc.visible_edges(views(c), f, REACH, VIEWED, safety_margin=0.2)
 
 
 @check("j18_visible_edges", _VHEAD + f"""SELECT pointing_idx, fiber_id, target_idx, {R('dist')} AS dist, {R('dot_dist')} AS dot_dist,

@@ -16,6 +16,7 @@ C = F.col
 # Stars with dereddened colors, membership and proper motions; SQL that both engines read alike.
 STAR_COLUMNS = {
     "targetid": "targetid", "ra": "ra", "dec": "dec", "g0": "g", "i0": "i", "gi0": "g-i", "gn0": "g-nb",
+    "r0": "g-8e-1*(g-i)", "gr0": "8e-1*(g-i)",
     "clg": "clg*3e0", "cli": "cli*3e0",
     "p_member": "CASE WHEN targetid%4=0 THEN NULL WHEN targetid%9=0 THEN 0e0 ELSE ((targetid*7)%1000)/1e3 END",
     "pmra": "CASE WHEN targetid%7=0 THEN NULL ELSE ((targetid*3)%4000)/1e3-2e0 END",
@@ -75,17 +76,32 @@ for _field in ("ursaminor", "draco", "fornax", "sculptor", "sextans", "ngc6822",
     _query(f"f04_narrow_band_{_field}", _nb_sql(_field),
            lambda c, f=_field: sel.narrow_band(sel.FIELD_CUTS[f], C("gi0"), C("gn0")))
 
-for _field, _cut in sel.FIELD_CUTS.items():
-    _lo, _hi = _cut.broad
-    _broad = (f"gi0 > {_lo} AND " if _lo is not None else "") + f"gi0 < {_hi}"
-    _nb = f" AND {_nb_sql(_field)}" if _cut.nb else ""
-    _red = f" AND i0 > {_cut.bright - 1.5} AND i0 < {_cut.faint}" if _cut.red_bright_offset else ""
+# the selections in full, written out for each field: color, narrow band, magnitudes
+SELECTIONS = {
+    "ursaminor": """gi0 > 0.12 AND gi0 < 2.0 AND ((gi0 > 0.12 AND gi0 < 0.5) OR (gi0 < 1.65 AND gn0 > 0.1) OR (-0.25e0*gi0 + gn0 > -0.15e0))
+        ~ g0 > 16 AND g0 < 23.5""",
+    "draco": """gi0 > 0.0 AND gi0 < 2.0 AND ((gi0 > 0.0 AND gi0 < 0.5) OR (gi0 < 1.65 AND gn0 > 0.05) OR (-0.25e0*gi0 + gn0 > -0.16e0))
+        ~ g0 > 16 AND g0 < 23.5""",
+    "bootes": "gr0 > 0.1 AND gr0 < 1.5 ~ g0 > 17 AND g0 < 23",
+    "sextans": """gi0 > 0.12 AND gi0 < 2.0 AND ((gi0 > 0.12 AND gi0 < 0.5) OR (gi0 < 1.8 AND gn0 > 0.2) OR (-0.25e0*gi0 + gn0 > -0.1e0))
+        ~ g0 > 16 AND g0 < 23.5 AND i0 > 14.5 AND i0 < 23.5""",
+    "fornax": """gi0 > 0.12 AND gi0 < 2.5 AND ((gi0 < 0.0) OR (gi0 > 0.1 AND gi0 < 1.5 AND 0.25e0*gi0 + gn0 > 0.2e0)
+        OR (gi0 > 1.5 AND -0.33e0*gi0 + gn0 > -0.66e0)) ~ g0 > 16 AND g0 < 23""",
+    "sculptor": """gi0 > 0.12 AND gi0 < 2.0 AND ((gi0 > 0.12 AND gi0 < 0.5) OR (gi0 < 2.0 AND gn0 > 0.1) OR (-0.25e0*gi0 + gn0 > -0.15e0))
+        ~ g0 > 16 AND g0 < 23.5""",
+    "ngc6822": """gi0 < 2.75 AND ((gi0 < 0.0) OR (gi0 > 0.1 AND gi0 < 1.5 AND 0.25e0*gi0 + gn0 > 0.25e0)
+        OR (gi0 > 1.5 AND -0.33e0*gi0 + gn0 > -0.62e0)) ~ g0 > 18 AND g0 < 23""",
+    "m31": "gi0 > 0.95 AND gi0 < 4.0 AND ((gi0 > 0.12 AND gi0 < 0.5) OR (gi0 < 4.0 AND gn0 > 0.05)) ~ g0 > 19 AND g0 < 30",
+}
+
+for _field, _text in SELECTIONS.items():
+    _cut, (_red_stars, _mags) = sel.FIELD_CUTS[_field], _text.split("~")
     _query(f"f05_selection_{_field}",
-           f"((coalesce(({_broad}){_nb} AND p_member > 1e-1, false)) OR gi0 < 0.12) AND g0 > {_cut.bright} AND g0 < {_cut.faint}{_red}"
+           f"(coalesce({_red_stars} AND p_member > 1e-1, false) OR {'gr0' if _field == 'bootes' else 'gi0'} < 0.12) AND {_mags}"
            " AND clg < 0.1 AND cli < 0.1",
-           lambda c, f=_field: sel.field_selection(sel.FIELD_CUTS[f], C("g0"), C("gi0"), C("gn0"), blue=True,
-                                                   probcut=C("p_member") > 0.1, i=C("i0"),
-                                                   point=sel.point_source(["clg", "cli"], 0.1)))
+           lambda c, f=_cut: sel.field_selection(f, C("g0"), C(f.color), C("gn0"), blue=True,
+                                                 probcut=C("p_member") > 0.1, i=C(f.red),
+                                                 point=sel.point_source(["clg", "cli"], 0.1)))
 
 CURVE = [(0.2, 0.0), (0.5, 1.5), (1.1, 3.0), (0.8, 4.5)]
 _SEG = " ".join(f"WHEN g0 <= {b[1] + 17}e0 AND g0 >= {a[1] + 17}e0 THEN {a[0]}e0 + ({b[0] - a[0]!r}e0)*(g0-{a[1] + 17}e0)/1.5e0"

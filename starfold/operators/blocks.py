@@ -1,71 +1,21 @@
-"""Equi-join of points with covering cells, with hot cells split into blocks.
+"""Equi-join of points with covering cells.
 
 Spatial joins here put every point in one cell and every searching row in all
-the cells its search region touches. A cell that holds far more rows than the
-others is cut on both sides: its points are dealt over ``kp`` blocks and its
-searching rows over ``kc``, and each pair of blocks meets in its own task, so
-every (point, searcher) pair still meets exactly once.
+the cells its search region touches, so every (point, searcher) pair meets in
+exactly one cell. The join is an ordinary sort-merge join on the cell: its
+inputs keep no partitioning of their own, so the engine is free to broadcast a
+side that proves small and to split the partitions of a crowded cell, on both
+sides, by the sizes it measures while running.
 """
 
 from __future__ import annotations
 
-import math
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, functions as F
 
-HOT_ROWS = 20_000             # rows of one side in one cell that make it hot
-MOST_HOT = 1000               # cells split at most; any further cell holds under 1/1000 of the rows
-SAMPLE = 0.01                 # share of the rows counted to find hot cells (plans only, never results)
-SMALL_BYTES = 32 << 20        # inputs below this are not profiled
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a plan."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def hot_cells(points: DataFrame, covers: DataFrame, hot_rows: int = HOT_ROWS, sample: float = SAMPLE) -> list:
-    """[(cell, kp, kc)] for the cells to split, from a sampled count; at most MOST_HOT entries."""
-    def part(df: DataFrame, np: int, nc: int) -> DataFrame:
-        df = df.select("cell")
-        df = df.sample(sample, seed=7) if sample < 1.0 else df
-        return df.select("cell", F.lit(np).alias("np"), F.lit(nc).alias("nc"))
-
-    sizes = (part(points, 1, 0).unionByName(part(covers, 0, 1))
-             .groupBy("cell").agg(F.sum("np").alias("np"), F.sum("nc").alias("nc")))
-    top = sizes.orderBy(F.greatest("np", "nc").desc()).limit(MOST_HOT).collect()
-    return [(t.cell, max(1, math.ceil(t.np / sample / hot_rows)), max(1, math.ceil(t.nc / sample / hot_rows)))
-            for t in top if max(t.np, t.nc) / sample > hot_rows]
-
-
-def find_hot(points: DataFrame, covers: DataFrame, hot_rows: int | None = None, sample: float | None = None,
-             small_bytes: int | None = None) -> list:
-    """Hot cells of a join, none if the inputs are small by the optimizer's estimate."""
-    if plan_bytes(points) + plan_bytes(covers) < (SMALL_BYTES if small_bytes is None else small_bytes):
-        return []
-    return hot_cells(points, covers, hot_rows or HOT_ROWS, sample or SAMPLE)
-
-
-def cell_join(points: DataFrame, covers: DataFrame, split: list | None = None) -> DataFrame:
+def cell_join(points: DataFrame, covers: DataFrame) -> DataFrame:
     """All (point, cover) pairs that share a cell. Both inputs carry ``cell``.
 
-    ``split`` lists the hot cells; they are looked for if it is not given.
     Column names other than ``cell`` must differ between the inputs.
     """
-    if split is None:
-        split = find_hot(points, covers)
-    if not split:
-        return points.join(covers, "cell").drop("cell")
-    # at most MOST_HOT rows
-    hot = F.broadcast(points.sparkSession.createDataFrame(split, "cell long, kp int, kc int"))
-
-    def deal(df: DataFrame, own: str, other: str) -> DataFrame:
-        names = [c for c in df.columns if c != "cell"]
-        block = F.when(F.col(own).isNull(), F.lit(0)).otherwise(
-            F.pmod(F.xxhash64(*names), F.col(own).cast("bigint")).cast("int"))
-        copies = F.sequence(F.lit(0), F.coalesce(F.col(other) - 1, F.lit(0)))
-        return (df.join(hot, "cell", "left")
-                .select("cell", *names, block.alias(f"b_{own}"), F.explode(copies).alias(f"b_{other}")))
-
-    return (deal(points, "kp", "kc").join(deal(covers, "kc", "kp"), ["cell", "b_kp", "b_kc"])
-            .drop("cell", "b_kp", "b_kc"))
+    return points.join(covers, "cell").drop("cell")

@@ -33,7 +33,7 @@ def fluxes_by_band(fluxes: Column, filter_map: dict[str, str] | None = None, ran
     text after its first underscore.
     """
     filter_map = filter_map or {}
-    usable = F.filter(fluxes, lambda f: f["psf"].isNotNull() & ~F.isnan(f["psf"]))
+    usable = F.filter(fluxes, lambda f: F.abs(f["psf"]) < float("inf"))      # also leaves out NULL and NaN
 
     def entry(f: Column, k: Column) -> Column:
         shown = remap_filters(f["filter"], filter_map)

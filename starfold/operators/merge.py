@@ -34,9 +34,18 @@ class TargetList:
 
 
 def unify(df: DataFrame, key: str, prefix: str, exp_time: float | None = None, priority: float | None = None,
-          penalty: int | None = None, non_observation_cost: int | None = None, mask: Column | None = None) -> DataFrame:
-    """Any list in the unified schema. Values given in the call go before the list's own; calibration
-    and sky targets get no priority or exposure time unless they are given."""
+          penalty: int | None = None, non_observation_cost: int | None = None, mask: Column | None = None,
+          class_costs: dict[str, int] | None = None) -> DataFrame:
+    """Any list in the unified schema.
+
+    Values given in the call go before the list's own, but exposure times and
+    priorities belong to science lists only. The class is made from prefix and
+    priority, whatever the list says; a science row without priority has none.
+    A list without epochs has NULL there. Proper motion counts only if the list
+    has both components. A list without costs gets the cost of the class from
+    ``class_costs``, where a class that isn't listed is an error; without
+    ``class_costs`` it is 0.
+    """
     if mask is not None:
         df = df.where(mask)
     have = set(df.columns)
@@ -44,23 +53,28 @@ def unify(df: DataFrame, key: str, prefix: str, exp_time: float | None = None, p
     if not ids:
         raise ValueError(f"list {key}: no id column out of {ID_COLUMNS}")
 
-    def own(name: str, given=None, fallback=None, only_science: bool = False) -> Column:
-        if given is not None:
-            return F.lit(given)
-        if name in have and (prefix == "sci" or not only_science):
-            return F.col(name)
-        return F.lit(fallback)
+    def own(name: str, given=None, fallback=None) -> Column:
+        return F.lit(given) if given is not None else F.col(name) if name in have else F.lit(fallback)
 
+    science = prefix == "sci"
     ra, dec = ("RA", "Dec") if "RA" in have else ("ra", "dec")
-    epoch = own("epoch", fallback=2016.0)
+    epoch = own("epoch")
     if "epoch" in have and df.schema["epoch"].dataType.typeName() == "string":
         epoch = parse_epoch(F.col("epoch"))
-    prio = own("priority", priority, None, True).cast("double")
+    prio = (own("priority", priority) if science else F.lit(None)).cast("double")
+    motion = {c: F.col(c) if {"pmra", "pmdec"} <= have else F.lit(None) for c in ("pmra", "pmdec")}
+    label = class_label(F.lit(prefix), prio)
+    if science:
+        label = F.when(prio.isNotNull(), label)
+    cost = own("non_observation_cost", non_observation_cost, 0)
+    if non_observation_cost is None and "non_observation_cost" not in have and class_costs is not None:
+        listed = F.element_at(F.create_map(*[F.lit(v) for kv in class_costs.items() for v in kv]), label)
+        unknown = F.raise_error(F.concat(F.lit(f"list {key}: no cost for class "), label))
+        cost = F.when(label.isNull(), F.lit(0)).otherwise(F.coalesce(listed, unknown.cast("int")))
     values = {"key": F.lit(key), "targetid": F.col(ids[0]), "RA": F.col(ra), "Dec": F.col(dec), "prefix": F.lit(prefix),
-              "epoch": epoch, "pm": own("pm"), "pmra": own("pmra"), "pmdec": own("pmdec"), "parallax": own("parallax"),
-              "rv": own("rv"), "penalty": own("penalty", penalty, 0), "exp_time": own("exp_time", exp_time, None, True),
-              "priority": prio, "class": own("class") if "class" in have else class_label(F.lit(prefix), prio),
-              "non_observation_cost": own("non_observation_cost", non_observation_cost, 0)}
+              "epoch": epoch, "pm": own("pm"), **motion, "parallax": own("parallax"),
+              "rv": own("rv"), "penalty": own("penalty", penalty, 0), "exp_time": own("exp_time", exp_time) if science else F.lit(None),
+              "priority": prio, "class": label, "non_observation_cost": cost}
     return df.select(*[values[n].cast(t).alias(n) for n, t in TARGET_SCHEMA])
 
 
@@ -78,7 +92,8 @@ def update_targets(accepted: DataFrame, found: DataFrame, prefix: str) -> DataFr
     df = accepted.join(m, "target_idx", "left")
     hit = F.coalesce("_hit", F.lit(False))
     no_motion = hit & F.col("pm").isNull() & (F.col("pmra").isNull() | F.col("pmdec").isNull())
-    new = {n: F.when(no_motion, F.col(f"n_{n}")).otherwise(F.col(n)) for n in ("epoch", "pm", "pmra", "pmdec", "parallax")}
+    new = {n: F.when(no_motion, F.col(f"n_{n}")).otherwise(F.col(n)) for n in ("pm", "pmra", "pmdec", "parallax")}
+    new["epoch"] = F.when(no_motion, F.coalesce("n_epoch", "epoch")).otherwise(F.col("epoch"))       # a list without epochs takes none away
     if prefix == "sci":
         lower = hit & (F.col("priority").isNull() | is_true(F.col("n_priority") < F.col("priority")))
         prio = F.when(lower, F.col("n_priority")).otherwise(F.col("priority"))
@@ -97,8 +112,8 @@ def append_targets(accepted: DataFrame | None, rows: DataFrame, start: int) -> D
     return numbered if accepted is None else accepted.unionByName(numbered)
 
 
-def merge_lists(lists: list[TargetList], id_prefix: int = 0, radius_arcsec: float = 0.1
-                ) -> tuple[DataFrame, DataFrame]:
+def merge_lists(lists: list[TargetList], id_prefix: int = 0, radius_arcsec: float = 0.1,
+                class_costs: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """Merge lists into one target table; calibration first, then science, then sky.
 
     Each list is matched with everything accepted before it. Target ids must be
@@ -109,7 +124,7 @@ def merge_lists(lists: list[TargetList], id_prefix: int = 0, radius_arcsec: floa
     ordered = [x for p in ("cal", "sci", "sky") for x in lists if x.prefix == p]
     accepted, links, count = None, None, 0
     for x in ordered:
-        rows = cut(unify(x.data, x.key, x.prefix))
+        rows = cut(unify(x.data, x.key, x.prefix, class_costs=class_costs))
         if accepted is None or x.prefix == "sky":
             new, mine = rows, None
         else:

@@ -8,7 +8,7 @@ from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_CELLS = 250_000  # a map up to this many cells is sent to every executor
+from ..session import cut
 
 
 @dataclass(frozen=True)
@@ -63,15 +63,15 @@ def histogram_2d(df: DataFrame, x: str, y: str, spec: MapSpec, weight: str | Non
     The mask (and the weight) may be a plain column or an array with one entry
     per population; both drop the same stars.
     """
-    if mask is not None:
-        df = df.where(mask)
-    cols = [F.col(x).alias("x"), F.col(y).alias("y")]
-    long = df.select(F.posexplode(F.arrays_zip(*cols)).alias("pop", "v"),
-                     *([F.col(weight).alias("wt")] if weight else []))
+    values = F.arrays_zip(F.col(x).alias("x"), F.col(y).alias("y"))
+    kept = df.select(values.alias("_v"), (F.lit(1.0) if weight is None else F.col(weight)).alias("_wt"), (F.lit(True) if mask is None else mask).alias("_on"))
+    per_pop = {c: kept.schema[c].dataType.typeName() == "array" for c in ("_wt", "_on")}
+    at = lambda c, k: F.get(F.col(c), k) if per_pop[c] else F.col(c)
+    packed = F.transform("_v", lambda v, k: F.struct(v["x"].alias("x"), v["y"].alias("y"), at("_wt", k).alias("wt"), at("_on", k).alias("on")))
+    long = kept.select(F.posexplode(packed).alias("pop", "v")).where("v.on")
     (xl, xh), (yl, yh) = spec.extents
-    w = F.lit(1.0) if weight is None else F.col("wt")
     return (long.select("pop", bin_of(F.col("v.x"), xl, xh, spec.bins[0]).alias("ix"),
-                        bin_of(F.col("v.y"), yl, yh, spec.bins[1]).alias("iy"), w.alias("w"))
+                        bin_of(F.col("v.y"), yl, yh, spec.bins[1]).alias("iy"), F.col("v.wt").alias("w"))
             .where("ix IS NOT NULL AND iy IS NOT NULL")
             .groupBy("pop", "ix", "iy").agg(F.sum("w").alias("w")))
 
@@ -178,12 +178,12 @@ def lookup_membership(stars: DataFrame, x: str, y: str, cells: DataFrame, spec:
     if legacy_shift:
         ix = F.when(ix + 1 < spec.bins[0], ix + 1)
         iy = F.when(iy + 1 < spec.bins[1], iy + 1)
-    rows = map_rows(cells, len(weights)).withColumn("_norm", _norms(map_rows(cells, len(weights)), len(weights)))
+    # the map is small beside the stars; it is computed once and its true size decides how it is joined
+    rows = cut(map_rows(cells, len(weights)))
+    rows = rows.withColumn("_norm", _norms(rows, len(weights)))
     # with common weights the whole share is a property of the cell
     value = F.struct("h", "_norm") if star_weights else _share(F.col("h"), F.col("_norm"), _weights_array(weights))
     rows = rows.select(F.col("ix").alias("_ix"), F.col("iy").alias("_iy"), value.alias("_v"))
-    if spec.bins[0] * spec.bins[1] <= BROADCAST_CELLS:
-        rows = F.broadcast(rows)
     joined = stars.withColumns({"_sx": ix, "_sy": iy}).join(
         rows, (F.col("_sx") == F.col("_ix")) & (F.col("_sy") == F.col("_iy")), "left")
     p = _share(F.col("_v.h"), F.col("_v._norm"), F.col(star_weights)) if star_weights else F.col("_v")

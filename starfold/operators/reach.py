@@ -6,6 +6,8 @@ sky. Edges are rows (pointing_idx, fiber_id, target_idx, x, y, dist, …).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geometry as geo
@@ -72,13 +74,27 @@ def plane_pairs(points: DataFrame, centers: DataFrame, radius: float, plane: str
     return out.drop(f"_{plane}") if plane else out
 
 
-def reach(targets_xy: DataFrame, fibers: DataFrame, largest_reach: float, r_min: str = "r_min", r_max: str = "r_max") -> DataFrame:
+def on_planes(centers: DataFrame, pointings: list[int], plane: str = "pointing_idx") -> DataFrame:
+    """Each center once for each pointing. Pointings are survey configuration and travel as a literal."""
+    return centers.withColumn(plane, F.explode(F.array(*[F.lit(int(p)) for p in pointings])))
+
+
+def _candidates(targets_xy: DataFrame, fibers: DataFrame, largest_reach: float, pointings: list[int]) -> DataFrame:
+    """(pointing, fiber, target, x, y, dist) no farther than the largest reach; cells are kept apart by pointing."""
+    slim = on_planes(fibers.select("fiber_id", "cx", "cy"), pointings)
+    return plane_pairs(targets_xy, slim, largest_reach, "pointing_idx").where(F.col("dist") <= largest_reach).drop("cx", "cy")
+
+
+def reach(targets_xy: DataFrame, fibers: DataFrame, largest_reach: float, pointings: list[int], r_min: str = "r_min", r_max: str = "r_max") -> DataFrame:
     """(pointing, fiber, target) edges in each fiber's annulus ``r_min <= dist <= r_max``.
 
-    ``largest_reach`` bounds ``r_max`` over the instrument and sets the cells.
+    ``largest_reach`` bounds ``r_max`` over the instrument and sets the cells;
+    ``pointings`` lists the pointings in ``targets_xy``. The cell join carries
+    ids and centers only; the fiber's limits are fetched for what it finds.
     """
-    pairs = plane_pairs(targets_xy, fibers, largest_reach)
-    return pairs.where((F.col("dist") >= F.col(r_min)) & (F.col("dist") <= F.col(r_max)))
+    limits = fibers.select("fiber_id", F.col(r_min).alias("r_min"), F.col(r_max).alias("r_max"))
+    pairs = _candidates(targets_xy, fibers, largest_reach, pointings).join(limits, "fiber_id")
+    return pairs.where((F.col("dist") >= F.col("r_min")) & (F.col("dist") <= F.col("r_max")))
 
 
 def neighbours(fibers: DataFrame, spacing: float) -> DataFrame:
@@ -114,22 +130,23 @@ def with_dot_clearance(df: DataFrame) -> DataFrame:
     return gaps.where(clear).withColumn("dot_dist", F.array_min("_gaps")["d"]).drop("_gaps")
 
 
-def visible_edges(targets_xy: DataFrame, fibers: DataFrame, largest_reach: float, safety_margin: float = 0.0,
+def visible_edges(targets_xy: DataFrame, fibers: DataFrame, largest_reach: float, pointings: list[int], safety_margin: float = 0.0,
                   maximum_distance: float | None = None) -> DataFrame:
     """Edges with arm solutions: working fibers, valid angles, clear of obstacles and margins.
 
     ``fibers`` needs the arm columns, ``broken`` and ``dots`` (may be NULL).
-    ``solutions`` holds one or two structs (theta, phi, ex, ey, flags).
+    ``solutions`` holds one or two structs (theta, phi, ex, ey, bend, usable).
+    Obstacles and arm constants are fetched after the distance test.
     """
     working = fibers.where(~F.col("broken"))
-    pairs = plane_pairs(targets_xy, working, largest_reach)
+    pairs = _candidates(targets_xy, working, largest_reach, pointings).join(working, "fiber_id")
     d = F.col("dist")
     if safety_margin > 0:
         pairs = pairs.where((d > F.col("r_min") + safety_margin) & (d < F.col("r_max") - safety_margin))
     if maximum_distance is not None:
         pairs = pairs.where(d < maximum_distance)
     pairs = with_dot_clearance(pairs)
-    valid = F.filter("solutions", lambda s: geo.solution_usable(s["flags"]))
+    valid = F.filter("solutions", lambda s: s["usable"])
     return (geo.solve_arm(pairs).withColumn("solutions", valid).where(F.size("solutions") > 0)
             .select("pointing_idx", "fiber_id", "target_idx", "x", "y", "dist", "dot_dist", "solutions"))
 
@@ -161,34 +178,35 @@ def colliding_endpoints(edges: DataFrame, near: DataFrame, distance: float) -> D
             .select("pointing_idx", "t1", "t2").distinct())
 
 
-def _neighbour_lists(near: DataFrame) -> DataFrame:
-    return near.groupBy("fiber_id").agg(F.collect_list("neighbour_id").alias("nb"))
-
-
 def colliding_elbows(edges: DataFrame, near: DataFrame, distance: float, arm_length: float) -> DataFrame:
     """(pointing, fiber, target, other_fiber, other_target): the other target sits too near the arm.
 
     Any of the arm's solutions counts. ``arm_length`` is the longest upper arm
-    and sets the cells.
+    and sets the cells. Arms are listed per neighbour and per cell of the box
+    around all their solutions, so a pair of edges meets by pointing, fiber
+    and cell. The point lies in one cell, so each pair is found once.
     """
-    arms = (edges.join(_neighbour_lists(near), "fiber_id")
-            .select("pointing_idx", "fiber_id", "target_idx", F.col("x").alias("tx"), F.col("y").alias("ty"), "nb",
-                    F.explode("solutions").alias("s"))
-            .select(F.col("pointing_idx").alias("p"), "fiber_id", "target_idx", "tx", "ty", "nb",
-                    F.col("s.ex").alias("ex"), F.col("s.ey").alias("ey")))
+    e = F.col("solutions")
+    lo, hi = (lambda axis, k: F.least(F.col(axis), F.array_min(F.transform(e, lambda s: s[k]))),
+              lambda axis, k: F.greatest(F.col(axis), F.array_max(F.transform(e, lambda s: s[k]))))
+    arms = edges.join(near, "fiber_id").select(
+        F.col("pointing_idx").alias("p"), "fiber_id", "target_idx", F.col("neighbour_id").alias("nb"), F.col("x").alias("tx"), F.col("y").alias("ty"),
+        F.transform(e, lambda s: F.struct(s["ex"].alias("ex"), s["ey"].alias("ey"))).alias("elbows"),
+        (lo("x", "ex") - distance).alias("x0"), (hi("x", "ex") + distance).alias("x1"),
+        (lo("y", "ey") - distance).alias("y0"), (hi("y", "ey") + distance).alias("y1"))
     size = max(arm_length, 2 * distance)
-    covers = with_box_cover(arms, F.least("tx", "ex") - distance, F.greatest("tx", "ex") + distance,
-                            F.least("ty", "ey") - distance, F.greatest("ty", "ey") + distance, size, "p")
-    points = with_cell(edges.select("pointing_idx", F.col("fiber_id").alias("other_fiber"),
-                                    F.col("target_idx").alias("other_target"), "x", "y"), "x", "y", size, "pointing_idx")
-    d = geo.point_segment(*(F.col(c) for c in ("x", "y", "tx", "ty", "ex", "ey")))
-    return (cell_join(points, covers).where(F.array_contains("nb", F.col("other_fiber")) & (d < distance))
-            .select("pointing_idx", "fiber_id", "target_idx", "other_fiber", "other_target").distinct())
+    covers = with_box_cover(arms, F.col("x0"), F.col("x1"), F.col("y0"), F.col("y1"), size, "p").drop("p", "x0", "x1", "y0", "y1")
+    points = with_cell(edges.select("pointing_idx", F.col("fiber_id").alias("other_fiber"), F.col("target_idx").alias("other_target"),
+                                    "x", "y"), "x", "y", size, "pointing_idx")
+    hit = F.exists("elbows", lambda s: geo.point_segment(F.col("x"), F.col("y"), F.col("tx"), F.col("ty"), s["ex"], s["ey"]) < distance)
+    met = points.join(covers.withColumnRenamed("nb", "other_fiber"), ["cell", "other_fiber"])
+    return met.where(hit).select("pointing_idx", "fiber_id", "target_idx", "other_fiber", "other_target")
 
 
 def parked_arm(fibers: DataFrame) -> DataFrame:
     """Tip and elbow of each arm at its home position (park_x, park_y, park_ex, park_ey)."""
-    x, y = geo.arm_position(F.lit(0.0), F.lit(1e-5))
+    home = F.greatest(F.lit(-math.pi), F.col("phi_in")) + 1e-5 - F.col("phi_in")
+    x, y = geo.arm_position(F.lit(0.0), home)
     return fibers.withColumns({"park_x": x, "park_y": y, "park_ex": F.col("cx") + F.col("l1") * F.cos("theta0"),
                                "park_ey": F.col("cy") + F.col("l1") * F.sin("theta0")})
 
@@ -201,7 +219,7 @@ def colliding_broken(edges: DataFrame, fibers: DataFrame, near: DataFrame, dista
     beside = near.withColumnsRenamed({"fiber_id": "broken_fiber", "neighbour_id": "fiber_id"}).join(parked, "broken_fiber")
     hit = F.exists("solutions", lambda s: geo.segment_segment(
         F.col("park_x"), F.col("park_y"), F.col("park_ex"), F.col("park_ey"), F.col("x"), F.col("y"), s["ex"], s["ey"]) < distance)
-    return edges.join(beside, "fiber_id").where(hit).select("pointing_idx", "broken_fiber", "fiber_id", "target_idx").distinct()
+    return edges.join(beside, "fiber_id").where(hit).select("pointing_idx", "broken_fiber", "fiber_id", "target_idx")
 
 
 def bright_star_histogram(tips: DataFrame, stars_xy: DataFrame, r_max: float = 10.0, bins: int = 20) -> DataFrame:

@@ -200,13 +200,13 @@ RULES: dict[str, RuleSet] = {
         Rule("bright likely members", "p_member > 0 AND g0 < 20.0", 0),
         Rule("likely members", _member("0.5", "22.5"), 1),
         Rule("possible members", _member("0.0", "22.5"), 4),
-        Rule("horizontal branch", "priority = 9 AND g0 > 19.2 AND g0 < 20 AND gi0 > -0.5 AND gi0 < 0.1", 2),
-        Rule("blue stragglers", "priority = 9 AND g0 >= 21 AND g0 <= 23 AND gi0 >= -0.5 AND gi0 <= 0.2", 3),
+        Rule("horizontal branch", "priority = 9 AND g0 > 19.2 AND g0 < 20 AND gr0 > -0.5 AND gr0 < 0.1", 2),
+        Rule("blue stragglers", "priority = 9 AND g0 >= 21 AND g0 <= 23 AND gr0 >= -0.5 AND gr0 <= 0.2", 3),
         Rule("faint likely members", "priority = -1 AND p_member > 0.0", 5),
-        Rule("blue of the giant branch", "blue_side AND priority = 9 AND g0 > 17.2 AND g0 < 22 AND gi0 > -0.5", 6),
+        Rule("blue of the giant branch", "blue_side AND priority = 9 AND g0 > 17.2 AND g0 < 22 AND gr0 > -0.5", 6),
         _demote("bootes", "priority >= 0 AND p_member > 0"),
-    ), "g0 >= 16 AND g0 <= 23 AND i0 >= 16 AND i0 < 23 AND gi0 >= -0.4 AND gi0 < 2 AND priority >= 0 AND priority <= 9",
-        exposure_sqrt("i0")),
+    ), "g0 >= 16 AND g0 <= 23 AND r0 >= 16 AND r0 < 23 AND gr0 >= -0.4 AND gr0 < 2 AND priority >= 0 AND priority <= 9",
+        exposure_sqrt("r0")),
     "sextans": _rgb_field(
         "sextans", _TWO_STEPS, "g0 > 19.8 AND g0 < 20.5 AND gi0 > -0.7 AND gi0 < 0.1 AND gn0 > -0.1 AND gn0 < 0.1 AND near",
         Wedge((-1.0, -0.2, -0.5, 0.3), (21.5, 23.0)), "g0 >= 16.8 AND g0 <= 18.5 AND gi0 >= 0.75 AND gi0 <= 2.0 AND near",

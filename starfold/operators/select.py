@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.astro import haversine_deg
 from ..functions.nulls import is_true
 from ..session import pin
+from .blocks import cell_join
+from .zonejoin import with_cell, with_cover, zone_height
 
 
 def in_range(c: Column, lo: float | None = None, hi: float | None = None, closed: bool = False) -> Column:
@@ -150,26 +152,19 @@ def in_view(df: DataFrame, pointings: list[dict], radius_deg: float = 0.75,
             pos: tuple[str, str] = ("ra", "dec")) -> DataFrame:
     """One row per (target, pointing) closer than the radius, with the pointing's columns.
 
-    Pointings are survey configuration (tens of rows), so they travel as a
-    literal array: the step is a map over the targets, after a box on
-    declination and right ascension that the scan can use.
+    The circles of the pointings are listed by cell of the sky and joined with
+    the targets' cells; a target meets only pointings near it. The declinations
+    that all pointings span reach the scan.
     """
-    ra, dec = F.col(pos[0]), F.col(pos[1])
-    boxes = []
-    for p in pointings:
-        box = dec.between(p["dec"] - radius_deg, p["dec"] + radius_deg)
-        if abs(p["dec"]) + radius_deg < 90:
-            half = math.degrees(math.asin(math.sin(math.radians(radius_deg)) / math.cos(math.radians(p["dec"])))) + 1e-9
-            if 0 <= p["ra"] - half and p["ra"] + half < 360:
-                box = box & ra.between(p["ra"] - half, p["ra"] + half)
-        boxes.append(box)
-    names = ["pointing_idx", "stage", "priority", "ra", "dec", "posang", "nvisits", "nrepeats", "exp_time"]
-    items = F.array(*[F.struct(*[F.lit(p.get(n)).alias(n) for n in names]) for p in pointings])
-    near = F.filter(items, lambda p: haversine_deg(ra, dec, p["ra"], p["dec"]) < radius_deg)
-    out = df.where(any_of(boxes)).withColumn("_p", F.explode(near))
-    return out.withColumns({"pointing_idx": F.col("_p.pointing_idx"), "stage": F.col("_p.stage"),
-                            "p_ra": F.col("_p.ra"), "p_dec": F.col("_p.dec"),
-                            "p_posang": F.col("_p.posang")}).drop("_p")
+    ra, dec = pos
+    names = ["pointing_idx", "stage", "ra", "dec", "posang"]
+    kinds = "pointing_idx int, stage int, p_ra double, p_dec double, p_posang double"
+    rows = [tuple(p.get(n) if n in ("pointing_idx", "stage") else float(p.get(n) or 0.0) for n in names) for p in pointings]
+    views = df.sparkSession.createDataFrame(rows, kinds)
+    h = zone_height(radius_deg)
+    span = F.col(dec).between(min(p["dec"] for p in pointings) - radius_deg, max(p["dec"] for p in pointings) + radius_deg)
+    met = cell_join(with_cell(df.where(span), ra, dec, h), with_cover(views, "p_ra", "p_dec", h, radius_deg))
+    return met.where(haversine_deg(F.col(ra), F.col(dec), F.col("p_ra"), F.col("p_dec")) < radius_deg)
 
 
 def forbidden(df: DataFrame, key: str, listed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -204,6 +199,9 @@ class FieldCuts:
     bright: float = 16.0
     faint: float = 23.5
     red_bright_offset: float | None = None
+    color: str = "gi0"         # columns of the field's color and red magnitude
+    red: str = "i0"
+    point: bool = True         # whether the field's selection asks for point sources
 
 
 # Selection limits per field.
@@ -212,17 +210,17 @@ FIELD_CUTS: dict[str, FieldCuts] = {
                                          dict(line=(-0.25, -0.15)))),
     "draco": FieldCuts((0.0, 2.0), (dict(gi=(0.0, 0.5)), dict(gn=(0.05, None), gi=(None, 1.65)),
                                     dict(line=(-0.25, -0.16)))),
-    "bootes": FieldCuts((0.1, 1.5)),
+    "bootes": FieldCuts((0.1, 1.5), bright=17.0, faint=23.0, color="gr0", red="r0", point=False),
     "sextans": FieldCuts((0.12, 2.0), (dict(gi=(0.12, 0.5)), dict(gn=(0.2, None), gi=(None, 1.8)),
                                        dict(line=(-0.25, -0.10))), red_bright_offset=1.5),
     "fornax": FieldCuts((0.12, 2.5), (dict(gi=(None, 0.0)), dict(line=(0.25, 0.2), gi=(0.1, 1.5)),
-                                      dict(line=(-0.33, -0.66), gi=(1.5, None)))),
+                                      dict(line=(-0.33, -0.66), gi=(1.5, None))), faint=23.0, point=False),
     "sculptor": FieldCuts((0.12, 2.0), (dict(gi=(0.12, 0.5)), dict(gn=(0.1, None), gi=(None, 2.0)),
-                                        dict(line=(-0.25, -0.15)))),
+                                        dict(line=(-0.25, -0.15))), point=False),
     "ngc6822": FieldCuts((None, 2.75), (dict(gi=(None, 0.0)), dict(line=(0.25, 0.25), gi=(0.1, 1.5)),
-                                        dict(line=(-0.33, -0.62), gi=(1.5, None)))),
+                                        dict(line=(-0.33, -0.62), gi=(1.5, None))), bright=18.0, faint=23.0, point=False),
     "m31": FieldCuts((0.95, 4.0), (dict(gi=(0.12, 0.5)), dict(gn=(0.05, None), gi=(None, 4.0))),
-                     bright=19.0, faint=30.0),
+                     bright=19.0, faint=30.0, point=False),
 }
 
 

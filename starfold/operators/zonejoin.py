@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.astro import haversine_deg
 from ..session import cut
-from .blocks import cell_join, find_hot
+from .blocks import cell_join
 
 ARCSEC = 1.0 / 3600.0
 MIN_HEIGHT = 5.0 * ARCSEC
@@ -88,38 +88,43 @@ def _sides(left: DataFrame, right: DataFrame, radius_deg: float, explode: str, h
     return with_cell(left, "l_ra", "l_dec", h), with_cover(right, "r_ra", "r_dec", h, radius_deg)
 
 
-def _exact(points: DataFrame, covers: DataFrame, radius_deg: float, closed: bool, split: list | None) -> DataFrame:
+def _exact(points: DataFrame, covers: DataFrame, radius_deg: float, closed: bool) -> DataFrame:
     near = F.abs(F.col("l_dec") - F.col("r_dec")) <= radius_deg + _PAD
     sep = haversine_deg(*(F.col(c) for c in ("l_ra", "l_dec", "r_ra", "r_dec"))) * 3600.0
     limit = radius_deg * 3600.0
-    pairs = cell_join(points, covers, split).where(near).withColumn("sep", sep)
+    pairs = cell_join(points, covers).where(near).withColumn("sep", sep)
     return pairs.where(F.col("sep") <= limit if closed else F.col("sep") < limit)
 
 
 def _pairs(left: DataFrame, right: DataFrame, radius_deg: float, closed: bool, explode: str) -> DataFrame:
     """Pairs of slim sides (``l_*`` and ``r_*`` columns) within the radius, with ``sep`` in arcsec."""
-    return _exact(*_sides(left, right, radius_deg, explode, zone_height(radius_deg)), radius_deg, closed, None)
+    return _exact(*_sides(left, right, radius_deg, explode, zone_height(radius_deg)), radius_deg, closed)
 
 
 _FINER = 16.0     # a crowded search starts in cells this much smaller
-_FINEST = 3       # refinements at most; then hot cells are only split into blocks
+CROWD = 10_000    # right rows in a cell from which a narrower search comes first
+_FINEST = 4e-7    # degrees: cells are not made smaller than about a milliarcsecond
 
 
-def _nearest(left: DataFrame, right: DataFrame, radius_deg: float, closed: bool, explode: str, h: float, depth: int = 0) -> DataFrame:
-    """(l_id, m.sep, m.r_id) of the closest right row.
+def _nearest(left: DataFrame, right: DataFrame, radius_deg: float, closed: bool, explode: str, h: float) -> DataFrame:
+    """(l_id, m.sep, m.r_id) of the closest right row; right rows have positions of their own.
 
-    Where cells are crowded, a narrower circle in smaller cells is tried first:
-    what it finds is the closest there is, and only the rest searches on.
+    Right rows are counted in every cell. Left rows whose cells are crowded try
+    a narrower circle in smaller cells first: what they find is the closest
+    there is, and only the rest searches on. The counts stay distributed; only
+    the largest of them is looked at.
     """
     points, covers = _sides(left, right, radius_deg, explode, h)
-    split = find_hot(points, covers)
-    found = None
-    if split and depth < _FINEST:
-        small = h / _FINER
-        found = cut(_nearest(left, right, min(radius_deg, small / 4.0), closed, explode, small, depth + 1))
+    targets, searchers = (points, covers) if explode == "left" else (covers, points)
+    counts = targets.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    found, small = None, h / _FINER
+    if small >= _FINEST and (counts.agg(F.max("n")).first()[0] or 0) > CROWD:
+        crowded = counts.where(F.col("n") > CROWD).select("cell")
+        busy = searchers.join(crowded, "cell", "left_semi").select(*left.columns).distinct()
+        found = cut(_nearest(cut(busy), right, min(radius_deg, small / 4.0), closed, explode, small))
         left = left.join(found.select("l_id"), "l_id", "left_anti")
         points, covers = _sides(left, right, radius_deg, explode, h)
-    best = _exact(points, covers, radius_deg, closed, split).groupBy("l_id").agg(F.min(F.struct("sep", "r_id")).alias("m"))
+    best = _exact(points, covers, radius_deg, closed).groupBy("l_id").agg(F.min(F.struct("sep", "r_id")).alias("m"))
     return best if found is None else found.unionByName(best)
 
 

@@ -37,12 +37,12 @@ SQL: dict[str, str] = {
     "cal": f"""SELECT c_custkey AS targetid, {_pos('id')} FROM (SELECT c_custkey,
         CASE WHEN c_custkey%3=0 THEN c_custkey*10+1+c_custkey%7 ELSE 20000000+c_custkey END AS id FROM {{customer}}) c""",
     "sky": f"SELECT 30000000+p_partkey AS targetid, {_pos('30000000+p_partkey')} FROM {{part}}",
-    "fibers": """SELECT CAST(p_partkey AS INT) AS fiber_id, 8e0*((p_partkey*17)%50)-1.96e2 AS cx,
+    "fibers": """SELECT CAST(p_partkey AS INT) AS fiber_id, 8e0*((p_partkey*17)%50)-1.96e2 + 5e2*((p_partkey-p_partkey%2050)/2.05e3) AS cx,
         8e0*((p_partkey*29)%41)-1.6e2 AS cy, CAST(p_partkey%4+1 AS INT) AS spectrograph_id,
         CASE WHEN p_partkey%40=7 THEN 4 ELSE 0 END AS status,
-        2.375e0 AS l1, 2.375e0 AS l2, -3.141592653589793e0 AS phi_in, -1e-3 AS phi_out,
+        2.375e0 AS l1, 2.375e0 AS l2, CASE WHEN p_partkey%3=0 THEN -3.6e0 ELSE -3.141592653589793e0 END AS phi_in, CASE WHEN p_partkey%5=0 THEN 4e-1 ELSE -1e-3 END AS phi_out,
         (p_partkey%63)/1e1 AS theta0, (p_partkey%63)/1e1+3e-1 AS theta1, 3e-1 AS r_min, 4.75e0 AS r_max
-        FROM {part} WHERE p_partkey<2050""",
+        FROM {part}""",
     "list_a": f"""SELECT targetid, ra, dec, g, CAST(targetid%10 AS DOUBLE) AS priority,
         CAST(1800*(1+targetid%6) AS DOUBLE) AS exp_time FROM (SELECT id AS targetid, {_pos('id')}, {_G} AS g
         FROM ({_STARS}) s) h WHERE targetid%3<>0""",
@@ -56,6 +56,9 @@ SQL: dict[str, str] = {
         FROM {part} CROSS JOIN (VALUES (0),(1),(2)) v(pos)""",
 }
 
+# Fibers sit on a grid of 50 x 41 places; when it is full the next plane begins 500 mm beside it, out of the
+# targets' view but in all joins.
+
 # Stars with four simulated populations; the array constructor differs by engine.
 _SIM_GI = [f"1e-1+((l_orderkey*{a}+l_linenumber*{b})%1900)/1e3" for a, b in ((37, 11), (41, 13), (43, 17), (47, 19))]
 _SIM_G = [f"1.7e1+((l_orderkey*{a}+l_linenumber*{b})%6500)/1e3" for a, b in ((53, 23), (59, 29), (61, 31), (67, 37))]

@@ -61,25 +61,36 @@ class TextLayout:
     skip: int = 0
 
 
-def _layout(text: str) -> tuple[tuple[str, str], ...]:
-    return tuple((n, t or "double") for n, _, t in (w.partition(":") for w in text.split()))
-
-
 # Column order of the known text catalogs.
 LAYOUTS: dict[str, TextLayout] = {
-    "hsc_g_i_nb": TextLayout(_layout(
-        "ID:bigint RA Dec X Y ipsf gpsf npsf ipsferr gpsferr npsferr cli clg cln a_g a_i a_n")),
-    "hsc_g_i_nb_old": TextLayout(_layout(
-        "ID:bigint RA Dec X Y ipsf gpsf npsf ipsferr gpsferr npsferr cli clg cln a_i a_g a_n")),
-    "cfht_g_r": TextLayout(_layout(
-        "ID:bigint RA Dec obs_sdss_g obs_sdss_r err_sdss_g err_sdss_r ext_sdss_g ext_sdss_r")),
-    "hsc_g_i2_nb_csv": TextLayout(_layout(
-        "RA Dec xi eta gpsf ipsf npsf gpsferr ipsferr npsferr clg cli cln EBV a_g a_i a_n gpsf0 ipsf0 nb515psf0"),
-        delimiter=",", skip=1),
-    "ps1_grizy_csv": TextLayout(_layout(
-        "RA Dec objid:bigint obs_ps1_g err_ps1_g obs_ps1_r err_ps1_r rKmag obs_ps1_i err_ps1_i obs_ps1_z err_ps1_z "
-        "obs_ps1_y err_ps1_y gPSFf rPSFf iPSFf zPSFf Epoch:string coord:string separation "
-        "ext_ps1_g ext_ps1_r ext_ps1_i ext_ps1_z ext_ps1_y"), delimiter=",", skip=1),
+    "hsc_g_i_nb": TextLayout((
+        ("ID", "bigint"), ("RA", "double"), ("Dec", "double"), ("X", "double"), ("Y", "double"), ("ipsf", "double"),
+        ("gpsf", "double"), ("npsf", "double"), ("ipsferr", "double"), ("gpsferr", "double"), ("npsferr", "double"),
+        ("cli", "double"), ("clg", "double"), ("cln", "double"), ("a_g", "double"), ("a_i", "double"), ("a_n", "double"),
+    )),
+    "hsc_g_i_nb_old": TextLayout((
+        ("ID", "bigint"), ("RA", "double"), ("Dec", "double"), ("X", "double"), ("Y", "double"), ("ipsf", "double"),
+        ("gpsf", "double"), ("npsf", "double"), ("ipsferr", "double"), ("gpsferr", "double"), ("npsferr", "double"),
+        ("cli", "double"), ("clg", "double"), ("cln", "double"), ("a_i", "double"), ("a_g", "double"), ("a_n", "double"),
+    )),
+    "cfht_g_r": TextLayout((
+        ("ID", "bigint"), ("RA", "double"), ("Dec", "double"), ("obs_sdss_g", "double"), ("obs_sdss_r", "double"),
+        ("err_sdss_g", "double"), ("err_sdss_r", "double"), ("ext_sdss_g", "double"), ("ext_sdss_r", "double"),
+    )),
+    "hsc_g_i2_nb_csv": TextLayout((
+        ("RA", "double"), ("Dec", "double"), ("xi", "double"), ("eta", "double"), ("gpsf", "double"), ("ipsf", "double"),
+        ("npsf", "double"), ("gpsferr", "double"), ("ipsferr", "double"), ("npsferr", "double"), ("clg", "double"),
+        ("cli", "double"), ("cln", "double"), ("EBV", "double"), ("a_g", "double"), ("a_i", "double"), ("a_n", "double"),
+        ("gpsf0", "double"), ("ipsf0", "double"), ("nb515psf0", "double"),
+    ), delimiter=",", skip=1),
+    "ps1_grizy_csv": TextLayout((
+        ("RA", "double"), ("Dec", "double"), ("objid", "bigint"), ("obs_ps1_g", "double"), ("err_ps1_g", "double"),
+        ("obs_ps1_r", "double"), ("err_ps1_r", "double"), ("rKmag", "double"), ("obs_ps1_i", "double"),
+        ("err_ps1_i", "double"), ("obs_ps1_z", "double"), ("err_ps1_z", "double"), ("obs_ps1_y", "double"),
+        ("err_ps1_y", "double"), ("gPSFf", "double"), ("rPSFf", "double"), ("iPSFf", "double"), ("zPSFf", "double"),
+        ("Epoch", "string"), ("coord", "string"), ("separation", "double"), ("ext_ps1_g", "double"),
+        ("ext_ps1_r", "double"), ("ext_ps1_i", "double"), ("ext_ps1_z", "double"), ("ext_ps1_y", "double"),
+    ), delimiter=",", skip=1),
 }
 
 # Renames of catalogs that come with a header.
@@ -135,7 +146,11 @@ FLUX_STANDARD_MAP = {"fluxstd_id": "targetid", "obj_id": "orig_objid", "ra": "RA
 SKY_MAP = {"sky_id": "targetid", "ra": "RA", "dec": "Dec"}
 
 
-def simulation_columns(mapping: dict[str, str], prefixes: tuple[str, ...] = ("", "obs_", "err_", "flux_", "obs_flux_")) -> dict[str, str]:
+# Families of simulated columns.
+PREFIXES = ("", "obs_", "err_", "flux_", "obs_flux_", "err_flux_", "counts_", "obs_counts_", "err_counts_")
+
+
+def simulation_columns(mapping: dict[str, str], prefixes: tuple[str, ...] = PREFIXES) -> dict[str, str]:
     """Expand a magnitude map over the families of prefixed array columns."""
     return {p + old: p + new for old, new in mapping.items() for p in prefixes}
 
@@ -147,15 +162,22 @@ def read_simulation(spark: SparkSession, path: str, mapping: dict[str, str]) ->
 
 def read_cone(spark: SparkSession, path: str, ra0: float, dec0: float, radius_deg: float,
               pos: tuple[str, str] = ("ra", "dec")) -> DataFrame:
-    """Cone of an all-sky table; the box on the position reaches the Parquet scan."""
-    return cone(spark.read.parquet(path), ra0, dec0, radius_deg, pos)
+    """Cone of a table written by ``write_sky_table``.
+
+    The zones name their limits, so those that the cone can't touch are pruned
+    as partitions; the box on the position reaches the Parquet scan.
+    """
+    sky = spark.read.parquet(path)
+    sky = sky.where((F.col("dec_from") <= dec0 + radius_deg) & (F.col("dec_to") >= dec0 - radius_deg))
+    return cone(sky, ra0, dec0, radius_deg, pos).drop("dec_from", "dec_to")
 
 
 def write_sky_table(df: DataFrame, path: str, height_deg: float = 1.0, dec: str = "dec") -> None:
     """All-sky table partitioned by declination zone and sorted, so that cones read few files."""
-    (df.withColumn("zone", F.floor((F.col(dec) + 90.0) / height_deg).cast("int"))
-     .repartitionByRange("zone", dec).sortWithinPartitions("zone", dec)
-     .write.mode("errorifexists").partitionBy("zone").parquet(path))
+    low = F.floor((F.col(dec) + 90.0) / height_deg) * height_deg - 90.0
+    (df.withColumns({"dec_from": low.cast("double"), "dec_to": (low + height_deg).cast("double")})
+     .repartitionByRange("dec_from", dec).sortWithinPartitions("dec_from", dec)
+     .write.mode("errorifexists").partitionBy("dec_from", "dec_to").parquet(path))
 
 
 def write_preprocessed(df: DataFrame, path: str, photometry: dict | None = None) -> None:

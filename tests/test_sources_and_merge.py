@@ -37,6 +37,10 @@ def test_sky_table_cone_and_partitioned_text(spark, tmp_path):
     want = {x.id for x in df.collect() if abs(x.dec - 20) <= 1 and abs(x.ra - 73.5) <= 1}
     got = {x.id for x in tb.read_cone(spark, str(tmp_path / "sky"), 73.5, 20.0, 1.0).collect()}
     assert got <= want and got
+    plan = tb.read_cone(spark, str(tmp_path / "sky"), 73.5, 20.0, 1.0)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dec_from" in plan
+    near = spark.read.parquet(str(tmp_path / "sky")).where("dec_from <= 21 and dec_to >= 19").select("dec_from").distinct()
+    assert 1 <= near.count() <= 3
     tb.write_partitioned_text(df.withColumn("t", F.col("id") % 3), str(tmp_path / "txt"), ["t"])
     assert spark.read.csv(str(tmp_path / "txt"), header=True).groupBy("t").count().count() == 3
     tb.write_rows(df, str(tmp_path / "rows"), "id < 10")

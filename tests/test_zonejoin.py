@@ -74,24 +74,20 @@ def test_nearest_any_distance_reaches_the_far_side(spark):
     assert zj.nearest_any_distance(small, big.where("id > 5"), "id", "id").count() == 0
 
 
-def test_hot_cells_are_split_without_loss_or_double(spark):
-    # a third of all rows shares one place on each side
-    rows = [(k, 10.0 + (0 if k % 3 == 0 else k * 0.01), 5.0) for k in range(300)]
+def test_many_equally_hot_cells_and_one_hot_cell(spark):
+    # 5000 cells with two rows each side, and one with a third of all rows
+    rows = [(k, (k // 2) * 0.01 if k < 10_000 else 77.0051, 5.0) for k in range(15_000)]
     df = spark.createDataFrame(rows, "id long, ra double, dec double")
     h = zj.zone_height(1 / 3600)
-    p = zj.with_cell(df.select(F.col("id").alias("a"), F.col("ra").alias("x"), F.col("dec").alias("y")), "x", "y", h)
+    p = zj.with_cell(df.where("id < 10000 or id < 10200").select(F.col("id").alias("a"), F.col("ra").alias("x"), F.col("dec").alias("y")), "x", "y", h)
     c = zj.with_cover(df.select(F.col("id").alias("b"), "ra", "dec"), "ra", "dec", h, 1 / 3600)
-    split = blocks.hot_cells(p, c, hot_rows=20, sample=1.0)
-    assert split and max(s[1] for s in split) >= 5 and max(s[2] for s in split) >= 5
-    plain = blocks.cell_join(p, c, []).select("a", "b").collect()
-    cut = blocks.cell_join(p, c, split).select("a", "b").collect()
-    assert sorted(plain) == sorted(cut) and len(set(cut)) == len(cut)
+    met = blocks.cell_join(p, c).where("x = ra and y = dec")
+    n = met.agg(F.count(F.lit(1)), F.count_distinct("a", "b")).first()
+    assert n[0] == n[1] == 5000 * 4 + 200 * 5000
 
 
 def test_crowded_search_is_refined_and_exact(spark, monkeypatch):
-    monkeypatch.setattr(blocks, "SMALL_BYTES", 0)
-    monkeypatch.setattr(blocks, "HOT_ROWS", 20)
-    monkeypatch.setattr(blocks, "SAMPLE", 1.0)
+    monkeypatch.setattr(zj, "CROWD", 20)
     rnd = random.Random(9)
     def crowd(n):
         return [(k, 40.0 + (rnd.uniform(0, 2e-4) if k % 3 else k * 0.003), 20.0 + (rnd.uniform(0, 2e-4) if k % 3 else 0.0)) for k in range(n)]
