@@ -2,9 +2,9 @@
 
 Rules look at simple figures of a text and vote that it is good (1), vote that
 it is bad (-1) or abstain (0). No rule decides alone: expectation-maximisation
-estimates from the votes of all documents how often each rule votes rightly,
-wrongly or not at all for good and for bad texts, and every text gets the
-posterior probability of being good. The votes of k rules have at most 3**k
+estimates from the votes of all documents how often each rule that votes is
+right for good and for bad texts, and every text gets the posterior probability
+of being good. An abstention says nothing. The votes of k rules have at most 3**k
 patterns; the estimation works on the number of documents with each pattern, so
 it costs the same at any size of the corpus.
 
@@ -77,28 +77,26 @@ def default_rules() -> dict[str, Column]:
         "length": vote((words >= 100) & (words <= 100_000), words < 50),
         "word_length": vote((mean >= 3) & (mean <= 10), (mean < 2) | (mean > 14)),
         "symbols": vote(F.col("n_symbols") * 100 <= words, F.col("n_symbols") * 10 > words),
+        "symbol_share": vote(F.col("n_symbols") * 500 <= chars, F.col("n_symbols") * 20 > chars),
         "repeated_lines": vote(F.col("n_dup_lines") * 20 <= F.col("n_lines"), F.col("n_dup_lines") * 10 > F.col("n_lines") * 3),
         "repeated_words": vote(F.col("n_repeat_words") * 20 <= words, F.col("n_repeat_words") * 10 > words * 3),
         "line_ends": vote(share("n_ends", "n_lines") >= 0.5, share("n_ends", "n_lines") < 0.1),
-        "letters": vote(F.col("n_letters") / chars >= 0.85, F.col("n_letters") / chars < 0.6),
+        "letters": vote(F.col("n_letters") / chars >= 0.9, F.col("n_letters") / chars < 0.8),
     }
 
 
 def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) -> tuple[float, list[dict[int, tuple[float, float]]]]:
-    """(share of good texts, for each rule {vote: (P(vote | good), P(vote | bad))}) by expectation-maximisation.
+    """(share of good texts, for each rule {vote: (P(vote | good), P(vote | bad))}, given that it votes) by expectation-maximisation.
 
     ``patterns`` holds each combination of votes and its number of texts. It
     starts from the belief that a rule that votes is right four times of five;
-    a few texts of prior belief keep all probabilities off 0 and 1.
+    a prior belief worth one text of fifty (and ten more) of either kind holds it there
+    where the votes say little, and keeps all probabilities off 0 and 1.
     """
     total = sum(n for _, n in patterns)
     k = len(patterns[0][0]) if patterns else 0
-    prior = 0.8
-    table = []
-    for j in range(k):
-        count = {v: sum(n for p, n in patterns if p[j] == v) for v in (-1, 0, 1)}
-        cast = max((count[1] + count[-1]) / max(total, 1), 1e-9)
-        table.append({1: (cast * 0.8, cast * 0.2), -1: (cast * 0.2, cast * 0.8), 0: (1 - cast + 1e-9, 1 - cast + 1e-9)})
+    belief = 10 + total / 50
+    prior, table = 0.8, [{1: (0.8, 0.2), -1: (0.2, 0.8), 0: (1.0, 1.0)} for _ in range(k)]
     for _ in range(rounds):
         good, sums = 0.0, [{v: [0.0, 0.0] for v in (-1, 0, 1)} for _ in range(k)]
         for p, n in patterns:
@@ -107,11 +105,14 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 200) ->
             for j, v in enumerate(p):
                 sums[j][v][0] += n * q
                 sums[j][v][1] += n * (1 - q)
-        # prior belief of ten texts of either kind, of which a rule judges eight rightly
-        belief = {1: (8.0, 1.0), -1: (1.0, 8.0), 0: (1.0, 1.0)}
-        new = [{v: ((s[v][0] + belief[v][0]) / (good + 10), (s[v][1] + belief[v][1]) / (total - good + 10)) for v in (-1, 0, 1)} for s in sums]
-        moved = max((abs(new[j][v][c] - table[j][v][c]) for j in range(k) for v in (-1, 0, 1) for c in (0, 1)), default=0.0)
-        prior, table = (good + 8) / (total + 10), new
+        new = []
+        for s in sums:
+            right, wrong = ((s[1][c] + (0.8, 0.2)[c] * belief) / (s[1][c] + s[-1][c] + belief) for c in (0, 1))
+            if right < wrong:           # a rule is never taken for the opposite of what it says
+                right = wrong = (s[1][0] + s[1][1] + belief / 2) / (s[1][0] + s[1][1] + s[-1][0] + s[-1][1] + belief)
+            new.append({1: (right, wrong), -1: (1 - right, 1 - wrong), 0: (1.0, 1.0)})
+        moved = max((abs(new[j][1][c] - table[j][1][c]) for j in range(k) for c in (0, 1)), default=0.0)
+        prior, table = (good + 0.8 * belief) / (total + belief), new
         if moved < 1e-9:
             break
     return prior, table
