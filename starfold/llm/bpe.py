@@ -35,7 +35,7 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The printable letter that stands for each byte in the vocabulary file: itself where printable, else from 256 up."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     other = iter(range(256, 512))
@@ -50,7 +50,7 @@ class Encoder:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        letters = _byte_letters()
+        letters = byte_letters()
         back = {c: b for b, c in enumerate(letters)}
         vocab = spec["model"]["vocab"]
         self.bytes_of = [b""] * (max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]) + 1)

@@ -20,6 +20,8 @@ before it (directory entry plus a count within one block) is its place in level
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -29,11 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import checkpoint_dir
+from .bpe import byte_letters
 from .words import chunks
 
 SHARD = 1 << 20        # ids in a shard, about; a longer document makes one of its own
 BLOCK = 512            # bits for each entry of the rank directory
-MEMO = 300_000         # words remembered by a task before it starts anew
+MEMO = 800_000         # words remembered by a task before it starts anew
 END_ID = 1
 
 
@@ -115,20 +118,68 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _after_letter(word: bytes) -> bool:
-    """Ends in a full stop or comma right after a letter; that mark is then a token of its own."""
-    return len(word) > 1 and word[-1] in b".," and (word[-2:-1].isalpha() or word[-2] > 127 and word.decode()[-2].isalpha())
+class Words:
+    """Ids of words by the tokenizers library, each word encoded once and remembered.
 
+    This vocabulary drops white space, so the words of a text are encoded apart.
+    Words of letters below U+0250 without combining marks need no
+    normalisation but lower case, and fall into pieces by a simple pattern; the
+    library's model then gets the pieces as they are. All other words go
+    through the library's whole pipeline.
+    """
 
-def _learn(texts: list[list[bytes]], tokenizer, memo: dict[bytes, bytes]) -> None:
-    """Put all words of some texts into ``memo``. This vocabulary drops white space, so words are encoded apart."""
-    new = {w for words in texts for w in words if w not in memo}
-    tails = [w for w in new if _after_letter(w)]
-    plain = list({w for w in [*(new - set(tails)), *(w[:-1] for w in tails), *(w[-1:] for w in tails)] if w not in memo})
-    for w, e in zip(plain, tokenizer.encode_batch([w.decode() for w in plain], add_special_tokens=False)):
-        memo[w] = np.array(e.ids, dtype="<u4").tobytes()
-    for w in tails:
-        memo[w] = memo[w[:-1]] + memo[w[-1:]]
+    # How a word falls into pieces: fixed by the vocabulary. The blank is only between words here.
+    PATTERN = r" |'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+    ODD = re.compile("[^\x20-\x7e\xa1-\u024f]|<\\||\u0130")
+
+    def __init__(self, path: str):
+        import regex
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        self.whole, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        for t in (self.whole, self.plain):
+            t.no_truncation()
+            t.no_padding()
+        if self.whole.get_vocab_size() > 1 << 16:
+            raise ValueError("ids of this vocabulary need more than two bytes")
+        self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        self.pieces = regex.compile(self.PATTERN).findall
+        self.as_letters = {b: c for b, c in enumerate(byte_letters()) if b != 32}
+        self.memo: dict[bytes, bytes] = {}
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        # lower case is right before composition only if nothing composes
+        words = [(t if b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+        known, missing = self.memo.get, self.memo.keys()
+        new = set().union(*words) - missing
+        if new:
+            self._learn(list(new))
+        return [b"".join(map(known, ws)) for ws in words]
+
+    def _learn(self, new: list[bytes]) -> None:
+        text = b" ".join(new).decode()
+        if self.ODD.search(text):
+            odd = [w for w in new if self.ODD.search(w.decode())]
+            for w, e in zip(odd, self.whole.encode_batch([w.decode() for w in odd], add_special_tokens=False)):
+                self.memo[w] = np.array(e.ids, dtype="<u4").tobytes()
+            new = list(set(new) - set(odd))
+            text = b" ".join(new).decode()
+        if not new:
+            return
+        pieces = self.pieces(text.lower())
+        code = dict.fromkeys(pieces)
+        code.pop(" ", None)
+        some = " ".join(code).encode().decode("latin-1").translate(self.as_letters)
+        e = self.plain.encode_batch([some], add_special_tokens=False)[0]
+        at = (4 * np.searchsorted(np.array(e.word_ids), np.arange(len(code) + 1))).tolist()
+        raw = np.array(e.ids, dtype="<u4").tobytes()
+        code = dict(zip(code, [raw[a:b] for a, b in zip(at, at[1:])]))
+        # ids stay below 2**16, so four set bytes in a row can only be the mark between words
+        code[" "] = b"\xff\xff\xff\xff"
+        self.memo.update(zip(new, b"".join(map(code.__getitem__, pieces)).split(code[" "])))
 
 
 _SHARDS = "part int, seq long, n_docs long, n_tokens long, docs binary, lens binary, codes binary"
@@ -150,16 +201,10 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
     rows = rows.repartitionByRange(n, "id", F.xxhash64("text")).sortWithinPartitions("id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # Spark runs the tasks side by side
-
-        tokenizer, memo = Tokenizer.from_file(path), {}
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        words = Words(path)
         part, seq, ids, coded, size = TaskContext.get().partitionId(), 0, [], [], 0
         end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
@@ -172,12 +217,9 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
 
         for batch in batches:
             for a, b in chunks(batch.column(1), 1 << 20):
-                texts = [t.split() for t in batch.column(1).slice(a, b - a).to_pylist()]
-                if len(memo) > MEMO:
-                    memo.clear()
-                _learn(texts, tokenizer, memo)
-                for i, words in zip(batch.column(0).slice(a, b - a).to_pylist(), texts):
-                    code = b"".join([memo[w] for w in words]) + end
+                texts = batch.column(1).slice(a, b - a).to_pylist()
+                for i, code in zip(batch.column(0).slice(a, b - a).to_pylist(), words.encode(texts)):
+                    code += end
                     ids.append(i)
                     coded.append(code)
                     size += len(code) // 4
