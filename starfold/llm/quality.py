@@ -38,10 +38,11 @@ def figures(docs: DataFrame, text_col: str = "text", keep: list[str] | None = No
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_ends", "n_letters"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in names and c != text_col]
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(*keep, text.alias("_t"))
+    # the kept columns travel in a struct, so that no name can clash with the steps below
+    rows = docs.select(F.struct(*keep, F.lit(0).alias("_")).alias("_keep"), text.alias("_t"))
     words = F.array_remove(F.split("_t", SPACE + "+"), "")
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    rows = pin(rows.select(*keep, "_t", F.transform(words, lambda w: F.xxhash64(w)).alias("_h"), F.length(F.array_join(words, "")).alias("_wc"),
+    rows = pin(rows.select("_keep", "_t", F.transform(words, lambda w: F.xxhash64(w)).alias("_h"), F.length(F.array_join(words, "")).alias("_wc"),
                            lines.alias("_lines")), "_t", "_h", "_wc", "_lines")
     n = F.size("_h")
     # three-word windows; a text without repeats, which is the usual one, stops at the set of them
@@ -55,7 +56,7 @@ def figures(docs: DataFrame, text_col: str = "text", keep: list[str] | None = No
                      | ((i < F.size("_p") - 1) & (F.get(F.col("_p"), i + 1)["h"] == x["h"])))
     covered = F.size(F.array_distinct(F.flatten(F.transform(again, lambda x: F.sequence(x["i"], x["i"] + 2)))))
     return rows.select(
-        *keep, n.cast("long").alias("n_words"), F.col("_wc").cast("long").alias("word_chars"),
+        *[F.col("_keep")[c].alias(c) for c in keep], n.cast("long").alias("n_words"), F.col("_wc").cast("long").alias("word_chars"),
         F.regexp_count("_t", F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.col("_p").isNull(), 0).otherwise(covered).cast("long").alias("n_repeat_words"),

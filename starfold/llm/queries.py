@@ -57,7 +57,19 @@ def op4(spark, sf_dir):
     return licenses.find_licenses(table(spark, sf_dir, "documents"))
 
 
-@query("op5_curriculum_mixing")
+@query("op5_curriculum_mixing", r"""
+    WITH d AS (SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size, md5(text) AS m FROM documents),
+    s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5e0 WHEN 1 THEN 2e0 ELSE 1e0 END AS w
+          FROM d GROUP BY source),
+    r AS (SELECT *, 2e0*source_size AS lim, 1.5e0*(SELECT sum(source_size) FROM s) AS total FROM s),
+    k AS (SELECT *, (total - coalesce(sum(lim) OVER (ORDER BY lim/w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0e0))
+                    / sum(w) OVER (ORDER BY lim/w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r),
+    l AS (SELECT level FROM k WHERE lim/w > level ORDER BY lim/w, source LIMIT 1),
+    t AS (SELECT source, source_size, least(w*coalesce((SELECT level FROM l), 1e300), lim) AS target FROM r),
+    p AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target, CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('0/' || d.doc_id), d.doc_id, d.size, d.m
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS place FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source)
+    SELECT doc_id, source, CAST(size AS BIGINT) AS size, source_size, target, place,
+           CAST(greatest(least(size, floor(target) - place), 0) + greatest(least(size, floor(target) - place - source_size), 0) AS BIGINT) AS taken FROM p""")
 def op5(spark, sf_dir):
     return mixing.line_up(table(spark, sf_dir, "documents"))
 

@@ -184,7 +184,10 @@ def add_columns(docs, text_col: str, keep: list[str], added: list[tuple[str, str
     schema = docs.select(*keep).schema
     for name, kind in added:
         schema = schema.add(name, DataType.fromDDL(kind))
-    src = docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    inner = "_text"
+    while inner in keep:
+        inner += "_"
+    src = docs.select(*keep, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias(inner))
     kinds = {name: to_arrow_type(schema[name].dataType) for name, _ in added}
 
     def run(batches):
