@@ -209,7 +209,22 @@ def _(c):
     return out.select("s_suppkey", "step", r("x").alias("x"), r("y").alias("y"))
 
 
-@check("rw_whitening")
+def _whitening_sql(iterations: int) -> str:
+    """One CTE per iteration: moments of the points kept, then the closed eigen form of a 2x2 matrix."""
+    cuts = [2.0] * (iterations // 2) + [2.8] * (iterations - iterations // 2)
+    ctes, keep = {}, ""
+    for k in range(iterations):
+        ctes[f"m{k}"] = (f"SELECT avg(ra) AS mx, avg(\"dec\") AS my, var_samp(ra) AS cxx, var_samp(\"dec\") AS cyy, covar_samp(ra, \"dec\") AS cxy "
+                         f"FROM hsc{keep}")
+        ctes[f"e{k}"] = (f"SELECT *, (cxx+cyy)/2 + sqrt(power((cxx-cyy)/2, 2) + cxy*cxy) AS big, (cxx+cyy)/2 - sqrt(power((cxx-cyy)/2, 2) + cxy*cxy) AS small, "
+                         f"5e-1*atan2(2*cxy, cxx-cyy) AS ang FROM m{k}")
+        ctes[f"w{k}"] = (f"SELECT targetid, ra, \"dec\", (cos(ang)*(ra-mx) + sin(ang)*(\"dec\"-my))/sqrt(big) AS u, "
+                         f"(cos(ang)*(\"dec\"-my) - sin(ang)*(ra-mx))/sqrt(small) AS v FROM hsc, e{k}")
+        keep = f" WHERE targetid IN (SELECT targetid FROM w{k} WHERE sqrt(u*u+v*v) < {cuts[k]}e0)"
+    return with_("hsc", **ctes) + f"SELECT targetid, {R('u')} AS u, {R('v')} AS v FROM w{iterations - 1}"
+
+
+@check("rw_whitening", _whitening_sql(6))
 def _(c):
     df = c("hsc")
     fit = den.fit_whitening(df, "ra", "dec", iterations=6)

@@ -10,7 +10,7 @@ from ..sources.fixtures import table, with_
 from .maps import _bin
 from .matching import _NEAREST, _ONE, _pairs
 from .reaching import _HEAD, _REACH, edges
-from .registry import HAV, R, check, r
+from .registry import HAV, R, UNIFORM, check, r
 
 C = F.col
 
@@ -176,7 +176,8 @@ for _by, _order, _desc in (("brightness", "g", False), ("priority", "prio", Fals
         FROM (SELECT e.*, h.g, h.clg, CAST(h.targetid%7 AS DOUBLE) AS prio FROM edges e JOIN hsc h ON h.targetid = e.target_idx)""")(_rank)
 
 
-@check("w02_rank_random")
+@check("w02_rank_random", _HEAD + f"""SELECT pointing_idx, fiber_id, target_idx, CAST(row_number() OVER (PARTITION BY pointing_idx, fiber_id
+    ORDER BY {UNIFORM("target_idx || '/3'")}, target_idx) AS INTEGER) AS rank FROM edges""")
 def _(c):
     return asg.rank_candidates(edges(c), "random", seed=3).select("pointing_idx", "fiber_id", "target_idx", "rank")
 
@@ -549,7 +550,10 @@ def _(c):
     return ex.design_rows(_assigned_rows(c), 0x600000000).select("visit_idx", "fiber_id", "obj_id", "tract", "patch", "fiber_status", F.size("fluxes").alias("n_flux"))
 
 
-@check("s21_design_ids")
+@check("s21_design_ids", _AHEAD.rstrip() + f""", h AS (SELECT visit_idx, CAST('0x' || substr(md5(fiber_id || '/' || CAST(round(ra*3.6e6) AS BIGINT) || '/' || CAST(round("dec"*3.6e6) AS BIGINT)), 1, 13) AS UBIGINT) AS v
+    FROM ({_AROWS})), t AS (SELECT visit_idx, CAST(sum(v) AS VARCHAR) || '/' || count(*) AS k, count(*) AS n_fibers FROM h GROUP BY 1),
+    d AS (SELECT *, CAST(CAST('0x' || substr(md5(k), 1, 15) AS UBIGINT) AS BIGINT) AS design_id FROM t)
+    SELECT visit_idx, design_id, printf('%016x', design_id) AS design_hex, n_fibers FROM d""")
 def _(c):
     return ex.design_ids(_assigned_rows(c), ["visit_idx"])
 

@@ -41,6 +41,11 @@ def R(text: str, n: int = 6) -> str:
     return f"(round({text}, {n}) + 0e0)"
 
 
+def UNIFORM(text: str) -> str:
+    """The hashed number in (0, 1) of a text, for the oracle."""
+    return f"((CAST('0x' || substr(md5({text}), 1, 13) AS UBIGINT) + 5e-1)/4.503599627370496e15)"
+
+
 def HAV(ra1: str, dec1: str, ra2: str, dec2: str) -> str:
     """Separation in degrees as oracle text."""
     return (f"degrees(2*asin(sqrt(least(1e0, power(sin(radians({dec2}-({dec1}))/2),2)"

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import columns as col, rules as ru, select as sel, zonejoin as zj
 from ..sources import tables as tb
 from ..sources.fixtures import POINTINGS, table, with_
-from .registry import HAV, R, check, r
+from .registry import HAV, R, UNIFORM, check, r
 
 C = F.col
 
@@ -168,13 +168,15 @@ def _(c):
     return sel.subset(c("list_a"), priority=[1.0, 2.0, 5.0], exp_time=3600.0).select("targetid")
 
 
-@check("f08_probability_sampling")
+@check("f08_probability_sampling", with_("hsc", stars=STARS_SQL) + f"""SELECT targetid, {R('p_member')} AS p_member FROM stars
+    WHERE CASE WHEN p_member > 0 THEN ln(p_member) END > ln({UNIFORM("targetid || '/42'")})""")
 def _(c):
     lp = F.array(F.log(1 - C("p_member")), F.log("p_member"))
     return stars(c).where(sel.probability_sampling(lp, 1, C("targetid"), 42)).select("targetid", r("p_member").alias("p_member"))
 
 
-@check("f09_random_member_mask")
+@check("f09_random_member_mask", with_("hsc", stars=STARS_SQL) + f"""SELECT targetid, [coalesce(1 - p_member > {UNIFORM("targetid || '/42/0'")}, false),
+    coalesce(p_member > {UNIFORM("targetid || '/42/1'")}, false)] AS drawn FROM stars""")
 def _(c):
     p = F.array(1 - C("p_member"), C("p_member"))
     return stars(c).select("targetid", sel.random_mask(p, C("targetid"), 42).alias("drawn"))

@@ -14,7 +14,7 @@ from .select import hashed_uniform
 def rank_candidates(edges: DataFrame, by: str, column: str | None = None, seed: int = 0, descending: bool | None = None) -> DataFrame:
     """Rank each fiber's candidates: ``brightness`` and ``priority`` rise, ``probability`` falls, ``random`` is hashed."""
     if by == "random":
-        edges, column = edges.withColumn("_u", hashed_uniform(F.col("target_idx"), seed)), "_u"
+        edges, column = edges.withColumn("_u", hashed_uniform(F.col("target_idx"), F.lit(seed))), "_u"
     down = by == "probability" if descending is None else descending
     return rank_in_groups(edges, ["pointing_idx", "fiber_id"], column, "target_idx", "rank", down).drop("_u")
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geometry import Whitening, king, sersic
+from ..session import cut
 from .pmap import bin_of
 
 
@@ -35,30 +35,28 @@ def fit_whitening(df: DataFrame, x: str, y: str, iterations: int = 10, r_cut: fl
     elif not isinstance(s_cut, (list, tuple)):
         s_cut = [float(s_cut)] * iterations
     points = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"),
-                       (mask if mask is not None else F.lit(True)).alias("m")).persist(StorageLevel.MEMORY_AND_DISK)
+                       (mask if mask is not None else F.lit(True)).alias("m"))
+    points = cut(points)      # read once more in every iteration, from the shared folder
     px, py = F.col("x"), F.col("y")
     keep = F.col("m")
     if r_cut is not None:
         keep = keep & (px * px + py * py < r_cut**2)
     fit = None
-    try:
-        for it in range(iterations):
-            a = points.where(keep).agg(F.avg("x").alias("mx"), F.avg("y").alias("my"), F.var_samp("x").alias("cxx"),
-                                       F.var_samp("y").alias("cyy"), F.covar_samp("x", "y").alias("cxy"),
-                                       F.count(F.lit(1)).alias("n")).first().asDict()
-            if a["n"] < 2 or a["cxx"] is None:
-                raise ValueError("too few points to whiten")
-            (big, small), (v1, v2) = _eigen(a["cxx"], a["cxy"], a["cyy"])
-            if small <= 0:
-                raise ValueError("points lie on a line")
-            w = (tuple(v / math.sqrt(big) for v in v1), tuple(v / math.sqrt(small) for v in v2))
-            fit = Whitening((a["mx"], a["my"]), w)
-            if callback is not None:
-                callback(it, a, fit)
-            keep = fit.radius(px, py) < float(s_cut[it])
-        return fit
-    finally:
-        points.unpersist()
+    for it in range(iterations):
+        a = points.where(keep).agg(F.avg("x").alias("mx"), F.avg("y").alias("my"), F.var_samp("x").alias("cxx"),
+                                   F.var_samp("y").alias("cyy"), F.covar_samp("x", "y").alias("cxy"),
+                                   F.count(F.lit(1)).alias("n")).first().asDict()
+        if a["n"] < 2 or a["cxx"] is None:
+            raise ValueError("too few points to whiten")
+        (big, small), (v1, v2) = _eigen(a["cxx"], a["cxy"], a["cyy"])
+        if small <= 0:
+            raise ValueError("points lie on a line")
+        w = (tuple(v / math.sqrt(big) for v in v1), tuple(v / math.sqrt(small) for v in v2))
+        fit = Whitening((a["mx"], a["my"]), w)
+        if callback is not None:
+            callback(it, a, fit)
+        keep = fit.radius(px, py) < float(s_cut[it])
+    return fit
 
 
 def radial_profile(df: DataFrame, radius: Column, r_max: float, bins: int, by: list[str] | None = None) -> DataFrame:

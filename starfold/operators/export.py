@@ -96,15 +96,19 @@ def design_rows(assigned: DataFrame, id_prefix: int) -> DataFrame:
 
 
 def design_ids(design: DataFrame, keys: list[str]) -> DataFrame:
-    """Content hash of each design from its fibers and positions.
+    """Content hash of each design from its fibers and their positions in milliarcseconds.
 
     Rows are hashed one by one and added up, so the order does not matter and
     no design has to be gathered in one place.
     """
-    h = F.xxhash64("fiber_id", "ra", "dec")
+    def number(text: Column, digits: int) -> Column:
+        return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("bigint")
+
+    mas = [F.coalesce(F.round(F.col(c) * 3.6e6).cast("bigint").cast("string"), F.lit("")) for c in ("ra", "dec")]
+    h = number(F.concat_ws("/", F.col("fiber_id").cast("string"), *mas), 13)
     folded = F.sum(h.cast("decimal(38,0)"))
     total = design.groupBy(*keys).agg(folded.alias("_s"), F.count(F.lit(1)).alias("n_fibers"))
-    did = F.xxhash64(F.col("_s").cast("string"), "n_fibers")
+    did = number(F.concat_ws("/", F.col("_s").cast("string"), F.col("n_fibers").cast("string")), 15)
     return total.select(*keys, did.alias("design_id"), hex_id(did).alias("design_hex"), "n_fibers")
 
 

@@ -128,9 +128,10 @@ def curve_side(df: DataFrame, x: str, y: str, curve: list[tuple[float, float]],
     return pin(df.select(*kept, is_true(side).alias(name)), name)
 
 
-def hashed_uniform(key: Column, seed: int) -> Column:
-    """A number in (0, 1) that depends on the key and the seed only."""
-    return (F.pmod(F.xxhash64(key, F.lit(seed)), F.lit((1 << 53) - 1)) + 1) / F.lit(float(1 << 53))
+def hashed_uniform(*parts: Column) -> Column:
+    """A number in (0, 1) that depends on the parts only: 52 bits of the MD5 of their texts joined by ``/``."""
+    digest = F.md5(F.concat_ws("/", *[p.cast("string") for p in parts]).cast("binary"))
+    return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint") + 0.5) / F.lit(float(1 << 52))
 
 
 def probability_cut(lp: Column, population: int, limit: float) -> Column:
@@ -139,13 +140,12 @@ def probability_cut(lp: Column, population: int, limit: float) -> Column:
 
 def probability_sampling(lp: Column, population: int, key: Column, seed: int) -> Column:
     """Keep a star with its membership probability."""
-    return is_true(F.get(lp, F.lit(population)) > F.log(hashed_uniform(key, seed)))
+    return is_true(F.get(lp, F.lit(population)) > F.log(hashed_uniform(key, F.lit(seed))))
 
 
 def random_mask(p: Column, key: Column, seed: int) -> Column:
     """One hashed Bernoulli draw per population."""
-    return F.transform(p, lambda v, k: F.coalesce(
-        v > (F.pmod(F.xxhash64(key, F.lit(seed), k), F.lit((1 << 53) - 1)) + 1) / F.lit(float(1 << 53)), F.lit(False)))
+    return F.transform(p, lambda v, k: F.coalesce(v > hashed_uniform(key, F.lit(seed), k), F.lit(False)))
 
 
 def in_view(df: DataFrame, pointings: list[dict], radius_deg: float = 0.75,
