@@ -32,12 +32,13 @@ def _(c):
 
 
 _T0 = """SELECT 'cal' AS key, targetid, ra, dec, 'cal' AS prefix, NULL::DOUBLE AS pmra, NULL::DOUBLE AS exp_time, NULL::DOUBLE AS priority, 'cal' AS class,
-    row_number() OVER (ORDER BY targetid) - 1 AS idx FROM cal"""
+    row_number() OVER (ORDER BY targetid) - 1 AS idx, 7 AS cost FROM cal"""
 
 
 def _step(k: int, lst: str, epoch_pm: str) -> dict[str, str]:
     """One merge step as CTEs: pairs, one-to-one matches, update, append."""
     lab = "'sci_P' || CAST(CAST(n.priority AS BIGINT) AS VARCHAR)"
+    cost = "1000 - 100*CAST(n.priority AS INTEGER)"
     low = "(n.targetid IS NOT NULL AND (t.priority IS NULL OR n.priority < t.priority))"
     return {
         f"l{k}": f"SELECT *, {epoch_pm} AS pmra FROM {lst}",
@@ -48,24 +49,38 @@ def _step(k: int, lst: str, epoch_pm: str) -> dict[str, str]:
             CASE WHEN n.targetid IS NOT NULL AND t.pmra IS NULL THEN n.pmra ELSE t.pmra END AS pmra,
             CASE WHEN n.targetid IS NOT NULL THEN greatest(t.exp_time, n.exp_time) ELSE t.exp_time END AS exp_time,
             CASE WHEN {low} THEN n.priority ELSE t.priority END AS priority,
-            CASE WHEN {low} AND t.prefix = 'sci' THEN {lab} ELSE t.class END AS class, t.idx
+            CASE WHEN {low} AND t.prefix = 'sci' THEN {lab} ELSE t.class END AS class, t.idx,
+            CASE WHEN n.targetid IS NOT NULL THEN greatest(t.cost, {cost}) ELSE t.cost END AS cost
             FROM t{k - 1} t LEFT JOIN o{k} o ON o.rid = t.idx LEFT JOIN l{k} n ON n.targetid = o.lid
             UNION ALL SELECT '{lst}', n.targetid, n.ra, n.dec, 'sci', n.pmra, n.exp_time, n.priority, {lab},
-            (SELECT count(*) FROM t{k - 1}) + row_number() OVER (ORDER BY n.targetid) - 1
+            (SELECT count(*) FROM t{k - 1}) + row_number() OVER (ORDER BY n.targetid) - 1, {cost}
             FROM l{k} n WHERE n.targetid NOT IN (SELECT lid FROM o{k})"""}
 
 
 _PM = "CASE WHEN targetid%4=0 THEN (targetid%17)/1e1 END"
 _MERGE = dict(t0=_T0, **_step(1, "list_a", _PM), **_step(2, "list_b", _PM), t3="""SELECT * FROM t2 UNION ALL
-    SELECT 'sky', targetid, ra, dec, 'sky', NULL, NULL, NULL, 'sky', (SELECT count(*) FROM t2) + row_number() OVER (ORDER BY targetid) - 1 FROM sky""")
+    SELECT 'sky', targetid, ra, dec, 'sky', NULL, NULL, NULL, 'sky', (SELECT count(*) FROM t2) + row_number() OVER (ORDER BY targetid) - 1, 3 FROM sky""")
 
 
-def merged(c):
+CLASS_COSTS = {f"sci_P{k}": 1000 - 100 * k for k in range(10)} | {"cal": 7, "sky": 3}
+
+
+def raw_lists(c):
     pm = F.when(C("targetid") % 4 == 0, (C("targetid") % 17) / 10.0)
-    lists = [mg.TargetList("list_a", "sci", c("list_a").withColumns({"pmra": pm, "pmdec": pm})),
-             mg.TargetList("list_b", "sci", c("list_b").withColumns({"pmra": pm, "pmdec": pm})),
-             mg.TargetList("sky", "sky", c("sky")), mg.TargetList("cal", "cal", c("cal"))]
-    return mg.merge_lists(lists, 0x600000000)
+    return [mg.TargetList("list_a", "sci", c("list_a").withColumns({"pmra": pm, "pmdec": pm})),
+            mg.TargetList("list_b", "sci", c("list_b").withColumns({"pmra": pm, "pmdec": pm})),
+            mg.TargetList("sky", "sky", c("sky")), mg.TargetList("cal", "cal", c("cal"))]
+
+
+def merged(c):
+    return mg.merge_lists(raw_lists(c), 0x600000000)
+
+
+@check("plan_import", with_("cal", "sky", "list_a", "list_b", **_MERGE) + "SELECT targetid, idx AS target_idx, class, priority, cost FROM t3")
+def _(c):
+    from ..plans.survey import import_lists
+    targets = import_lists(raw_lists(c), CLASS_COSTS, 0x600000000).targets
+    return targets.select("targetid", "target_idx", "class", "priority", C("non_observation_cost").alias("cost"))
 
 
 @check("u01_merge_lists", with_("cal", "sky", "list_a", "list_b", **_MERGE) + f"""SELECT key, targetid, idx AS target_idx, prefix, {R('pmra')} AS pmra,
