@@ -337,15 +337,19 @@ def _(c):
 @check("v05_objective", with_("hsc", "fibers", **_ASG, got="SELECT target_idx, count(*) AS got FROM a GROUP BY 1",
                               t="""SELECT h.targetid, (h.targetid%4+1)*100 AS cost, (h.targetid%4+1)*1000 AS pcost, 1+h.targetid%3 AS req, coalesce(got, 0) AS got
                                 FROM hsc h LEFT JOIN got g ON g.target_idx = h.targetid""") + f"""
-    SELECT 'non_observation' AS term, CAST(sum(CASE WHEN got = 0 THEN cost ELSE 0 END) AS DOUBLE) AS value FROM t
-    UNION ALL SELECT 'partial_observation', CAST(sum(CASE WHEN got > 0 THEN pcost*greatest(least(req, 2)-got, 0) ELSE 0 END) AS DOUBLE) FROM t
+    SELECT 'non_observation' AS term, CAST(sum(CASE WHEN got = 0 THEN cost ELSE 0 END) AS DOUBLE) AS value FROM t WHERE targetid%4 > 0
+    UNION ALL SELECT 'partial_observation', CAST(sum(CASE WHEN got > 0 THEN pcost*greatest(least(req, 2)-got, 0) ELSE 0 END) AS DOUBLE) FROM t WHERE targetid%4 > 0
+    UNION ALL SELECT 'penalty', CAST(sum(CASE WHEN got > 0 THEN targetid%7 ELSE 0 END) AS DOUBLE) FROM t WHERE targetid%4 > 0
+    UNION ALL SELECT 'calibration', 1e2*((SELECT count(*) FROM (SELECT DISTINCT pointing_idx, target_idx FROM edges WHERE target_idx%4 = 0))
+      - (SELECT count(*) FROM a WHERE target_idx%4 = 0))
     UNION ALL SELECT 'edges', {R('sum(dist)', 4)} FROM a UNION ALL SELECT 'unassigned_fibers', 7e0*((SELECT count(*) FROM fibers)*2 - count(*)) FROM a""")
 def _(c):
     k = C("targetid")
-    t = c("hsc").select(k.alias("target_idx"), (k % 4).cast("int").alias("class"), (1 + k % 3).alias("req_visits"))
+    t = c("hsc").select(k.alias("target_idx"), (k % 4).cast("int").alias("class"), (1 + k % 3).alias("req_visits"), (k % 7).alias("penalty"))
+    seen = edges(c).select(C("pointing_idx").alias("visit_idx"), "target_idx")
     cost, partial = {k: (k + 1) * 100 for k in range(4)}, {k: (k + 1) * 1000 for k in range(4)}
     n = c("fibers").count()
-    out = ve.objective(assignments(c).withColumn("cost", C("dist")), t, cost, partial, n, [0, 1], 7.0, 2)
+    out = ve.objective(assignments(c).withColumn("cost", C("dist")), t, cost, partial, n, [0, 1], 7.0, 2, (0,), seen)
     return out.select("term", r("value", 4).alias("value"))
 
 

@@ -53,13 +53,17 @@ def pick_over_pointings(edges: DataFrame, pointing_idx: list[int], order: list[C
     return out
 
 
-def assign_visit(edges: DataFrame) -> DataFrame:
+def assign_visit(edges: DataFrame, groups: DataFrame | None = None, most: int | None = None) -> DataFrame:
     """Conflict-free pairs of one visit from edges (visit_idx, fiber_id, target_idx, class_cost, cost).
 
     Every round each free fiber names its best free target (highest class cost,
     lowest edge cost, id); a target named by several goes to the cheapest
     fiber. Rounds go on until no edge is left between a free fiber and a free
     target, so no pair could still be added. Each round settles at least one.
+
+    ``groups`` (fiber_id, grp) and ``most`` bound the pairs of each fiber group
+    in a visit; of a round's pairs the cheapest come first, and a full group's
+    fibers leave. A group has the size of the instrument at most.
     """
     done = None
     left = cut(edges.select("visit_idx", "fiber_id", "target_idx", "class_cost", "cost"))
@@ -69,15 +73,37 @@ def assign_visit(edges: DataFrame) -> DataFrame:
                 .select("visit_idx", "fiber_id", F.col("b.target_idx").alias("target_idx"), F.col("b.cost").alias("cost")))
         won = (wish.groupBy("visit_idx", "target_idx").agg(F.min(F.struct("cost", "fiber_id")).alias("b"))
                .select("visit_idx", F.col("b.fiber_id").alias("fiber_id"), "target_idx", F.col("b.cost").alias("cost")))
+        if groups is not None:
+            order = Window.partitionBy("visit_idx", "grp").orderBy("cost", "fiber_id")
+            used = _group_use(done, groups) if done is not None else None
+            won = won.join(groups, "fiber_id", "left").withColumn("_n", F.row_number().over(order))
+            won = won.join(used, ["visit_idx", "grp"], "left") if used is not None else won.withColumn("used", F.lit(0))
+            won = won.where(F.col("grp").isNull() | (F.col("_n") + F.coalesce("used", F.lit(0)) <= most)).select("visit_idx", "fiber_id", "target_idx", "cost")
         won = cut(won)
         done = won if done is None else done.unionByName(won)
-        left = cut(left.join(won.select("visit_idx", "fiber_id"), ["visit_idx", "fiber_id"], "left_anti")
-                   .join(won.select("visit_idx", "target_idx"), ["visit_idx", "target_idx"], "left_anti"))
+        left = (left.join(won.select("visit_idx", "fiber_id"), ["visit_idx", "fiber_id"], "left_anti")
+                .join(won.select("visit_idx", "target_idx"), ["visit_idx", "target_idx"], "left_anti"))
+        if groups is not None:
+            full = _group_use(done, groups).where(F.col("used") >= most).join(groups, "grp")
+            left = left.join(full.select("visit_idx", "fiber_id"), ["visit_idx", "fiber_id"], "left_anti")
+        left = cut(left)
     return done if done is not None else left.select("visit_idx", "fiber_id", "target_idx", "cost")
 
 
-def assign_visits(edges: DataFrame, visits: list[dict], required: DataFrame) -> DataFrame:
-    """Assign visit after visit until each target has its required visits.
+def _group_use(done: DataFrame, groups: DataFrame) -> DataFrame:
+    return done.join(groups, "fiber_id").groupBy("visit_idx", "grp").agg(F.count(F.lit(1)).alias("used"))
+
+
+def short_groups(assigned: DataFrame, groups: DataFrame, visits: list[int], least: int) -> DataFrame:
+    """(visit_idx, grp, used) of the fiber groups below their minimum, empty ones included."""
+    every = groups.select("grp").distinct().withColumn("visit_idx", F.explode(F.array(*[F.lit(v) for v in visits])))
+    return (every.join(_group_use(assigned, groups), ["visit_idx", "grp"], "left").withColumn("used", F.coalesce("used", F.lit(0)))
+            .where(F.col("used") < least).select("visit_idx", "grp", "used"))
+
+
+def assign_visits(edges: DataFrame, visits: list[dict], required: DataFrame, groups: DataFrame | None = None,
+                  most: int | None = None) -> DataFrame:
+    """Assign visit after visit until each target has its required visits; ``groups`` and ``most`` as in ``assign_visit``.
 
     ``edges`` is per pointing; ``required`` holds target_idx and the visits it
     still needs (targets that are not listed need one).
@@ -89,7 +115,7 @@ def assign_visits(edges: DataFrame, visits: list[dict], required: DataFrame) ->
             got = done.groupBy("target_idx").agg(F.sum("n").alias("got"))
             full = got.join(required, "target_idx", "left").where(F.col("got") >= F.coalesce("req_visits", F.lit(1)))
             e = e.join(full.select("target_idx"), "target_idx", "left_anti")
-        mine = assign_visit(e).withColumn("n", F.lit(int(v.get("nrepeats") or 1)))
+        mine = assign_visit(e, groups, most).withColumn("n", F.lit(int(v.get("nrepeats") or 1)))
         done = mine if done is None else cut(done.unionByName(mine))
     return done
 

@@ -118,23 +118,38 @@ def pairs_both_assigned(assignments: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def objective(assignments: DataFrame, targets: DataFrame, class_cost: dict[str, float], partial_cost: dict[str, float],
-              n_fibers: int, visits: list[int], fiber_cost: float = 0.0, max_visits: int = 1) -> DataFrame:
+              n_fibers: int, visits: list[int], fiber_cost: float = 0.0, max_visits: int = 1,
+              calibration: tuple = (), seen: DataFrame | None = None) -> DataFrame:
     """(term, value) of a given assignment.
 
-    Targets never observed cost their class's non-observation cost, targets
-    with missing visits their partial cost per missing visit, edges their own
-    cost, and idle fibers a fixed cost per visit.
+    Science targets never observed cost their class's non-observation cost,
+    those with missing visits their partial cost per missing visit, and
+    observed ones their own ``penalty``, if the column is there. Targets of the
+    classes in ``calibration`` cost their class's non-observation cost in every
+    visit that could see them (``seen``: visit_idx, target_idx) and doesn't.
+    Edges cost their own cost, idle fibers a fixed cost per visit.
     """
     got = assignments.groupBy("target_idx").agg(F.count(F.lit(1)).alias("got"))
-    t = (targets.withColumns({"class_cost": class_lookup(class_cost), "partial_cost": class_lookup(partial_cost)})
-         .where("class_cost IS NOT NULL").join(got, "target_idx", "left").withColumn("got", F.coalesce("got", F.lit(0))))
+    penalty = F.col("penalty") if "penalty" in targets.columns else F.lit(0)
+    known = targets.withColumns({"class_cost": class_lookup(class_cost), "partial_cost": class_lookup(partial_cost), "penalty": penalty})
+    known = known.where("class_cost IS NOT NULL")
+    is_calibration = F.col("class").isin(list(calibration))
+    t = known.where(~is_calibration).join(got, "target_idx", "left").withColumn("got", F.coalesce("got", F.lit(0)))
     missing = F.greatest(F.least(F.col("req_visits"), F.lit(max_visits)) - F.col("got"), F.lit(0))
     costs = t.agg(F.sum(F.when(F.col("got") == 0, F.col("class_cost")).otherwise(0)).cast("double").alias("non_observation"),
-                  F.sum(F.when(F.col("got") > 0, F.col("partial_cost") * missing).otherwise(0)).cast("double").alias("partial_observation"))
+                  F.sum(F.when(F.col("got") > 0, F.col("partial_cost") * missing).otherwise(0)).cast("double").alias("partial_observation"),
+                  F.sum(F.when(F.col("got") > 0, F.col("penalty")).otherwise(0)).cast("double").alias("penalty"))
     edges = assignments.agg(F.coalesce(F.sum("cost"), F.lit(0.0)).alias("edges"),
                             (F.lit(fiber_cost) * (n_fibers * len(visits) - F.count(F.lit(1)))).alias("unassigned_fibers"))
-    terms = costs.unpivot([], ["non_observation", "partial_observation"], "term", "value")
-    return terms.unionByName(edges.unpivot([], ["edges", "unassigned_fibers"], "term", "value"))
+    out = (costs.unpivot([], ["non_observation", "partial_observation", "penalty"], "term", "value")
+           .unionByName(edges.unpivot([], ["edges", "unassigned_fibers"], "term", "value")))
+    if seen is not None:
+        keys = ["visit_idx", "target_idx"]
+        missed = seen.select(*keys).distinct().join(assignments.select(*keys), keys, "left_anti")
+        cost = missed.join(known.where(is_calibration).select("target_idx", "class_cost"), "target_idx")
+        out = out.unionByName(cost.agg(F.coalesce(F.sum("class_cost"), F.lit(0)).cast("double").alias("calibration"))
+                              .unpivot([], ["calibration"], "term", "value"))
+    return out
 
 
 def design_problems(design: DataFrame) -> DataFrame:

@@ -105,3 +105,17 @@ def test_group_quota_keeps_the_best(spark):
 
 def test_ring_seeds_count():
     assert len(assign.ring_seeds()) == 20
+
+
+def test_group_quota_in_the_assignment(spark):
+    rows = [(0, f, t, 1.0, float((f * 7 + t * 3) % 11)) for f in range(12) for t in range(40)]
+    e = spark.createDataFrame(rows, "visit_idx int, fiber_id int, target_idx long, class_cost double, cost double")
+    groups = spark.range(12).select(F.col("id").cast("int").alias("fiber_id"), (F.col("id") % 3).alias("grp"))
+    got = assign.assign_visit(e, groups, 2).collect()
+    per_group = {}
+    for r in got:
+        per_group[r.fiber_id % 3] = per_group.get(r.fiber_id % 3, 0) + 1
+    assert per_group == {0: 2, 1: 2, 2: 2} and len({r.fiber_id for r in got}) == len({r.target_idx for r in got}) == 6
+    short = assign.short_groups(assign.assign_visit(e, groups, 2), groups, [0, 1], 2).collect()
+    assert {(r.visit_idx, r.grp, r.used) for r in short} == {(1, g, 0) for g in range(3)}
+    assert len(assign.assign_visit(e).collect()) == 12
