@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.astro import parse_epoch, separation_arcsec
 from ..functions.nulls import is_true
 from ..functions.photometry import njy_err_to_ab, njy_to_ab
-from ..session import cut
+from ..session import cut, pin
 from .columns import class_label
 from .ids import dense_id, object_id
 from .zonejoin import match_one_to_one
@@ -112,37 +113,73 @@ def append_targets(accepted: DataFrame | None, rows: DataFrame, start: int) -> D
     return numbered if accepted is None else accepted.unionByName(numbered)
 
 
+_UPDATED = ("epoch", "pm", "pmra", "pmdec", "parallax", "exp_time", "priority", "class", "non_observation_cost")
+
+
+def fold_updates(targets: DataFrame, log: DataFrame) -> DataFrame:
+    """Targets after all updates of ``log``, in the order of its ``list_rank``; the same rules as ``update_targets``.
+
+    ``log`` holds target_idx, list_rank, list_prefix and the unified columns of
+    the matched rows. A target has at most one entry per list, so the array
+    that is folded stays short.
+    """
+    kinds = dict(TARGET_SCHEMA)
+    names = [n for n in _UPDATED if n != "class"]
+    entries = log.groupBy("target_idx").agg(F.sort_array(F.collect_list(F.struct("list_rank", "list_prefix", *names))).alias("_log"))
+
+    def step(s: Column, u: Column) -> Column:
+        still = s["pm"].isNull() & (s["pmra"].isNull() | s["pmdec"].isNull())
+        science = u["list_prefix"] == "sci"
+        lower = science & (s["priority"].isNull() | is_true(u["priority"] < s["priority"]))
+        new = {n: F.when(still, u[n]).otherwise(s[n]) for n in ("pm", "pmra", "pmdec", "parallax")}
+        new["epoch"] = F.when(still, F.coalesce(u["epoch"], s["epoch"])).otherwise(s["epoch"])
+        new |= {n: F.when(science, F.greatest(s[n], u[n])).otherwise(s[n]) for n in ("exp_time", "non_observation_cost")}
+        new["priority"] = F.when(lower, u["priority"]).otherwise(s["priority"])
+        relabel = lower & u["priority"].isNotNull() & (F.col("prefix") == "sci")
+        new["class"] = F.when(relabel, class_label(F.col("prefix"), u["priority"])).otherwise(s["class"])
+        return F.struct(*[new[n].cast(kinds[n]).alias(n) for n in _UPDATED])
+
+    state = F.struct(*[F.col(n).alias(n) for n in _UPDATED])
+    folded = pin(targets.join(entries, "target_idx", "left").withColumn("_new", F.when(F.col("_log").isNull(), state).otherwise(F.aggregate("_log", state, step))), "_new")
+    return folded.withColumns({n: F.col("_new")[n] for n in _UPDATED}).select(*targets.columns)
+
+
 def merge_lists(lists: list[TargetList], id_prefix: int = 0, radius_arcsec: float = 0.1,
                 class_costs: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
     """Merge lists into one target table; calibration first, then science, then sky.
 
     Each list is matched with everything accepted before it. Target ids must be
     unique within a list. Returns the targets and the links (key, targetid,
-    target_idx, objid) of every input row. Lists are few; each step ends in a
-    lineage cut, so the plan does not grow with their number.
+    target_idx, objid) of every input row.
+
+    Positions never change, so lists are matched with ids and positions alone;
+    what a list adds and what it updates are kept apart and written once. The
+    updates of all lists are folded in one pass at the end, so the work for a
+    list grows with the list and not with the table.
     """
     ordered = [x for p in ("cal", "sci", "sky") for x in lists if x.prefix == p]
-    accepted, links, count = None, None, 0
-    for x in ordered:
+    parts, log, links, count = [], None, None, 0
+    for rank, x in enumerate(ordered):
         rows = cut(unify(x.data, x.key, x.prefix, class_costs=class_costs))
-        if accepted is None or x.prefix == "sky":
-            new, mine = rows, None
-        else:
-            m = cut(match_one_to_one(rows, accepted, x.radius_arcsec or radius_arcsec, "targetid", "target_idx",
-                                     left_pos=("RA", "Dec"), right_pos=("RA", "Dec"))
-                    .select(F.col("left_id").alias("targetid"), F.col("right_id").alias("target_idx")))
-            accepted = update_targets(accepted, rows.join(m, "targetid"), x.prefix)
-            new = rows.join(m.select("targetid"), "targetid", "left_anti").select(*rows.columns)
-            mine = m
-        appended = cut(dense_id(new, "targetid", "target_idx", count))
+        new, mine = rows, None
+        if parts and x.prefix != "sky":
+            slim = reduce(DataFrame.unionByName, [p.select("target_idx", "RA", "Dec") for p in parts])
+            mine = cut(match_one_to_one(rows, slim, x.radius_arcsec or radius_arcsec, "targetid", "target_idx",
+                                        left_pos=("RA", "Dec"), right_pos=("RA", "Dec"))
+                       .select(F.col("left_id").alias("targetid"), F.col("right_id").alias("target_idx")))
+            new = rows.join(mine.select("targetid"), "targetid", "left_anti").select(*rows.columns)
+            entry = rows.join(mine, "targetid").select("target_idx", F.lit(rank).alias("list_rank"), F.lit(x.prefix).alias("list_prefix"), *_UPDATED)
+            log = entry if log is None else log.unionByName(entry)
+        appended = dense_id(new, "targetid", "target_idx", count)
         count += appended.count()
-        accepted = cut(appended if accepted is None else accepted.unionByName(appended))
+        parts.append(appended)
         got = appended.select("targetid", "target_idx")
         got = got if mine is None else got.unionByName(mine)
         objid = object_id(id_prefix, F.col("target_idx")) if x.prefix == "sci" else F.col("targetid")
         got = got.select(F.lit(x.key).alias("key"), "targetid", "target_idx", objid.alias("objid"))
         links = got if links is None else links.unionByName(got)
-    return accepted, links
+    accepted = reduce(DataFrame.unionByName, parts)
+    return (accepted if log is None else fold_updates(accepted, log)), links
 
 
 def accumulate_visits(targets: DataFrame, assignments: DataFrame, visits: DataFrame) -> DataFrame:
