@@ -363,9 +363,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small = circles.join(classes.select("fp", "n", "toks", "prefix"), "fp").groupBy("circle").applyInArrow(_verify(percent), "a long, b long")
     for found in links:
         small = small.union(found)
-    roots = components(small)
-    rooted = (rows.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    roots = cut(components(small))
+    # cut, so that the joins below have plain inputs and the engine may split the rows of a large group
+    rooted = cut(rows.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
               .select("id", "n", F.when(F.col("n") > 0, F.coalesce("root", "fp")).alias("root")))
-    first_id = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least"))
+    first_id = cut(rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least")))
     return (rooted.join(first_id, "root", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id")))
