@@ -2,7 +2,7 @@
 
 Format: a folder of Parquet files with one row per shard: ``part`` and ``seq``
 (their order is the order of documents), ``n_docs``, ``n_tokens``, ``docs``
-(ids of the shard's documents), ``lens`` (their numbers of tokens, 64-bit
+(ids of the shard's documents), ``known`` (0 where the id is null), ``lens`` (their numbers of tokens, 64-bit
 little-endian) and ``codes``. Parquet is only the envelope that any store and
 committer of Spark can take; ``codes`` holds the ids of all documents of the
 shard one after the other:
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -144,6 +145,9 @@ class Words:
             raise ValueError("ids of this vocabulary need more than two bytes")
         self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         self.pieces = regex.compile(self.PATTERN).findall
+        # the last token of every piece, and no other, is one that ends a word
+        self.last = np.zeros(1 << 16, dtype=bool)
+        self.last[[i for t, i in self.whole.get_vocab().items() if t.endswith("</w>")]] = True
         self.as_letters = {b: c for b, c in enumerate(byte_letters()) if b != 32}
         self.memo: dict[bytes, bytes] = {}
 
@@ -173,16 +177,24 @@ class Words:
         code = dict.fromkeys(pieces)
         code.pop(" ", None)
         some = " ".join(code).encode().decode("latin-1").translate(self.as_letters)
-        e = self.plain.encode_batch([some], add_special_tokens=False)[0]
-        at = (4 * np.searchsorted(np.array(e.word_ids), np.arange(len(code) + 1))).tolist()
-        raw = np.array(e.ids, dtype="<u4").tobytes()
-        code = dict(zip(code, [raw[a:b] for a, b in zip(at, at[1:])]))
+        ids = np.array(self.plain.encode_batch_fast([some], add_special_tokens=False)[0].ids, dtype="<u4")
+        at = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+        raw = ids.tobytes()
+        code = dict(zip(code, [raw[a:b] for a, b in zip([0, *at], at)]))
         # ids stay below 2**16, so four set bytes in a row can only be the mark between words
         code[" "] = b"\xff\xff\xff\xff"
         self.memo.update(zip(new, b"".join(map(code.__getitem__, pieces)).split(code[" "])))
 
 
-_SHARDS = "part int, seq long, n_docs long, n_tokens long, docs binary, lens binary, codes binary"
+def _words(path: str) -> Words:
+    """The words that this Python worker knows already: a worker serves many tasks and keeps them."""
+    kept = sys.__dict__.setdefault("_starfold_words", {})
+    if path not in kept:
+        kept[path] = Words(path)
+    return kept[path]
+
+
+_SHARDS = "part int, seq long, n_docs long, n_tokens long, docs binary, known binary, lens binary, codes binary"
 
 
 def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
@@ -190,8 +202,7 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
     """Encode the texts and write the ids in ascending order of the 64-bit integer ``id_col``.
 
     A null text is an empty one; every document gets ``end_id`` at its end, if
-    given. Rows with the same id are ordered by text; a null id can't be
-    stored and is an error. Other columns are ignored. An empty table writes
+    given. Rows with the same id are ordered by text; null ids come first. Other columns are ignored. An empty table writes
     no shard. Documents are range-partitioned by id, so a hot source or many
     equal texts make no large partition; each partition writes its own shards.
     """
@@ -204,15 +215,16 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # Spark runs the tasks side by side
-        words = Words(path)
+        words = _words(path)
         part, seq, ids, coded, size = TaskContext.get().partitionId(), 0, [], [], 0
         end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
         def shard() -> pa.RecordBatch:
             lens = np.array([len(c) // 4 for c in coded], dtype="<i8")
-            row = (part, seq, len(ids), int(lens.sum()), np.array(ids, dtype="<i8").tobytes(), lens.tobytes(),
+            row = (part, seq, len(ids), int(lens.sum()), np.array([i or 0 for i in ids], dtype="<i8").tobytes(),
+                   bytes(i is not None for i in ids), lens.tobytes(),
                    pack(np.frombuffer(b"".join(coded), dtype="<u4")))
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], [c.split()[0] for c in _SHARDS.split(", ")])
 
         for batch in batches:
@@ -248,17 +260,24 @@ def shards(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(starts, ["part", "seq"])
 
 
+_READ = ("lens", "docs", "known", "codes", "start")
+
+
+def _ids(docs: bytes, known: bytes) -> pa.Array:
+    return pa.array(np.frombuffer(docs, "<i8"), mask=np.frombuffer(known, np.uint8) == 0)
+
+
 def read(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFrame:
     """One row per document in the files: id, ``start``, ``n_tokens`` and ``ids`` (array of long)."""
     def run(batches):
         for batch in batches:
-            for lens, docs, codes, start in zip(*(batch.column(c).to_pylist() for c in ("lens", "docs", "codes", "start"))):
+            for lens, docs, known, codes, start in zip(*(batch.column(c).to_pylist() for c in _READ)):
                 n, code = np.frombuffer(lens, "<i8"), Codes(codes)
                 at = np.concatenate([[0], np.cumsum(n)])
                 values = pa.LargeListArray.from_arrays(at, code.slice(0, len(code)).astype(np.int64)).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(docs, "<i8")), pa.array(start + at[:-1]), pa.array(n), values],
+                yield pa.RecordBatch.from_arrays([_ids(docs, known), pa.array(start + at[:-1]), pa.array(n), values],
                                                  [id_col, "start", "n_tokens", "ids"])
-    return shards(spark, folder).select("lens", "docs", "codes", "start").mapInArrow(
+    return shards(spark, folder).select(*_READ).mapInArrow(
         run, f"`{id_col}` long, start long, n_tokens long, ids array<long>")
 
 
@@ -266,14 +285,14 @@ def digest(spark: SparkSession, folder: str, id_col: str = "doc_id") -> DataFram
     """One row per document in the files: id, ``start``, ``n_tokens``, ``ids_crc32`` of its ids as 32-bit integers."""
     def run(batches):
         for batch in batches:
-            for lens, docs, codes, start in zip(*(batch.column(c).to_pylist() for c in ("lens", "docs", "codes", "start"))):
+            for lens, docs, known, codes, start in zip(*(batch.column(c).to_pylist() for c in _READ)):
                 n, code = np.frombuffer(lens, "<i8"), Codes(codes)
                 at = np.concatenate([[0], np.cumsum(n)])
                 ids = memoryview(code.slice(0, len(code)).astype("<u4").tobytes())
                 crc = [zlib.crc32(ids[4 * a:4 * b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(docs, "<i8")), pa.array(start + at[:-1]), pa.array(n),
+                yield pa.RecordBatch.from_arrays([_ids(docs, known), pa.array(start + at[:-1]), pa.array(n),
                                                   pa.array(crc, pa.int64())], [id_col, "start", "n_tokens", "ids_crc32"])
-    return shards(spark, folder).select("lens", "docs", "codes", "start").mapInArrow(
+    return shards(spark, folder).select(*_READ).mapInArrow(
         run, f"`{id_col}` long, start long, n_tokens long, ids_crc32 long")
 
 
