@@ -40,21 +40,30 @@ def drop_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component of the n-gram join the document with the smallest id stays; of rows with one id, one stays."""
+    """Of every component of the n-gram join the document with the smallest id stays; of rows with one id, one stays.
+
+    Rows without an id can't stand for a group; one of each text stays.
+    """
     classes = ngram_join.jaccard_classes(docs).where("doc_id = component_id").select("doc_id").distinct()
     first = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
-    kept = docs.join(cut(classes), "doc_id", "left_semi").withColumn("_at", F.row_number().over(first))
-    return _columns(kept.where("_at = 1"))
+    kept = _columns(docs).join(cut(classes), "doc_id", "left_semi").withColumn("_at", F.row_number().over(first)).where("_at = 1")
+    return _columns(kept).union(_columns(docs.where("doc_id IS NULL").dropDuplicates(["text"])))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order; one that a target ends in is cut after its last word."""
-    mixed = mixing.schedule(mixing.line_up(docs)).select("doc_id", "source", "size", "round", "taken", "position")
-    full = docs.join(cut(mixed.select("doc_id", "size", "round", "taken", "position")), "doc_id")
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.col("text").cast("binary"))))
+    keyed = _columns(docs).withColumns({"key": key, "words": mixing.word_count(F.col("text"))})
+    lined = mixing.line_up(keyed, id_col="key", size=F.col("words"))
+    # rows with one key are told apart by size; where that is equal too, any of them will do
+    lined = lined.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("size", "place")))
+    mixed = mixing.schedule(lined).select("key", F.col("nth").alias("mth"), "size", "round", "taken", "position")
+    keyed = keyed.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("words", F.xxhash64("text"))))
+    full = keyed.join(cut(mixed), "key").where("nth = mth")
     words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
     text = F.when(F.col("taken") < F.col("size"), F.array_join(F.slice(words, F.lit(1), F.col("taken").cast("int")), " ")).otherwise(F.col("text"))
     full = full.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
-    return _columns(mixing.in_training_order(full))
+    return _columns(mixing.in_training_order(full, "key"))
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,5 +12,7 @@ AWKWARD = [
     (8, "word " * 30_000, "en", "c", 150_000),
     (9, "x" * 200_000, "en", "c", 200_000),
     (10, "L'été, où Ünïcode “naïve” 🙂👍 <|endoftext|> é \x1c 　 don't 123 #$% a\n\nb", "fr", "d", 60),
+    (None, "a text that has no id of its own", "en", None, None),
+    (None, "a text that has no id of its own", "en", None, None),
 ]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"

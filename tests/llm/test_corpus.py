@@ -306,3 +306,14 @@ def test_pipeline(spark):
     assert {r.doc_id: r.n for r in mixed} == {d: n for d, n in line.items() if n}
     assert frames["bpe_encoding"].count() == frames["source_mixing"].count()
     assert corpus_pipeline.run(spark, data).count() == frames["bpe_encoding"].count()
+
+
+def test_pipeline_stages_on_awkward_rows(spark, awkward, empty, tmp_path):
+    labels = [(1, 1), (5, 1), (6, 0), (7, 0), (8, None), (None, 1)]
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for docs in (awkward, empty):
+        for _, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, str(tmp_path))
+            assert out.count() == len(out.collect()) <= 2 * len(AWKWARD)
+    kept = corpus_pipeline.drop_near_duplicates(spark, awkward, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 2, 3, 4, 6, 8, 9, 10]
