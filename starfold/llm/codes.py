@@ -1,7 +1,8 @@
 """Token ids in files of directly addressable codes.
 
 Format: a folder of Parquet files with one row per shard: ``part`` and ``seq``
-(their order is the order of documents), ``n_docs``, ``n_tokens``, ``docs``
+(their order is the order of documents), ``before`` (ids of the part before the
+shard), ``n_docs``, ``n_tokens``, ``docs``
 (ids of the shard's documents), ``known`` (0 where the id is null), ``lens`` (their numbers of tokens, 64-bit
 little-endian) and ``codes``. Parquet is only the envelope that any store and
 committer of Spark can take; ``codes`` holds the ids of all documents of the
@@ -194,7 +195,7 @@ def _words(path: str) -> Words:
     return kept[path]
 
 
-_SHARDS = "part int, seq long, n_docs long, n_tokens long, docs binary, known binary, lens binary, codes binary"
+_SHARDS = "part int, seq long, before long, n_docs long, n_tokens long, docs binary, known binary, lens binary, codes binary"
 
 
 def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
@@ -216,15 +217,15 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # Spark runs the tasks side by side
         words = _words(path)
-        part, seq, ids, coded, size = TaskContext.get().partitionId(), 0, [], [], 0
+        part, seq, before, ids, coded, size = TaskContext.get().partitionId(), 0, 0, [], [], 0
         end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
         def shard() -> pa.RecordBatch:
             lens = np.array([len(c) // 4 for c in coded], dtype="<i8")
-            row = (part, seq, len(ids), int(lens.sum()), np.array([i or 0 for i in ids], dtype="<i8").tobytes(),
+            row = (part, seq, before, len(ids), int(lens.sum()), np.array([i or 0 for i in ids], dtype="<i8").tobytes(),
                    bytes(i is not None for i in ids), lens.tobytes(),
                    pack(np.frombuffer(b"".join(coded), dtype="<u4")))
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], [c.split()[0] for c in _SHARDS.split(", ")])
 
         for batch in batches:
@@ -237,7 +238,7 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
                     size += len(code) // 4
                     if size >= SHARD:
                         yield shard()
-                        seq, ids, coded, size = seq + 1, [], [], 0
+                        seq, before, ids, coded, size = seq + 1, before + size, [], [], 0
         if ids:
             yield shard()
 
@@ -247,17 +248,13 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
 def shards(spark: SparkSession, folder: str) -> DataFrame:
     """The shards of a folder with ``start``, the number of ids before each.
 
-    Partition totals are summed in one task, one row per partition; shards
-    within a partition are numbered on their own.
+    Partition totals are summed in one task and sent to all: one row for each
+    partition of the writer, whatever the number of shards and ids.
     """
     rows = spark.read.schema(_SHARDS).parquet(folder)
     first = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    inner = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.select("part", "seq", "n_tokens")
-    parts = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.coalesce(F.sum("n").over(first), F.lit(0)).alias("base"))
-    starts = (sizes.withColumn("inner", F.coalesce(F.sum("n_tokens").over(inner), F.lit(0))).join(parts, "part")
-              .select("part", "seq", (F.col("base") + F.col("inner")).alias("start")))
-    return rows.join(starts, ["part", "seq"])
+    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("n")).select("part", F.coalesce(F.sum("n").over(first), F.lit(0)).alias("base"))
+    return rows.join(F.broadcast(parts), "part").withColumn("start", F.col("base") + F.col("before")).drop("base")
 
 
 _READ = ("lens", "docs", "known", "codes", "start")
