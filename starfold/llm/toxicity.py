@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut
-from .words import add_columns, chunks, code_points, letters, windows
+from .words import SMALL, add_columns, chunks, code_points, letters, windows
 
 SIZES = (4, 5, 6)
 FIT_TOXIC, FIT_CLEAN = 2000, 6000      # labelled rows of either kind in the sample, about
@@ -57,7 +57,7 @@ def count_trigrams(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     def run(batches):
         table, total = _symbol_table(), np.zeros(RADIX ** 3, dtype=np.int64)
         for batch in batches:
-            for a, b in chunks(batch.column(0)):
+            for a, b in chunks(batch.column(0), SMALL):
                 points, _ = code_points([t.lower() for t in batch.column(0).slice(a, b - a).to_pylist()])
                 s = np.where(letters(points), table[np.minimum(points, (1 << 16) - 1)], 0)
                 total += np.bincount((s[:-2] * RADIX + s[1:-1]) * RADIX + s[2:], minlength=RADIX ** 3)
@@ -265,7 +265,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         def run(batches):
             found, docs_of, times, n, words = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0, 0
             for batch in batches:
-                for a, b in chunks(batch.column(0)):
+                for a, b in chunks(batch.column(0), SMALL):
                     x = Hashed([t.lower() for t in batch.column(0).slice(a, b - a).to_pylist()])
                     n, words = n + b - a, words + int(x.n_words.sum())
                     own, h = x.own, x.hash

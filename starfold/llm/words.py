@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK = 1 << 21  # bytes of text handled at a time; a longer text makes a chunk of its own
+SMALL = 1 << 19  # the same where every character gets several 64-bit numbers
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -194,7 +195,7 @@ def add_columns(docs, text_col: str, keep: list[str], added: list[tuple[str, str
         fn = make()
         for batch in batches:
             texts = batch.column(len(keep))
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, SMALL):
                 values = fn(texts.slice(a, b - a).to_pylist())
                 arrays = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*arrays, *(pa.array(v, kinds[n]) for v, (n, _) in zip(values, added))],
