@@ -534,18 +534,22 @@ def _(c):
     return per_target.select("target_idx", bands["filter_g"].alias("filter_g"), r(bands["psf_flux_g"]).alias("psf_flux_g"), bands["filter_r"].alias("filter_r"))
 
 
-@check("b03_fiber_table", _AHEAD.rstrip() + """, fl AS (SELECT fiber_id, CASE WHEN fiber_id%10 <> 0 THEN fiber_id END AS pid, cx, cy FROM fibers)
-    SELECT f.fiber_id, v.visit_idx, CAST(v.visit_idx + 5 AS INTEGER) AS stage, coalesce(a.target_idx, -1) AS target_idx, coalesce(f.pid, -1) AS positioner_id,
+@check("b03_fiber_table", _AHEAD.rstrip() + """, fl AS (SELECT fiber_id, CASE WHEN fiber_id%10 <> 0 THEN fiber_id END AS pid, cx, cy, spectrograph_id FROM fibers)
+    SELECT f.fiber_id, v.visit_idx, v.visit_idx AS pointing_idx, f.spectrograph_id, CAST(f.fiber_id + 1 AS INTEGER) AS fiber_hole_id,
+      CASE WHEN f.fiber_id%3 = 0 THEN CAST(f.fiber_id//3 AS INTEGER) ELSE -1 END AS science_fiber_id, -1 AS field_id,
+      CASE WHEN a.target_idx IS NOT NULL THEN (round(a.dist, 6) + 0e0) END AS center_dist, CAST(v.visit_idx + 5 AS INTEGER) AS stage, coalesce(a.target_idx, -1) AS target_idx, coalesce(f.pid, -1) AS positioner_id,
       CASE WHEN f.pid IS NULL THEN 5 WHEN a.prefix = 'sci' THEN 1 WHEN a.prefix = 'sky' THEN 2 WHEN a.prefix = 'cal' THEN 3 ELSE 4 END AS target_type,
       CASE WHEN f.pid IS NULL THEN 1 ELSE 7 END AS fiber_status, CASE WHEN a.target_idx IS NULL AND f.pid IS NOT NULL THEN f.cx END AS park
     FROM fl f CROSS JOIN (VALUES (0),(1)) v(visit_idx) LEFT JOIN a ON a.fiber_id = f.fiber_id AND a.visit_idx = v.visit_idx AND f.pid IS NOT NULL""")
 def _(c):
     from ..operators.visits import fiber_table
-    f = c("fibers").select("fiber_id", F.when(C("fiber_id") % 10 != 0, C("fiber_id")).alias("positioner_id"),
+    f = c("fibers").select("fiber_id", F.when(C("fiber_id") % 10 != 0, C("fiber_id")).alias("positioner_id"), "spectrograph_id",
+                           (C("fiber_id") + 1).alias("fiber_hole_id"), F.when(C("fiber_id") % 3 == 0, (C("fiber_id") / 3).cast("int")).alias("science_fiber_id"),
                            C("cx").alias("park_x"), C("cy").alias("park_y"), F.lit(7).alias("fiber_status"))
     a = assignments(c).where("fiber_id % 10 <> 0").withColumns({"x": C("dist"), "y": C("dist"), "dot_dist": C("dist")})
     t = fiber_table(f, a, [dict(visit_idx=0, pointing_idx=0, stage=5), dict(visit_idx=1, pointing_idx=1, stage=6)])
-    return t.select("fiber_id", "visit_idx", "stage", "target_idx", "positioner_id", "target_type", "fiber_status",
+    return t.select("fiber_id", "visit_idx", "pointing_idx", "spectrograph_id", "fiber_hole_id", "science_fiber_id", "field_id",
+                    r("center_dist").alias("center_dist"), "stage", "target_idx", "positioner_id", "target_type", "fiber_status",
                     F.when(C("target_idx") == -1, C("fp_x")).alias("park"))
 
 

@@ -71,11 +71,16 @@ def fiber_state(status: Column, blocked: Column) -> Column:
             .when(broken, F.lit(BROKEN_FIBER)).otherwise(F.lit(GOOD)))
 
 
+# Numbers of a fiber's parts beside its own and its positioner's.
+HARDWARE_IDS = ("science_fiber_id", "field_id", "fiber_hole_id", "spectrograph_id")
+
+
 def fiber_table(fibers: DataFrame, assignments: DataFrame, visits: list[dict]) -> DataFrame:
     """Every fiber of every visit: assigned, unassigned (parked) or engineering.
 
     ``fibers`` holds fiber_id, positioner_id (NULL for engineering fibers),
-    park_x, park_y, fiber_status; ``assignments`` holds visit_idx, fiber_id,
+    park_x, park_y, fiber_status and any of ``HARDWARE_IDS``, which come along
+    (-1 where unknown); ``assignments`` holds visit_idx, fiber_id,
     target_idx, prefix, x, y, dist, dot_dist.
     """
     items = F.array(*[F.struct(F.lit(v["visit_idx"]).alias("visit_idx"), F.lit(v["pointing_idx"]).alias("pointing_idx"),
@@ -89,6 +94,7 @@ def fiber_table(fibers: DataFrame, assignments: DataFrame, visits: list[dict]) -
         "fiber_id", "stage", "pointing_idx", "visit_idx",
         F.coalesce("target_idx", F.lit(-1)).cast("long").alias("target_idx"),
         F.coalesce("positioner_id", F.lit(-1)).cast("int").alias("positioner_id"),
+        *[F.coalesce(F.col(n) if n in fibers.columns else F.lit(None), F.lit(-1)).cast("int").alias(n) for n in HARDWARE_IDS],
         F.when(taken, F.col("x")).when(~engineering, F.col("park_x")).alias("fp_x"),
         F.when(taken, F.col("y")).when(~engineering, F.col("park_y")).alias("fp_y"),
         target_type_code(kind).alias("target_type"),
