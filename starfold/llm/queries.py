@@ -17,7 +17,17 @@ def op1(spark, sf_dir):
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
 
 
-@query("op6_ngram_jaccard_join")
+@query("op6_ngram_jaccard_join", r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)]
+                                              WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS sh FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY 1, 2),
+    e AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100*shared >= 80*(na.n + nb.n - shared)),
+    l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+    r(doc_id, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.seen)
+    SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(seen) AS component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id""")
 def op6(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
