@@ -41,8 +41,9 @@ MOST_COUNTED = 5                       # occurrences of a run counted in one doc
 LOOKS_LIKE = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 SYMBOLS = "abcdefghijklmnopqrstuvwxyzàáâäçèéêëíîïñóôöùúûüß"
 RADIX = len(SYMBOLS) + 2               # 0: word edge, last: any other letter
-LONGEST = 48                           # characters of a token searched in one piece; a longer one is searched piece by piece
+LONGEST = 48                           # characters of a token whose result is remembered; longer ones are searched each time
 OTHER_COST, RUN_COST, GAP_COST = 1.5, 0.5, 0.5      # of a sign read as a letter, a run shortened, a gap dropped
+KEPT_COST = 4.0                        # of a sign kept inside a word
 
 
 def _symbol_table() -> np.ndarray:
@@ -89,54 +90,87 @@ class Decoder:
     """Viterbi search over character lattices."""
 
     def __init__(self, model: np.ndarray):
-        self.p, self.table, self.memo = model, {c: i + 1 for i, c in enumerate(SYMBOLS)}, {}
+        self.p, self.table, self.memo = model.ravel().tolist(), {c: i + 1 for i, c in enumerate(SYMBOLS)}, {}
 
     @staticmethod
     def lattice(token: str) -> list[list[tuple[str, float]]]:
-        """Places of a token, each with its alternatives (text, cost)."""
-        out, i = [], 0
+        """Places of a token, each with its alternatives (text, cost). Equal places are one list."""
+        out, i, known = [], 0, {}
         spaced = re.fullmatch(r"\S(?:[ .\-_*]{1,2}\S)+", token) is not None
         while i < len(token):
             c, j = token[i], i + 1
             while j < len(token) and token[j] == c:
                 j += 1
             n = j - i
-            if spaced and c in " .-_*":
-                out.append([("", GAP_COST)])
-            elif c in LOOKS_LIKE:
-                some = [(c * n, 0.0)]
-                for x in LOOKS_LIKE[c]:
-                    some += [(x * n, OTHER_COST * n)] + ([(x, OTHER_COST * n + RUN_COST)] if n > 1 else [])
-                out.append(some)
-            elif n >= 3:
-                out.append([(c * n, 0.0), (c, RUN_COST), (c * 2, RUN_COST)])
-            else:
-                out.append([(c * n, 0.0)])
+            if (c, n) not in known:
+                if spaced and c in " .-_*":
+                    some = [("", GAP_COST)]
+                elif c in LOOKS_LIKE:
+                    some = [(c * n, 0.0)]
+                    for x in LOOKS_LIKE[c]:
+                        some += [(x * n, OTHER_COST * n)] + ([(x, OTHER_COST * n + RUN_COST)] if n > 1 else [])
+                elif n >= 3:
+                    some = [(c * n, 0.0), (c, RUN_COST), (c * 2, RUN_COST)]
+                else:
+                    some = [(c * n, 0.0)]
+                known[c, n] = some
+            out.append(known[c, n])
             i = j
         return out
 
     def restore(self, token: str) -> str:
+        if len(token) > LONGEST:
+            return self._search(token)
         if token not in self.memo:
             if len(self.memo) > 100_000:
                 self.memo.clear()
-            self.memo[token] = "".join(self._search(token[k:k + LONGEST]) for k in range(0, len(token), LONGEST))
+            self.memo[token] = self._search(token)
         return self.memo[token]
 
+    def _read(self, a: int, b: int, text: str) -> tuple[int, int, float]:
+        """The last two symbols and the log probability after ``text``, which repeats one character."""
+        if not text:
+            return a, b, 0.0
+        z = self.table.get(text[0], RADIX - 1 if text[0].isalpha() else 0)
+        s, n = self.p[(a * RADIX + b) * RADIX + z], len(text)
+        if n > 1:
+            s, a, b = s + self.p[(b * RADIX + z) * RADIX + z] + (n - 2) * self.p[(z * RADIX + z) * RADIX + z], z, z
+        else:
+            a, b = b, z
+        return a, b, s if z else s - KEPT_COST * n
+
     def _search(self, token: str) -> str:
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        """The best path through all places. Each place keeps for each state the state before and the choice; where
+        only one state is left, the text up to there is settled and the pointers go."""
+        keys, scores, out, back = [(0, 0)], [0.0], [], []
+
+        def settle(state: int):
+            path = []
+            for place, pointers in reversed(back):
+                path.append(place[pointers[2 * state + 1]][0])
+                state = pointers[2 * state]
+            out.extend(reversed(path))
+            back.clear()
+
         for place in self.lattice(token):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in states.items():
-                for more, cost in place:
-                    x, y, s = a, b, score - cost
-                    for c in more:
-                        z = self.table.get(c, RADIX - 1 if c.isalpha() else 0)
-                        s += float(self.p[x, y, z]) if z else float(self.p[x, y, 0]) - 4.0     # a sign kept inside a word
-                        x, y = y, z
-                    if (x, y) not in after or s > after[x, y][0]:
-                        after[x, y] = (s, text + more)
-            states = after
-        return max(((s + float(self.p[a, b, 0]), t) for (a, b), (s, t) in states.items()))[1]
+            after: dict[tuple[int, int], int] = {}
+            new, pointers = [], bytearray()
+            for i, ((a, b), score) in enumerate(zip(keys, scores)):
+                for k, (more, cost) in enumerate(place):
+                    x, y, s = self._read(a, b, more)
+                    s += score - cost
+                    at = after.setdefault((x, y), len(new))
+                    if at == len(new):
+                        new.append(s)
+                        pointers += bytes((i, k))
+                    elif s > new[at]:
+                        new[at], pointers[2 * at], pointers[2 * at + 1] = s, i, k
+            keys, scores = list(after), new
+            back.append((place, bytes(pointers)))
+            if len(keys) == 1:
+                settle(0)
+        settle(max(range(len(keys)), key=lambda i: scores[i] + self.p[(keys[i][0] * RADIX + keys[i][1]) * RADIX]))
+        return "".join(out)
 
 
 _SIGN = np.zeros(1 << 16, dtype=bool)

@@ -254,6 +254,25 @@ def test_viterbi_takes_the_best_path():
         assert abs(cost(best) - max(cost(c) for c in every if "".join(t for t, _ in c) == d.restore(token))) < 1e-4
 
 
+def word_model(word):
+    """A trigram model that has seen one word only."""
+    s = [0, *(toxicity.SYMBOLS.index(c) + 1 for c in word), 0, 0]
+    counts = np.zeros((toxicity.RADIX,) * 3)
+    for a, b, c in zip([0, *s], s, s[1:]):
+        counts[a, b, c] += 1000
+    return toxicity.log_probabilities(counts.ravel())
+
+
+@pytest.mark.parametrize("gap", [" ", ".", "  ", ". "])
+@pytest.mark.parametrize("n", [25, 60, 5000])
+def test_tokens_of_any_length_are_restored_as_one(gap, n):
+    d, word = toxicity.Decoder(word_model("snivel")), ("snivelgob" * n)[:n]
+    assert toxicity.restored(gap.join(word), d) == word
+    # choices far apart and back pointers over the whole token
+    assert d.restore("sn1vel" * n) == "snivel" * n
+    assert "snivel" in d.restore(gap.join("x" * 70 + "sn1vel"))
+
+
 def test_language_id_learns_and_rejects(spark, awkward, empty):
     rnd = random.Random(3)
     words = {"aa": ["bada", "gode", "mibu"], "bb": ["xirk", "zolt", "vrekk"], "cc": ["éluë", "ñoçe", "àmî"]}
