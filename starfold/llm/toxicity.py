@@ -81,9 +81,14 @@ def log_probabilities(counts: np.ndarray) -> np.ndarray:
 
 
 _SIGNS = re.escape("".join(LOOKS_LIKE))
-# A token with a sign before or between letters, or a letter three times in a row; or single letters set apart.
-_SUSPECT = re.compile(rf"[^\W\d_]*[{_SIGNS}]+[^\W\d_](?:[^\W\d_]|[{_SIGNS}])*|[^\W\d_]*([^\W\d_])\1\1[^\W\d_]*"
-                      rf"|(?<![^\W\d_])(?:[^\W\d_{_SIGNS}]|[{_SIGNS}])(?:[ .\-_*]{{1,2}}(?:[^\W\d_]|[{_SIGNS}])){{3,}}(?![^\W\d_])")
+GAPS = " .-_*"
+END_MARKS = "!"                        # signs that end a sentence: at the end of a token they cost nothing to keep
+_UNIT, _GAP = rf"(?:[^\W\d_]|[{_SIGNS}])", rf"[{re.escape(GAPS)}]{{1,2}}"
+# A whole token of letters and signs, both in it; or of letters with one three times in a row; or single letters or signs
+# set apart. Each is tried from the start of a token only, so that the search is linear.
+_SUSPECT = re.compile(rf"(?<!{_UNIT})(?:[^\W\d_]++[{_SIGNS}]|[{_SIGNS}]++[^\W\d_])(?:[^\W\d_]++|[{_SIGNS}]++)*+"
+                      rf"|(?<!{_UNIT})[^\W\d_]*?([^\W\d_])\1\1[^\W\d_]*+"
+                      rf"|(?<![^\W\d_]){_UNIT}(?:{_GAP}{_UNIT}){{3,}}(?![{_SIGNS}]*+[^\W\d_])")
 
 
 class Decoder:
@@ -102,11 +107,12 @@ class Decoder:
             while j < len(token) and token[j] == c:
                 j += 1
             n = j - i
-            if (c, n) not in known:
+            if (c, n) not in known or j == len(token):
                 if spaced and c in " .-_*":
                     some = [("", GAP_COST)]
                 elif c in LOOKS_LIKE:
-                    some = [(c * n, 0.0)]
+                    ends = c in END_MARKS and 0 < i and j == len(token)
+                    some = [(c * n, -KEPT_COST * n if ends else 0.0)]
                     for x in LOOKS_LIKE[c]:
                         some += [(x * n, OTHER_COST * n)] + ([(x, OTHER_COST * n + RUN_COST)] if n > 1 else [])
                 elif n >= 3:
@@ -173,23 +179,36 @@ class Decoder:
         return "".join(out)
 
 
-_SIGN = np.zeros(1 << 16, dtype=bool)
-_SIGN[[ord(c) for c in LOOKS_LIKE]] = True
+def _marked(which) -> np.ndarray:
+    return np.array([which(chr(c)) for c in range(1 << 16)])
+
+
+_TABLES: list[np.ndarray] = []
 
 
-def _hints(points: np.ndarray, is_letter: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Texts that may hold a hidden word: a sign before a letter, three equal letters, or two single letters in a row."""
-    hint = _SIGN[np.minimum(points[:-5], (1 << 16) - 1)] & is_letter[1:-4]
-    hint |= is_letter[:-5] & (points[:-5] == points[1:-4]) & (points[:-5] == points[2:-3])
-    alone = ~is_letter[:-4] & is_letter[1:-3] & ~is_letter[2:-2]
-    hint |= alone[:-1] & is_letter[3:-2] & ~is_letter[4:-1]
-    place = np.flatnonzero(hint)
-    return np.unique(np.searchsorted(at, place, side="right") - 1)
+def _hints(points: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Texts that may match ``_SUSPECT``, and none that does is left out: a letter beside a sign, three equal letters,
+    or two single letters or signs in a row with gaps around both. Letters are those of the pattern; characters
+    above 16 bits all count as such."""
+    if not _TABLES:
+        _TABLES.extend([_marked(lambda c: c.isalnum() and not c.isdecimal()), _marked(LOOKS_LIKE.__contains__), _marked(GAPS.__contains__)])
+    low = np.minimum(points, (1 << 16) - 1)
+    letter, sign, gap = (t[low] for t in _TABLES)
+    letter |= points >= 1 << 16
+    found = [np.flatnonzero((letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])),
+             np.flatnonzero(letter[:-2] & (points[:-2] == points[1:-1]) & (points[:-2] == points[2:]))]
+    unit = letter | sign
+    single = np.zeros(len(points) + 3, dtype=bool)
+    single[1:len(points) - 1] = unit[1:-1] & gap[:-2] & gap[2:]
+    one = np.flatnonzero(single)
+    found.append(one[single[one + 2] | (single[one + 3] & gap[np.minimum(one + 2, len(points) - 1)])])
+    return np.unique(np.searchsorted(at, np.concatenate(found), side="right") - 1)
 
 
 def restored(text: str, decoder: Decoder) -> str:
-    """The tokens of a lower-cased text that look hidden, restored and set apart; empty if there is none."""
-    return "\n".join(decoder.restore(m.group()) for m in _SUSPECT.finditer(text))
+    """The tokens of a lower-cased text that the search changes, as restored and set apart; empty if there is none."""
+    tokens = [m.group() for m in _SUSPECT.finditer(text)]
+    return "\n".join(r for t in tokens if (r := decoder.restore(t)) != t)
 
 
 @dataclass
@@ -255,9 +274,9 @@ class Evidence:
 
     def features(self, texts: list[str]) -> np.ndarray:
         lowered = [t.lower() for t in texts]
-        x = Hashed([*lowered, "", "", "", "", ""])
+        x = Hashed(lowered)
         own, _, weight = self.hits(x)
-        extra = [(i, r) for i in _hints(x.points, x.letter, x.at).tolist() if i < len(texts) and (r := restored(lowered[i], self.decoder))]
+        extra = [(i, r) for i in _hints(x.points, x.at).tolist() if i < len(texts) and (r := restored(lowered[i], self.decoder))]
         if extra:
             more, _, found = self.hits(Hashed([r for _, r in extra]))
             own = np.concatenate([own, np.array([i for i, _ in extra], dtype=np.int64)[more]])

@@ -273,6 +273,23 @@ def test_tokens_of_any_length_are_restored_as_one(gap, n):
     assert "snivel" in d.restore(gap.join("x" * 70 + "sn1vel"))
 
 
+def test_the_gate_lets_through_all_that_the_pattern_matches():
+    rnd = random.Random(5)
+    texts = ["s. n. i. v. e. l.", "s  n  i  v  e  l", "1 d 1 0 t", "a$$", "idio7", "hat3", "x\u00b25", "so long!", "mudbraaain", "\U0001d41a1", "a b c d", "", "a", "0 .. "]
+    texts += ["".join(rnd.choice("aab10!$.. -_*\u00e9\u00b22\0") for _ in range(rnd.randint(1, 14))) for _ in range(20000)]
+    points, at = toxicity.code_points(texts)
+    passed = set(toxicity._hints(points, at).tolist())
+    matched = {i for i, t in enumerate(texts) if toxicity._SUSPECT.search(t)}
+    assert set(range(11)) <= matched <= passed and not {11, 12} & passed
+
+
+def test_words_disguised_at_their_end_are_restored():
+    for token, word in (("idio7", "idiot"), ("hat3", "hate"), ("a$$", "ass"), ("s. n. i. v. 3. l", "snivel"), ("5n1v3  l", "snive")):
+        assert toxicity.restored(f"so {token} so", toxicity.Decoder(word_model(word))).split("\n") == [word]
+    # an exclamation mark is no letter, and what is as written counts once
+    assert toxicity.restored("snivel! snivel!!", toxicity.Decoder(word_model("snivel"))) == ""
+
+
 def test_language_id_learns_and_rejects(spark, awkward, empty):
     rnd = random.Random(3)
     words = {"aa": ["bada", "gode", "mibu"], "bb": ["xirk", "zolt", "vrekk"], "cc": ["éluë", "ñoçe", "àmî"]}
