@@ -20,6 +20,8 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections import Counter
+from fractions import Fraction
+from math import ceil
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -114,11 +116,16 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def needed(notice: list[str], least: float) -> int:
+    """How many words of a notice are ``least`` of it, without the rounding of binary fractions."""
+    return ceil(len(notice) * Fraction(str(least)))
+
+
 def stretches(text: list[str], notice: list[str], least: float, slack: float = SLACK) -> list[tuple[int, int]]:
     """Parts of the text, apart from each other, that hold every window of ``slack`` times the notice's length
     in which at least ``least`` of the notice's words occur (each as often as in the notice at most)."""
     wanted = Counter(notice)
-    need, width = -(-len(notice) * least // 1), max(len(notice), int(len(notice) * slack))
+    need, width = needed(notice, least), max(len(notice), int(len(notice) * slack))
     at = [i for i, w in enumerate(text) if w in wanted]
     if len(at) < need:
         return []
@@ -140,31 +147,51 @@ def stretches(text: list[str], notice: list[str], least: float, slack: float = S
     return out
 
 
+def starts(text: list[str], a: int, b: int, notice: list[str], need: int, width: int) -> list[int]:
+    """Places in a..b-1 where a find may begin: words that can be the first of ``need`` in order, with ``need`` words
+    of the notice (each as often as there at most) within ``width`` words from there on."""
+    wanted, firsts = Counter(notice), set(notice[:len(notice) - need + 1])
+    have, total, end, out = Counter(), 0, a, []
+    for s in range(a, b - need + 1):
+        while end < min(b, s + width):
+            have[text[end]] += 1
+            total += have[text[end]] <= wanted[text[end]]
+            end += 1
+        if total >= need and text[s] in firsts:
+            out.append(s)
+        total -= have[text[s]] <= wanted[text[s]]
+        have[text[s]] -= 1
+    return out
+
+
 def scan(text: str, notices: dict[str, list[str]], least: float = LEAST) -> list[tuple[str, float, int, int]]:
     """(name, coverage, start, end) of the notices in a text, characters start..end-1; ordered by start, end, name.
 
     In a stretch that holds several copies the words aren't unique; it is then
-    searched window by window, and the best of overlapping finds stays.
+    searched from every word that a find may begin with, and the best of
+    overlapping finds stays.
     """
     vocabulary, out = set(_WORD.findall(text.lower())), []
     has, spans = None, None
     for name, notice in notices.items():
-        if not notice or sum(w not in vocabulary for w in set(notice)) > len(notice) * (1 - least):
+        need = needed(notice, least)
+        if not notice or sum(w in vocabulary for w in notice) < need:
             continue
         if has is None:
             has, spans = words(text)
+        width = max(len(notice), int(len(notice) * SLACK))
         for a, b in stretches(has, notice, least):
-            step, width = max(1, len(notice) // 4), int(len(notice) * SLACK)
-            found = []
-            for s in range(a, max(a + 1, b - width + step), step) if b - a > width else [a]:
-                pairs = align(has[s:min(b, s + max(width, 1))], notice)
-                if len(pairs) >= least * len(notice):
-                    found.append((-len(pairs) / len(notice), pairs[-1][0] - pairs[0][0], s + pairs[0][0], s + pairs[-1][0]))
-            taken: list[tuple[int, int]] = []
+            found = set()
+            for s in starts(has, a, b, notice, need, width) if b - a > width else [a]:
+                pairs = align(has[s:min(b, s + width)], notice)
+                if len(pairs) >= need:
+                    found.add((-len(pairs), pairs[-1][0] - pairs[0][0], s + pairs[0][0], s + pairs[-1][0]))
+            taken: list[tuple[int, int]] = []       # apart from each other, by place
             for cover, _, i, j in sorted(found):
-                if all(j < x or i > y for x, y in taken):
-                    taken.append((i, j))
-                    out.append((name, -cover, spans[i][0], spans[j][1]))
+                at = bisect_left(taken, (i, i))
+                if (at == 0 or taken[at - 1][1] < i) and (at == len(taken) or j < taken[at][0]):
+                    taken.insert(at, (i, j))
+                    out.append((name, -cover / len(notice), spans[i][0], spans[j][1]))
     return sorted(out, key=lambda x: (x[2], x[3], x[0]))
 
 

@@ -193,6 +193,26 @@ def test_notices_are_found_where_they_are(spark, awkward, empty):
     assert licenses.find_licenses(awkward).count() == 0 and licenses.find_licenses(empty).count() == 0
 
 
+def test_notices_with_exactly_the_least_coverage_are_found():
+    split = {k: licenses.words(v)[0] for k, v in licenses.NOTICES.items()}
+    for name, notice in split.items():
+        for gone in range(len(notice)):
+            need = -(-4 * len(notice) // 5)
+            left = [w for k, w in enumerate(notice) if (k - gone) % len(notice) >= len(notice) - need]
+            assert len(left) == need and name in {n for n, *_ in licenses.scan("zeta " + " ".join(left), split)}
+    assert [n for n, *_ in licenses.scan("Published under the MIT License. Licensed under CC-BY NC 4.0", split)] == ["MIT-notice"]
+
+
+@pytest.mark.parametrize("shift", range(12))
+def test_loose_copies_in_long_stretches_are_found(shift):
+    notice = [f"u{k}" for k in range(20)]
+    loose = [w for k, w in enumerate(notice[2:18]) for w in ([w, "zeta"] if k % 2 else [w])][:-1]
+    loose[1:1] = ["zeta"] * 6                     # 16 words within 29, the width is 30
+    text = notice * 3 + ["zeta"] * shift + loose + ["zeta"] * 3 + notice * 2
+    finds = licenses.scan(" ".join(text), {"n": notice})
+    assert len(finds) == 6 and [c for _, c, *_ in finds] == [1, 1, 1, 0.8, 1, 1]
+
+
 def toxic_corpus(spark, n=600):
     rnd = random.Random(9)
     syllables = ["ta", "ren", "li", "so", "mon", "ker", "del", "ane", "ori", "est", "un", "pa"]
