@@ -12,9 +12,10 @@ index of at least ``percent``/100. The job runs in these steps:
    with their ranks goes to every task.
 3. Per class the shingles that others have too, rarest first. A class that
    shares less than the threshold drops out; the others get the prefix that
-   any partner must touch.
+   any partner must touch, and the shorter lead of it that any partner of its
+   size or larger must touch.
 4. Classes with identical prefix and size form one *group*. Groups meet by
-   prefix shingle: the smallest group of a shingle is paired with the others
+   prefix shingle that is in the lead of one: the smallest group is paired with the others
    (never all with all), groups paired with the same one form a *circle*.
 5. A circle is expanded to its members and verified. Jaccard distance is a
    metric: with the distances to one pivot member, its links follow at once,
@@ -22,9 +23,11 @@ index of at least ``percent``/100. The job runs in these steps:
    to the pivot is between the threshold and twice the threshold can link to
    both sides, so the circle falls into smaller ones that are handled the
    same way (those members with the linked ones; all but the linked ones).
-   Circles above ``CIRCLE`` shingles are split so by joins; the others are
-   verified in one task each, where members meet by prefix shingle and pairs
-   of one component are passed over. No link between two classes is lost, and copies or near
+   Circles above ``CIRCLE`` shingles are split so by joins, or where a pivot
+   leaves more than half of one together, dealt to pairs of blocks; the others are
+   verified in one task each, where members with the same shared shingles
+   count as one, the smaller of a pair looks for the other by its lead, and
+   pairs of one component are passed over. No link between two classes is lost, and copies or near
    copies are never expanded into all pairs.
 6. Connected components of the links, carried back to the documents.
 """
@@ -188,7 +191,7 @@ def _count(buckets: int):
     return run
 
 
-_CLASSES = "fp long, n long, toks binary, grp long, prefix binary"
+_CLASSES = "fp long, n long, toks binary, grp long, prefix binary, lead int"
 
 
 def _choose(percent: int):
@@ -212,7 +215,9 @@ def _choose(percent: int):
                 prefix = toks[a:b][:max(0, n - need + 1 - (n - (b - a)))]
                 with np.errstate(over="ignore"):
                     group = mix(np.array([mix(prefix * np.uint64(3) + np.arange(len(prefix), dtype=np.uint64)).sum(dtype=np.uint64) + np.uint64(n)]))
-                rows.append((int(fps[a]), n, np.sort(toks[a:b]).tobytes(), int(group.view(np.int64)[0]), prefix.tobytes()))
+                # with a partner of its size or larger, more must be common: the first common shingle is in the lead
+                lead = max(0, b - a + 1 + (-2 * percent * n // (100 + percent)))
+                rows.append((int(fps[a]), n, np.sort(toks[a:b]).tobytes(), int(group.view(np.int64)[0]), prefix.tobytes(), lead))
         return pa.Table.from_batches([_batch(rows, _CLASSES)])
     return run
 
@@ -229,42 +234,69 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def _verify(percent: int):
-    """Links of a circle; pairs that earlier links already put in one component are passed over."""
+    """Links of a circle; pairs that earlier links already put in one component are passed over.
+
+    Members of one size with the same shared shingles have the same index with
+    each other and with any third, so one of them stands for all. The smaller
+    of a pair looks for the other by the shingles of its lead.
+    """
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.sort_by("fp")
-        fps, n, side = (table[c].to_pylist() for c in ("fp", "n", "side"))
+        table = table.sort_by([("n", "ascending"), ("fp", "ascending")])
+        alike: dict[tuple, int] = {}
+        of = [alike.setdefault(x, len(alike)) for x in zip(*(table[c].to_pylist() for c in ("n", "side", "toks")))]
+        members: list[list[int]] = [[] for _ in alike]
+        row: list[int] = [0] * len(alike)
+        for i, (r, fp) in enumerate(zip(of, table["fp"].to_pylist())):
+            if not members[r]:
+                row[r] = i
+            members[r].append(fp)
+        table = table.take(row)
+        n, side, leads = (np.array(table[c].to_pylist(), dtype=np.int64) for c in ("n", "side", "lead"))
         sets = [np.frombuffer(x, dtype=np.uint64) for x in table["toks"].to_pylist()]
-        links, root, done = [], list(range(len(fps))), set()
-        prefixes: dict[int, list[int]] = {}
-        for i, x in enumerate(table["prefix"].to_pylist()):
-            for tok in np.frombuffer(x, dtype=np.uint64).tolist():
-                prefixes.setdefault(tok, []).append(i)
-        # members with the same prefix make the same lists
-        lists = sorted({tuple(m) for m in prefixes.values() if len(m) > 1}, key=len, reverse=True)
-
-        def find(x):
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        for members in lists:
-            waiting = list(members)
-            while len(waiting) > 1:
-                p, rest = waiting[0], []
-                for m in waiting[1:]:
-                    if find(m) == find(p):
-                        rest.append(m)
+        prefixes = [np.frombuffer(x, dtype=np.uint64).tolist() for x in table["prefix"].to_pylist()]
+        holders: dict[int, list[int]] = {}
+        for i, x in enumerate(prefixes):
+            for tok in x:
+                holders.setdefault(tok, []).append(i)
+        # shingles of the same members make one list
+        number: dict[tuple, int] = {}
+        list_of = {tok: number.setdefault(tuple(m), len(number)) for tok, m in holders.items() if len(m) > 1}
+        lists = [np.array(m, dtype=np.int64) for m in number]
+        open_list = [True] * len(lists)
+        del holders, number
+        links, root = [], np.arange(len(n))
+        inside = [[i] for i in range(len(n))]        # of each component, under its root
+
+        for r, (m, s) in enumerate(zip(members, sets)):
+            if len(m) > 1 and 100 * len(s) >= percent * (2 * n[r] - len(s)):
+                links += [(m[0], x) for x in m[1:]]
+                members[r] = m[:1]
+
+        for p in range(len(n)):
+            most = 100 * n[p] // percent
+            for k in {list_of[tok] for tok in prefixes[p][:leads[p]] if tok in list_of}:
+                if not open_list[k]:
+                    continue
+                other = lists[k]
+                other = other[root[other] != root[p]]
+                if not len(other):
+                    open_list[k] = False
+                    continue
+                # sizes rise, so partners as large or larger come after
+                other = other[(other > p) & (n[other] <= most) & ((side[other] == 2) | (side[other] != side[p]))]
+                for m in other.tolist():
+                    if root[m] == root[p]:
                         continue
-                    if (p, m) not in done and (side[p] == 2 or side[p] != side[m]):
-                        done.add((p, m))
-                        if 100 * min(n[p], n[m]) >= percent * max(n[p], n[m]):
-                            both = overlap(sets[p], sets[m])
-                            if 100 * both >= percent * (n[p] + n[m] - both):
-                                links.append((fps[p], fps[m]))
-                                root[find(m)] = find(p)
-                    rest.append(m)
-                waiting = rest if len({find(m) for m in rest}) > 1 else []
+                    both = overlap(sets[p], sets[m])
+                    if 100 * both >= percent * (n[p] + n[m] - both):
+                        links += [(members[p][0], x) for x in members[m]] + [(x, members[m][0]) for x in members[p][1:]]
+                        members[p], members[m] = members[p][:1], members[m][:1]     # all are in the component now
+                        a, b = int(root[p]), int(root[m])
+                        if len(inside[a]) < len(inside[b]):
+                            a, b = b, a
+                        root[inside[b]] = a
+                        inside[a] += inside[b]
+                        inside[b] = []
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
     return run
 
@@ -294,10 +326,29 @@ _MOVES = [(2, 0, 1, 0), (2, 1, 1, 1), (2, 1, 2, 2), (2, 2, 2, 2),
           (0, 0, 1, 0), (1, 1, 1, 1), (0, 1, 3, 0), (1, 0, 3, 1), (0, 1, 2, 0), (0, 2, 2, 0), (1, 1, 2, 1), (1, 2, 2, 1)]
 
 
+def _block_pairs(circles: DataFrame, most: int) -> DataFrame:
+    """Circles dealt to blocks of about half of ``most`` shingles by hash; every two blocks make a circle, and each its own."""
+    blocks = F.ceil(2 * F.col("shingles") / most).cast("long")
+    dealt = circles.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("fp"), "blocks"))
+    met = dealt.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    # two sides: a block of one meets every block of the other; one side: the lower block is side 0, the upper side 1
+    low, high = F.least("own", "met"), F.greatest("own", "met")
+    low = F.when(F.col("side") == 2, low).when(F.col("side") == 0, F.col("own")).otherwise(F.col("met"))
+    high = F.when(F.col("side") == 2, high).when(F.col("side") == 0, F.col("met")).otherwise(F.col("own"))
+    side = F.when(F.col("side") < 2, F.col("side")).when(F.col("own") == F.col("met"), 2).when(F.col("own") < F.col("met"), 0).otherwise(1)
+    return met.select(F.xxhash64("circle", low, high, F.lit("blocks")).alias("circle"), "fp", side.cast("int").alias("side"))
+
+
 def _split_large(circles: DataFrame, classes: DataFrame, percent: int, most: int) -> tuple[list[DataFrame], DataFrame]:
-    """Links found while circles above ``most`` shingles are split by pivots, and the circles that remain."""
+    """Links found while circles above ``most`` shingles are split, and the circles that remain.
+
+    A pivot splits a circle as long as each part has at most half of the
+    members; a larger part is dealt to pairs of blocks at once. So the rounds
+    are few, and no circle that remains is large.
+    """
     links, small = [], []
     moves = circles.sparkSession.createDataFrame(_MOVES, "side int, zone int, which int, next int")
+    circles = circles.withColumn("before", F.lit(None).cast("long"))
     while True:
         size = circles.groupBy("circle").agg(
             F.count(F.lit(1)).alias("members"), F.max("side").alias("kind"), F.min("side").alias("other"),
@@ -305,13 +356,16 @@ def _split_large(circles: DataFrame, classes: DataFrame, percent: int, most: int
         size = size.where("members > 1 AND (kind = 2 OR kind <> other)").drop("kind", "other")
         circles = cut(circles.join(size, "circle"))
         small.append(circles.where(F.col("shingles") <= most).select("circle", "fp", "side"))
-        large = circles.where(F.col("shingles") > most).where("fp <> pivot")
+        large = circles.where(F.col("shingles") > most)
         if large.isEmpty():
             break
+        small.append(_block_pairs(large.where("2 * members > before"), most))
+        large = large.where("before IS NULL OR 2 * members <= before").where("fp <> pivot")
         found = cut(_measure(large.select("pivot", "fp").distinct(), classes, percent))
         links.append(found.where("zone = 0").select(F.col("pivot").alias("a"), F.col("fp").alias("b")))
         zones = large.join(found, ["pivot", "fp"]).join(F.broadcast(moves), ["side", "zone"])     # twelve rows
-        circles = zones.select(F.xxhash64("circle", "which").alias("circle"), "fp", "n", F.col("next").alias("side"))
+        circles = zones.select(F.xxhash64("circle", "which").alias("circle"), "fp", "n", F.col("next").alias("side"),
+                               F.col("members").alias("before"))
     rest = small[0]
     for s in small[1:]:
         rest = rest.union(s)
@@ -345,22 +399,25 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counted = dealt.groupBy("key").applyInArrow(_count(buckets), _PACKED)
     classes = cut(counted.groupBy("key").applyInArrow(_choose(percent), _CLASSES))
 
-    groups = classes.groupBy("grp").agg(F.first("prefix").alias("prefix"))
+    groups = classes.groupBy("grp").agg(F.first("prefix").alias("prefix"), F.first("lead").alias("lead"))
 
     def listed(batches):
         for b in batches:
-            for g, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for g, p, lead in zip(*(c.to_pylist() for c in b.columns)):
                 toks = np.frombuffer(p, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(toks), g, np.int64)), pa.array(toks)], ["grp", "tok"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(toks), g, np.int64)), pa.array(toks), pa.array(np.arange(len(toks)) < lead)],
+                                                 ["grp", "tok", "leads"])
 
-    index = cut(groups.mapInArrow(listed, "grp long, tok long"))
-    first = index.groupBy("tok").agg(F.min("grp").alias("circle"), F.count(F.lit(1)).alias("groups")).where("groups > 1")
+    # a shingle in nobody's lead is no link's first common one
+    index = cut(groups.mapInArrow(listed, "grp long, tok long, leads boolean"))
+    first = index.groupBy("tok").agg(F.min("grp").alias("circle"), F.count(F.lit(1)).alias("groups"), F.max("leads").alias("leads"))
+    first = first.where("groups > 1 AND leads").select("tok", "circle")
     meet = index.join(first, "tok").select("circle", "grp").distinct()
-    alone = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select(F.col("grp").alias("circle"), "grp")
+    alone = classes.where("lead > 0").groupBy("grp").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select(F.col("grp").alias("circle"), "grp")
     circles = meet.union(alone).distinct().join(classes.select("grp", "fp", "n"), "grp").select("circle", "fp", "n", F.lit(2).alias("side"))
 
     links, circles = _split_large(circles, classes, percent, circle)
-    small = circles.join(classes.select("fp", "n", "toks", "prefix"), "fp").groupBy("circle").applyInArrow(_verify(percent), "a long, b long")
+    small = circles.join(classes.select("fp", "n", "toks", "prefix", "lead"), "fp").groupBy("circle").applyInArrow(_verify(percent), "a long, b long")
     for found in links:
         small = small.union(found)
     roots = cut(components(small))

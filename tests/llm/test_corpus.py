@@ -66,6 +66,48 @@ def test_join_classes_equal_brute_force(spark, circle):
     assert got == brute_classes(rows)
 
 
+def templates(n, common, own, shared, seed=2):
+    """Documents of one boilerplate, each with words of its own and a passage that two have."""
+    rnd = random.Random(seed)
+    base, out = [f"b{k}" for k in range(common)], []
+    for i in range(n):
+        passage = [f"p{i // 2}x{k}" for k in range(shared)]
+        out.append(" ".join(base + passage + [f"o{i}x{k}" for k in range(own + rnd.randint(0, 3))]))
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("circle", [4_000_000, 1000])
+def test_join_of_templates_equals_brute_force_without_all_pairs(spark, monkeypatch, circle):
+    rows = templates(60, 104, 20, 0) + [(1000 + i, t) for i, t in templates(60, 104, 8, 12, 3)] + [(2000 + i, t) for i, t in templates(40, 104, 6, 0, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_classes(df, circle=circle).collect()}
+    assert got == brute_classes(rows)
+
+
+def test_templates_are_not_compared_all_with_all(spark):
+    df = spark.createDataFrame(templates(300, 104, 20, 0), "doc_id long, text string")
+    circles = []
+    real = ngram_join._split_large
+    try:
+        ngram_join._split_large = lambda c, *rest: (circles.append(c.count()), real(c, *rest))[1]
+        ngram_join.jaccard_classes(df).count()
+    finally:
+        ngram_join._split_large = real
+    assert circles == [0]
+
+
+def test_blocks_meet_in_every_pair_once(spark):
+    rows = [(1, k, 2) for k in range(40)] + [(2, k, k % 2) for k in range(30)]
+    df = spark.createDataFrame(rows, "circle long, fp long, side int").withColumns({"shingles": F.lit(400), "members": F.lit(1)})
+    parts, met = defaultdict(list), Counter()
+    for r in ngram_join._block_pairs(df, 150).collect():
+        parts[r.circle].append((r.fp, r.side))
+    for part in parts.values():
+        met.update((min(a, b), max(a, b)) for k, (a, s) in enumerate(part) for b, z in part[:k] if s == 2 or s != z)
+    want = Counter((a, b) for b in range(40) for a in range(b)) + Counter((a, b) for b in range(30) for a in range(b) if a % 2 != b % 2)
+    assert met == want
+
+
 def test_join_with_frequent_shingles_listed(spark, monkeypatch):
     rows = near_copies(3)
     real, seen = ngram_join._deal, []
