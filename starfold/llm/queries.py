@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Row, functions as F
 
 from ..session import cut
-from . import bpe, chat, codes, fingerprint, langid, licenses, mixing, quality, toxicity
+from . import bpe, chat, codes, fingerprint, infill, langid, licenses, mixing, quality, toxicity, vectors
 from .ngram_join import jaccard_classes
 from .registry import ORACLES, QUERIES, query, table
 
@@ -112,3 +112,54 @@ def op10(spark, sf_dir):
     model = langid.fit(docs.where(fold != 1))
     found = langid.predict(docs, model, keep=["doc_id"])
     return found.select("doc_id", (F.coalesce(fold, F.lit(1)) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+_DIST = "list_sum(list_transform(range(1, len(p.part) + 1), lambda k: (p.part[k] - c.part[k]) * (p.part[k] - c.part[k])))"
+
+
+def _assign(books: str) -> str:
+    """Nearest entry of every part, as [distance, entry]."""
+    return f"""SELECT p.row, p.pos, any_value(p.part) AS part, min([{_DIST}, c.e]) AS m FROM p JOIN {books} c ON c.pos = p.pos GROUP BY p.row, p.pos"""
+
+
+def _renew(books: str, found: str) -> str:
+    """Entries replaced by the floor of the mean of their parts."""
+    return f"""SELECT c.pos, c.e, coalesce(u.part, c.part) AS part FROM {books} c LEFT JOIN
+        (SELECT pos, e, list((s - ((s % n) + n) % n) // n ORDER BY k) AS part FROM
+            (SELECT pos, m[2] AS e, k, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM
+                (SELECT pos, m, unnest(part) AS x, unnest(range(len(part))) AS k FROM {found}) GROUP BY ALL) GROUP BY pos, e) u ON u.pos = c.pos AND u.e = c.e"""
+
+
+@query("op12_vector_trie_codes", f"""
+    WITH k AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS MATERIALIZED (SELECT row, pos, v[pos * (len(v) // 16) + 1 : (pos + 1) * (len(v) // 16)] AS part FROM k, (SELECT unnest(range(16)) AS pos)),
+    c0 AS MATERIALIZED (SELECT pos, row - 1 AS e, part FROM p WHERE row <= 64),
+    a1 AS MATERIALIZED ({_assign('c0')}), c1 AS MATERIALIZED ({_renew('c0', 'a1')}),
+    a2 AS MATERIALIZED ({_assign('c1')}), c2 AS MATERIALIZED ({_renew('c1', 'a2')}),
+    a3 AS MATERIALIZED ({_assign('c2')}),
+    r AS (SELECT row, string_agg(printf('%02x', CAST(m[2] AS INTEGER)), '' ORDER BY pos) AS code, CAST(sum(m[1]) AS BIGINT) AS error FROM a3 GROUP BY row)
+    SELECT k.vec_id, r.code, r.error, CAST(sum(r.error) OVER (PARTITION BY k.label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY pos, e)) FROM c2) AS codebooks_sha256
+    FROM r JOIN k ON k.row = r.row""")
+def op12(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    books = vectors.learn(rows)
+    coded = cut(vectors.encode(rows, books, keep=["vec_id", "label"]))
+    out = vectors.with_label_error(coded).select("vec_id", "code", "error", "label_error")
+    return out.withColumn("codebooks_sha256", F.lit("" if books is None else vectors.codebook_sha256(books)))
+
+
+@query("op13_fill_in_middle", r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+                      regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+    k AS (SELECT doc_id, text, u, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS b,
+                 CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50
+                      THEN 'plain' WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+    s AS (SELECT *, array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+                 array_to_string(u[greatest(a, b) + 1:n], '') AS s FROM k)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(text) AS restored_sha256 FROM s""")
+def op13(spark, sf_dir):
+    return infill.digest(table(spark, sf_dir, "documents"))
