@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .words import word_spans
 
 CHUNK = 1024            # units in a piece
+TASK_BYTES = 64 << 20   # bytes of text that a task of the sort is meant for
 _HEADER = -1            # place of a document's header: before all its pieces
 _SECTION = 1 << 40      # places are section * _SECTION + number when a text is restored
 
@@ -116,9 +117,11 @@ def arranged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pl
     another row has. Other columns are ignored. One text's pieces are read by
     one task, as a digest or a file needs them, but never held there at once.
     """
-    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).rdd
-    pieces = rows.mapPartitionsWithIndex(lambda part, it: _emit(plan, part, it))
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
+    # no adaptive plan will mend the number of partitions of an RDD, so it follows the texts
+    size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
+    pieces = rows.rdd.mapPartitionsWithIndex(lambda part, it: _emit(plan, part, it))
     return pieces.repartitionAndSortWithinPartitions(n, _home)
 
 
