@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Row, functions as F
 
 from ..session import cut
-from . import bpe, chat, codes, fingerprint, infill, langid, licenses, mixing, quality, toxicity, vectors
+from . import bpe, chat, codes, fingerprint, infill, langid, licenses, mixing, personal, quality, toxicity, vectors
 from .ngram_join import jaccard_classes
 from .registry import ORACLES, QUERIES, query, table
 
@@ -114,6 +114,11 @@ def op10(spark, sf_dir):
     return found.select("doc_id", (F.coalesce(fold, F.lit(1)) == 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query("op11_pii_boosting")
+def op11(spark, sf_dir):
+    return personal.digest(table(spark, sf_dir, "documents"))
+
+
 _DIST = "list_sum(list_transform(range(1, len(p.part) + 1), lambda k: (p.part[k] - c.part[k]) * (p.part[k] - c.part[k])))"
 
 
