@@ -120,68 +120,90 @@ def _starts(lengths: Column) -> Column:
     return F.when(F.size(lengths) == 0, none).otherwise(F.flatten(F.transform(F.arrays_zip(blocks.alias("j"), offsets.alias("o")), lambda z: running(z["o"], block(z["j"])))))
 
 
-def _marked(kind: int, text: Column, start: Column, span: Column) -> Column:
-    end = start + F.length(span)
-    left = F.substr(text, F.greatest(start - CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT)))
-    return F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), span.alias("span"), left.alias("left"),
-                    F.substr(text, end + 1, F.lit(CONTEXT)).alias("right"))
-
-
 _SPANS = "array<struct<kind:int,start:int,end:int,span:string,left:string,right:string>>"
+_CHECKS = {IP: lambda x: x.rlike(_PARTS_FIT), CARD: luhn}
+_REACH = LONGEST + CONTEXT
+
 
+def _pieces(m: Column, g: Column) -> Column:
+    """Gaps and matches in turn, the middle of long ones left out, so that what is near a match is found in few short pieces."""
+    def ends(x: Column) -> Column:
+        return F.when(F.length(x) > 2 * _REACH, F.concat(F.left(x, F.lit(_REACH)), F.right(x, F.lit(_REACH)))).otherwise(x)
 
-_CHECKS = {IP: lambda x: x["span"].rlike(_PARTS_FIT), CARD: lambda x: luhn(x["span"])}
+    return F.flatten(F.transform(g, lambda x, i: F.array(ends(x), F.coalesce(ends(F.get(m, i)), F.lit("")))))
 
 
 def scan(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (all but the text if None) in a struct ``keep``, and the arrays ``base`` and ``proposed`` of spans.
 
     Spans count code points, ends exclusive; they come with the text around
-    them. Proposals that overlap a base span of their kind are left out.
+    them. Generators see base spans of their kind masked, so nothing proposed
+    overlaps one.
 
     All patterns go through the same steps side by side: matches and the gaps
     between them, where the gate of a pattern lets a text through; lengths;
-    running sums, which are the starts; spans.
+    running sums, which are the starts; spans. The work grows with the text and
+    the number of matches, however many a text has.
     """
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     text, none = F.col("_t"), F.array().cast(_SPANS)
-    finds = [(k, _GATES[k], BASE[k], None, _CHECKS.get(k)) for k in BASE] + [(g.kind, g.gate, g.head, g.whole, None) for g in GENERATORS]
-    names = [f"_{j}" for j in range(len(finds))]
+    base = [f"_b{k}" for k in BASE]
+    proposed = [f"_p{j}" for j in range(len(GENERATORS))]
     df = docs.select(F.struct(*keep, F.lit(0).alias("_")).alias("keep"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
 
-    def matches(gate: str, pattern: str) -> Column:
-        on = text.contains(gate) if gate == "@" else text.rlike(gate)
-        return F.when(on, F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("g")))
-
-    def lengths(c: str) -> Column:
-        """From the start of a match to the start of the next: the match before and the gap."""
-        m, g = F.col(f"{c}.m"), F.col(f"{c}.g")
-        steps = F.transform(m, lambda _, i: F.length(F.get(g, i)) + F.when(i > 0, F.length(F.get(m, i - 1))).otherwise(0))
-        return F.when(F.size(m) > 0, F.struct(m.alias("m"), steps.alias("l")))
+    def matches(source: Column, gate: str, pattern: str) -> Column:
+        on = source.contains(gate) if gate == "@" else source.rlike(gate)
+        found = F.struct(F.regexp_extract_all(source, F.lit(pattern), F.lit(0)).alias("m"), F.split(source, pattern, -1).alias("g"))
+        return F.when(on, F.filter(F.array(found), lambda x: F.size(x["m"]) > 0))
 
-    def spans(c: str, kind: int, whole: str | None, check) -> Column:
-        starts = F.zip_with(F.col(f"{c}.s"), F.col(f"{c}.l"), lambda a, b: a + b)
+    def masked(kind: int) -> Column:
+        b, check = F.get(F.col(f"_b{kind}"), F.lit(0)), _CHECKS.get(kind)
+        fill = lambda x: F.repeat(F.lit("\x01"), F.length(x))
+        hide = lambda x: fill(x) if check is None else F.when(check(x), fill(x)).otherwise(x)
+        parts = F.transform(b["m"], lambda x, i: F.concat(F.get(b["g"], i), hide(x)))
+        return F.when(b.isNull(), text).otherwise(F.concat(F.array_join(parts, ""), F.element_at(b["g"], -1)))
 
-        def span(z: Column) -> Column:
-            found = z["m"] if whole is None else F.regexp_extract(F.substr(text, z["s"] + 1, F.lit(LONGEST)), "^" + whole, 0)
-            return _marked(kind, text, z["s"], found)
-
-        out = F.transform(F.arrays_zip(starts.alias("s"), F.col(f"{c}.m").alias("m")), span)
-        out = F.filter(out, lambda x: (F.length(x["span"]) > 0) & (F.lit(True) if check is None else check(x)))
+    def lengths(c: str) -> Column:
+        """Matches, pieces, and from the start of each match to the start of the next (the match before and the gap)."""
+        x = F.get(F.col(c), F.lit(0))
+        steps = F.transform(x["m"], lambda _, i: F.length(F.get(x["g"], i)) + F.when(i > 0, F.length(F.get(x["m"], i - 1))).otherwise(0))
+        return F.when(x.isNotNull(), F.struct(x["m"].alias("m"), _pieces(x["m"], x["g"]).alias("p"), steps.alias("l")))
+
+    def starts(c: str) -> Column:
+        sums = F.zip_with(_starts(F.col(f"{c}.l")), F.col(f"{c}.l"), lambda a, b: a + b)
+        return F.when(F.col(c).isNotNull(), F.struct(f"{c}.m", f"{c}.p", sums.alias("s")))
+
+    def spans(c: str, kind: int, whole: str | None) -> Column:
+        m, p = F.col(f"{c}.m"), F.col(f"{c}.p")
+        near = lambda first, count: F.array_join(F.slice(p, first, count), "")
+
+        def span(start: Column, i: Column) -> Column:
+            own = F.get(m, i)
+            after = F.left(near(2 * i + 3, 40), F.lit(_REACH))
+            left = F.right(near(F.greatest(2 * i + 2 - 20, F.lit(1)), F.least(F.lit(20), 2 * i + 1)), F.lit(CONTEXT))
+            if whole is None:
+                found, end = F.left(own, F.lit(LONGEST + 1)), start + F.length(own)
+                right = F.left(after, F.lit(CONTEXT))
+            else:
+                found = F.regexp_extract(F.left(F.concat(own, after), F.lit(LONGEST)), "^" + whole, 0)
+                end = start + F.length(found)
+                right = F.substr(F.concat(own, after), F.length(found) + 1, F.lit(CONTEXT))
+            return F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), found.alias("span"), left.alias("left"), right.alias("right"))
+
+        out = F.transform(F.col(f"{c}.s"), span)
+        if whole is not None:
+            out = F.filter(out, lambda x: F.length(x["span"]) > 0)
+        elif kind in _CHECKS:
+            out = F.transform(F.filter(F.arrays_zip(m.alias("m"), out.alias("x")), lambda z: _CHECKS[kind](z["m"])), lambda z: z["x"])
         return F.when(F.col(c).isNotNull(), out).otherwise(none)
 
-    df = pin(df.select("keep", "_t", *[matches(f[1], f[2]).alias(c) for c, f in zip(names, finds)]), *names)
-    df = pin(df.select("keep", "_t", *[lengths(c).alias(c) for c in names]), *names)
-    df = pin(df.select("keep", "_t", *[F.when(F.col(c).isNotNull(), F.struct(f"{c}.m", f"{c}.l", _starts(F.col(f"{c}.l")).alias("s"))).alias(c) for c in names]), *names)
-    df = pin(df.select("keep", *[spans(c, f[0], f[3], f[4]).alias(c) for c, f in zip(names, finds)]), *names)
-
-    def apart(c: str, own: str) -> Column:
-        """Spans that overlap none of ``own``."""
-        clear = F.filter(c, lambda x: ~F.exists(own, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-        return F.when(F.size(c) > 0, clear).otherwise(F.col(c))
-
-    proposed = [apart(c, names[f[0]]) for c, f in list(zip(names, finds))[len(BASE):]]
-    return df.select("keep", F.concat(*names[:len(BASE)]).alias("base"), F.array_distinct(F.concat(*proposed)).alias("proposed"))
+    df = pin(df.select("keep", "_t", *[matches(text, _GATES[k], BASE[k]).alias(c) for k, c in enumerate(base)]), *base)
+    df = pin(df.select("keep", *base, *[matches(masked(g.kind), g.gate, g.head).alias(c) for g, c in zip(GENERATORS, proposed)]), *proposed)
+    for step in (lengths, starts):
+        df = pin(df.select("keep", *[step(c).alias(c) for c in base + proposed]), *base, *proposed)
+    kinds = [(k, None) for k in BASE] + [(g.kind, g.whole) for g in GENERATORS]
+    df = df.select("keep", *[spans(c, *k).alias(c) for c, k in zip(base + proposed, kinds)])
+    return df.select("keep", F.concat(*base).alias("base"), F.concat(*proposed).alias("proposed"))
 
 
 # --- features ----------------------------------------------------------------
@@ -239,14 +261,16 @@ def _examples(x: Column) -> Column:
     swap = lambda s, what, by: F.replace(s, F.lit(what), F.lit(by))
     join = F.concat
     hinted = lambda word: join(F.right(left, F.lit(CONTEXT - len(word))), F.lit(word))
-    host = F.substring_index(domain, ".", 1)
-    email = [(1, span), (1, join(F.lit("é"), span)), (1, join(name, F.lit(" (at) "), domain)), (1, join(name, F.lit("[at]"), domain)), (1, join(name, F.lit(" at "), domain)),
-             (1, join(name, F.lit(" [at] "), swap(domain, ".", " [dot] "))), (1, join(name, F.lit("(at)"), swap(domain, ".", "(dot)"))),
-             (1, join(name, F.lit(" at "), swap(domain, ".", " dot "))), (1, join(name, F.lit(" AT "), swap(domain, ".", " DOT "))), (1, join(name, F.lit(" @ "), domain)),
-             (1, join(name, F.lit("@ "), swap(domain, ".", " . "))),
-             (0, join(name, F.lit(" at "), host, F.lit(". The"))), (0, join(name, F.lit(" at "), host, F.lit(".Then"))), (0, join(F.lit("look at "), host, F.lit(".And"))),
-             (0, join(name, F.lit(" at "), host, F.lit(". 5"))), (0, join(F.lit("it at "), host, F.lit(". it"))), (0, join(F.lit("at at "), host, F.lit(". and"))),
-             (0, join(name, F.lit(" at "), host, F.lit(". In"))), (0, join(name, F.lit(" @ "), host, F.lit(". We")))]
+    email = []
+    # as it is, and with letters for its digits: many addresses have none
+    for own, at in ((name, domain), (F.regexp_replace(name, "[0-9]", "k"), F.regexp_replace(domain, "[0-9]", "o"))):
+        host = F.substring_index(at, ".", 1)
+        email += [(1, join(F.lit(a), own, F.lit(by), swap(at, ".", dot))) for a, by, dot in (
+            ("", "@", "."), ("é", "@", "."), ("", " (at) ", "."), ("", "[at]", "."), ("", " at ", "."), ("", " [at] ", " [dot] "), ("", "(at)", "(dot)"),
+            ("", " at ", " dot "), ("", " AT ", " DOT "), ("", " @ ", "."), ("", "@ ", " . "))]
+        email += [(0, join(own, F.lit(by), host, F.lit(rest))) for by, rest in (
+            (" at ", ". The"), (" at ", ".Then"), (" at ", ". 5"), (" at ", ". In"), (" @ ", ". We"), (" at ", ". and"))]
+    email += [(0, join(F.lit(a), host, F.lit(rest))) for a, rest in (("look at ", ".And"), ("it at ", ". it"), ("at at ", ". and"))]
     digits = F.regexp_replace(span, "[^0-9]", "")
     rest = F.substring_index(span, ".", -3)
     wide = join(F.lit("9"), F.lpad(F.right(F.substring_index(span, ".", 1), F.lit(2)), 2, "0"), F.lit("."), rest)
@@ -263,6 +287,9 @@ def _examples(x: Column) -> Column:
     phone = [(1, span), (1, join(F.lit("+ "), F.substr(span, F.lit(2), F.lit(LONGEST)))), (1, join(F.lit("00"), F.substr(span, F.lit(2), F.lit(LONGEST)))), *[(1, s) for s in local]]
     told = [(1, s, hinted("tel: "), right) for s in local] + [(1, s, hinted("phone "), right) for s in local]
     amid = [(0, s, join(F.right(left, F.lit(16)), F.lit("731 ")), right) for s in local[1:]] + [(0, s, left, join(F.lit(" 418"), F.left(right, F.lit(16)))) for s in local[1:]]
+    # numbers side by side that are none: groups of four and others
+    amid += [(0, F.regexp_replace(F.right(join(F.lit("5200"), digits), F.lit(12)), "^([0-9]{4})([0-9]{4})([0-9]{4})$", form), left, right) for form in ("$1 $2 $3", "$1-$2-$3", "$1.$2.$3")]
+    amid += [(0, cut3(form), left, right) for form in ("$1/$2/$3", "$1$2 $3")]
     amid += [(0, s, hinted(w), right) for s in local[1:] for w in ("order ", "isbn ", "serial ")]
     sets = {EMAIL: email, IP: ip, CARD: [*card, *chains], PHONE: [*phone, *told, *amid]}
     sets[IP] += [(0, span, left, F.lit(".7 and later")), (0, span, hinted("version "), right), (0, span, hinted(" v"), right)]
@@ -292,7 +319,7 @@ def examples(scanned: DataFrame, limit: int = FIT_SPANS) -> DataFrame:
     for name, keep in (("base", None), ("proposed", _refuted)):
         spans = scanned.select(F.explode(name).alias("x"))
         spans = spans if keep is None else spans.where(F.exists(F.array("x"), keep))
-        spans = spans.select(F.lit(name).alias("name"), "x.kind", "x.span", "x.left", "x.right").distinct()
+        spans = spans.where(F.length("x.span") <= LONGEST).select(F.lit(name).alias("name"), "x.kind", "x.span", "x.left", "x.right").distinct()
         for k in range(len(KINDS)):
             parts.append(spans.where(F.col("kind") == k).withColumn("_h", F.xxhash64("span", "left", "right")).orderBy("_h", "span", "left", "right").limit(limit))
     drawn = reduce(DataFrame.unionByName, parts).select("name", F.struct("kind", "span", "left", "right").alias("x"))
