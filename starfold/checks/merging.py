@@ -582,19 +582,19 @@ def _(c):
 
 
 def designs(c):
-    return c("fibers").select(C("fiber_id").alias("pointing_idx"), C("fiber_id").alias("visit_idx"), (C("fiber_id") + 1).alias("nrepeats"),
+    return c("fibers").select(C("fiber_id").alias("pointing_idx"), C("fiber_id").alias("visit_idx"), (C("fiber_id") % 3 + 1).alias("nrepeats"),
                                                     F.lit(3).alias("stage"), F.lit(1).alias("priority"), C("cx").alias("ra"), C("cy").alias("dec"), F.lit(0.0).alias("posang"),
                                                     F.lit(1800.0).alias("exp_time"), F.lit("2026-03-01 08:00:00").cast("timestamp").alias("obs_time"))
 
 
-@check("io12_export_rows", _AHEAD.rstrip() + f""", d AS (SELECT v, CAST(unnest(range(v+1)) AS INTEGER) AS r FROM (VALUES (0),(1)) t(v))
+@check("io12_export_rows", _AHEAD.rstrip() + f""", d AS (SELECT v, CAST(unnest(range(v%3+1)) AS INTEGER) AS r FROM (VALUES (0),(1)) t(v))
     SELECT prefix AS target_type, 'RUN_A_umi_S3P0' || v || 'V0' || v || 'R0' || r AS point_code, CASE WHEN prefix = 'sci' THEN 25769803776 | target_idx ELSE target_idx END AS obj_id,
     0e0 AS pmra, 1e-5 AS parallax, 'J2016.00' AS epoch, CASE WHEN prefix = 'sci' THEN 77 ELSE 9 END AS input_catalog_id,
     CASE WHEN prefix = 'sci' THEN CAST(target_idx%10 AS INTEGER) ELSE -1 END AS priority, CASE WHEN prefix = 'cal' THEN 1e0 ELSE -1e0 END AS prob_f_star,
     CASE WHEN target_idx%5 = 0 THEN '' ELSE 'g_hsc' END AS filter_g, CASE WHEN target_idx%5 <> 0 THEN {R('g')} END AS psf_flux_g
     FROM ({_AROWS}) q JOIN d ON d.v = q.visit_idx""")
 def _(c):
-    out = ex.export_rows(ex.with_codes(designs(c), "RUN_A", "umi", True), _assigned_rows(c), 0x600000000, catalog_id=77)
+    out = ex.export_rows(designs(c), _assigned_rows(c), 0x600000000, ("RUN_A", "umi"), catalog_id=77)
     return out.select("target_type", "point_code", "obj_id", "pmra", "parallax", "epoch", "input_catalog_id", "priority", "prob_f_star", "filter_g",
                       r("psf_flux_g").alias("psf_flux_g"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import reach as rc, select as sel, visits as vi
 from ..session import cut
-from ..sources.fixtures import PLATE_SCALE, POINTINGS, table, with_
+from ..sources.fixtures import PLANE_MM, PLANES_SQL, PLATE_SCALE, POINTINGS, planes, table, with_
 from .registry import HAV, R, check, r
 from .scalars import TAN
 
@@ -20,7 +20,7 @@ def _views() -> str:
     parts = []
     for p in POINTINGS:
         x, y = TAN("ra", "dec", f"{p['ra']}e0", f"{p['dec']}e0", f"{p['posang']}e0")
-        parts.append(f"SELECT targetid AS target_idx, {p['pointing_idx']} AS pointing_idx, {x} AS x, {y} AS y FROM hsc "
+        parts.append(f"SELECT targetid AS target_idx, {p['pointing_idx']} AS pointing_idx, {x} + 5.04e2*(targetid % {PLANES_SQL}) AS x, {y} AS y FROM hsc "
                      f"WHERE {HAV('ra', 'dec', str(p['ra']) + 'e0', str(p['dec']) + 'e0')} < 7.5e-1")
     return " UNION ALL ".join(parts)
 
@@ -35,9 +35,14 @@ _REACH = dict(views=_views(), cand=_EDGES, edges="SELECT * FROM cand WHERE dist
 _HEAD = with_("hsc", "fibers", **_REACH)
 
 
+def _on_plane(c, key):
+    """Place beside the first plane of the plane that a target is dealt to."""
+    return PLANE_MM * (C(key) % planes(c.spark, c.sf_dir))
+
+
 def views(c):
-    return rc.project_targets(sel.in_view(c("hsc").withColumnRenamed("targetid", "target_idx"), POINTINGS), PLATE_SCALE).select(
-        "target_idx", "pointing_idx", "x", "y")
+    seen = rc.project_targets(sel.in_view(c("hsc").withColumnRenamed("targetid", "target_idx"), POINTINGS), PLATE_SCALE)
+    return seen.select("target_idx", "pointing_idx", (C("x") + _on_plane(c, "target_idx")).alias("x"), "y")
 
 
 def fibers(c):
@@ -148,6 +153,7 @@ def _(c):
     JOIN fibers f ON f.cx BETWEEN v.x-1e1 AND v.x+1e1 AND f.cy BETWEEN v.y-1e1 AND v.y+1e1 WHERE h.g < 16.5) WHERE d <= 1e1 GROUP BY ALL""")
 def _(c):
     bright = rc.project_targets(sel.in_view(c("hsc").where("g < 16.5"), POINTINGS), PLATE_SCALE)
+    bright = bright.withColumn("x", C("x") + _on_plane(c, "targetid"))
     return rc.bright_star_histogram(c("fibers").select(C("cx").alias("fp_x"), C("cy").alias("fp_y")), bright)
 
 

@@ -112,12 +112,16 @@ def design_ids(design: DataFrame, keys: list[str]) -> DataFrame:
     return total.select(*keys, did.alias("design_id"), hex_id(did).alias("design_hex"), "n_fibers")
 
 
-def export_rows(designs: DataFrame, assigned: DataFrame, id_prefix: int, filter_map: dict[str, str] | None = None,
-                catalog_id: int | None = None, proposal_id: str | None = None) -> DataFrame:
-    """All rows of the exported lists, one per (design repeat, assigned target), with type and code."""
+def export_rows(designs: DataFrame, assigned: DataFrame, id_prefix: int, code: tuple[str, str], filter_map: dict[str, str] | None = None,
+                catalog_id: int | None = None, proposal_id: str | None = None, repeats: bool = True) -> DataFrame:
+    """All rows of the exported lists, one per (design repeat, assigned target), with type and code.
+
+    ``code`` holds prefix and field of the pointing codes. Repeats are expanded
+    behind the join, so a design without targets costs nothing.
+    """
     science = F.col("prefix") == "sci"
-    d = designs.select("stage", "pointing_idx", "visit_idx", "repeat_idx", "point_code")
-    rows = export_fill(assigned.drop("stage")).join(d, ["pointing_idx", "visit_idx"])
+    d = designs.select("stage", "pointing_idx", "visit_idx", "nrepeats")
+    rows = with_codes(export_fill(assigned.drop("stage", "nrepeats")).join(d, ["pointing_idx", "visit_idx"]), *code, repeats)
     cat = F.when(science, F.lit(catalog_id)).otherwise(F.col("catid")) if catalog_id is not None else F.col("catid")
     prop = F.lit(proposal_id) if proposal_id is not None else F.col("proposalid")
     from ..functions.astro import format_epoch

@@ -37,7 +37,7 @@ SQL: dict[str, str] = {
     "cal": f"""SELECT c_custkey AS targetid, {_pos('id')} FROM (SELECT c_custkey,
         CASE WHEN c_custkey%3=0 THEN c_custkey*10+1+c_custkey%7 ELSE 20000000+c_custkey END AS id FROM {{customer}}) c""",
     "sky": f"SELECT 30000000+p_partkey AS targetid, {_pos('30000000+p_partkey')} FROM {{part}}",
-    "fibers": """SELECT CAST(p_partkey AS INT) AS fiber_id, 8e0*((p_partkey*17)%50)-1.96e2 + 5e2*((p_partkey-p_partkey%2050)/2.05e3) AS cx,
+    "fibers": """SELECT CAST(p_partkey AS INT) AS fiber_id, 8e0*((p_partkey*17)%50)-1.96e2 + 5.04e2*((p_partkey-p_partkey%2050)/2.05e3) AS cx,
         8e0*((p_partkey*29)%41)-1.6e2 AS cy, CAST(p_partkey%4+1 AS INT) AS spectrograph_id,
         CASE WHEN p_partkey%40=7 THEN 4 ELSE 0 END AS status,
         2.375e0 AS l1, 2.375e0 AS l2, CASE WHEN p_partkey%3=0 THEN -3.6e0 ELSE -3.141592653589793e0 END AS phi_in, CASE WHEN p_partkey%5=0 THEN 4e-1 ELSE -1e-3 END AS phi_out,
@@ -56,8 +56,10 @@ SQL: dict[str, str] = {
         FROM {part} CROSS JOIN (VALUES (0),(1),(2)) v(pos)""",
 }
 
-# Fibers sit on a grid of 50 x 41 places; when it is full the next plane begins 500 mm beside it, out of the
-# targets' view but in all joins.
+# Fibers sit on a grid of 50 x 41 places; when it is full the next plane begins 504 mm (63 places) beside it. Targets are dealt
+# to the planes by their ids, so every plane has targets in view and the edges grow with both tables.
+PLANE_FIBERS, PLANE_MM = 2050, 504.0
+PLANES_SQL = f"(SELECT max(p_partkey)//{PLANE_FIBERS} + 1 FROM part)"
 
 # Stars with four simulated populations; the array constructor differs by engine.
 _SIM_GI = [f"1e-1+((l_orderkey*{a}+l_linenumber*{b})%1900)/1e3" for a, b in ((37, 11), (41, 13), (43, 17), (47, 19))]
@@ -89,6 +91,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **used)
 
 
+def planes(spark: SparkSession, sf_dir: str) -> int:
+    """Number of focal planes that the fibers fill."""
+    return int(table(spark, sf_dir, "part").selectExpr(f"coalesce(max(p_partkey), 0) div {PLANE_FIBERS} + 1").first()[0])
+
+
+MATERIAL = ("views", "edges", "near", "vis", "sh")     # tables that are read more than once
+
+
 def oracle(name: str) -> str:
     """The same catalog as DuckDB text over the supplied tables."""
     text = _sim("[") if name == "sim" else SQL[name]
@@ -97,5 +107,5 @@ def oracle(name: str) -> str:
 
 def with_(*names: str, **more: str) -> str:
     """A WITH clause that defines the named catalogs (and further CTEs) for DuckDB."""
-    parts = [f"{n} AS ({oracle(n)})" for n in names] + [f"{n} AS ({q})" for n, q in more.items()]
+    parts = [f"{n} AS ({oracle(n)})" for n in names] + [f"{n} AS {'MATERIALIZED ' if n in MATERIAL else ''}({q})" for n, q in more.items()]
     return "WITH " + ",\n".join(parts) + "\n"
