@@ -137,8 +137,13 @@ def _(c):
 @check("x05_unmatched_rows", with_("hsc", "gaia", pairs=_pairs("gaia", "hsc", "source_id", "targetid", "0.1"))
        + "SELECT source_id FROM gaia WHERE source_id NOT IN (SELECT lid FROM pairs)")
 def _(c):
-    m = zj.pairs_within(c("gaia"), c("hsc"), 0.1, "source_id", "targetid")
-    return c("gaia").join(m.select(F.col("left_id").alias("source_id")), "source_id", "left_anti").select("source_id")
+    return zj.without_match(c("gaia"), c("hsc"), 0.1).select("source_id")
+
+
+@check("x05_matched_rows", with_("hsc", "gaia", pairs=_pairs("gaia", "hsc", "source_id", "targetid", "5.0"))
+       + "SELECT source_id FROM gaia WHERE source_id IN (SELECT lid FROM pairs)")
+def _(c):
+    return zj.with_match(c("gaia"), c("hsc"), 5.0).select("source_id")
 
 
 @check("x06_distinct_values", with_("list_a") + "SELECT DISTINCT priority, exp_time FROM list_a")

@@ -101,22 +101,52 @@ def short_groups(assigned: DataFrame, groups: DataFrame, visits: list[int], leas
             .where(F.col("used") < least).select("visit_idx", "grp", "used"))
 
 
+def shared_pointings(edges: DataFrame) -> set[tuple[int, int]]:
+    """Pairs of pointings with a target in common, each both ways: the conflict graph of the survey plan.
+
+    Targets are reduced to the distinct sets of pointings that see them; only
+    pairs of pointings reach the driver.
+    """
+    sets = edges.groupBy("target_idx").agg(F.sort_array(F.collect_set("pointing_idx")).alias("s")).where(F.size("s") > 1).select("s").distinct()
+    pairs = sets.withColumn("a", F.explode("s")).withColumn("b", F.explode("s")).where("a <> b").select("a", "b").distinct()
+    return {(r.a, r.b) for r in pairs.collect()}
+
+
+def waves(visits: list[dict], shared: set[tuple[int, int]]) -> list[list[dict]]:
+    """Visits that can be assigned side by side: a visit comes after the last earlier one it shares targets with.
+
+    The number of waves is the longest chain of visits that depend on each
+    other, however many visits there are.
+    """
+    rank: list[int] = []
+    for v in visits:
+        p = v["pointing_idx"]
+        rank.append(1 + max((rank[k] for k, u in enumerate(visits[:len(rank)]) if u["pointing_idx"] == p or (u["pointing_idx"], p) in shared), default=-1))
+    return [[v for v, r in zip(visits, rank) if r == w] for w in range(max(rank, default=-1) + 1)]
+
+
 def assign_visits(edges: DataFrame, visits: list[dict], required: DataFrame, groups: DataFrame | None = None,
                   most: int | None = None) -> DataFrame:
-    """Assign visit after visit until each target has its required visits; ``groups`` and ``most`` as in ``assign_visit``.
+    """Assign visits in their order until each target has its required visits; ``groups`` and ``most`` as in ``assign_visit``.
 
     ``edges`` is per pointing; ``required`` holds target_idx and the visits it
-    still needs (targets that are not listed need one).
+    still needs (targets that are not listed need one). Visits whose pointings
+    share no target run together, in ``waves``; the result is that of one visit
+    after the other.
     """
     done = None
-    for v in visits:
-        e = edges.where(F.col("pointing_idx") == v["pointing_idx"]).withColumn("visit_idx", F.lit(v["visit_idx"]))
+    for wave in waves(visits, shared_pointings(edges)):
+        visit = F.create_map(*[F.lit(x) for v in wave for x in (v["pointing_idx"], v["visit_idx"])])
+        repeats = F.create_map(*[F.lit(x) for v in wave for x in (v["visit_idx"], int(v.get("nrepeats") or 1))])
+        e = edges.where(F.col("pointing_idx").isin([v["pointing_idx"] for v in wave])).withColumn("visit_idx", F.element_at(visit, F.col("pointing_idx")))
         if done is not None:
             got = done.groupBy("target_idx").agg(F.sum("n").alias("got"))
             full = got.join(required, "target_idx", "left").where(F.col("got") >= F.coalesce("req_visits", F.lit(1)))
             e = e.join(full.select("target_idx"), "target_idx", "left_anti")
-        mine = assign_visit(e, groups, most).withColumn("n", F.lit(int(v.get("nrepeats") or 1)))
+        mine = assign_visit(e, groups, most).withColumn("n", F.element_at(repeats, F.col("visit_idx")))
         done = mine if done is None else cut(done.unionByName(mine))
+    if done is None:
+        return edges.select(F.lit(0).alias("visit_idx"), "fiber_id", "target_idx", "cost", F.lit(1).alias("n")).limit(0)
     return done
 
 

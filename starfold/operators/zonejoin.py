@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.astro import haversine_deg
 from ..session import cut
@@ -167,26 +167,113 @@ def match_one_to_one(left: DataFrame, right: DataFrame, radius_arcsec: float, le
     return won.select(F.col("m.left_id").alias("left_id"), "right_id", F.col("m.sep_arcsec").alias("sep_arcsec"))
 
 
+FINEST, STEP = 14, 2      # levels of the pyramid: the sky in 2**level rows and twice as many columns
+
+
+def _grid(ra: Column, dec: Column, level: int) -> tuple[Column, Column]:
+    """(row, column) of a position in the grid of a level."""
+    n = 1 << level
+    row = F.least(F.floor((dec + 90.0) / 180.0 * n), F.lit(n - 1))
+    return row.cast("int"), F.pmod(F.floor(F.pmod(ra, F.lit(360.0)) / 360.0 * 2 * n), F.lit(2 * n)).cast("int")
+
+
+def _least_to_cell(ra: Column, dec: Column, row: Column, col: Column, level: int) -> Column:
+    """No point of a cell is closer than this (degrees).
+
+    A cell beside the point's meridian can only be reached over one of its two
+    edge meridians, and those are no closer than their great circles.
+    """
+    h, n = 180.0 / (1 << level), 2 << level
+    low = row * h - 90.0
+    up = F.greatest(low - dec, dec - (low + h), F.lit(0.0))
+    width = 360.0 / n
+    east = F.pmod(col * width - ra, F.lit(360.0))                  # from the point to the western edge, eastwards
+    inside = (east == 0) | (east > 360.0 - width)
+    west = F.pmod(ra - (col + 1) * width, F.lit(360.0))
+    turn = F.radians(F.least(east, west, F.lit(90.0)))
+    side = F.degrees(F.asin(F.least(F.cos(F.radians(dec)) * F.sin(turn), F.lit(1.0))))
+    return F.greatest(up, F.when(inside, 0.0).otherwise(side))
+
+
+def pyramid(big: DataFrame, finest: int = FINEST, step: int = STEP) -> dict[int, DataFrame]:
+    """Occupied cells (``_row``, ``_col``) of each level with the position of one row, from ``b_id, b_ra, b_dec, _row, _col``.
+
+    The finest level is counted from the rows, each coarser one from the finer one.
+    """
+    pick = F.min(F.struct("b_id", "b_ra", "b_dec")).alias("_one")
+    out = {finest: cut(big.groupBy("_row", "_col").agg(pick).select("_row", "_col", "_one.*"))}
+    for level in range(finest - step, -1, -step):
+        up = out[level + step].withColumns({c: F.shiftright(c, step) for c in ("_row", "_col")})
+        out[level] = cut(up.groupBy("_row", "_col").agg(pick).select("_row", "_col", "_one.*"))
+    return out
+
+
 def nearest_any_distance(small: DataFrame, big: DataFrame, small_id: str, big_id: str,
                          small_pos: tuple[str, str] = ("ra", "dec"), big_pos: tuple[str, str] = ("ra", "dec"),
-                         first_radius_arcsec: float = 60.0, max_radius_arcsec: float = 180.0 * 3600.0) -> DataFrame:
-    """The closest row of ``big`` for each row of ``small``, however far.
-
-    The circle grows eightfold for the rows that have found nothing yet, so the
-    wide and costly circles are drawn for the few lonely rows only.
+                         finest: int = FINEST, step: int = STEP) -> DataFrame:
+    """The closest row of ``big`` for each row of ``small``, however far; ties go to the smallest id.
+
+    Cell ids are hierarchical: a row's cell at a coarse level is a prefix of
+    its finest one. The large table gets its cell once. Searches go down the
+    pyramid of occupied cells: a row in a cell bounds the distance from above,
+    the cell's edges from below, and cells that can't hold the closest row are
+    left. What remains at the finest level, some cells for each search, meets
+    the rows of the large table in one join. Rows at one position count once.
+    """
+    # copies of a position fold on the map side, so this moves positions and not rows
+    placed = big.where(_has_position(*big_pos)).groupBy(F.col(big_pos[0]).cast("double").alias("b_ra"), F.col(big_pos[1]).cast("double").alias("b_dec")).agg(F.min(big_id).alias("b_id"))
+    row, col = _grid(F.col("b_ra"), F.col("b_dec"), finest)
+    placed = cut(placed.withColumns({"_row": row, "_col": col}))
+    levels = pyramid(placed, finest, step)
+    sep = haversine_deg(*(F.col(c) for c in ("ra", "dec", "b_ra", "b_dec")))
+    ahead = small.where(_has_position(*small_pos)).select(F.col(small_id).alias("left_id"), F.pmod(F.col(small_pos[0]).cast("double"), F.lit(360.0)).alias("ra"),
+                                                          F.col(small_pos[1]).cast("double").alias("dec"))
+    ahead = ahead.select("*", F.lit(0).alias("_row"), F.explode(F.array(F.lit(0), F.lit(1))).alias("_col"), F.lit(360.0).alias("_best"))
+    sides = F.array(*[F.lit(k) for k in range(1 << step)])
+    search = Window.partitionBy("left_id", "ra", "dec")
+    for level in range(0, finest + 1, step):
+        met = ahead.join(levels[level], ["_row", "_col"]).withColumn("_best", F.least("_best", F.min(sep).over(search)))
+        ahead = met.where(F.col("_least") <= F.col("_best") + _PAD) if level else met
+        ahead = ahead.select("left_id", "ra", "dec", "_row", "_col", "_best")
+        if level < finest:
+            ahead = ahead.withColumn("_i", F.explode(sides)).withColumn("_j", F.explode(sides))
+            ahead = ahead.select("left_id", "ra", "dec", "_best", *[(F.shiftleft(c, step) + F.col(k)).alias(c) for c, k in (("_row", "_i"), ("_col", "_j"))])
+            ahead = ahead.withColumn("_least", _least_to_cell(F.col("ra"), F.col("dec"), F.col("_row"), F.col("_col"), level + step))
+            ahead = cut(ahead.where(F.col("_least") <= F.col("_best") + _PAD))
+    found = ahead.join(placed, ["_row", "_col"]).groupBy("left_id", "ra", "dec").agg(F.min(F.struct(sep.alias("sep"), "b_id")).alias("m"))
+    return found.groupBy("left_id").agg(F.min("m").alias("m")).select("left_id", F.col("m.b_id").alias("right_id"), (F.col("m.sep") * 3600.0).alias("sep_arcsec"))
+
+
+def _near_join(left: DataFrame, right: DataFrame, radius_arcsec: float, how: str, left_pos: tuple[str, str], right_pos: tuple[str, str],
+               closed: bool, also: Column | None = None) -> DataFrame:
+    """Left rows with (left_semi) or without (left_anti) a right row within the radius, by a join that stops at the first one.
+
+    The left row lies in one cell, so it is looked at once; right rows are
+    listed under the cells that their circles touch.
     """
-    waiting = cut(small.select(F.col(small_id).alias("left_id"), F.col(small_pos[0]).alias("ra"),
-                               F.col(small_pos[1]).alias("dec")))
-    found, radius = None, min(first_radius_arcsec, max_radius_arcsec)
-    while True:
-        step = cut(nearest_within(waiting, big, radius, "left_id", big_id, right_pos=big_pos))
-        found = step if found is None else found.unionByName(step)
-        if radius >= max_radius_arcsec:
-            return found
-        waiting = cut(waiting.join(step.select("left_id"), "left_id", "left_anti"))
-        if waiting.isEmpty():
-            return found
-        radius = min(radius * 8.0, max_radius_arcsec)
+    radius = radius_arcsec * ARCSEC
+    h = zone_height(radius)
+    covers = with_cover(right, *right_pos, h, radius).withColumnsRenamed({right_pos[0]: "_r_ra", right_pos[1]: "_r_dec", "cell": "_r_cell"})
+    z = _zone(F.col(left_pos[1]), h)
+    n = _cells_in_zone(z, h)
+    c = F.pmod(F.floor(F.pmod(F.col(left_pos[0]), F.lit(360.0)) / 360.0 * n).cast("bigint"), n)
+    points = left.withColumn("_l_cell", F.when(_has_position(*left_pos), z * _CELL_BASE + c))
+    sep = haversine_deg(F.col(left_pos[0]), F.col(left_pos[1]), F.col("_r_ra"), F.col("_r_dec")) * 3600.0
+    limit = radius * 3600.0
+    on = (F.col("_l_cell") == F.col("_r_cell")) & (F.abs(F.col(left_pos[1]) - F.col("_r_dec")) <= radius + _PAD) & (sep <= limit if closed else sep < limit)
+    return points.join(covers, on if also is None else on & also, how).drop("_l_cell")
+
+
+def with_match(left: DataFrame, right: DataFrame, radius_arcsec: float, left_pos: tuple[str, str] = ("ra", "dec"),
+               right_pos: tuple[str, str] = ("ra", "dec"), closed: bool = True) -> DataFrame:
+    """Left rows with a right row within the radius, each once."""
+    return _near_join(left, right.select(*right_pos), radius_arcsec, "left_semi", left_pos, right_pos, closed)
+
+
+def without_match(left: DataFrame, right: DataFrame, radius_arcsec: float, left_pos: tuple[str, str] = ("ra", "dec"),
+                  right_pos: tuple[str, str] = ("ra", "dec"), closed: bool = True) -> DataFrame:
+    """Left rows without a right row within the radius; a row without a position has none."""
+    return _near_join(left, right.select(*right_pos), radius_arcsec, "left_anti", left_pos, right_pos, closed)
 
 
 def cone(df: DataFrame, ra0: float, dec0: float, radius_deg: float,
@@ -253,16 +340,11 @@ def drop_lower_precedence(df: DataFrame, radius_arcsec: float, source: str, pass
         df = cut(df)
         # ``key`` tells rows apart; several rows with one key are one object
         places = df.groupBy(ra, dec).agg(F.min(F.struct(*key)).alias("_lo"), F.max(F.struct(*key)).alias("_hi"))
-        mine = df.where(F.col(source).isin(sources)).select(ra, dec).distinct()
-        left = mine.select(F.col(ra).alias("l_ra"), F.col(dec).alias("l_dec"))
-        right = places.select(F.col(ra).alias("r_ra"), F.col(dec).alias("r_dec"),
-                              (F.col("_lo") != F.col("_hi")).alias("r_shared"))
-        close = _pairs(left, right, radius_arcsec * ARCSEC, False, "left")
-        other = (F.col("l_ra") != F.col("r_ra")) | (F.col("l_dec") != F.col("r_dec"))
-        gone = (close.where(other | F.col("r_shared")).select(F.col("l_ra").alias(ra), F.col("l_dec").alias(dec))
-                .distinct().withColumn("_gone", F.lit(True)))
-        df = (df.join(gone, [ra, dec], "left")
-              .where(~(F.col(source).isin(sources) & F.coalesce("_gone", F.lit(False)))).drop("_gone"))
+        places = places.select(ra, dec, (F.col("_lo") != F.col("_hi")).alias("_shared"))
+        listed = F.coalesce(F.col(source).isin(sources), F.lit(False))
+        other = (F.col(ra) != F.col("_r_ra")) | (F.col(dec) != F.col("_r_dec")) | F.col("_shared")
+        alone = _near_join(df.where(listed), places, radius_arcsec, "left_anti", pos, pos, False, other)
+        df = df.where(~listed).unionByName(alone)
     return df
 
 

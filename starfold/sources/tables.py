@@ -206,9 +206,20 @@ def read_stages(spark: SparkSession, paths: list[str]) -> DataFrame:
     return union_all([spark.read.parquet(p).withColumn("input_file", F.input_file_name()) for p in paths])
 
 
-def write_clustered(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Materialise a query bucketed and sorted on its key, so that joins on it need no shuffle."""
-    df.write.bucketBy(buckets, key).sortBy(key).mode("errorifexists").saveAsTable(table)
+def write_clustered(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Materialise a query bucketed and sorted on its key, so that joins on it need no shuffle.
+
+    The rows are dealt to the buckets before they are written, so a bucket is
+    one file and not one of every task. ``path`` keeps the files in a folder of
+    the caller's; else they go to the warehouse.
+    """
+    writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).mode("errorifexists")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def join_clustered(spark: SparkSession, left: str, right: str, key: str, how: str = "inner") -> DataFrame:
+    """Join of two tables of ``write_clustered`` with the same key and number of buckets: bucket meets bucket, nothing is shuffled."""
+    return spark.table(left).join(spark.table(right).hint("merge"), key, how)
 
 
 def write_partitioned_text(df: DataFrame, path: str, by: list[str]) -> None:

@@ -119,3 +119,34 @@ def test_group_quota_in_the_assignment(spark):
     short = assign.short_groups(assign.assign_visit(e, groups, 2), groups, [0, 1], 2).collect()
     assert {(r.visit_idx, r.grp, r.used) for r in short} == {(1, g, 0) for g in range(3)}
     assert len(assign.assign_visit(e).collect()) == 12
+
+
+def test_pointings_apart_run_together(spark):
+    import random
+    rnd = random.Random(9)
+    # pointings 0-1-2 share targets in a chain, 3 and 4 stand alone
+    views = {0: range(0, 30), 1: range(20, 50), 2: range(40, 70), 3: range(100, 130), 4: range(200, 230)}
+    rows = [(p, f, t, float(t % 3), rnd.random()) for p, ts in views.items() for t in ts for f in range(12) if rnd.random() < 0.3]
+    e = spark.createDataFrame(rows, "pointing_idx int, fiber_id int, target_idx long, class_cost double, cost double")
+    assert assign.shared_pointings(e) == {(0, 1), (1, 0), (1, 2), (2, 1)}
+    visits = [dict(visit_idx=k, pointing_idx=p, nrepeats=1 + p % 2) for k, p in enumerate([0, 1, 2, 3, 4, 0, 3])]
+    assert [[v["visit_idx"] for v in w] for w in assign.waves(visits, assign.shared_pointings(e))] == [[0, 3, 4], [1, 6], [2, 5]]
+    need = e.select("target_idx").distinct().withColumn("req_visits", (F.col("target_idx") % 2 + 1).cast("int"))
+    got = {(r.visit_idx, r.fiber_id, r.target_idx, r.n) for r in assign.assign_visits(e, visits, need).collect()}
+    # one visit after the other, in plain Python
+    count, want = {}, set()
+    for v in visits:
+        left = [r for r in rows if r[0] == v["pointing_idx"] and count.get(r[2], 0) < r[2] % 2 + 1]
+        while left:
+            wish = {}
+            for r in left:
+                wish[r[1]] = min(wish.get(r[1], (1e9,)), (-r[3], r[4], r[2]))
+            won = {}
+            for f, (_, cost, t) in wish.items():
+                won[t] = min(won.get(t, (1e9,)), (cost, f))
+            for t, (_, f) in won.items():
+                want.add((v["visit_idx"], f, t, v["nrepeats"]))
+                count[t] = count.get(t, 0) + v["nrepeats"]
+            taken = {f for _, f in won.values()}
+            left = [r for r in left if r[1] not in taken and r[2] not in won]
+    assert got == want

@@ -47,12 +47,16 @@ def test_sky_table_cone_and_partitioned_text(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "rows")).count() == 10
 
 
-def test_bucketed_table_joins_without_a_shuffle(spark, tmp_path):
-    spark.sql("DROP TABLE IF EXISTS starfold_t")
-    tb.write_clustered(spark.range(100).withColumnRenamed("id", "k"), "starfold_t", "k", 4)
-    plan = spark.table("starfold_t").groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
-    spark.sql("DROP TABLE starfold_t")
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    for name, n in (("starfold_t", 100), ("starfold_u", 60)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        tb.write_clustered(spark.range(n).withColumnRenamed("id", "k").withColumn(name, F.col("k") * 2), name, "k", 4, str(tmp_path / name))
+        assert len(list((tmp_path / name).glob("*.parquet"))) == 4
+    joined = tb.join_clustered(spark, "starfold_t", "starfold_u", "k")
+    plans = [x._jdf.queryExecution().executedPlan().toString() for x in (joined, joined.groupBy("k").count())]
+    assert joined.count() == 60 and not [p for p in plans if "Exchange" in p] and "SortMergeJoin" in plans[0]
+    for name in ("starfold_t", "starfold_u"):
+        spark.sql(f"DROP TABLE {name}")
 
 
 def one_list(spark, key, prefix, rows):

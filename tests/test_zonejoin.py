@@ -146,3 +146,42 @@ def test_precedence_dedupe_counts_copies(spark):
     df = spark.createDataFrame(rows, "id long, src string, ra double, dec double")
     out = zj.drop_lower_precedence(df, 2.0, "src", [["old"], ["wide"]], ["id", "src"])
     assert sorted(x.id for x in out.collect()) == [1, 4, 5]
+
+
+def test_nearest_at_any_distance(case, spark):
+    _, a, b, da, db = case
+    for part, frame in ((b, db), (b[:1], db.limit(0).unionByName(spark.createDataFrame(b[:1], db.schema)))):
+        got = {x.left_id: x for x in zj.nearest_any_distance(da, frame, "id", "id").collect()}
+        assert len(got) == len(a)
+        for p in a:
+            best = min(sep(p, q) for q in part)
+            assert abs(got[p[0]].sep_arcsec - best) < 1e-5
+    assert zj.nearest_any_distance(da, db.limit(0), "id", "id").count() == 0
+
+
+def test_large_table_is_celled_once(spark, monkeypatch):
+    rows = spark.range(2000).selectExpr("id", "id % 360 + 0.5 AS ra", "(id * 7) % 170 - 85.0 AS dec")
+    seen = []
+    real = zj._grid
+    monkeypatch.setattr(zj, "_grid", lambda *a: seen.append(1) or real(*a))
+    found = zj.nearest_any_distance(rows.where("id < 20"), rows.withColumn("id", F.col("id") + 0), "id", "id")
+    assert len(seen) == 1 and found.where("sep_arcsec > 0").count() == 0
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2 and "explode" not in plan          # the last level, then the rows
+
+
+def test_existence_within_a_radius(case):
+    radius, a, b, da, db = case
+    have = {p[0] for p in a if any(sep(p, q) <= radius for q in b)}
+    near, far = zj.with_match(da, db, radius), zj.without_match(da, db, radius)
+    assert sorted(x.id for x in near.collect()) == sorted(have)
+    assert sorted(x.id for x in far.collect()) == sorted({p[0] for p in a} - have)
+    for frame, kind in ((near, "LeftSemi"), (far, "LeftAnti")):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert kind in plan and "Aggregate" not in plan
+
+
+def test_rows_without_position_have_no_match(spark):
+    a = spark.createDataFrame([(1, None, 1.0), (2, float("nan"), 1.0), (3, 1.0, 1.0)], "id long, ra double, dec double")
+    assert [x.id for x in zj.with_match(a, a, 1.0).collect()] == [3]
+    assert sorted(x.id for x in zj.without_match(a, a, 1.0).collect()) == [1, 2]
