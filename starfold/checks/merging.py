@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.astro import haversine_deg
 from ..operators import assign as asg, export as ex, merge as mg, report as rp, verify as ve
+from ..session import cut
 from ..sources.fixtures import table, with_
 from .maps import _bin
 from .matching import _NEAREST, _ONE, _pairs
@@ -249,6 +250,18 @@ def _(c):
     return asg.limit_per_group(c("list_a"), ["priority"], "exp_time", "targetid", 100).select("targetid", "priority")
 
 
+@check("w10_filled_groups", _HEAD + """SELECT v.v AS visit_idx, CAST(s.g AS INTEGER) AS grp, 0 AS twice, 0 AS strange, 0 AS fixable
+    FROM (VALUES (0),(1)) v(v) CROSS JOIN (SELECT DISTINCT fiber_id%97 AS g FROM fibers) s""")
+def _(c):
+    # groups of about twenty fibers, of which some have no working fiber in reach of a free target; none may stay short where a path would help
+    least = 14
+    e = cut(edges(c).select(C("pointing_idx").alias("visit_idx"), "fiber_id", "target_idx", C("dist").alias("cost"), (C("target_idx") % 5).cast("double").alias("class_cost")))
+    groups = c("fibers").select("fiber_id", (C("fiber_id") % 97).cast("int").alias("grp"))
+    first = asg.assign_visit(e.where("target_idx % 7 < 2"))
+    got = asg.fill_short_groups(first, e, groups, least)
+    return asg.group_faults(got, e, groups, least)
+
+
 @check("w11_sorted_output", with_("list_a") + "SELECT targetid, priority FROM list_a ORDER BY priority, targetid")
 def _(c):
     return c("list_a").select("targetid", "priority").orderBy("priority", "targetid")

@@ -101,6 +101,82 @@ def short_groups(assigned: DataFrame, groups: DataFrame, visits: list[int], leas
             .where(F.col("used") < least).select("visit_idx", "grp", "used"))
 
 
+def _groups_and_visits(edges: DataFrame, groups: DataFrame) -> DataFrame:
+    """(grp, visit_idx) of every group, also without a pair, in every visit of the plan (a literal of some tens)."""
+    visits = sorted(r.visit_idx for r in edges.select("visit_idx").distinct().collect())
+    return groups.select("grp").distinct().withColumn("visit_idx", F.explode(F.array(*[F.lit(v) for v in visits]).cast("array<int>")))
+
+
+def fill_short_groups(assigned: DataFrame, edges: DataFrame, groups: DataFrame, least: int) -> DataFrame:
+    """``assigned`` pairs (visit_idx, fiber_id, target_idx, cost) with fiber groups brought up to ``least`` pairs per visit where a short path allows it.
+
+    A free fiber of a short group takes a free target; or one from the fiber
+    that has it, and that fiber takes a free target of its own (an alternating
+    path of three edges, which adds a pair) or goes without if its group has
+    pairs to spare.
+    Every round carries out paths that touch different fibers and targets,
+    cheapest first, no more than a group lacks or can spare; no group falls
+    below its minimum, no target is lost to a fiber that is not its own. Rounds
+    end when no such path is left; each lowers the number of missing pairs.
+    """
+    pair = ["visit_idx", "fiber_id", "target_idx", "cost"]
+    edges = cut(edges.select(*pair).join(groups, "fiber_id", "left"))
+    assigned = cut(assigned.select(*pair))
+    every = cut(_groups_and_visits(edges, groups))
+    while True:
+        held = assigned.join(groups, "fiber_id", "left")
+        use = (every.join(held.groupBy("visit_idx", "grp").agg(F.count(F.lit(1)).alias("used")), ["visit_idx", "grp"], "left")
+               .select("visit_idx", "grp", F.coalesce("used", F.lit(0)).alias("used")))
+        lacking = use.where(F.col("used") < least).select("visit_idx", "grp", (least - F.col("used")).alias("lack"))
+        spare = use.where(F.col("used") > least).select("visit_idx", F.col("grp").alias("o_grp"), (F.col("used") - least).alias("spare"))
+        free = edges.join(lacking, ["visit_idx", "grp"]).join(assigned.select("visit_idx", "fiber_id"), ["visit_idx", "fiber_id"], "left_anti")
+        owner = held.select("visit_idx", "target_idx", F.col("fiber_id").alias("o_fiber"), F.col("grp").alias("o_grp"))
+        other = (edges.join(assigned.select("visit_idx", "target_idx"), ["visit_idx", "target_idx"], "left_anti").groupBy("visit_idx", F.col("fiber_id").alias("o_fiber"))
+                 .agg(F.min(F.struct(F.col("cost").alias("new_cost"), F.col("target_idx").alias("new_target"))).alias("o")))
+        paths = (free.join(owner, ["visit_idx", "target_idx"], "left").join(other, ["visit_idx", "o_fiber"], "left").join(spare, ["visit_idx", "o_grp"], "left")
+                 .where(F.col("o").isNotNull() | (F.col("spare") > 0) & ~F.col("o_grp").eqNullSafe(F.col("grp")) | F.col("o_grp").isNull()))
+        paths = paths.select("visit_idx", "fiber_id", "target_idx", "cost", "grp", "lack", "o_fiber", "o_grp", "spare", F.col("o.new_target").alias("new_target"), F.col("o.new_cost").alias("new_cost"))
+        rank = F.struct((F.col("o_fiber").isNotNull() & F.col("new_target").isNull()).alias("gone"), (F.col("cost") + F.coalesce("new_cost", F.lit(0.0))).alias("price"), "fiber_id", "target_idx")
+
+        def best(df: DataFrame, *keys: str) -> DataFrame:
+            names = [c for c in df.columns if c not in keys]
+            return df.groupBy(*keys).agg(F.min(F.struct(rank.alias("_r"), *names)).alias("_m")).select(*keys, *[F.col(f"_m.{c}").alias(c) for c in names])
+
+        moves = best(best(paths, "visit_idx", "fiber_id"), "visit_idx", "target_idx")
+        simple = moves.where("o_fiber IS NULL").select("visit_idx", F.col("target_idx").alias("new_target"))
+        swaps = best(moves.where("new_target IS NOT NULL").join(simple, ["visit_idx", "new_target"], "left_anti"), "visit_idx", "new_target")
+        moves = swaps.select(*moves.columns).unionByName(moves.where("new_target IS NULL"))
+        # a group gains no more than it lacks and gives no more than it has to spare; groups have the size of the instrument
+        nth = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(rank))
+        moves = moves.withColumn("_n", nth("visit_idx", "grp")).where("_n <= lack")
+        moves = moves.withColumn("_n", nth("visit_idx", "o_grp", F.col("new_target").isNull())).where("new_target IS NOT NULL OR o_grp IS NULL OR _n <= spare").drop("_n")
+        moves = cut(moves)
+        if moves.isEmpty():
+            return assigned
+        kept = assigned.join(moves.select("visit_idx", "target_idx"), ["visit_idx", "target_idx"], "left_anti").select(*pair)
+        again = moves.where("new_target IS NOT NULL").select("visit_idx", F.col("o_fiber").alias("fiber_id"), F.col("new_target").alias("target_idx"), F.col("new_cost").alias("cost"))
+        assigned = cut(kept.unionByName(moves.select(*pair)).unionByName(again))
+
+
+def group_faults(assigned: DataFrame, edges: DataFrame, groups: DataFrame, least: int) -> DataFrame:
+    """(visit_idx, grp, twice, strange, fixable) of every group and visit: fibers or targets used twice, pairs that are no edge, paths left for a short group."""
+    every = _groups_and_visits(edges, groups)
+    held = assigned.join(groups, "fiber_id")
+    twice = (held.groupBy("visit_idx", "grp").agg((F.count(F.lit(1)) - F.count_distinct("fiber_id")).alias("a"))
+             .join(held.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("visit_idx", "target_idx"))).groupBy("visit_idx", "grp").agg(F.count_if(F.col("n") > 1).alias("b")), ["visit_idx", "grp"])
+             .select("visit_idx", "grp", (F.col("a") + F.col("b")).alias("twice")))
+    strange = held.join(edges, ["visit_idx", "fiber_id", "target_idx"], "left_anti").groupBy("visit_idx", "grp").agg(F.count(F.lit(1)).alias("strange"))
+    use = held.groupBy("visit_idx", "grp").agg(F.count(F.lit(1)).alias("used"))
+    short = every.join(use, ["visit_idx", "grp"], "left").where(F.coalesce("used", F.lit(0)) < least).select("visit_idx", "grp")
+    rest = edges.join(assigned.select("visit_idx", "target_idx"), ["visit_idx", "target_idx"], "left_anti").select("visit_idx", F.col("fiber_id").alias("o_fiber")).distinct()
+    begin = edges.join(groups, "fiber_id").join(short, ["visit_idx", "grp"]).join(assigned.select("visit_idx", "fiber_id"), ["visit_idx", "fiber_id"], "left_anti")
+    owner = held.select("visit_idx", "target_idx", F.col("fiber_id").alias("o_fiber"))
+    fixable = begin.join(owner, ["visit_idx", "target_idx"]).join(rest, ["visit_idx", "o_fiber"], "left_semi").groupBy("visit_idx", "grp").agg(F.count(F.lit(1)).alias("fixable"))
+    for t in (twice, strange, fixable):
+        every = every.join(t, ["visit_idx", "grp"], "left")
+    return every.select("visit_idx", "grp", *[F.coalesce(n, F.lit(0)).cast("int").alias(n) for n in ("twice", "strange", "fixable")])
+
+
 def shared_pointings(edges: DataFrame) -> set[tuple[int, int]]:
     """Pairs of pointings with a target in common, each both ways: the conflict graph of the survey plan.
 
@@ -126,8 +202,8 @@ def waves(visits: list[dict], shared: set[tuple[int, int]]) -> list[list[dict]]:
 
 
 def assign_visits(edges: DataFrame, visits: list[dict], required: DataFrame, groups: DataFrame | None = None,
-                  most: int | None = None) -> DataFrame:
-    """Assign visits in their order until each target has its required visits; ``groups`` and ``most`` as in ``assign_visit``.
+                  most: int | None = None, least: int | None = None) -> DataFrame:
+    """Assign visits in their order until each target has its required visits; ``groups`` and ``most`` as in ``assign_visit``, ``least`` as in ``fill_short_groups``.
 
     ``edges`` is per pointing; ``required`` holds target_idx and the visits it
     still needs (targets that are not listed need one). Visits whose pointings
@@ -143,7 +219,10 @@ def assign_visits(edges: DataFrame, visits: list[dict], required: DataFrame, gro
             got = done.groupBy("target_idx").agg(F.sum("n").alias("got"))
             full = got.join(required, "target_idx", "left").where(F.col("got") >= F.coalesce("req_visits", F.lit(1)))
             e = e.join(full.select("target_idx"), "target_idx", "left_anti")
-        mine = assign_visit(e, groups, most).withColumn("n", F.element_at(repeats, F.col("visit_idx")))
+        mine = assign_visit(e, groups if most is not None else None, most)
+        if groups is not None and least is not None:
+            mine = fill_short_groups(mine, e, groups, least)
+        mine = mine.withColumn("n", F.element_at(repeats, F.col("visit_idx")))
         done = mine if done is None else cut(done.unionByName(mine))
     if done is None:
         return edges.select(F.lit(0).alias("visit_idx"), "fiber_id", "target_idx", "cost", F.lit(1).alias("n")).limit(0)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,10 +11,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.astro import parse_epoch, separation_arcsec
 from ..functions.nulls import is_true
 from ..functions.photometry import njy_err_to_ab, njy_to_ab
-from ..session import cut, pin
+from ..session import checkpoint_dir, cut, pin
 from .columns import class_label
 from .ids import dense_id, object_id
-from .zonejoin import match_one_to_one
+from .zonejoin import add_to_index, match_one_to_one, read_index
 
 # The unified target table (name, type), in order.
 TARGET_SCHEMA = (("key", "string"), ("targetid", "bigint"), ("RA", "double"), ("Dec", "double"), ("prefix", "string"),
@@ -152,19 +153,22 @@ def merge_lists(lists: list[TargetList], id_prefix: int = 0, radius_arcsec: floa
     unique within a list. Returns the targets and the links (key, targetid,
     target_idx, objid) of every input row.
 
-    Positions never change, so lists are matched with ids and positions alone;
-    what a list adds and what it updates are kept apart and written once. The
-    updates of all lists are folded in one pass at the end, so the work for a
-    list grows with the list and not with the table.
+    Positions never change, so lists are matched with ids and positions alone.
+    These are kept in an index partitioned by cell of the sky, to which a list
+    adds its new targets and of which it reads only the cells it touches. What
+    a list updates is folded in one pass at the end, so the work for a list
+    grows with the list and not with the table.
     """
     ordered = [x for p in ("cal", "sci", "sky") for x in lists if x.prefix == p]
     parts, log, links, count = [], None, None, 0
+    index = f"{checkpoint_dir(lists[0].data.sparkSession)}/positions-{uuid.uuid4().hex}"
+    radii = [x.radius_arcsec or radius_arcsec for x in ordered]
     for rank, x in enumerate(ordered):
         rows = cut(unify(x.data, x.key, x.prefix, class_costs=class_costs))
         new, mine = rows, None
         if parts and x.prefix != "sky":
-            slim = reduce(DataFrame.unionByName, [p.select("target_idx", "RA", "Dec") for p in parts])
-            mine = cut(match_one_to_one(rows, slim, x.radius_arcsec or radius_arcsec, "targetid", "target_idx",
+            known = read_index(rows, index, "target_idx", radii[rank], ("RA", "Dec"), ("RA", "Dec"))
+            mine = cut(match_one_to_one(rows, known, radii[rank], "targetid", "target_idx",
                                         left_pos=("RA", "Dec"), right_pos=("RA", "Dec"))
                        .select(F.col("left_id").alias("targetid"), F.col("right_id").alias("target_idx")))
             new = rows.join(mine.select("targetid"), "targetid", "left_anti").select(*rows.columns)
@@ -173,6 +177,8 @@ def merge_lists(lists: list[TargetList], id_prefix: int = 0, radius_arcsec: floa
         appended = dense_id(new, "targetid", "target_idx", count)
         count += appended.count()
         parts.append(appended)
+        if any(y.prefix != "sky" for y in ordered[rank + 1:]):
+            add_to_index(appended, index, "target_idx", ("RA", "Dec"))
         got = appended.select("targetid", "target_idx")
         got = got if mine is None else got.unionByName(mine)
         objid = object_id(id_prefix, F.col("target_idx")) if x.prefix == "sci" else F.col("targetid")

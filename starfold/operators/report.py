@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .ids import dense_id
 
@@ -17,6 +17,26 @@ def distinct_targets(assignments: DataFrame, keys: list[str], approximate: bool
     return assignments.groupBy(*keys).agg(f.alias("n")) if keys else assignments.agg(f.alias("n"))
 
 
+SKETCH_BITS = 12       # 2**12 cells: one sigma of an estimate is about 1.6 %
+
+
+def write_sketches(assignments: DataFrame, path: str, keys: list[str], run: str) -> None:
+    """One sketch of the distinct targets for each key, stored beside those of other runs.
+
+    A sketch has a few kilobytes whatever it counts; later stages read these
+    and not the assignments.
+    """
+    sketched = assignments.groupBy(*keys).agg(F.hll_sketch_agg("target_idx", F.lit(SKETCH_BITS)).alias("sketch"))
+    sketched.withColumn("run", F.lit(run)).write.mode("append").parquet(path)
+
+
+def sketched_targets(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Estimated distinct targets per key over all stored runs, or of all; a target in several runs counts once."""
+    merged = F.hll_sketch_estimate(F.hll_union_agg("sketch", F.lit(False))).alias("n")
+    stored = spark.read.parquet(path)
+    return stored.groupBy(*keys).agg(merged) if keys else stored.agg(merged)
+
+
 def visit_table(assignments: DataFrame) -> DataFrame:
     """Distinct targets per (pointing, visit, prefix), and per prefix in total (NULL pointing and visit)."""
     once = assignments.groupBy("pointing_idx", "visit_idx", "prefix", "target_idx").agg(F.first(F.lit(1)))

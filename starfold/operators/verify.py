@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from .columns import class_lookup
 
@@ -32,6 +32,37 @@ def list_problems(df: DataFrame, prefix: str) -> DataFrame:
     return dup.unionByName(rows)
 
 
+def list_counts(prefix: str) -> dict[str, Column]:
+    """Conditions of the problems that a list's rows show by themselves, by name."""
+    out = {"missing_position": F.col("RA").isNull() | F.col("Dec").isNull() | F.isnan("RA") | F.isnan("Dec"), "missing_id": F.col("targetid").isNull()}
+    if prefix == "sci":
+        out |= {"missing_priority": F.col("priority").isNull(), "bad_exposure_time": F.col("exp_time").isNull() | (F.col("exp_time") <= 0)}
+    return out
+
+
+def design_counts() -> dict[str, Column]:
+    """The same for the rows of designs."""
+    return {"coordinates_without_target": (F.col("target_idx") == -1) & (F.col("ra").isNotNull() | F.col("dec").isNotNull()),
+            "unassigned": F.col("target_idx") == -1}
+
+
+def visit_counts(most: int) -> dict[str, Column]:
+    """The same for pointings, given the most visits that a target needs."""
+    return {"too_few_visits": F.coalesce("nvisits", F.lit(1)) * F.coalesce("nrepeats", F.lit(1)) < most, "missing_exposure_time": F.col("exp_time").isNull()}
+
+
+def write_counted(df: DataFrame, path: str, problems: dict[str, Column]) -> dict[str, int]:
+    """Write the rows and return ``n_rows`` and the number of rows with each problem, counted by the job that writes them.
+
+    The counts are metrics of the query: no other scan, and a task that runs
+    again is counted once.
+    """
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in problems.items()]]
+    df.observe(seen, *counts).write.mode("errorifexists").parquet(path)
+    return dict(seen.get)
+
+
 def visit_problems(targets: DataFrame, pointings: DataFrame) -> DataFrame:
     """(problem, pointing_idx, n): pointings that offer too few visits, and unequal exposure times."""
     most = targets.agg(F.max("req_visits")).scalar()

@@ -167,7 +167,7 @@ def match_one_to_one(left: DataFrame, right: DataFrame, radius_arcsec: float, le
     return won.select(F.col("m.left_id").alias("left_id"), "right_id", F.col("m.sep_arcsec").alias("sep_arcsec"))
 
 
-FINEST, STEP = 14, 2      # levels of the pyramid: the sky in 2**level rows and twice as many columns
+FINEST, STEP = 15, 3      # levels of the pyramid: the sky in 2**level rows and twice as many columns
 
 
 def _grid(ra: Column, dec: Column, level: int) -> tuple[Column, Column]:
@@ -348,6 +348,27 @@ def drop_lower_precedence(df: DataFrame, radius_arcsec: float, source: str, pass
     return df
 
 
+INDEX_HEIGHT = 1.0     # degrees: the cells that a position index is partitioned by; some 41,000 cover the sky
+
+
+def add_to_index(df: DataFrame, path: str, key: str, pos: tuple[str, str] = ("ra", "dec")) -> None:
+    """Append ids and positions to an index of files partitioned by cell; rows without a position have no place in it."""
+    slim = df.select(F.col(key).cast("bigint").alias(key), *[F.col(c).cast("double").alias(c) for c in pos])
+    with_cell(slim, *pos, INDEX_HEIGHT).write.mode("append").partitionBy("cell").parquet(path)
+
+
+def read_index(near: DataFrame, path: str, key: str, radius_arcsec: float, pos: tuple[str, str] = ("ra", "dec"),
+               index_pos: tuple[str, str] = ("ra", "dec")) -> DataFrame:
+    """The rows of an index in the cells that the circles around ``near`` touch.
+
+    The touched cells, no more than the sky has, are found first and select the
+    partitions while the query runs; the other cells' files are not opened.
+    """
+    schema = f"{key} bigint, {index_pos[0]} double, {index_pos[1]} double, cell bigint"
+    touched = with_cover(near.select(*pos), *pos, INDEX_HEIGHT, radius_arcsec * ARCSEC).where("cell >= 0").select("cell").distinct()
+    return near.sparkSession.read.schema(schema).parquet(path).join(F.broadcast(touched), "cell", "left_semi").drop("cell")
+
+
 def join_by_neighbours(left: DataFrame, links: DataFrame, right: DataFrame, left_key: tuple[str, str],
                        right_key: tuple[str, str]) -> DataFrame:
     """Equi-join of two catalogs through a ready-made neighbour table.

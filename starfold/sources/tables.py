@@ -9,7 +9,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.nulls import normalise_missing
-from ..operators.zonejoin import cone
+from ..functions.astro import haversine_deg
+from ..operators.blocks import cell_join
+from ..operators.zonejoin import cone, with_cell, with_cover, zone_height
 
 
 @dataclass(frozen=True)
@@ -172,6 +174,26 @@ def read_cone(spark: SparkSession, path: str, ra0: float, dec0: float, radius_de
     return cone(sky, ra0, dec0, radius_deg, pos).drop("dec_from", "dec_to")
 
 
+def read_cones(centers: DataFrame, path: str, radius_deg: float, key: str, height_deg: float = 1.0, center_pos: tuple[str, str] = ("ra", "dec"),
+               pos: tuple[str, str] = ("ra", "dec")) -> DataFrame:
+    """Many cones of a table written by ``write_sky_table`` at once: its rows with the ``key`` of each center within the radius.
+
+    The zones that the cones touch, of which the sky has 180 / ``height_deg`` at
+    most, are found from the centers while the query runs and prune the
+    partitions of the table; the rest is a cell join of rows and cones.
+    """
+    sky = centers.sparkSession.read.parquet(path)
+    low = lambda d: F.floor((d + 90.0) / height_deg).cast("int")
+    dec = F.col(center_pos[1])
+    at = centers.where(dec.between(-90.0, 90.0)).select(F.explode(F.sequence(low(dec - radius_deg), low(dec + radius_deg))).alias("z"))
+    zones = at.distinct().select((F.col("z") * height_deg - 90.0).cast("double").alias("dec_from"))
+    near = sky.join(F.broadcast(zones), "dec_from", "left_semi").drop("dec_from", "dec_to")
+    h = zone_height(radius_deg)
+    named = centers.select(F.col(key), F.col(center_pos[0]).cast("double").alias("_c_ra"), F.col(center_pos[1]).cast("double").alias("_c_dec"))
+    met = cell_join(with_cell(near, *pos, h), with_cover(named, "_c_ra", "_c_dec", h, radius_deg))
+    return met.where(haversine_deg(F.col(pos[0]), F.col(pos[1]), F.col("_c_ra"), F.col("_c_dec")) <= radius_deg).drop("_c_ra", "_c_dec")
+
+
 def write_sky_table(df: DataFrame, path: str, height_deg: float = 1.0, dec: str = "dec") -> None:
     """All-sky table partitioned by declination zone and sorted, so that cones read few files."""
     low = F.floor((F.col(dec) + 90.0) / height_deg) * height_deg - 90.0

@@ -150,3 +150,34 @@ def test_pointings_apart_run_together(spark):
             taken = {f for _, f in won.values()}
             left = [r for r in left if r[1] not in taken and r[2] not in won]
     assert got == want
+
+
+def test_short_groups_are_filled_by_paths(spark):
+    import random
+    for seed in (1, 2):
+        rnd = random.Random(seed)
+        # group of a fiber: fiber % 4; the first group's fibers see only what others may hold as well
+        rows = [(v, f, t, 1.0, round(rnd.random(), 3)) for v in (0, 1) for f in range(24) for t in range(40) if rnd.random() < (0.08 if f % 4 == 0 else 0.25)]
+        e = spark.createDataFrame(rows, "visit_idx int, fiber_id int, target_idx long, class_cost double, cost double")
+        groups = spark.range(24).select(F.col("id").cast("int").alias("fiber_id"), (F.col("id") % 4).cast("int").alias("grp"))
+        first = assign.assign_visit(e.where("fiber_id % 4 <> 0 OR target_idx < 3"))
+        least = 6
+        before = {(r.visit_idx, r.fiber_id, r.target_idx) for r in first.collect()}
+        after = {(r.visit_idx, r.fiber_id, r.target_idx) for r in assign.fill_short_groups(first, e, groups, least).collect()}
+        edges = {r[:3] for r in rows}
+        assert after <= edges and len({x[:2] for x in after}) == len({(x[0], x[2]) for x in after}) == len(after) >= len(before)
+        used = lambda pairs, v, g: sum(x[0] == v and x[1] % 4 == g for x in pairs)
+        for v in (0, 1):
+            for g in range(4):
+                assert used(after, v, g) >= min(used(before, v, g), least)
+                if used(after, v, g) < least:      # no path of three edges, and none from a group that could spare a pair
+                    held = {x[2]: x[1] for x in after if x[0] == v}
+                    free = [f for f in range(g, 24, 4) if f not in held.values()]
+                    for f in free:
+                        for t in [x[2] for x in edges if x[0] == v and x[1] == f]:
+                            o = held[t]
+                            assert not [x for x in edges if x[0] == v and x[1] == o and x[2] not in held]
+                            assert o % 4 == g or used(after, v, o % 4) <= least
+        faults = assign.group_faults(assign.fill_short_groups(first, e, groups, least), e, groups, least).collect()
+        assert len(faults) == 8 and not [r for r in faults if r.twice or r.strange or r.fixable]
+        assert sum(used(after, v, 0) for v in (0, 1)) > sum(used(before, v, 0) for v in (0, 1))

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from starfold.operators import export, merge as mg, verify
+from starfold.operators import export, merge as mg, report as rp, verify, zonejoin as zj
 from starfold.sources import tables as tb
 from starfold.streaming import stages
 
@@ -116,3 +116,76 @@ def test_lists_arrive_as_files(spark, tmp_path):
         q = stages.ingest_lists(spark, str(src), "id long", cfg, str(tmp_path / "out"), str(tmp_path / "ck"))
         q.awaitTermination(60)
     assert sorted(x.targetid for x in spark.read.parquet(str(tmp_path / "out")).collect()) == [3, 4, 5]
+
+
+def scanned_rows(df):
+    """Rows that the scan with run-time pruning gave, from the metrics of the plan."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    assert "dynamicpruning" in text
+    leaves = plan.collectLeaves()
+    scans = [leaves.apply(k) for k in range(leaves.size()) if "dynamicpruning" in leaves.apply(k).toString()]
+    return sum(int(x.metrics().apply("numOutputRows").value()) for x in scans if x.metrics().contains("numOutputRows"))
+
+
+def test_index_gives_the_touched_cells_only(spark, tmp_path):
+    sky = spark.range(4000).selectExpr("id AS target_idx", "(id * 37) % 360 + 0.5 AS RA", "(id * 11) % 160 - 79.5 AS Dec")
+    path = str(tmp_path / "index")
+    zj.add_to_index(sky.where("target_idx < 2000"), path, "target_idx", ("RA", "Dec"))
+    zj.add_to_index(sky.where("target_idx >= 2000").unionByName(spark.sql("SELECT 9999L AS target_idx, CAST(NULL AS DOUBLE) AS RA, 1.0D AS Dec")), path, "target_idx", ("RA", "Dec"))
+    assert spark.read.parquet(path).count() == 4000
+    few = sky.where("target_idx IN (5, 3000)")
+    near = zj.read_index(few, path, "target_idx", 0.1, ("RA", "Dec"), ("RA", "Dec"))
+    got = {r.target_idx for r in near.collect()}
+    assert {5, 3000} <= got and len(got) < 20
+    spark.conf.set("spark.sql.adaptiverify.enabled", "false")
+    try:
+        assert scanned_rows(zj.read_index(few, path, "target_idx", 0.1, ("RA", "Dec"), ("RA", "Dec"))) == len(got)
+    finally:
+        spark.conf.set("spark.sql.adaptiverify.enabled", "true")
+    edge = spark.createDataFrame([(1, 359.99999, 10.0)], "targetid long, RA double, Dec double")
+    zj.add_to_index(spark.createDataFrame([(7777, 0.00001, 10.0)], "target_idx long, RA double, Dec double"), path, "target_idx", ("RA", "Dec"))
+    assert 7777 in {r.target_idx for r in zj.read_index(edge, path, "target_idx", 1.0, ("RA", "Dec"), ("RA", "Dec")).collect()}
+
+
+def test_many_cones_prune_while_running(spark, tmp_path):
+    sky = spark.range(5000).selectExpr("id", "(id * 37) % 360 + 0.25 AS ra", "(id * 11) % 160 - 79.5 AS dec")
+    path = str(tmp_path / "sky")
+    tb.write_sky_table(sky, path)
+    centers = spark.createDataFrame([(1, 10.25, 20.0), (2, 359.9, 20.0), (3, 200.0, -70.0), (4, 5.0, 95.0)], "center int, ra double, dec double")
+    out = tb.read_cones(centers, path, 2.0, "center")
+    assert "dynamicpruning" in out._jdf.queryExecution().executedPlan().toString()
+    rows = sky.collect()
+    def sep(a, b, c, d):
+        import math
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        return math.degrees(2 * math.asin(math.sqrt(math.sin((d - b) / 2) ** 2 + math.cos(b) * math.cos(d) * math.sin((c - a) / 2) ** 2)))
+    want = {(k, r.id) for k, ra, dec in ((1, 10.25, 20.0), (2, 359.9, 20.0), (3, 200.0, -70.0)) for r in rows if sep(ra, dec, r.ra, r.dec) <= 2.0}
+    assert {(r.center, r.id) for r in out.collect()} == want and want
+
+
+def test_problems_are_counted_by_the_writing_job(spark, tmp_path):
+    df = spark.range(100).selectExpr("id AS targetid", "IF(id % 10 = 0, NULL, 1.0D) AS RA", "2.0D AS Dec", "IF(id % 4 = 0, NULL, 1.0D) AS priority", "IF(id % 5 = 0, -1.0D, 60.0D) AS exp_time")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "counted")
+    seen = verify.write_counted(df, str(tmp_path / "list"), verify.list_counts("sci"))
+    jobs = tracker.getJobIdsForGroup("counted")
+    spark.sparkContext.setJobGroup("other", "other")
+    assert len(jobs) == 1
+    assert seen == {"n_rows": 100, "missing_position": 10, "missing_id": 0, "missing_priority": 25, "bad_exposure_time": 20}
+    problems = {r.problem: r.n for r in verify.list_problems(df, "sci").groupBy("problem").count().withColumnRenamed("count", "n").collect()}
+    assert (problems["missing priority"], problems["bad exposure time"]) == (25, 20)
+    design = spark.sql("SELECT * FROM VALUES (1, -1L, 1.0D, NULL), (2, 5L, 1.0D, 1.0D), (3, -1L, NULL, NULL) t(fiber_id, target_idx, ra, dec)")
+    assert verify.write_counted(design, str(tmp_path / "d"), verify.design_counts()) == {"n_rows": 3, "coordinates_without_target": 1, "unassigned": 2}
+    plan = spark.sql("SELECT * FROM VALUES (1, 2, 1, 60.0D), (2, CAST(NULL AS INT), 3, CAST(NULL AS DOUBLE)) t(pointing_idx, nvisits, nrepeats, exp_time)")
+    assert verify.write_counted(plan, str(tmp_path / "p"), verify.visit_counts(3)) == {"n_rows": 2, "too_few_visits": 1, "missing_exposure_time": 1}
+
+
+def test_sketches_of_runs_are_merged(spark, tmp_path):
+    path = str(tmp_path / "s")
+    seen = spark.range(60_000).selectExpr("id % 3 AS stage", "id % 20000 AS target_idx")
+    rp.write_sketches(seen.where("stage < 2"), path, ["stage"], "a")
+    rp.write_sketches(seen.where("stage > 0"), path, ["stage"], "b")
+    assert abs(rp.sketched_targets(spark, path, []).first().n - 20_000) < 0.065 * 20_000
+    assert all(abs(r.n - 20_000) < 0.065 * 20_000 for r in rp.sketched_targets(spark, path, ["stage"]).collect())
