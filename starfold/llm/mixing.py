@@ -78,6 +78,50 @@ def _inverse(schedule: list[tuple[float, float]], u: Column) -> Column:
     return F.least(F.greatest(out, F.lit(0.0)), F.lit(1.0))
 
 
+SHAPES = (((0.0, 1.5), (0.5, 0.5)), ((0.0, 1.0),), ((0.0, 0.5), (0.5, 1.5)))     # early, even and late; each integrates to 1
+
+
+def cyclic_schedules(sources: DataFrame, shapes: tuple = SHAPES) -> DataFrame:
+    """(source, schedule): step schedules [(start, weight), …] dealt in turn to the sources in code point order, null last."""
+    steps = F.array(*[F.array(*[F.struct(F.lit(float(a)).alias("start"), F.lit(float(w)).alias("weight")) for a, w in shape]) for shape in shapes])
+    return cyclic_weights(sources, tuple(range(len(shapes)))).select("source", F.get(steps, F.col("weight").cast("int")).alias("schedule"))
+
+
+def time_of_share(schedule: Column, u: Column) -> Column:
+    """Time at which the share ``u`` of a schedule column is used up: the inverse of its integral.
+
+    Steps without or with a negative or undefined weight use nothing; a
+    schedule that uses nothing at all has no such time (null).
+    """
+    weight = lambda i: F.when((F.get(schedule, i)["weight"] > 0) & ~F.isnan(F.get(schedule, i)["weight"]), F.get(schedule, i)["weight"]).otherwise(0.0)
+    end = lambda i: F.coalesce(F.get(schedule, i + 1)["start"], F.lit(1.0))
+    steps = F.transform(schedule, lambda x, i: F.struct(x["start"].alias("start"), weight(i).alias("weight"), (weight(i) * (end(i) - x["start"])).alias("area")))
+    total = F.aggregate(steps, F.lit(0.0), lambda s, x: s + x["area"])
+    state = F.struct(F.lit(0.0).alias("done"), F.lit(None).cast("double").alias("time"))
+
+    def walk(s: Column, x: Column) -> Column:
+        here = (x["area"] > 0) & (u * total >= s["done"])          # the last step that begins no later than the share
+        return F.struct((s["done"] + x["area"]).alias("done"), F.when(here, x["start"] + (u * total - s["done"]) / x["weight"]).otherwise(s["time"]).alias("time"))
+
+    return F.aggregate(steps, state, walk, lambda s: F.when(s["time"].isNotNull(), F.least(s["time"], F.lit(1.0))))
+
+
+def curriculum(lined: DataFrame, schedules: DataFrame | None = None, id_col: str = "doc_id") -> DataFrame:
+    """``lined`` (from ``line_up``) with the ``position`` of each document's first round in training time, range-sorted by it.
+
+    ``schedules`` has (source, schedule), else ``cyclic_schedules`` are used. A
+    document of which the mix takes nothing has no position and comes first.
+    """
+    if schedules is None:
+        schedules = cyclic_schedules(lined.select("source").distinct())
+    named = schedules.select(F.col("source").alias("_s"), F.col("schedule").alias("_schedule"))
+    rows = lined.drop("position").join(named, F.col("source").eqNullSafe(F.col("_s")), "left")
+    share = F.col("place") / F.greatest(F.col("target"), F.lit(1.0))
+    rows = rows.withColumn("position", F.when(F.col("taken") > 0, time_of_share(F.col("_schedule"), share))).drop("_s", "_schedule")
+    order = ["position", "source", id_col]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def line_up(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", size: Column | None = None, text_col: str = "text",
             weights: DataFrame | None = None, schedules: dict[str, list[tuple[float, float]]] | None = None,
             share: float = 1.5, max_repeats: float = 2.0, seed: int = 0) -> DataFrame:

@@ -76,12 +76,16 @@ def op4(spark, sf_dir):
                     / sum(w) OVER (ORDER BY lim/w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM r),
     l AS (SELECT level FROM k WHERE lim/w > level ORDER BY lim/w, source LIMIT 1),
     t AS (SELECT source, source_size, least(w*coalesce((SELECT level FROM l), 1e300), lim) AS target FROM r),
-    p AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target, CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('0/' || d.doc_id), d.doc_id, d.size, d.m
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS place FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source)
-    SELECT doc_id, source, CAST(size AS BIGINT) AS size, source_size, target, place,
-           CAST(greatest(least(size, floor(target) - place), 0) + greatest(least(size, floor(target) - place - source_size), 0) AS BIGINT) AS taken FROM p""")
+    n AS (SELECT source, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS nth FROM s),
+    p AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target, n.nth, CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('0/' || d.doc_id), d.doc_id, d.size, d.m
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS place FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source JOIN n ON n.source IS NOT DISTINCT FROM d.source),
+    q AS (SELECT *, CAST(greatest(least(size, floor(target) - place), 0) + greatest(least(size, floor(target) - place - source_size), 0) AS BIGINT) AS taken,
+             place / greatest(target, 1e0) AS u FROM p)
+    SELECT doc_id, source, CAST(size AS BIGINT) AS size, source_size, target, place, taken, round(CASE WHEN taken > 0 THEN least(CASE nth
+             WHEN 0 THEN CASE WHEN u >= 7.5e-1 THEN 5e-1 + (u - 7.5e-1)/5e-1 ELSE u/1.5e0 END WHEN 1 THEN u
+             ELSE CASE WHEN u >= 2.5e-1 THEN 5e-1 + (u - 2.5e-1)/1.5e0 ELSE u/5e-1 END END, 1e0) END, 9) AS position FROM q""")
 def op5(spark, sf_dir):
-    return mixing.line_up(table(spark, sf_dir, "documents"))
+    return mixing.curriculum(cut(mixing.line_up(table(spark, sf_dir, "documents")))).withColumn("position", F.round("position", 9))
 
 
 @query("op7_bpe_encode_decode")

@@ -415,3 +415,39 @@ def test_pipeline_stages_on_awkward_rows(spark, awkward, empty, tmp_path):
             assert out.count() == len(out.collect()) <= 2 * len(AWKWARD)
     kept = corpus_pipeline.drop_near_duplicates(spark, awkward, str(tmp_path)).collect()
     assert sorted((r.doc_id or 0) for r in kept) == [0, 1, 2, 3, 4, 6, 8, 9, 10]
+
+
+def test_positions_invert_the_integrated_schedule(spark):
+    from pyspark.sql import functions as F
+    from starfold.llm import mixing
+    kind = "array<struct<start:double,weight:double>>"
+    cases = [([(0.0, 2.0), (0.25, 0.0), (0.5, 1.0)], 0), ([(0.0, 1.0)], 1), ([(0.0, 0.0), (0.5, 0.0)], 2), ([(0.0, float("nan")), (0.5, 1.0)], 3), ([(0.0, -1.0), (0.2, 1.0), (0.6, 3.0)], 4), ([], 5), (None, 6)]
+    df = spark.createDataFrame(cases, f"schedule {kind}, k int").withColumn("u", F.explode(F.array(*[F.lit(x / 20) for x in range(21)])))
+
+    def plain(steps, u):
+        ends = [a for a, _ in steps[1:]] + [1.0]
+        parts = [(a, w if w > 0 else 0.0, (w if w > 0 else 0.0) * (b - a)) for (a, w), b in zip(steps, ends)]
+        total, done, out = sum(p[2] for p in parts), 0.0, None
+        for a, w, area in parts:
+            if area > 0 and u * total >= done:
+                out = a + (u * total - done) / w
+            done += area
+        return None if out is None else min(out, 1.0)
+
+    for r in df.select("k", "u", mixing.time_of_share(F.col("schedule"), F.col("u")).alias("t")).collect():
+        want = plain(cases[r.k][0] or [], r.u)
+        assert (r.t is None) == (want is None) and (want is None or abs(r.t - want) < 1e-12)
+    assert {r.k for r in df.select("k", mixing.time_of_share(F.col("schedule"), F.col("u")).alias("t")).where("t IS NULL").collect()} == {2, 5, 6}
+
+
+def test_curriculum_is_range_sorted(spark, awkward, empty):
+    from pyspark.sql import functions as F
+    from starfold.llm import mixing
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 50).cast("int")).alias("text"), F.concat(F.lit("s"), F.col("id") % 4).alias("source"))
+    rows = mixing.curriculum(mixing.line_up(docs)).collect()
+    times = [r.position for r in rows if r.position is not None]
+    assert len(rows) == 300 and times == sorted(times) and all(0 <= t <= 1 for t in times) and all((r.position is None) == (r.taken == 0) for r in rows)
+    # a source whose schedule is early is ahead of an even one, a late one behind
+    ahead = {k: [r.place / r.target - r.position for r in rows if r.position is not None and r.source == f"s{k}"] for k in range(3)}
+    assert min(ahead[0]) >= 0 < max(ahead[0]) and max(map(abs, ahead[1])) < 1e-12 and max(ahead[2]) <= 0 > min(ahead[2])
+    assert mixing.curriculum(mixing.line_up(awkward)).count() == awkward.count() and mixing.curriculum(mixing.line_up(empty)).count() == 0
