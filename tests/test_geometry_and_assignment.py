@@ -163,7 +163,8 @@ def test_short_groups_are_filled_by_paths(spark):
         first = assign.assign_visit(e.where("fiber_id % 4 <> 0 OR target_idx < 3"))
         least = 6
         before = {(r.visit_idx, r.fiber_id, r.target_idx) for r in first.collect()}
-        after = {(r.visit_idx, r.fiber_id, r.target_idx) for r in assign.fill_short_groups(first, e, groups, least).collect()}
+        filled = assign.fill_short_groups(first, e, groups, least)
+        after = {(r.visit_idx, r.fiber_id, r.target_idx) for r in filled.collect()}
         edges = {r[:3] for r in rows}
         assert after <= edges and len({x[:2] for x in after}) == len({(x[0], x[2]) for x in after}) == len(after) >= len(before)
         used = lambda pairs, v, g: sum(x[0] == v and x[1] % 4 == g for x in pairs)
@@ -178,6 +179,6 @@ def test_short_groups_are_filled_by_paths(spark):
                             o = held[t]
                             assert not [x for x in edges if x[0] == v and x[1] == o and x[2] not in held]
                             assert o % 4 == g or used(after, v, o % 4) <= least
-        faults = assign.group_faults(assign.fill_short_groups(first, e, groups, least), e, groups, least).collect()
+        faults = assign.group_faults(filled, e, groups, least).collect()
         assert len(faults) == 8 and not [r for r in faults if r.twice or r.strange or r.fixable]
         assert sum(used(after, v, 0) for v in (0, 1)) > sum(used(before, v, 0) for v in (0, 1))

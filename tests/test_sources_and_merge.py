@@ -139,11 +139,11 @@ def test_index_gives_the_touched_cells_only(spark, tmp_path):
     near = zj.read_index(few, path, "target_idx", 0.1, ("RA", "Dec"), ("RA", "Dec"))
     got = {r.target_idx for r in near.collect()}
     assert {5, 3000} <= got and len(got) < 20
-    spark.conf.set("spark.sql.adaptiverify.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         assert scanned_rows(zj.read_index(few, path, "target_idx", 0.1, ("RA", "Dec"), ("RA", "Dec"))) == len(got)
     finally:
-        spark.conf.set("spark.sql.adaptiverify.enabled", "true")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
     edge = spark.createDataFrame([(1, 359.99999, 10.0)], "targetid long, RA double, Dec double")
     zj.add_to_index(spark.createDataFrame([(7777, 0.00001, 10.0)], "target_idx long, RA double, Dec double"), path, "target_idx", ("RA", "Dec"))
     assert 7777 in {r.target_idx for r in zj.read_index(edge, path, "target_idx", 1.0, ("RA", "Dec"), ("RA", "Dec")).collect()}
