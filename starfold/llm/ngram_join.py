@@ -23,11 +23,12 @@ index of at least ``percent``/100. The job runs in these steps:
    to the pivot is between the threshold and twice the threshold can link to
    both sides, so the circle falls into smaller ones that are handled the
    same way (those members with the linked ones; all but the linked ones).
-   Circles above ``CIRCLE`` shingles are split so by joins, or where a pivot
-   leaves more than half of one together, dealt to pairs of blocks; the others are
-   verified in one task each, where members with the same shared shingles
-   count as one, the smaller of a pair looks for the other by its lead, and
-   pairs of one component are passed over. No link between two classes is lost, and copies or near
+   Circles above ``CIRCLE`` shingles or ``WORK`` (members times shingles) are
+   split so by joins, or where a pivot leaves more than half of one together,
+   dealt to pairs of blocks; the others are verified in one task each, where
+   members with the same shared shingles count as one, the smaller of a pair
+   looks for the other by its lead, pairs of one component are passed over, and
+   a member with many candidates counts what it shares with all of them at once. No link between two classes is lost, and copies or near
    copies are never expanded into all pairs.
 6. Connected components of the links, carried back to the documents.
 """
@@ -45,6 +46,8 @@ from .links import components
 from .words import chunks, mix, shingle_sets
 
 CIRCLE = 4_000_000      # shingles of a circle verified in one task; larger circles are split by joins first
+WORK = 4_000_000_000    # members times shingles of such a circle: about what is added up if all are candidates of all
+FEW = 16                # candidates up to which a member is compared with each by itself
 BUCKET = 1_500_000      # shingles in a bucket, about
 COUNTERS = 200_000      # shingle counters that a task keeps while it looks for very frequent ones
 HOT_SHARE = 4000        # a shingle counted in 1/4000 of the documents is very frequent; so at most
@@ -233,12 +236,40 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum())
 
 
+class _Common:
+    """Counts what a member shares with all others at once; shingles with the same members are one list with a weight."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        _, tok = np.unique(np.concatenate(sets), return_inverse=True)
+        own = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+        own = own[np.argsort(tok, kind="stable")]            # members rise within a shingle
+        start = np.concatenate([[0], np.cumsum(np.bincount(tok))])
+        mark = np.add.reduceat(mix(own.astype(np.uint64) + np.uint64(1)), start[:-1])
+        _, first, self.weight = np.unique(mark, return_index=True, return_counts=True)
+        self.lists = [own[start[t]:start[t + 1]] for t in first.tolist()]
+        which = np.repeat(np.arange(len(self.lists)), [len(x) for x in self.lists])
+        who = np.concatenate(self.lists)
+        self.of = which[np.argsort(who, kind="stable")]
+        self.at = np.concatenate([[0], np.cumsum(np.bincount(who, minlength=len(sets)))])
+        self.total = np.zeros(len(sets), np.int32)
+
+    def with_later(self, p: int) -> np.ndarray:
+        """How many shingles each member after ``p`` shares with it."""
+        self.total[p:] = 0
+        for k in self.of[self.at[p]:self.at[p + 1]].tolist():
+            later = self.lists[k]
+            later = later[int(np.searchsorted(later, np.int32(p), side="right")):]
+            self.total[later] += self.weight[k]
+        return self.total
+
+
 def _verify(percent: int):
     """Links of a circle; pairs that earlier links already put in one component are passed over.
 
     Members of one size with the same shared shingles have the same index with
     each other and with any third, so one of them stands for all. The smaller
-    of a pair looks for the other by the shingles of its lead.
+    of a pair looks for the other by the shingles of its lead. What is shared
+    with more than ``FEW`` candidates is counted for all of them at once.
     """
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.sort_by([("n", "ascending"), ("fp", "ascending")])
@@ -264,7 +295,7 @@ def _verify(percent: int):
         lists = [np.array(m, dtype=np.int64) for m in number]
         open_list = [True] * len(lists)
         del holders, number
-        links, root = [], np.arange(len(n))
+        links, root, common = [], np.arange(len(n)), None
         inside = [[i] for i in range(len(n))]        # of each component, under its root
 
         for r, (m, s) in enumerate(zip(members, sets)):
@@ -273,7 +304,7 @@ def _verify(percent: int):
                 members[r] = m[:1]
 
         for p in range(len(n)):
-            most = 100 * n[p] // percent
+            most, shared = 100 * n[p] // percent, None
             for k in {list_of[tok] for tok in prefixes[p][:leads[p]] if tok in list_of}:
                 if not open_list[k]:
                     continue
@@ -284,10 +315,16 @@ def _verify(percent: int):
                     continue
                 # sizes rise, so partners as large or larger come after
                 other = other[(other > p) & (n[other] <= most) & ((side[other] == 2) | (side[other] != side[p]))]
+                if shared is None and len(other) > FEW:
+                    common = common or _Common(sets)
+                    shared = common.with_later(p)
+                if shared is not None:
+                    both = shared[other].astype(np.int64)
+                    other = other[100 * both >= percent * (n[p] + n[other] - both)]
                 for m in other.tolist():
                     if root[m] == root[p]:
                         continue
-                    both = overlap(sets[p], sets[m])
+                    both = overlap(sets[p], sets[m]) if shared is None else int(shared[m])
                     if 100 * both >= percent * (n[p] + n[m] - both):
                         links += [(members[p][0], x) for x in members[m]] + [(x, members[m][0]) for x in members[p][1:]]
                         members[p], members[m] = members[p][:1], members[m][:1]     # all are in the component now
@@ -326,9 +363,10 @@ _MOVES = [(2, 0, 1, 0), (2, 1, 1, 1), (2, 1, 2, 2), (2, 2, 2, 2),
           (0, 0, 1, 0), (1, 1, 1, 1), (0, 1, 3, 0), (1, 0, 3, 1), (0, 1, 2, 0), (0, 2, 2, 0), (1, 1, 2, 1), (1, 2, 2, 1)]
 
 
-def _block_pairs(circles: DataFrame, most: int) -> DataFrame:
-    """Circles dealt to blocks of about half of ``most`` shingles by hash; every two blocks make a circle, and each its own."""
-    blocks = F.ceil(2 * F.col("shingles") / most).cast("long")
+def _block_pairs(circles: DataFrame, most: int, work: int) -> DataFrame:
+    """Circles dealt to blocks by hash, so that two have about ``most`` shingles and ``work`` at most; every two
+    blocks make a circle, and each its own."""
+    blocks = F.ceil(2 * F.greatest(F.col("shingles") / most, F.sqrt(F.col("shingles") / work * F.col("members")))).cast("long")
     dealt = circles.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("fp"), "blocks"))
     met = dealt.withColumn("met", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     # two sides: a block of one meets every block of the other; one side: the lower block is side 0, the upper side 1
@@ -339,8 +377,8 @@ def _block_pairs(circles: DataFrame, most: int) -> DataFrame:
     return met.select(F.xxhash64("circle", low, high, F.lit("blocks")).alias("circle"), "fp", side.cast("int").alias("side"))
 
 
-def _split_large(circles: DataFrame, classes: DataFrame, percent: int, most: int) -> tuple[list[DataFrame], DataFrame]:
-    """Links found while circles above ``most`` shingles are split, and the circles that remain.
+def _split_large(circles: DataFrame, classes: DataFrame, percent: int, most: int, work: int) -> tuple[list[DataFrame], DataFrame]:
+    """Links found while circles above ``most`` shingles or above ``work`` are split, and the circles that remain.
 
     A pivot splits a circle as long as each part has at most half of the
     members; a larger part is dealt to pairs of blocks at once. So the rounds
@@ -355,11 +393,12 @@ def _split_large(circles: DataFrame, classes: DataFrame, percent: int, most: int
             F.min(F.when(F.col("side") > 0, F.col("fp"))).alias("pivot"), F.sum("n").alias("shingles"))
         size = size.where("members > 1 AND (kind = 2 OR kind <> other)").drop("kind", "other")
         circles = cut(circles.join(size, "circle"))
-        small.append(circles.where(F.col("shingles") <= most).select("circle", "fp", "side"))
-        large = circles.where(F.col("shingles") > most)
+        fits = (F.col("shingles") <= most) & (F.col("shingles").cast("double") * F.col("members") <= work)
+        small.append(circles.where(fits).select("circle", "fp", "side"))
+        large = circles.where(~fits)
         if large.isEmpty():
             break
-        small.append(_block_pairs(large.where("2 * members > before"), most))
+        small.append(_block_pairs(large.where("2 * members > before"), most, work))
         large = large.where("before IS NULL OR 2 * members <= before").where("fp <> pivot")
         found = cut(_measure(large.select("pivot", "fp").distinct(), classes, percent))
         links.append(found.where("zone = 0").select(F.col("pivot").alias("a"), F.col("fp").alias("b")))
@@ -373,7 +412,7 @@ def _split_large(circles: DataFrame, classes: DataFrame, percent: int, most: int
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80,
-                    circle: int = CIRCLE) -> DataFrame:
+                    circle: int = CIRCLE, work: int = WORK) -> DataFrame:
     """One row per row of ``docs``: its id, ``n_shingles`` and ``component_id``.
 
     A-Z are lower-cased; words are runs of characters other than blank and
@@ -416,7 +455,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alone = classes.where("lead > 0").groupBy("grp").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select(F.col("grp").alias("circle"), "grp")
     circles = meet.union(alone).distinct().join(classes.select("grp", "fp", "n"), "grp").select("circle", "fp", "n", F.lit(2).alias("side"))
 
-    links, circles = _split_large(circles, classes, percent, circle)
+    links, circles = _split_large(circles, classes, percent, circle, work)
     small = circles.join(classes.select("fp", "n", "toks", "prefix", "lead"), "fp").groupBy("circle").applyInArrow(_verify(percent), "a long, b long")
     for found in links:
         small = small.union(found)

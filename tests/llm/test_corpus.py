@@ -100,7 +100,7 @@ def test_blocks_meet_in_every_pair_once(spark):
     rows = [(1, k, 2) for k in range(40)] + [(2, k, k % 2) for k in range(30)]
     df = spark.createDataFrame(rows, "circle long, fp long, side int").withColumns({"shingles": F.lit(400), "members": F.lit(1)})
     parts, met = defaultdict(list), Counter()
-    for r in ngram_join._block_pairs(df, 150).collect():
+    for r in ngram_join._block_pairs(df, 150, 1 << 40).collect():
         parts[r.circle].append((r.fp, r.side))
     for part in parts.values():
         met.update((min(a, b), max(a, b)) for k, (a, s) in enumerate(part) for b, z in part[:k] if s == 2 or s != z)
@@ -108,6 +108,27 @@ def test_blocks_meet_in_every_pair_once(spark):
     assert met == want
 
 
+@pytest.mark.parametrize("few", [0, 3, 1000])
+def test_counting_at_once_equals_comparing_one_by_one(spark, monkeypatch, few):
+    rows = near_copies(7) + [(5000 + i, t) for i, t in templates(50, 104, 8, 12, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_classes(df, circle=400 if few else 4_000_000, work=20_000).collect()}
+    assert got == brute_classes(rows)
+
+
+def test_thousands_of_unlike_members_of_one_circle():
+    import pyarrow as pa
+
+    rnd, lead, count = np.random.default_rng(4), np.arange(1, 4, dtype=np.uint64), 8000
+    sets = [np.sort(np.concatenate([lead, rnd.choice(np.arange(10, 40_000, dtype=np.uint64), 9, replace=False)])) for _ in range(count)]
+    sets[4000:4005] = [sets[17]] * 4 + [np.sort(np.concatenate([sets[18][:11], np.array([50_000], np.uint64)]))]
+    table = pa.table({"fp": np.arange(count), "n": np.full(count, 12), "side": np.full(count, 2), "toks": [x.tobytes() for x in sets],
+                      "prefix": [lead.tobytes()] * count, "lead": np.full(count, 2)})
+    out = ngram_join._verify(80)((), table)
+    assert set(zip(out["a"].to_pylist(), out["b"].to_pylist())) == {(17, 4000 + k) for k in range(4)} | {(18, 4004)}
+
+
 def test_join_with_frequent_shingles_listed(spark, monkeypatch):
     rows = near_copies(3)
     real, seen = ngram_join._deal, []
