@@ -58,6 +58,13 @@ def _(c):
     return m.select(F.col("left_id").alias("targetid"), F.col("right_id").alias("source_id"), _sep())
 
 
+@check("j03_crowded_cells", with_("hsc", "cal", pairs=_pairs("cal", "hsc", "targetid", "targetid", "30", "<="), near=_NEAREST)
+       + f"SELECT lid AS cal_id, rid AS targetid, {_MAS} AS sep_mas FROM near")
+def _(c):
+    m = zj.nearest_within(c("cal"), c("hsc"), 30, "targetid", "targetid", crowd=2)
+    return m.select(F.col("left_id").alias("cal_id"), F.col("right_id").alias("targetid"), _sep())
+
+
 @check("j04_nearest_any_distance", with_("hsc", "cal", pairs=f"""
         SELECT l.targetid AS lid, h.targetid AS rid, {HAV('l.ra', 'l.dec', 'h.ra', 'h.dec')} AS sep
         FROM cal l JOIN hsc h ON h.dec >= l.dec-1.2e-1 AND h.dec <= l.dec+1.2e-1

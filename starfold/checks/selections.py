@@ -103,6 +103,22 @@ for _field, _text in SELECTIONS.items():
                                                  probcut=C("p_member") > 0.1, i=C(f.red),
                                                  point=sel.point_source(["clg", "cli"], 0.1)))
 
+_query("f05_selection_cluster", "gr0 > -0.1 AND gr0 < 1.0 AND p_member > 1e-1 AND g0 > 14 AND g0 < 22",
+       lambda c: sel.field_selection(sel.FIELD_CUTS["cluster"], C("g0"), C("gr0"), probcut=C("p_member") > 0.1))
+
+# the stars moved to the field and spread, so that some lie outside the cone
+_MOVED = {"fra": "1.5326e2 + (ra-2.2725e2)*4e0", "fdec": "(dec-6.725e1)*6e0 - 1.6e0"}
+
+
+@check("f05_selection_sextans_cone", with_("hsc", stars=STARS_SQL, moved="SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in _MOVED.items()) + " FROM stars")
+       + f"""SELECT targetid FROM moved WHERE {SELECTIONS['sextans'].replace('~', 'AND')}
+    AND {HAV('fra', 'fdec', '1.5326208333333333e2', '-1.6147222222222222e0')} <= 2.5e0""")
+def _(c):
+    moved = stars(c).selectExpr("*", *[f"{e} AS {n}" for n, e in _MOVED.items()])
+    return moved.where(sel.field_selection(sel.FIELD_CUTS["sextans"], C("g0"), C("gi0"), C("gn0"), i=C("i0"),
+                                           pos=(C("fra"), C("fdec")))).select("targetid")
+
+
 CURVE = [(0.2, 0.0), (0.5, 1.5), (1.1, 3.0), (0.8, 4.5)]
 _SEG = " ".join(f"WHEN g0 <= {b[1] + 17}e0 AND g0 >= {a[1] + 17}e0 THEN {a[0]}e0 + ({b[0] - a[0]!r}e0)*(g0-{a[1] + 17}e0)/1.5e0"
                 for a, b in reversed(list(zip(CURVE, CURVE[1:]))))

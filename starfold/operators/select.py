@@ -202,6 +202,8 @@ class FieldCuts:
     color: str = "gi0"         # columns of the field's color and red magnitude
     red: str = "i0"
     point: bool = True         # whether the field's selection asks for point sources
+    allows_blue: bool = True   # whether blue stars can be let in
+    cone: tuple[float, float, float] | None = None     # center and radius in degrees, where the selection has one
 
 
 # Selection limits per field.
@@ -212,7 +214,8 @@ FIELD_CUTS: dict[str, FieldCuts] = {
                                     dict(line=(-0.25, -0.16)))),
     "bootes": FieldCuts((0.1, 1.5), bright=17.0, faint=23.0, color="gr0", red="r0", point=False),
     "sextans": FieldCuts((0.12, 2.0), (dict(gi=(0.12, 0.5)), dict(gn=(0.2, None), gi=(None, 1.8)),
-                                       dict(line=(-0.25, -0.10))), red_bright_offset=1.5),
+                                       dict(line=(-0.25, -0.10))), red_bright_offset=1.5,
+                          cone=(153.26208333333333, -1.6147222222222222, 2.5)),
     "fornax": FieldCuts((0.12, 2.5), (dict(gi=(None, 0.0)), dict(line=(0.25, 0.2), gi=(0.1, 1.5)),
                                       dict(line=(-0.33, -0.66), gi=(1.5, None))), faint=23.0, point=False),
     "sculptor": FieldCuts((0.12, 2.0), (dict(gi=(0.12, 0.5)), dict(gn=(0.1, None), gi=(None, 2.0)),
@@ -221,6 +224,7 @@ FIELD_CUTS: dict[str, FieldCuts] = {
                                         dict(line=(-0.33, -0.62), gi=(1.5, None))), bright=18.0, faint=23.0, point=False),
     "m31": FieldCuts((0.95, 4.0), (dict(gi=(0.12, 0.5)), dict(gn=(0.05, None), gi=(None, 4.0))),
                      bright=19.0, faint=30.0, point=False),
+    "cluster": FieldCuts((-0.1, 1.0), bright=14.0, faint=22.0, color="gr0", red="r0", point=False, allows_blue=False),
 }
 
 
@@ -243,8 +247,14 @@ def narrow_band(cuts: FieldCuts, gi: Column, gn: Column) -> Column:
 def field_selection(cuts: FieldCuts, g: Column, gi: Column, gn: Column | None = None, nb: bool = True,
                     blue: bool = False, probcut: Column | None = None, i: Column | None = None,
                     bright: float | None = None, faint: float | None = None,
-                    point: Column | None = None) -> Column:
-    """Broad color, narrow band and probability; blue stars are let in *before* the magnitude cut."""
+                    point: Column | None = None, pos: tuple[Column, Column] | None = None) -> Column:
+    """Broad color, narrow band and probability; blue stars are let in *before* the magnitude cut.
+
+    With ``pos`` (RA, Dec) the field's cone applies, where it has one. Blue
+    stars can't be asked for where the field doesn't allow them.
+    """
+    if blue and not cuts.allows_blue:
+        raise ValueError("this selection has no rule for blue stars")
     bright = cuts.bright if bright is None else bright
     faint = cuts.faint if faint is None else faint
     cond = in_range(gi, *cuts.broad)
@@ -259,4 +269,6 @@ def field_selection(cuts: FieldCuts, g: Column, gi: Column, gn: Column | None =
         cond = cond & in_range(i, bright - cuts.red_bright_offset, faint)
     if point is not None:
         cond = cond & point
+    if pos is not None and cuts.cone is not None:
+        cond = cond & around(*pos, *cuts.cone)
     return is_true(cond)

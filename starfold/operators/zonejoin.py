@@ -102,11 +102,11 @@ def _pairs(left: DataFrame, right: DataFrame, radius_deg: float, closed: bool, e
 
 
 _FINER = 16.0     # a crowded search starts in cells this much smaller
-CROWD = 10_000    # right rows in a cell from which a narrower search comes first
+CROWD = 10_000    # right rows in a cell from which a narrower search comes first, unless the caller names another number
 _FINEST = 4e-7    # degrees: cells are not made smaller than about a milliarcsecond
 
 
-def _nearest(left: DataFrame, right: DataFrame, radius_deg: float, closed: bool, explode: str, h: float) -> DataFrame:
+def _nearest(left: DataFrame, right: DataFrame, radius_deg: float, closed: bool, explode: str, h: float, crowd: int) -> DataFrame:
     """(l_id, m.sep, m.r_id) of the closest right row; right rows have positions of their own.
 
     Right rows are counted in every cell. Left rows whose cells are crowded try
@@ -118,10 +118,10 @@ def _nearest(left: DataFrame, right: DataFrame, radius_deg: float, closed: bool,
     targets, searchers = (points, covers) if explode == "left" else (covers, points)
     counts = targets.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     found, small = None, h / _FINER
-    if small >= _FINEST and (counts.agg(F.max("n")).first()[0] or 0) > CROWD:
-        crowded = counts.where(F.col("n") > CROWD).select("cell")
+    if small >= _FINEST and (counts.agg(F.max("n")).first()[0] or 0) > crowd:
+        crowded = counts.where(F.col("n") > crowd).select("cell")
         busy = searchers.join(crowded, "cell", "left_semi").select(*left.columns).distinct()
-        found = cut(_nearest(cut(busy), right, min(radius_deg, small / 4.0), closed, explode, small))
+        found = cut(_nearest(cut(busy), right, min(radius_deg, small / 4.0), closed, explode, small, crowd))
         left = left.join(found.select("l_id"), "l_id", "left_anti")
         points, covers = _sides(left, right, radius_deg, explode, h)
     best = _exact(points, covers, radius_deg, closed).groupBy("l_id").agg(F.min(F.struct("sep", "r_id")).alias("m"))
@@ -143,7 +143,7 @@ def pairs_within(left: DataFrame, right: DataFrame, radius_arcsec: float, left_i
 
 def nearest_within(left: DataFrame, right: DataFrame, radius_arcsec: float, left_id: str, right_id: str,
                    left_pos: tuple[str, str] = ("ra", "dec"), right_pos: tuple[str, str] = ("ra", "dec"),
-                   closed: bool = True, explode: str = "left") -> DataFrame:
+                   closed: bool = True, explode: str = "left", crowd: int | None = None) -> DataFrame:
     """The closest right row of each left row, if within the radius; ties go to the smallest id.
 
     Right rows at one position are folded into the smallest id first, so that
@@ -151,7 +151,8 @@ def nearest_within(left: DataFrame, right: DataFrame, radius_arcsec: float, left
     """
     r = (_slim(right, right_id, right_pos, "r").groupBy("r_ra", "r_dec").agg(F.min("r_id").alias("r_id")))
     radius = radius_arcsec * ARCSEC
-    best = _nearest(_slim(left, left_id, left_pos, "l"), r, radius, closed, explode, zone_height(radius))
+    best = _nearest(_slim(left, left_id, left_pos, "l"), r, radius, closed, explode, zone_height(radius),
+                    CROWD if crowd is None else crowd)
     return best.select(F.col("l_id").alias("left_id"), F.col("m.r_id").alias("right_id"),
                        F.col("m.sep").alias("sep_arcsec"))
 

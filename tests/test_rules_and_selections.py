@@ -17,6 +17,17 @@ def test_blue_stars_enter_before_the_magnitude_cut(spark):
     assert sorted(x.id for x in picked.collect()) == [1, 3]
 
 
+def test_cone_and_clusters(spark):
+    cuts = sel.FIELD_CUTS["sextans"]
+    df = spark.createDataFrame([(1, 153.26, -1.6), (2, 153.26, 0.88), (3, 153.26, 0.89), (4, 150.7, -1.6), (5, None, None)], "id int, ra double, dec double")
+    mags = [F.lit(x) for x in (20.0, 0.3, 0.0)]
+    picked = df.where(sel.field_selection(cuts, *mags, i=F.lit(19.7), pos=(F.col("ra"), F.col("dec"))))
+    assert sorted(x.id for x in picked.collect()) == [1, 2]
+    assert df.where(sel.field_selection(cuts, *mags, i=F.lit(19.7))).count() == 5
+    with pytest.raises(ValueError):
+        sel.field_selection(sel.FIELD_CUTS["cluster"], *mags[:2], blue=True)
+
+
 def test_class_labels(spark):
     df = spark.createDataFrame([("sci", 2.0), ("sci", 2.1), ("cal", None), ("sky", 1.0)], "prefix string, p double")
     got = [x[0] for x in df.select(col.class_label(F.col("prefix"), F.col("p"))).collect()]
