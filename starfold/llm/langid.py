@@ -23,7 +23,7 @@ from .words import add_columns, code_points, letters, windows
 BUCKETS = 1 << 16
 SIZES = (2, 3, 4)
 WIDTH = 16
-FIT_ROWS = 4000        # labelled rows that the model is fitted on, about, in equal parts for each language
+FIT_ROWS = 4000        # labelled texts that the model is fitted on, about, in equal parts for each language
 UNKNOWN = "und"
 
 
@@ -99,21 +99,26 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, languag
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> Model | None:
-    """Fit on about ``fit_rows`` of the labelled rows of ``docs``, picked by a hash of the text; None without any.
-
-    Rows with a null language or text aren't used. The sample is all that
-    reaches the driver; counts by language cover all rows. Languages are few:
-    one score column each.
+    """Fit on about ``fit_rows`` of the distinct labelled texts of ``docs``, picked by a hash of the text; None without any.
+
+    Rows with a null language or text aren't used. A text with many copies is
+    one of its language's texts, so copies neither fill the sample nor reach
+    the driver; a text under two languages counts once for each. The sample is
+    all that reaches the driver; numbers of distinct texts by language are
+    estimated over all rows (within some five per cent). Languages are few: one
+    score column each.
     """
     rows = docs.select(F.col(text_col).cast("string").alias("_text"), F.col(lang_col).cast("string").alias("lang")).where("_text IS NOT NULL AND lang IS NOT NULL")
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = rows.withColumn("_hash", F.xxhash64("_text"))
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.approx_count_distinct("_hash", 0.02).alias("n")).collect()}
     if not counts:
         return None
     languages = sorted(counts)
     part = F.lit(0.0)
     for lang, n in counts.items():
         part = F.when(F.col("lang") == lang, fit_rows / len(counts) / n).otherwise(part)
-    chosen = rows.where(F.pmod(F.xxhash64("_text"), F.lit(1 << 30)) < part * float(1 << 30))
+    chosen = rows.where(F.pmod("_hash", F.lit(1 << 30)) < part * float(1 << 30))
+    chosen = chosen.groupBy("lang", "_hash").agg(F.min("_text").alias("_text"))
     bags = add_columns(chosen, "_text", ["lang"], [("buckets", "binary"), ("counts", "binary")],
                        lambda: lambda texts: list(zip(*_bags(texts)))).toPandas()
     bags = bags.assign(buckets=bags["buckets"].map(bytes), counts=bags["counts"].map(bytes)).sort_values(["lang", "buckets", "counts"])

@@ -390,6 +390,18 @@ def test_language_id_learns_and_rejects(spark, awkward, empty):
     assert {r.lang_pred for r in langid.predict(df, one).collect()} == {"aa"}
 
 
+def test_copies_do_not_fill_the_language_sample(spark, monkeypatch):
+    hot = [(f"the same old text {k}", "en") for k in range(3)]
+    rows = [(f"word{k} and some other words {k * 7}", "en") for k in range(200)] + [(f"mot{k} et quelques autres mots {k * 5}", "fr") for k in range(200)]
+    df = spark.createDataFrame(rows + hot * 3000, "text string, lang string").repartition(4)
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda bags, labels, languages: seen.append(labels))
+    langid.fit(df, fit_rows=100_000)
+    assert 395 <= len(seen[0]) <= 403 and abs(np.bincount(seen[0])[0] - 203) <= 4
+    langid.fit(df, fit_rows=100)
+    assert 60 <= len(seen[1]) <= 140
+
+
 def test_every_operator_has_one_query_and_oracles_have_queries():
     assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
 
