@@ -137,6 +137,29 @@ def test_fingerprints_of_neighbours(spark, awkward, empty):
     assert fpr.compare_with_next(empty).count() == 0 and fpr.compare_with_next(df.limit(1)).count() == 1
 
 
+def test_texts_without_punctuation_are_compared_in_part(spark):
+    rnd = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(30):
+        words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(2, 8))) for _ in range(60)]
+        other = list(words)
+        at = rnd.randrange(60)
+        if k % 3 == 0:
+            other[at] = "changed"
+        elif k % 3 == 1:
+            other.insert(at, "inserted")
+        else:
+            del other[at]
+        rows += [" ".join(words), " ".join(other)]
+    han = "".join(chr(rnd.randrange(0x4E00, 0x9FA5)) for _ in range(200))
+    rows += [han, han[:90] + "\u6587" + han[91:]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.near_next for r in fpr.compare_with_next(df).collect()}
+    alike, unlike = [got[i] for i in range(0, 62, 2)], [got[i] for i in range(1, 61, 2)]
+    assert min(alike) >= 0.75 and sum(alike) / len(alike) >= 0.85 and max(unlike) < 0.5
+
+
 def test_fingerprints_add_up(spark):
     df = spark.createDataFrame([(1, "a, b\nc"), (2, "d.\ne"), (3, "e\na, b\nd.\nc"), (4, "c\na, b")], "doc_id long, text string")
     f = {r.doc_id: r for r in fpr.fingerprint_lanes(df, ["doc_id"], "text").collect()}
