@@ -151,6 +151,8 @@ class Words:
         self.last[[i for t, i in self.whole.get_vocab().items() if t.endswith("</w>")]] = True
         self.as_letters = {b: c for b, c in enumerate(byte_letters()) if b != 32}
         self.memo: dict[bytes, bytes] = {}
+        # ids stay below 2**16, so four set bytes in a row can only be the mark between words
+        self.code: dict[str, bytes] = {" ": b"\xff\xff\xff\xff"}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
@@ -158,8 +160,12 @@ class Words:
         words = [(t if b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
         if len(self.memo) > MEMO:
             self.memo.clear()
-        known, missing = self.memo.get, self.memo.keys()
-        new = set().union(*words) - missing
+        if len(self.code) > MEMO:
+            mark = self.code[" "]
+            self.code.clear()
+            self.code[" "] = mark
+        known = self.memo.get
+        new = set().union(*words).difference(self.memo)     # a set less a dictionary's keys would walk through all of these
         if new:
             self._learn(list(new))
         return [b"".join(map(known, ws)) for ws in words]
@@ -174,16 +180,14 @@ class Words:
             text = b" ".join(new).decode()
         if not new:
             return
-        pieces = self.pieces(text.lower())
-        code = dict.fromkeys(pieces)
-        code.pop(" ", None)
-        some = " ".join(code).encode().decode("latin-1").translate(self.as_letters)
-        ids = np.array(self.plain.encode_batch_fast([some], add_special_tokens=False)[0].ids, dtype="<u4")
-        at = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
-        raw = ids.tobytes()
-        code = dict(zip(code, [raw[a:b] for a, b in zip([0, *at], at)]))
-        # ids stay below 2**16, so four set bytes in a row can only be the mark between words
-        code[" "] = b"\xff\xff\xff\xff"
+        pieces, code = self.pieces(text.lower()), self.code
+        fresh = list(set(pieces).difference(code))   # many new words have pieces that others had before
+        if fresh:
+            some = " ".join(fresh).encode().decode("latin-1").translate(self.as_letters)
+            ids = np.array(self.plain.encode_batch_fast([some], add_special_tokens=False)[0].ids, dtype="<u4")
+            at = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+            raw = ids.tobytes()
+            code.update(zip(fresh, [raw[a:b] for a, b in zip([0, *at], at)]))
         self.memo.update(zip(new, b"".join(map(code.__getitem__, pieces)).split(code[" "])))
 
 
