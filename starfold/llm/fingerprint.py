@@ -10,10 +10,11 @@ Of the lanes, ``STRONG`` hold uniform hashes of the paragraph: two documents wit
 different multisets agree in all of them with a chance of 2**-256. The others
 measure likeness. They are split into two fields of 32 bits; a paragraph's
 field is the number of its clauses whose hash has the field's bit set. Clauses
-end at punctuation of any script, and at blanks behind a word that ends in one
-of certain letters or digits (in any letter of a script other than ASCII's), so a
-paragraph without punctuation falls into runs of a few words; a changed,
-inserted or missing word moves no other run's borders. Han texts without blanks
+end at punctuation of any script. A clause of more than ``LONG_CLAUSE``
+characters also ends at blanks behind a word that ends in one of certain letters
+or digits (in any letter of a script other than ASCII's), so a paragraph without
+punctuation falls into runs of a few words; a changed, inserted or missing word
+moves no other run's borders. Han texts without blanks
 are cut in the same way behind some of their characters, other scripts without
 blanks at punctuation only. Twice the field less the number of clauses is a sum of
 random signs, so the squared difference of two documents over all fields
@@ -30,9 +31,16 @@ STRONG = 4
 SOFT = 32                      # lanes for likeness, two fields each
 FIELDS = 2 * SOFT
 _BLANK = r"[\x20\x09-\x0D]"
-_CLAUSE = (rf"[.,;:!?|[\p{{Po}}&&[^\x00-\x7F]]]+{_BLANK}*"
-           rf"|(?<=[bdhjlmnprtvxyzBDHJLMNPRTVXYZ0-4[^\x00-\x7F]]){_BLANK}+"
-           r"|(?<=[\u3040-\u30FF\u4E00-\u5FFF])(?=[\u4E00-\u9FFF])")
+_CLAUSE = rf"[.,;:!?|[\p{{Po}}&&[^\x00-\x7F]]]+{_BLANK}*"
+LONG_CLAUSE = 120              # characters; a longer clause is cut into runs of a few words
+_RUN = (rf"(?<=[bdhjlmnprtvxyzBDHJLMNPRTVXYZ0-4[^\x00-\x7F]]){_BLANK}+"
+        r"|(?<=[\u3040-\u30FF\u4E00-\u5FFF])(?=[\u4E00-\u9FFF])")
+
+
+def _clauses(paragraph: Column) -> Column:
+    parts = F.array_remove(F.split(paragraph, _CLAUSE), "")
+    runs = F.flatten(F.transform(parts, lambda c: F.when(F.length(c) > LONG_CLAUSE, F.split(c, _RUN)).otherwise(F.array(c))))
+    return F.when(F.length(paragraph) > LONG_CLAUSE, F.array_remove(runs, "")).otherwise(parts)
 
 
 def _lanes(paragraph: Column) -> list[Column]:
@@ -66,7 +74,7 @@ def fingerprint_lanes(texts: DataFrame, keys: list[str], text_col: str, count_em
     one paragraph (an empty one if the text is empty), which counts as any other.
     """
     lines = texts.select(*keys, F.explode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("_p"))
-    lines = lines.select(*keys, "_p", F.posexplode_outer(F.array_remove(F.split("_p", _CLAUSE), "")).alias("_i", "_c"))
+    lines = lines.select(*keys, "_p", F.posexplode_outer(_clauses(F.col("_p"))).alias("_i", "_c"))
     # the paragraph's own lanes count once, at its first clause (or at the only row of a paragraph without any)
     first = F.coalesce(F.col("_i"), F.lit(0)) == 0
     bits = F.xxhash64(F.lit(STRONG), "_c")
