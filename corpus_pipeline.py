@@ -11,7 +11,7 @@ import os
 import sys
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -39,15 +39,25 @@ def drop_unknown_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return _columns(langid.predict(docs, model, keep=COLUMNS).where("NOT rejected"))
 
 
+def _row_key() -> Column:
+    """Text that sorts as (id, hash of the text) does, rows without an id last; only equal rows share it."""
+    ordered = F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-1 << 63))), 16, "0")
+    return F.concat(F.when(F.col("doc_id").isNull(), "1").otherwise(F.concat(F.lit("0"), ordered)), F.lit(" "), F.hex(F.xxhash64("text")))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component of the n-gram join the document with the smallest id stays; of rows with one id, one stays.
+    """Of every component of the n-gram join one row stays: that with the smallest id, or of rows with one id any one.
 
-    Rows without an id can't stand for a group; one of each text stays.
+    Rows are told apart by id and text: several texts under one id are several
+    documents, rows without an id take part like others and stay only where
+    nothing in their component has an id. Of rows equal in id and text the
+    first by language, source and length stays.
     """
-    classes = ngram_join.jaccard_classes(docs).where("doc_id = component_id").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
-    kept = _columns(docs).join(cut(classes), "doc_id", "left_semi").withColumn("_at", F.row_number().over(first)).where("_at = 1")
-    return _columns(kept).union(_columns(docs.where("doc_id IS NULL").dropDuplicates(["text"])))
+    keyed = _columns(docs).withColumn("key", _row_key())
+    stay = ngram_join.jaccard_classes(keyed, id_col="key").where("key = component_id").select("key").distinct()
+    # copies of one row are folded before the shuffle, so a hot one makes no large task
+    rows = keyed.groupBy("key").agg(F.min(F.struct("doc_id", "lang", "source", "n_chars", "text")).alias("row"))
+    return _columns(rows.join(cut(stay), "key", "left_semi").select("row.*"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
