@@ -484,3 +484,20 @@ def test_curriculum_is_range_sorted(spark, awkward, empty):
     ahead = {k: [r.place / r.target - r.position for r in rows if r.position is not None and r.source == f"s{k}"] for k in range(3)}
     assert min(ahead[0]) >= 0 < max(ahead[0]) and max(map(abs, ahead[1])) < 1e-12 and max(ahead[2]) <= 0 > min(ahead[2])
     assert mixing.curriculum(mixing.line_up(awkward)).count() == awkward.count() and mixing.curriculum(mixing.line_up(empty)).count() == 0
+
+
+def test_near_duplicates_with_repeated_and_missing_ids(spark, tmp_path):
+    def text(name, *changed):
+        return " ".join(f"{name}{i}" for i in range(60)) + "".join(f" {c}" for c in changed)
+
+    rows = [(3, text("z")), (3, text("a")), (4, text("z", "end")),             # two texts under one id; one has a near copy
+            (-7, text("m")), (7, text("m", "end")),                            # ids below zero come first
+            (9, text("q")), (None, text("q", "end")),                          # a near copy without an id
+            (None, text("c")), (None, text("c", "end")), (None, text("c")),    # a group without ids
+            (5, text("e")), (5, text("e")), (5, text("e", "end")), (6, None), (6, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()]
+    plain = [(i, t) for i, t in kept if i not in (None, 5)]
+    assert sorted(plain, key=str) == sorted([(3, text("z")), (3, text("a")), (-7, text("m")), (9, text("q")), (6, None)], key=str)
+    assert [t in (text("e"), text("e", "end")) for i, t in kept if i == 5] == [True]
+    assert [t in (text("c"), text("c", "end")) for i, t in kept if i is None] == [True]
