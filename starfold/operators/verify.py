@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from .blocks import grown_join
 from .columns import class_lookup
 
 # Columns each kind of list must and should have.
@@ -105,7 +106,7 @@ def group_limits(assignments: DataFrame, fibers: DataFrame, group: str, classes:
                  visits: list[int]) -> DataFrame:
     """Fiber groups outside [least, most] targets of the classes, per visit; empty groups count as zero."""
     slots = fibers.select(group).distinct().withColumn("visit_idx", F.explode(F.array(*[F.lit(v) for v in visits])))
-    n = (assignments.where(F.col("class").isin(classes)).join(fibers.select("fiber_id", group), "fiber_id")
+    n = (grown_join(assignments.where(F.col("class").isin(classes)), fibers.select("fiber_id", group), "fiber_id")
          .groupBy(group, "visit_idx").agg(F.count(F.lit(1)).alias("n")))
     return (slots.join(n, [group, "visit_idx"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
             .where((F.col("n") < least) | (F.col("n") > most)))
@@ -113,7 +114,7 @@ def group_limits(assignments: DataFrame, fibers: DataFrame, group: str, classes:
 
 def thin_groups(edges: DataFrame, fibers: DataFrame, group: str, least: int) -> DataFrame:
     """Groups with fewer than three times the wanted number of candidate targets."""
-    n = (edges.join(fibers.select("fiber_id", group), "fiber_id").groupBy("pointing_idx", group)
+    n = (grown_join(edges, fibers.select("fiber_id", group), "fiber_id").groupBy("pointing_idx", group)
          .agg(F.count_distinct("target_idx").alias("n")))
     return n.where(F.col("n") < 3 * least)
 

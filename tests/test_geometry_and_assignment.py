@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from starfold.functions import astro, geometry as geo
-from starfold.operators import assign, density, ids, verify
+from starfold.operators import assign, density, export, ids, reach, report, verify
 
 
 def test_arm_solutions_return_to_the_point(spark):
@@ -182,3 +182,23 @@ def test_short_groups_are_filled_by_paths(spark):
         faults = assign.group_faults(filled, e, groups, least).collect()
         assert len(faults) == 8 and not [r for r in faults if r.twice or r.strange or r.fixable]
         assert sum(used(after, v, 0) for v in (0, 1)) > sum(used(before, v, 0) for v in (0, 1))
+
+
+def test_fibers_are_never_broadcast(spark):
+    # small here, but a few bytes a row in the files of a large table too
+    k = F.col("id")
+    f = spark.range(40).select(k.cast("int").alias("fiber_id"), (8.0 * (k % 8)).alias("cx"), (8.0 * F.floor(k / 8)).cast("double").alias("cy"),
+                               F.lit(0.3).alias("r_min"), F.lit(4.75).alias("r_max"), (k % 2).alias("grp"))
+    xy = spark.range(500).select(k.alias("target_idx"), (k % 2).cast("int").alias("pointing_idx"), ((k * 37) % 60).cast("double").alias("x"),
+                                 ((k * 11) % 40).cast("double").alias("y"))
+    near = reach.neighbours(f, 9.0)
+    dots = f.select("fiber_id", (F.col("cx") + 1.0).alias("dot_x"), F.col("cy").alias("dot_y"), F.lit(0.75).alias("dot_r"))
+    edges = reach.reach(xy, f, 4.75, [0, 1])
+    assigned = edges.select("fiber_id", "target_idx", F.col("pointing_idx").alias("visit_idx"))
+    visits = f.select(F.col("fiber_id").alias("visit_idx"), F.lit(1).alias("nrepeats"))
+    for df in (edges, reach.with_dots(f, dots, near), report.summary(xy, assigned, visits), report.group_load(report.fiber_load(edges, f, [0, 1]), f, "grp"),
+               verify.thin_groups(edges, f, "grp", 2), export.join_assignments(assigned, f.select("fiber_id", "grp"), "fiber_id")):
+        assert "Broadcast" not in df._jdf.queryExecution().simpleString()
+    rows, fibers = xy.collect(), f.collect()
+    want = {(t.pointing_idx, b.fiber_id, t.target_idx) for t in rows for b in fibers if 0.3 <= math.hypot(t.x - b.cx, t.y - b.cy) <= 4.75}
+    assert want and sorted(want) == sorted((e.pointing_idx, e.fiber_id, e.target_idx) for e in edges.collect())
