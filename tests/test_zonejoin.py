@@ -185,3 +185,27 @@ def test_rows_without_position_have_no_match(spark):
     a = spark.createDataFrame([(1, None, 1.0), (2, float("nan"), 1.0), (3, 1.0, 1.0)], "id long, ra double, dec double")
     assert [x.id for x in zj.with_match(a, a, 1.0).collect()] == [3]
     assert sorted(x.id for x in zj.without_match(a, a, 1.0).collect()) == [1, 2]
+
+
+def test_pairs_are_neither_broadcast_nor_shuffled(spark):
+    k = F.col("id")
+    a = spark.range(60).select((k % 50).alias("a_id"), (226.0 + (k % 50) / 2e3).alias("ra"), F.lit(67.0).alias("dec"))       # ten ids twice
+    b = spark.range(90).select(F.when(k != 7, k % 80).alias("b_id"), (226.0 + k / 4e3).alias("ra"), F.lit(67.0).alias("dec"), k.alias("tag"))
+    for how in ("inner", "left"):
+        got = zj.merge_nearby(a, b, 4.0, "a_id", "b_id", how)
+        plan = got._jdf.queryExecution().simpleString()
+        assert "Broadcast" not in plan and "Exchange hashpartitioning(_r" not in plan and plan.count("_l_id") == 0
+        pairs = zj.pairs_within(a, b, 4.0, "a_id", "b_id")
+        wide = (a.join(pairs, F.col("a_id") == F.col("left_id"), how)
+                .join(b.withColumnsRenamed({"ra": "ra_2", "dec": "dec_2"}), F.col("right_id") == F.col("b_id"), "left" if how == "left" else "inner"))
+        names = ["a_id", "b_id", "ra", "ra_2", "tag", "sep_arcsec"]
+        assert got.count() > 60 and got.select(names).exceptAll(wide.select(names)).isEmpty() and wide.select(names).exceptAll(got.select(names)).isEmpty()
+
+
+def test_searches_carry_few_cells(spark, monkeypatch):
+    stars = spark.range(20000).selectExpr("id", "226 + ((id * 7919) % 20011) / 20011.0D AS ra", "67 + ((id * 104) % 20011) / 20011.0D AS dec")
+    moved, real = [], zj.cut
+    monkeypatch.setattr(zj, "cut", lambda df: moved.append(real(df)) or moved[-1])
+    found = zj.nearest_any_distance(stars.where("id % 200 = 3").withColumn("dec", F.col("dec") + 0.001), stars, "id", "id")
+    assert found.count() == 100
+    assert max(m.count() for m in moved if "left_id" in m.columns) < 40 * 100
