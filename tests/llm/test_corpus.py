@@ -403,13 +403,13 @@ def test_copies_do_not_fill_the_language_sample(spark, monkeypatch):
 
 
 def test_every_operator_has_one_query_and_oracles_have_queries():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
 
 
 def test_oracles(spark):
     import duckdb
     data, con = "/root/testdata/sf0.001", duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{data}/{t}.parquet'")
     for name, sql in ORACLES.items():
         df = QUERIES[name](spark, data)
