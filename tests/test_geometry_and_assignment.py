@@ -202,3 +202,31 @@ def test_fibers_are_never_broadcast(spark):
     rows, fibers = xy.collect(), f.collect()
     want = {(t.pointing_idx, b.fiber_id, t.target_idx) for t in rows for b in fibers if 0.3 <= math.hypot(t.x - b.cx, t.y - b.cy) <= 4.75}
     assert want and sorted(want) == sorted((e.pointing_idx, e.fiber_id, e.target_idx) for e in edges.collect())
+
+
+def test_arms_are_listed_only_where_the_neighbour_has_targets(spark):
+    rnd = random.Random(3)
+    fibers = {k: (8.0 * (k % 5), 8.0 * (k // 5)) for k in range(20)}
+    rows = []
+    for t in range(400):
+        x, y = rnd.uniform(-4, 36), rnd.uniform(-4, 28)
+        for k, (cx, cy) in fibers.items():
+            d = math.hypot(x - cx, y - cy)
+            if 0.3 <= d <= 4.5:
+                a, b = math.atan2(y - cy, x - cx), math.acos(d / 4.75)
+                rows.append((t % 2, k, t, x, y, [(cx + 2.375 * math.cos(a + s * b), cy + 2.375 * math.sin(a + s * b)) for s in (1, -1)]))
+    edges = spark.createDataFrame(rows, "pointing_idx int, fiber_id int, target_idx long, x double, y double, solutions array<struct<ex:double,ey:double>>")
+    pairs = [(a, b) for a in fibers for b in fibers if a != b and math.dist(fibers[a], fibers[b]) <= 9.0]
+    near = spark.createDataFrame(pairs, "fiber_id int, neighbour_id int")
+
+    def gap(px, py, ax, ay, bx, by):
+        k = max(0.0, min(1.0, ((px - ax) * (bx - ax) + (py - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2)))
+        return math.hypot(px - ax - k * (bx - ax), py - ay - k * (by - ay))
+
+    want = sorted((p, f, t, g, o) for p, f, t, x, y, arm in rows for q, g, o, u, v, _ in rows
+                  if p == q and (f, g) in set(pairs) and any(gap(u, v, x, y, *e) < 0.3 for e in arm))
+    got = reach.colliding_elbows(edges, near, 0.3, 2.375)
+    assert want and sorted(tuple(r) for r in got.collect()) == want
+    assert "Broadcast" not in got._jdf.queryExecution().simpleString()
+    facing = reach._facing_arms(edges, near, 0.3)      # the box of all solutions reaches neither side of most neighbours
+    assert 0 < facing.count() < 0.7 * sum(f == a for _, f, *_ in rows for a, _ in pairs)
