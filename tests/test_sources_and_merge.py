@@ -189,3 +189,32 @@ def test_sketches_of_runs_are_merged(spark, tmp_path):
     rp.write_sketches(seen.where("stage > 0"), path, ["stage"], "b")
     assert abs(rp.sketched_targets(spark, path, []).first().n - 20_000) < 0.065 * 20_000
     assert all(abs(r.n - 20_000) < 0.065 * 20_000 for r in rp.sketched_targets(spark, path, ["stage"]).collect())
+
+
+def test_folded_updates_are_those_of_one_list_after_another(spark):
+    import random
+    rnd = random.Random(7)
+
+    def some(*values):
+        return rnd.choice([None, *values])
+
+    def row(t, key, prefix):
+        prio = some(0.0, 1.0, 2.5, 4.0, float("nan")) if prefix == "sci" else None
+        return (key, t, 1.0, 2.0, prefix, some(1.0, 2.0), some(0.5), some(1.5, -2.0), some(3.0), some(0.1, 0.2), None, 0,
+                some(900.0, 1800.0, 3600.0), prio, f"{prefix}_own", rnd.choice([1, 5, 9]))
+
+    schema = ", ".join(f"{n} {k}" for n, k in mg.TARGET_SCHEMA)
+    kinds = ["sci", "cal", "sci", "sci"]
+    targets = spark.createDataFrame([(*row(t, "first", rnd.choice(["sci", "cal"])), t) for t in range(300)], f"{schema}, target_idx long")
+    lists = [spark.createDataFrame([(*row(1000 + t, f"l{k}", p), t) for t in range(300) if rnd.random() < 0.6], f"{schema}, target_idx long")
+             for k, p in enumerate(kinds)]
+    want, log = targets, None
+    for k, (p, l) in enumerate(zip(kinds, lists)):
+        want = mg.update_targets(want, l, p)
+        entry = l.select("target_idx", F.lit(k).alias("list_rank"), F.lit(p).alias("list_prefix"), *mg._UPDATED)
+        log = entry if log is None else log.unionByName(entry)
+    folded = mg.fold_updates(targets, log)
+    key = lambda r: repr(tuple(r))
+    assert folded.columns == targets.columns and sorted(map(key, folded.collect())) == sorted(map(key, want.select(*targets.columns).collect()))
+    # an entry stays a row of columns: no list of entries is collected and folded in an interpreter
+    assert "collect_list" not in folded._jdf.queryExecution().simpleString()
