@@ -209,3 +209,35 @@ def test_searches_carry_few_cells(spark, monkeypatch):
     found = zj.nearest_any_distance(stars.where("id % 200 = 3").withColumn("dec", F.col("dec") + 0.001), stars, "id", "id")
     assert found.count() == 100
     assert max(m.count() for m in moved if "left_id" in m.columns) < 40 * 100
+
+
+@pytest.mark.parametrize("h", [0.25, 0.9, 7.0])
+def test_disk_cells_hold_what_is_near_and_little_else(spark, h):
+    """Cells that lie in a circle are marked, all others touch it; also at the RA wrap and the poles."""
+    radius = 2.0
+    a, b = sky(24, 5, 3.0), sky(3000, 6, 4.0)
+    da, db = (spark.createDataFrame(x, "id long, ra double, dec double") for x in (a, b))
+    cover = zj.with_disk(da.toDF("cid", "c_ra", "c_dec"), "c_ra", "c_dec", h, radius)
+    met = [(m.cid, m.id, m.inside) for m in blocks.cell_join(zj.with_cell(db, "ra", "dec", h), cover, True).select("cid", "id", "inside").collect()]
+    assert len(met) == len({m[:2] for m in met})
+    want = brute(a, b, radius * 3600)
+    assert want <= {m[:2] for m in met} and {m[:2] for m in met if m[2]} <= want
+
+
+def test_cones_of_dense_rows_meet_little_else(spark, monkeypatch, tmp_path):
+    from starfold.sources import tables as tb
+    monkeypatch.setattr(zj, "DENSE", 5)
+    rnd = random.Random(8)
+    stars = [(k, 227 + rnd.uniform(-2, 2), 67 + rnd.uniform(-1, 1)) for k in range(4000)]
+    cones = [(k, 227 + rnd.uniform(-1, 1), 67 + rnd.uniform(-0.6, 0.6)) for k in range(12)]
+    tb.write_sky_table(spark.createDataFrame(stars, "id long, ra double, dec double"), str(tmp_path / "sky"), 0.25)
+    met = tb.read_cones(spark.createDataFrame(cones, "center long, ra double, dec double"), str(tmp_path / "sky"), 0.3, "center", 0.25)
+    got = [(m.center, m.id) for m in met.collect()]
+    want = brute(cones, stars, 0.3 * 3600)
+    assert len(got) == len(set(got)) and set(got) == want
+    plan = met._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert "_inside" in plan
+    h = zj.circle_cells(spark.createDataFrame(stars, "id long, ra double, dec double"), "ra", "dec", 0.3)
+    meeting = blocks.cell_join(zj.with_cell(spark.createDataFrame(stars, "id long, ra double, dec double"), "ra", "dec", h),
+                               zj.with_disk(spark.createDataFrame(cones, "center long, c_ra double, c_dec double"), "c_ra", "c_dec", h, 0.3), True)
+    assert meeting.count() < 1.7 * len(want)
