@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from starfold.functions import astro, geometry as geo
@@ -230,3 +231,62 @@ def test_arms_are_listed_only_where_the_neighbour_has_targets(spark):
     assert "Broadcast" not in got._jdf.queryExecution().simpleString()
     facing = reach._facing_arms(edges, near, 0.3)      # the box of all solutions reaches neither side of most neighbours
     assert 0 < facing.count() < 0.7 * sum(f == a for _, f, *_ in rows for a, _ in pairs)
+
+
+def rounds(rows):
+    """The rounds of one visit in plain Python."""
+    fibers, targets, out = set(), set(), set()
+    while True:
+        wish = {}
+        for f, t, cc, cost in rows:
+            if f not in fibers and t not in targets:
+                wish[f] = min(wish.get(f, (1e9,)), (-cc, cost, t))
+        won = {}
+        for f, (_, cost, t) in wish.items():
+            won[t] = min(won.get(t, (1e9,)), (cost, f))
+        if not won:
+            return out
+        for t, (_, f) in won.items():
+            out.add((f, t))
+            fibers.add(f)
+            targets.add(t)
+
+
+@pytest.mark.parametrize("short", [1, 3, 32])
+def test_short_lists_change_no_assignment(spark, monkeypatch, short):
+    """Fibers that all want the same targets run out of short lists and get new ones."""
+    monkeypatch.setattr(assign, "SHORT", short)
+    rnd = random.Random(4)
+    edges = {(f, t): (float(t % 3), rnd.randrange(50) / 10) for f in range(12) for t in range(40) if rnd.random() < 0.5}
+    rows = [(f, t, *v) for (f, t), v in edges.items()]
+    e = spark.createDataFrame([(v, *x) for v in (0, 1) for x in rows], "visit_idx int, fiber_id int, target_idx long, class_cost double, cost double")
+    want = rounds(rows)
+    assert {(r.visit_idx, r.fiber_id, r.target_idx) for r in assign.assign_visit(e).collect()} == {(v, *p) for v in (0, 1) for p in want}
+    taken = spark.createDataFrame([(t,) for t in range(0, 40, 2)], "target_idx long")
+    got = assign.assign_visit(e.where("visit_idx = 0"), taken=taken).collect()
+    assert {(r.fiber_id, r.target_idx) for r in got} == rounds([r for r in rows if r[1] % 2])
+
+
+def test_allocation_keeps_no_pairs_of_all_targets(spark, monkeypatch):
+    """Targets crowd between two fibers; what is kept stays below the edges, and the pairs can still be read."""
+    from starfold.plans import survey as sv
+    from starfold.sources.fixtures import PLATE_SCALE
+    kept, real = [], sv.cut
+    monkeypatch.setattr(sv, "cut", lambda df: kept.append(real(df)) or kept[-1])
+    rnd = random.Random(3)
+    mm = 1 / PLATE_SCALE
+    spots = [(k, 227.0 + (4 + rnd.uniform(-0.3, 0.3)) * mm / math.cos(math.radians(20.0)), 20.0 + rnd.uniform(-0.5, 0.5) * mm, 1800.0, 10.0 + k % 2) for k in range(300)]
+    targets = spark.createDataFrame(spots, "target_idx long, ra double, dec double, exp_time double, non_observation_cost double")
+    fibers = spark.createDataFrame([(f, 8.0 * f, 0.0, 2.375, 2.375, -math.pi, -0.001, 0.0, 0.3, 0.0, 4.75, False) for f in range(2)],
+                                   "fiber_id int, cx double, cy double, l1 double, l2 double, phi_in double, phi_out double, theta0 double, theta1 double, r_min double, r_max double, broken boolean")
+    out = sv.allocate(targets, fibers, None, [dict(pointing_idx=0, ra=227.0, dec=20.0, posang=0.0, stage=0, nvisits=1)], PLATE_SCALE, 4.75, 9.0, 1800.0, 1.0, "0.1 * dist")
+    edges = {(r.fiber_id, r.target_idx): (r.x, r.y) for r in out.edges.collect()}
+    assert len(edges) > 300 and max(df.count() for df in kept) <= len(edges)
+    both = {t: p for (f, t), p in edges.items() if (1 - f, t) in edges}
+    near = {(a, b) for a in both for b in both if a < b and math.dist(both[a], both[b]) < 1.0}
+    assert {(r.t1, r.t2) for r in out.endpoint_pairs.collect()} == near and len(near) > 10 * len(edges)
+    price = {(r.fiber_id, r.target_idx): 0.1 * r.dist for r in out.edges.collect()}
+    placed = rounds([(f, t, 10.0 + t % 2, c) for (f, t), c in price.items()])
+    assert tuple(sorted(t for _, t in placed)) in near           # so the cheaper one goes, on equal cost the first
+    stays = max(placed, key=lambda p: (p[1] % 2, p[1]))
+    assert [(r.fiber_id, r.target_idx) for r in out.assignments.collect()] == [stays] and all(p.isEmpty() for p in out.problems)
