@@ -241,3 +241,31 @@ def test_cones_of_dense_rows_meet_little_else(spark, monkeypatch, tmp_path):
     meeting = blocks.cell_join(zj.with_cell(spark.createDataFrame(stars, "id long, ra double, dec double"), "ra", "dec", h),
                                zj.with_disk(spark.createDataFrame(cones, "center long, c_ra double, c_dec double"), "c_ra", "c_dec", h, 0.3), True)
     assert meeting.count() < 1.7 * len(want)
+
+
+def test_large_table_moves_once_and_is_not_kept(spark, monkeypatch):
+    """Crowds of copies are folded first; else rows go to the last join as they are, without their cell."""
+    rnd = random.Random(9)
+    many = [(k, 227 + rnd.uniform(-2, 2), 67 + rnd.uniform(-1, 1)) for k in range(3000)]
+    many += [(5000 - k, 227.5, 67.5) for k in range(60)] + [(9001, None, 1.0), (9002, 1.0, float("nan"))]
+    big = spark.createDataFrame(many, "id long, ra double, dec double")
+    small = [(k, 227 + rnd.uniform(-2, 2), 67 + rnd.uniform(-1, 1)) for k in range(20)] + [(20, 227.5, 67.5001)]
+    whole = [x for x in many if x[0] < 9000]
+    want = {p[0]: min((round(sep(p, q), 6), q[0]) for q in whole)[1] for p in small}
+    for crowd, folded in ((10_000, False), (50, True)):
+        kept, real = [], zj.cut
+        monkeypatch.setattr(zj, "CROWD", crowd)
+        monkeypatch.setattr(zj, "cut", lambda df: kept.append(real(df)) or kept[-1])
+        found = zj.nearest_any_distance(spark.createDataFrame(small, "id long, ra double, dec double"), big, "id", "id")
+        monkeypatch.setattr(zj, "cut", real)
+        assert {x.left_id: x.right_id for x in found.collect()} == want and want[20] == 4941
+        assert not [df for df in kept if "b_id" in df.columns]
+        assert ("Aggregate [b_ra" in found._jdf.queryExecution().optimizedPlan().toString()) == folded
+
+
+def test_nearest_points_move_without_their_cell(spark):
+    a = spark.range(60).selectExpr("id", "226 + id / 1000.0D AS ra", "67.0D AS dec")
+    for side in ("left", "right"):
+        found = zj.nearest_within(a, a, 3.0, "id", "id", explode=side)
+        tops = found._jdf.queryExecution().optimizedPlan().toString().split("Join")[1]
+        assert tops.count("AS cell") == 1 and found.where("left_id = right_id AND sep_arcsec = 0").count() == 60
